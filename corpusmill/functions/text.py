@@ -7,7 +7,7 @@ of ``\\v`` (Java's ``\\v`` also matches ``\\n``) and ``\\z`` for end of input.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # --- fixed values (must equal the reference's rules) --------------------------------
@@ -58,6 +58,23 @@ def normalize_text(
     return F.when(F.length(t) >= F.lit(max(int(min_length), 1)), t)
 
 
+def with_normalized(
+    df: DataFrame,
+    src: Column | str,
+    out_col: str,
+    min_length: int = DEFAULT_MIN_LENGTH,
+    collapse_whitespace: bool = True,
+) -> DataFrame:
+    """Normalise ``src`` into ``out_col`` and drop rejected rows.
+
+    The drop is an ``explode`` of a zero-or-one element array rather than a filter: a
+    filter on the derived column would be pushed below the projection by the
+    optimiser and evaluate the whole regex chain a second time."""
+    norm = normalize_text(src, min_length, collapse_whitespace)
+    keep = [F.col(c) for c in df.columns if c != out_col]
+    return df.select(*keep, F.explode(F.array_compact(F.array(norm))).alias(out_col))
+
+
 def normalize_code(col: Column | str, min_length: int = CODE_MIN_LENGTH) -> Column:
     """Code keeps its layout: control characters replaced, whitespace not collapsed."""
     return normalize_text(col, min_length=min_length, collapse_whitespace=False)

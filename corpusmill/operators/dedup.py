@@ -1,9 +1,9 @@
 """Exact text deduplication and shard layout.
 
-Global keep-first dedup is an aggregate (``min(ord)`` per text hash, map-side
-combined, so a text copied a million times costs one row per task in the shuffle)
-followed by a semi-join on ``(hash, ord)``: because ``ord`` is part of the join key a
-hot hash is spread over all reducers instead of landing in one task.
+Keep-first dedup is one aggregate: ``min_by(row, ord)`` per text hash.  Partial
+aggregation runs map-side, so a text copied a million times costs at most one row per
+map task in the shuffle, and the input (with its expensive normalisation) is read
+once.
 """
 
 from __future__ import annotations
@@ -29,8 +29,10 @@ def dedup_keep_first(df: DataFrame, key_col: str, order_col: str, scope_cols=())
 
     ``order_col`` must be unique within a scope (an ordinal)."""
     scope = list(scope_cols)
-    firsts = df.groupBy(*scope, key_col).agg(F.min(order_col).alias(order_col))
-    return df.join(firsts, [*scope, key_col, order_col], "left_semi")
+    keys = [*scope, key_col]
+    payload = [c for c in df.columns if c not in keys]
+    firsts = df.groupBy(*keys).agg(F.min_by(F.struct(*payload), F.col(order_col)).alias("__first"))
+    return firsts.select(*keys, "__first.*").select(*df.columns)
 
 
 def assign_shards(
@@ -40,9 +42,12 @@ def assign_shards(
     max_records: int = DEFAULT_MAX_RECORDS,
     pos_col: str = "shard_pos",
     groups_are_small: bool | None = None,
+    sample_from: DataFrame | None = None,
 ) -> DataFrame:
     """Number kept rows contiguously per scope and cut them into shards of ``max_records``."""
-    out = with_ordinal(df, order_col, list(scope_cols), name=pos_col, groups_are_small=groups_are_small)
+    out = with_ordinal(
+        df, order_col, list(scope_cols), name=pos_col, groups_are_small=groups_are_small, sample_from=sample_from
+    )
     return out.withColumn("shard", F.floor(F.col(pos_col) / F.lit(int(max_records))).cast("bigint")).withColumn(
         "shard_file", F.format_string(SHARD_NAME_FORMAT, F.col("shard"))
     )

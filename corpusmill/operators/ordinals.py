@@ -1,17 +1,18 @@
-"""Contiguous ordinals and prefix scans without a single-partition window.
+"""Contiguous ordinals without a single-partition window.
 
 ``row_number() over (partition by g order by k)`` sends every row of a group to one
-task; a source holding a third of the corpus would then be sorted by one core.  These
-operators range-partition on ``(g, k)`` instead, so a hot group is spread over many
-tasks, and stitch the pieces together with a tiny per-(partition, group) summary:
-
-1. ``repartitionByRange(g, k)`` + ``sortWithinPartitions`` (one shuffle, balanced by
-   sampling, hot groups split across partitions);
-2. position inside the partition from ``monotonically_increasing_id`` (the low 33 bits
-   are the row index of the task);
-3. per (partition, group) count / first index -> prefix sum over partitions on a table
-   of at most ``partitions + groups`` rows, joined back (broadcast when that bound is
-   checked to be small).
+task; a source holding a third of the corpus would then be sorted by one core.  Here
+rows are cut into B contiguous buckets of the ``(g, k)`` order instead:
+
+1. a small deterministic sample of the keys (fixed seed, at most ~``SAMPLE_PER_BUCKET``
+   keys per bucket) is collected and B-1 bucket bounds are chosen on the driver; they
+   enter the plan as literals, so every branch and every recomputation after an
+   executor loss assigns a row to the same bucket (Spark's own range exchange seeds its
+   sampling with the RDD id, so two branches of one plan may disagree);
+2. ``row_number() over (partition by bucket, g order by k)``: windows of bounded size,
+   a hot group is spread over many buckets;
+3. per (bucket, g) counts -> exclusive prefix sum over buckets, on a table of at most
+   ``B + groups`` rows, joined back (broadcast when checked to be small).
 """
 
 from __future__ import annotations
@@ -23,9 +24,9 @@ from pyspark.sql import functions as F
 
 # Largest summary table we broadcast (rows); beyond it the join is a regular shuffle join.
 BROADCAST_ROW_LIMIT = 2_000_000
-
-_PID = "__cm_pid"
-_IDX = "__cm_idx"
+SAMPLE_PER_BUCKET = 20
+MAX_BUCKETS = 4096
+SAMPLE_SEED = 17
 
 
 def _cols(cols: Sequence[str | Column] | str | Column | None) -> list:
@@ -54,16 +55,67 @@ def small_group_count(df: DataFrame, group_cols: Sequence[str], limit: int = BRO
     return n <= limit
 
 
-def ranged(df: DataFrame, group_cols, order_cols, partitions: int | None = None) -> DataFrame:
-    """Range-partition on (group, order) and tag each row with its task and position."""
-    keys = _cols(group_cols) + _cols(order_cols)
-    n = partitions or num_partitions(df)
-    return (
-        df.repartitionByRange(n, *keys)
-        .sortWithinPartitions(*keys)
-        .withColumn(_PID, F.spark_partition_id())
-        .withColumn(_IDX, F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("bigint"), 33))
+def _sort_key(values):
+    # Spark ascending order puts nulls first; strings compare like UTF-8 bytes (= code points)
+    return tuple((0, 0) if v is None else (1, v) for v in values)
+
+
+def _greater(cols: list[str], bound: tuple) -> Column:
+    """Null-safe lexicographic ``(cols) > bound`` (nulls sort first)."""
+    out = None
+    for c, v in reversed(list(zip(cols, bound))):
+        col = F.col(c)
+        if v is None:
+            gt, eq = col.isNotNull(), col.isNull()
+        else:
+            gt, eq = F.coalesce(col > F.lit(v), F.lit(False)), F.coalesce(col == F.lit(v), F.lit(False))
+        out = gt if out is None else (gt | (eq & out))
+    return out
+
+
+def key_bounds(df: DataFrame, key_cols: list[str], buckets: int) -> list[tuple]:
+    """Up to ``buckets - 1`` sorted, distinct split points from a uniform fixed-seed
+    sample of ``buckets * SAMPLE_PER_BUCKET`` keys (one job: per-task top-k of a seeded
+    random number, then a merge; only the sample reaches the driver)."""
+    if buckets <= 1:
+        return []
+    want = buckets * SAMPLE_PER_BUCKET
+    rows = (
+        df.select(*key_cols)
+        .withColumn("__cm_r", F.rand(SAMPLE_SEED))
+        .orderBy("__cm_r")
+        .limit(want)
+        .drop("__cm_r")
+        .collect()
     )
+    keys = sorted((tuple(r) for r in rows), key=_sort_key)
+    if not keys:
+        return []
+    step = len(keys) / buckets
+    bounds, seen = [], set()
+    for i in range(1, buckets):
+        b = keys[min(len(keys) - 1, int(i * step))]
+        if b not in seen:
+            seen.add(b)
+            bounds.append(b)
+    return sorted(bounds, key=_sort_key)
+
+
+def bucket_column(key_cols: list[str], bounds: list[tuple]) -> Column:
+    """Bucket index = number of bounds below the row key (binary search as nested CASE)."""
+
+    def node(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(_greater(key_cols, bounds[mid]), node(mid + 1, hi)).otherwise(node(lo, mid))
+
+    return node(0, len(bounds)).cast("int")
+
+
+def default_buckets(df: DataFrame) -> int:
+    sc = df.sparkSession.sparkContext
+    return max(2, min(MAX_BUCKETS, 2 * max(num_partitions(df), sc.defaultParallelism)))
 
 
 def with_ordinal(
@@ -74,23 +126,33 @@ def with_ordinal(
     start: int = 0,
     partitions: int | None = None,
     groups_are_small: bool | None = None,
+    sample_from: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``name`` = contiguous row number (from ``start``) within each group in
-    ``order_cols`` order.  Ties in ``order_cols`` are numbered in an arbitrary order."""
+    ``order_cols`` order (ascending).  The order should be total within a group; ties
+    are numbered in an arbitrary order.
+
+    ``sample_from``: a cheaper frame with the same key columns (e.g. the raw input of a
+    filtered frame) to draw bucket bounds from; any bounds are correct, good ones only
+    balance the buckets."""
     groups = _names(_cols(group_cols))
-    tagged = ranged(df, groups, order_cols, partitions)
-    summary = tagged.groupBy(_PID, *groups).agg(
-        F.min(_IDX).alias("__cm_first"), F.count(F.lit(1)).alias("__cm_n")
-    )
-    w = Window.partitionBy(*groups).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    summary = summary.withColumn("__cm_off", F.coalesce(F.sum("__cm_n").over(w), F.lit(0)))
+    orders = _names(_cols(order_cols))
+    keys = groups + orders
+    bounds = key_bounds(sample_from if sample_from is not None else df, keys, partitions or default_buckets(df))
+    tagged = df.withColumn("__cm_b", bucket_column(keys, bounds))
+    w = Window.partitionBy("__cm_b", *groups).orderBy(*orders)
+    local = tagged.withColumn("__cm_rn", F.row_number().over(w) - F.lit(1))
+    # counts from the windowed branch: both branches share one exchange of the input
+    summary = local.groupBy("__cm_b", *groups).agg((F.max("__cm_rn") + F.lit(1)).alias("__cm_n"))
+    pw = Window.partitionBy(*groups).orderBy("__cm_b").rowsBetween(Window.unboundedPreceding, -1)
+    summary = summary.withColumn("__cm_off", F.coalesce(F.sum("__cm_n").over(pw), F.lit(0))).drop("__cm_n")
     if groups_are_small is None:
         groups_are_small = small_group_count(df, groups)
     if groups_are_small:
         summary = F.broadcast(summary)
-    out = tagged.join(summary.select(_PID, *groups, "__cm_first", "__cm_off"), [_PID, *groups])
-    out = out.withColumn(name, F.col("__cm_off") + F.col(_IDX) - F.col("__cm_first") + F.lit(start))
-    return out.drop(_PID, _IDX, "__cm_first", "__cm_off")
+    out = local.join(summary, ["__cm_b", *groups])
+    out = out.withColumn(name, (F.col("__cm_off") + F.col("__cm_rn") + F.lit(start)).cast("bigint"))
+    return out.drop("__cm_b", "__cm_rn", "__cm_off")
 
 
 def with_group_sizes(df: DataFrame, group_cols, name: str = "group_size", groups_are_small: bool | None = None) -> DataFrame:

@@ -48,4 +48,5 @@ from corpusmill.plans import (  # noqa: E402,F401
     q_manifest,
     q_mix,
     q_text,
+    q_tools,
 )

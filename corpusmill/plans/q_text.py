@@ -24,7 +24,7 @@ WHERE t IS NOT NULL
 )
 def q_normalize_text(spark, sf):
     docs = table(spark, sf, "documents")
-    out = docs.select("doc_id", T.normalize_text(dirty("text")).alias("text")).filter(F.col("text").isNotNull())
+    out = T.with_normalized(docs.select("doc_id", dirty("text").alias("raw")), "raw", "text").drop("raw")
     return out.withColumn("n_chars", F.length("text").cast("bigint"))
 
 
@@ -38,7 +38,8 @@ WHERE t IS NOT NULL
 )
 def q_normalize_code(spark, sf):
     docs = table(spark, sf, "documents")
-    out = docs.select("doc_id", T.normalize_code(dirty("text")).alias("text")).filter(F.col("text").isNotNull())
+    raw = docs.select("doc_id", dirty("text").alias("raw"))
+    out = T.with_normalized(raw, "raw", "text", T.CODE_MIN_LENGTH, collapse_whitespace=False).drop("raw")
     return out.withColumn("n_chars", F.length("text").cast("bigint"))
 
 
@@ -73,7 +74,7 @@ FROM n WHERE t IS NOT NULL
 def q_sample_ids(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "source", "text")
     numbered = number_records(docs, "source", "doc_id")
-    cleaned = numbered.withColumn("t", T.normalize_text(dirty("text"))).filter(F.col("t").isNotNull())
+    cleaned = T.with_normalized(numbered, dirty("text"), "t")
     return cleaned.select(
         "doc_id", "source", "record_index", I.sample_id("source", "record_index", "t").alias("sample_id")
     )
@@ -140,11 +141,7 @@ SELECT doc_id, text_sha1 FROM (
 )
 def q_dedup_global(spark, sf):
     docs = table(spark, sf, "documents")
-    h = (
-        docs.select("doc_id", T.normalize_text("text").alias("t"))
-        .filter(F.col("t").isNotNull())
-        .select("doc_id", I.text_hash("t").alias("text_sha1"))
-    )
+    h = T.with_normalized(docs.select("doc_id", "text"), "text", "t").select("doc_id", I.text_hash("t").alias("text_sha1"))
     return dedup_keep_first(h, "text_sha1", "doc_id")
 
 
@@ -229,8 +226,8 @@ def q_qa_template(spark, sf):
         "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("answer")
     )
     j = q.join(a, ["conv_id", "turn"], "left")
-    out = j.select("conv_id", "turn", T.normalize_text(T.qa_text("question", "answer"), 5).alias("text"))
-    return out.filter(F.col("text").isNotNull())
+    raw = j.select("conv_id", "turn", T.qa_text("question", "answer").alias("raw"))
+    return T.with_normalized(raw, "raw", "text", 5).drop("raw")
 
 
 @register(
@@ -249,5 +246,5 @@ def q_problem_template(spark, sf):
     q = conv.filter(F.col("role") == "user").select("conv_id", "turn", F.col("text").alias("question"))
     b = conv.select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("text").alias("body"))
     j = q.join(b, ["conv_id", "turn"], "left")
-    out = j.select("conv_id", "turn", T.normalize_text(T.problem_text("body", "question"), 5).alias("text"))
-    return out.filter(F.col("text").isNotNull())
+    raw = j.select("conv_id", "turn", T.problem_text("body", "question").alias("raw"))
+    return T.with_normalized(raw, "raw", "text", 5).drop("raw")

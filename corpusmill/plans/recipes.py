@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.functions.ids import sample_id, text_hash
-from corpusmill.functions.text import normalize_text
+from corpusmill.functions.text import with_normalized
 from corpusmill.operators.dedup import DEFAULT_MAX_RECORDS, assign_shards, dedup_keep_first
 from corpusmill.operators.ordinals import with_ordinal
 
@@ -34,9 +34,7 @@ def clean_records(
     collapse_whitespace: bool = True,
 ) -> DataFrame:
     """Normalise, drop rejects, and attach ``sample_id`` and ``text_sha1``."""
-    out = df.withColumn(text_col, normalize_text(text_col, min_length, collapse_whitespace)).filter(
-        F.col(text_col).isNotNull()
-    )
+    out = with_normalized(df, text_col, text_col, min_length, collapse_whitespace)
     return out.withColumn("sample_id", sample_id(uri_col, index_col, text_col)).withColumn(
         "text_sha1", text_hash(text_col)
     )
@@ -58,4 +56,8 @@ def prepare_corpus(
     numbered = number_records(df, dataset_col, order_cols)
     cleaned = clean_records(numbered, text_col, uri, "record_index", min_length, collapse_whitespace)
     unique = dedup_keep_first(cleaned, "text_sha1", "record_index", [dataset_col])
-    return assign_shards(unique, "record_index", [dataset_col], max_records=max_records, groups_are_small=True)
+    # record_index follows order_cols within a dataset, so bucket bounds can be drawn
+    # from the cheap raw input instead of the cleaned, deduplicated frame
+    return assign_shards(
+        unique, order_cols, [dataset_col], max_records=max_records, groups_are_small=True, sample_from=df
+    )
