@@ -47,6 +47,7 @@ from corpusmill.plans import (  # noqa: E402,F401
     q_artifacts,
     q_manifest,
     q_mix,
+    q_numeric,
     q_text,
     q_tools,
 )
