@@ -86,9 +86,9 @@ def safe_int(v: Column) -> Column:
     s = F.try_variant_get(v, "$", "string")
     numeric = kind.isin("BIGINT", "INT", "SMALLINT", "TINYINT") | kind.startswith("DECIMAL") | (kind == "DOUBLE")
     return (
-        F.when(numeric & (d == F.floor(d)), F.try_variant_get(v, "$", "decimal(38,0)").cast("bigint"))
+        F.when(numeric & (d == F.floor(d)), F.try_variant_get(v, "$", "decimal(38,0)").try_cast("bigint"))
         .when(kind == "BOOLEAN", F.try_variant_get(v, "$", "boolean").cast("bigint"))
-        .when((kind == "STRING") & s.rlike(r"^\s*[+-]?[0-9]+\s*$"), F.trim(s).cast("bigint"))
+        .when((kind == "STRING") & s.rlike(r"^\s*[+-]?[0-9]+\s*$"), F.trim(s).try_cast("bigint"))
     )
 
 

@@ -13,6 +13,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+_WS = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+
 
 def batch_udf(model_factory: Callable[[], Callable[[pd.Series], pd.Series]], return_type: str):
     """Iterator pandas UDF: ``model_factory()`` runs once per task, the returned
@@ -50,13 +52,16 @@ def stub_length_scorer():
 
 def position_tokens(text: Column | str, seq_len: int) -> tuple[Column, Column]:
     """Built-in whitespace tokeniser of the test double: the i-th word gets id i+1,
-    truncated/zero-padded to ``seq_len``; mask 1 on words, 0 on padding.  Pure SQL."""
+    truncated/zero-padded to ``seq_len``; mask 1 on words, 0 on padding.  Pure SQL, no
+    lambda over the word list (the count is computed once)."""
     t = F.col(text) if isinstance(text, str) else text
-    words = F.filter(F.split(t, r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"), lambda w: w != "")
-    n = F.least(F.size(words), F.lit(seq_len))
-    ids = F.transform(F.sequence(F.lit(1), F.lit(seq_len)), lambda i: F.when(i <= n, i).otherwise(F.lit(0)).cast("bigint"))
-    mask = F.transform(ids, lambda x: F.when(x > 0, 1).otherwise(0).cast("bigint"))
-    return ids, mask
+    words = F.split(F.regexp_replace(t, rf"^{_WS}+|{_WS}+\z", ""), rf"{_WS}+", -1)
+    n_words = F.when(F.size(words) == 1, F.when(F.element_at(words, 1) == "", 0).otherwise(1)).otherwise(F.size(words))
+    n = F.least(n_words, F.lit(seq_len))
+    counted = F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>"))
+    ids = F.slice(F.concat(counted, F.array_repeat(F.lit(0), F.lit(seq_len))), 1, seq_len)
+    mask = F.slice(F.concat(F.array_repeat(F.lit(1), n), F.array_repeat(F.lit(0), F.lit(seq_len))), 1, seq_len)
+    return ids.cast("array<bigint>"), mask.cast("array<bigint>")
 
 
 def pad_or_truncate(arr: Column, length: int, pad_value=0) -> Column:

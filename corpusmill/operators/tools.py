@@ -43,10 +43,16 @@ def calculator(exprs: Iterator[pd.Series]) -> Iterator[pd.Series]:
 
 
 @F.pandas_udf(ArrayType(StringType()))
-def calculator_many(arrays: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    """Calculator over an array of expressions per row."""
-    for s in arrays:
-        yield s.map(lambda a: None if a is None else [evaluate(x) for x in a])
+def calculator_aligned(names: pd.Series, args: pd.Series) -> pd.Series:
+    """Per row: calculator result for every line whose tool name is ``calculator``,
+    null elsewhere (aligned with the lines)."""
+
+    def one(ns, xs):
+        if ns is None:
+            return None
+        return [evaluate(x) if n == CALCULATOR else None for n, x in zip(ns, xs)]
+
+    return pd.Series([one(n, a) for n, a in zip(names, args)])
 
 
 def _c(col):
@@ -64,58 +70,44 @@ def scratchpad_note(arg: Column) -> Column:
     )
 
 
-def render_notes(notes: Column, k: Column, keep: int = SCRATCHPAD_LINES) -> Column:
-    """Notes k-keep+1 .. k (1-based) joined by newlines."""
-    start = F.greatest(F.lit(1), k - (keep - 1))
-    return F.array_join(F.slice(notes, start, k - start + 1), "\n")
-
-
-def call_parts(lines: Column) -> tuple[Column, Column]:
-    names = F.transform(lines, lambda l: F.lower(F.regexp_extract(l, CALL_PATTERN, 1)))
-    args = F.transform(lines, lambda l: F.regexp_extract(l, CALL_PATTERN, 2))
-    return names, args
+def last_notes(notes: Column, keep: int = SCRATCHPAD_LINES) -> Column:
+    return F.slice(notes, F.greatest(F.lit(1), F.size(notes) - (keep - 1)), keep)
 
 
 def inject_tool_results(df: DataFrame, text: Column | str, out_col: str) -> DataFrame:
     """After every CALL line add ``RESULT: <tool output>``; lines are split on ``\\n``
     only and a final newline is not kept (as the line-by-line original does).
 
-    Staged projections: the calculator UDF gets its own projection (Python UDFs may not
-    sit inside lambda functions); everything else is native array functions."""
+    Lines, tool names and arguments are extracted natively; the calculator runs in an
+    Arrow UDF on the argument arrays (its own projection: Python UDFs may not sit in a
+    lambda); the scratchpad state and the output lines are one sequential ``aggregate``
+    over the zipped lines (no random access into computed arrays)."""
     t = _c(text)
     st = df.withColumn("__lines", lines_of(t))
-    lines = F.col("__lines")
-    st = st.withColumn("__names", F.transform(lines, lambda l: F.lower(F.regexp_extract(l, CALL_PATTERN, 1))))
-    st = st.withColumn("__args", F.transform(lines, lambda l: F.regexp_extract(l, CALL_PATTERN, 2)))
-    names, args = F.col("__names"), F.col("__args")
-    n = F.size(lines)
-    st = st.withColumn("__idx", F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>")))
-    idx = F.col("__idx")
-    st = st.withColumn("__calc_pos", F.filter(idx, lambda i: names[i] == CALCULATOR))
-    st = st.withColumn("__calc_args", F.transform("__calc_pos", lambda i: args[i]))
-    st = st.withColumn("__calc_res", calculator_many(F.col("__calc_args")))
-    st = st.withColumn("__pad_pos", F.filter(idx, lambda i: names[i] == SCRATCHPAD))
-    st = st.withColumn("__notes", F.transform("__pad_pos", lambda i: scratchpad_note(args[i])))
-    calc_pos, calc_res, pad_pos, notes = (F.col(c) for c in ("__calc_pos", "__calc_res", "__pad_pos", "__notes"))
-
-    def result(i):
-        name = names[i]
-        return (
-            F.when(name == CALCULATOR, F.element_at(calc_res, F.array_position(calc_pos, i).cast("int")))
-            .when(name == SCRATCHPAD, render_notes(notes, F.array_position(pad_pos, i).cast("int")))
+    st = st.withColumn("__names", F.transform("__lines", lambda l: F.lower(F.regexp_extract(l, CALL_PATTERN, 1))))
+    st = st.withColumn("__args", F.transform("__lines", lambda l: F.regexp_extract(l, CALL_PATTERN, 2)))
+    st = st.withColumn("__calc", calculator_aligned(F.col("__names"), F.col("__args")))
+    zipped = F.arrays_zip(
+        F.col("__lines").alias("line"), F.col("__names").alias("name"), F.col("__args").alias("arg"), F.col("__calc").alias("calc")
+    )
+    init = F.struct(F.array().cast("array<string>").alias("pad"), F.array().cast("array<string>").alias("out"))
+
+    def step(acc, z):
+        is_pad = z["name"] == SCRATCHPAD
+        pad = F.when(is_pad, last_notes(F.concat(acc["pad"], F.array(scratchpad_note(z["arg"]))))).otherwise(acc["pad"])
+        result = (
+            F.when(z["name"] == CALCULATOR, z["calc"])
+            .when(is_pad, F.array_join(pad, "\n"))
             .otherwise(F.lit(UNKNOWN_TOOL))
         )
-
-    out_lines = F.flatten(
-        F.transform(
-            idx,
-            lambda i: F.when(names[i] == "", F.array(lines[i])).otherwise(
-                F.array(lines[i], F.concat(F.lit(RESULT_PREFIX), result(i)))
-            ),
+        emitted = F.when(z["name"] == "", F.array(z["line"])).otherwise(
+            F.array(z["line"], F.concat(F.lit(RESULT_PREFIX), result))
         )
-    )
-    st = st.withColumn(out_col, F.array_join(out_lines, "\n"))
-    return st.drop("__lines", "__names", "__args", "__idx", "__calc_pos", "__calc_args", "__calc_res", "__pad_pos", "__notes")
+        return F.struct(pad.alias("pad"), F.concat(acc["out"], emitted).alias("out"))
+
+    out = F.aggregate(zipped, init, step, lambda acc: F.array_join(acc["out"], "\n"))
+    st = st.withColumn(out_col, out)
+    return st.drop("__lines", "__names", "__args", "__calc")
 
 
 def py_splitlines(text: Column | str) -> Column:

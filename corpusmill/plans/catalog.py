@@ -48,6 +48,7 @@ from corpusmill.plans import (  # noqa: E402,F401
     q_manifest,
     q_mix,
     q_numeric,
+    q_records,
     q_text,
     q_tools,
 )
