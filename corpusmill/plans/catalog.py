@@ -45,6 +45,7 @@ def dirty(col: Column | str) -> Column:
 # Import the query modules so that they register themselves.
 from corpusmill.plans import (  # noqa: E402,F401
     q_artifacts,
+    q_files,
     q_manifest,
     q_mix,
     q_numeric,

@@ -54,7 +54,8 @@ class ZipReader(DataSourceReader):
                 if info.filename.endswith("/"):
                     continue
                 with zf.open(info) as fh:
-                    text = io.TextIOWrapper(fh, encoding="utf-8", errors="ignore", newline="\n")
+                    # universal newlines, bad bytes dropped (as a text-mode archive reader does)
+                    text = io.TextIOWrapper(fh, encoding="utf-8", errors="ignore")
                     for i, line in enumerate(text, start=1):
                         yield (path, info.filename, i, line.rstrip("\n"))
 

@@ -27,15 +27,17 @@ def _fields(df: DataFrame, names) -> Column:
     return first_truthy(*[F.col(f"`{n}`").cast("string") for n in present])
 
 
-def read_problem_xml(spark: SparkSession, path: str) -> DataFrame:
+def read_problem_xml(spark: SparkSession, path: str, keep=()) -> DataFrame:
     """Word problems from XML: one read per tag spelling (problem/item in any of the
-    common cases), fields by first non-empty alternative; adds ``file_path``."""
+    common cases), fields by first non-empty alternative; adds ``file_path``; ``keep``
+    carries extra fields through (null when absent)."""
     out = None
     for tag in PROBLEM_TAGS:
-        df = spark.read.format("xml").option("rowTag", tag).option("ignoreSurroundingSpaces", "false").load(path)
+        df = spark.read.format("xml").option("rowTag", tag).option("ignoreSurroundingSpaces", "false").option("inferSchema", "false").load(path)
         if not df.columns:
             continue
         part = df.select(
+            *[(F.col(k) if k in df.columns else F.lit(None)).cast("string").alias(k) for k in keep],
             _fields(df, BODY_FIELDS).alias("body"),
             _fields(df, QUESTION_FIELDS).alias("question"),
             _fields(df, ANSWER_FIELDS).alias("answer"),
@@ -43,7 +45,8 @@ def read_problem_xml(spark: SparkSession, path: str) -> DataFrame:
         )
         out = part if out is None else out.unionByName(part)
     if out is None:
-        return spark.createDataFrame([], "body string, question string, answer string, file_path string")
+        extra = "".join(f"{k} string, " for k in keep)
+        return spark.createDataFrame([], extra + "body string, question string, answer string, file_path string")
     return out
 
 
