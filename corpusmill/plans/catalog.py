@@ -50,6 +50,7 @@ from corpusmill.plans import (  # noqa: E402,F401
     q_mix,
     q_numeric,
     q_records,
+    q_stream,
     q_text,
     q_tools,
 )
