@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
 
 from corpusmill.functions.calculator import evaluate
+from corpusmill.functions.registry import call_tools
 from corpusmill.functions.text import PY_SPACE_CLASS, lines_of, py_strip
 
 # --- fixed values (must equal the reference's rules) --------------------------------
@@ -43,16 +44,10 @@ def calculator(exprs: Iterator[pd.Series]) -> Iterator[pd.Series]:
 
 
 @F.pandas_udf(ArrayType(StringType()))
-def calculator_aligned(names: pd.Series, args: pd.Series) -> pd.Series:
-    """Per row: calculator result for every line whose tool name is ``calculator``,
-    null elsewhere (aligned with the lines)."""
-
-    def one(ns, xs):
-        if ns is None:
-            return None
-        return [evaluate(x) if n == CALCULATOR else None for n, x in zip(ns, xs)]
-
-    return pd.Series([one(n, a) for n, a in zip(names, args)])
+def tool_results(names: pd.Series, args: pd.Series) -> pd.Series:
+    """Per row: the tool output for every call line, aligned with the lines (null for
+    other lines, null array for rows without calls)."""
+    return pd.Series([call_tools(n, a) for n, a in zip(names, args)])
 
 
 def _c(col):
@@ -70,44 +65,41 @@ def scratchpad_note(arg: Column) -> Column:
     )
 
 
-def last_notes(notes: Column, keep: int = SCRATCHPAD_LINES) -> Column:
-    return F.slice(notes, F.greatest(F.lit(1), F.size(notes) - (keep - 1)), keep)
-
-
 def inject_tool_results(df: DataFrame, text: Column | str, out_col: str) -> DataFrame:
     """After every CALL line add ``RESULT: <tool output>``; lines are split on ``\\n``
     only and a final newline is not kept (as the line-by-line original does).
 
-    Lines, tool names and arguments are extracted natively; the calculator runs in an
-    Arrow UDF on the argument arrays (its own projection: Python UDFs may not sit in a
-    lambda); the scratchpad state and the output lines are one sequential ``aggregate``
-    over the zipped lines (no random access into computed arrays)."""
+    Lines and CALL parts are extracted natively (the regex only runs on lines starting
+    with ``CALL``); only the names/arguments of rows that contain a call go through the
+    Arrow UDF (tool registry, record-scoped scratchpad); the output is assembled with one
+    linear ``transform`` over (line, result) pairs."""
     t = _c(text)
     st = df.withColumn("__lines", lines_of(t))
-    st = st.withColumn("__names", F.transform("__lines", lambda l: F.lower(F.regexp_extract(l, CALL_PATTERN, 1))))
-    st = st.withColumn("__args", F.transform("__lines", lambda l: F.regexp_extract(l, CALL_PATTERN, 2)))
-    st = st.withColumn("__calc", calculator_aligned(F.col("__names"), F.col("__args")))
-    zipped = F.arrays_zip(
-        F.col("__lines").alias("line"), F.col("__names").alias("name"), F.col("__args").alias("arg"), F.col("__calc").alias("calc")
+    is_call = lambda l: l.startswith("CALL")
+    st = st.withColumn(
+        "__names",
+        F.transform("__lines", lambda l: F.when(is_call(l), F.lower(F.regexp_extract(l, CALL_PATTERN, 1))).otherwise(F.lit(""))),
+    )
+    st = st.withColumn(
+        "__args", F.transform("__lines", lambda l: F.when(is_call(l), F.regexp_extract(l, CALL_PATTERN, 2)).otherwise(F.lit("")))
+    )
+    has_call = F.exists("__names", lambda n: n != "")
+    st = st.withColumn("__res", tool_results(F.when(has_call, F.col("__names")), F.col("__args")))
+    pairs = F.arrays_zip(F.col("__lines").alias("line"), F.col("__res").alias("res"))
+    assembled = F.array_join(
+        F.flatten(
+            F.transform(
+                pairs,
+                lambda z: F.when(z["res"].isNull(), F.array(z["line"])).otherwise(
+                    F.array(z["line"], F.concat(F.lit(RESULT_PREFIX), z["res"]))
+                ),
+            )
+        ),
+        "\n",
     )
-    init = F.struct(F.array().cast("array<string>").alias("pad"), F.array().cast("array<string>").alias("out"))
-
-    def step(acc, z):
-        is_pad = z["name"] == SCRATCHPAD
-        pad = F.when(is_pad, last_notes(F.concat(acc["pad"], F.array(scratchpad_note(z["arg"]))))).otherwise(acc["pad"])
-        result = (
-            F.when(z["name"] == CALCULATOR, z["calc"])
-            .when(is_pad, F.array_join(pad, "\n"))
-            .otherwise(F.lit(UNKNOWN_TOOL))
-        )
-        emitted = F.when(z["name"] == "", F.array(z["line"])).otherwise(
-            F.array(z["line"], F.concat(F.lit(RESULT_PREFIX), result))
-        )
-        return F.struct(pad.alias("pad"), F.concat(acc["out"], emitted).alias("out"))
-
-    out = F.aggregate(zipped, init, step, lambda acc: F.array_join(acc["out"], "\n"))
+    out = F.when(F.col("__res").isNull(), F.array_join("__lines", "\n")).otherwise(assembled)
     st = st.withColumn(out_col, out)
-    return st.drop("__lines", "__names", "__args", "__calc")
+    return st.drop("__lines", "__names", "__args", "__res")
 
 
 def py_splitlines(text: Column | str) -> Column:

@@ -42,15 +42,6 @@ def dirty(col: Column | str) -> Column:
     return F.concat(F.lit("\r\n "), t, F.lit("\r\n\n\n\u00a0\u3000"))
 
 
-# Import the query modules so that they register themselves.
-from corpusmill.plans import (  # noqa: E402,F401
-    q_artifacts,
-    q_files,
-    q_manifest,
-    q_mix,
-    q_numeric,
-    q_records,
-    q_stream,
-    q_text,
-    q_tools,
-)
+def load_all() -> None:
+    """Import every query module (each registers its queries on import)."""
+    import corpusmill.plans.all  # noqa: F401
