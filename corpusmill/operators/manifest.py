@@ -325,3 +325,41 @@ def slice_manifest(entries: DataFrame, listing: DataFrame, files_per_entry: int,
     top = top_k_per_group(j, ["entry_ord"], ["file"], files_per_entry)
     n = F.count(F.lit(1)).over(Window.partitionBy("entry_ord"))  # at most files_per_entry rows
     return top.select("entry_ord", "pattern", "file", (F.col("weight") / n).alias("weight"))
+
+
+# ---------------------------------------------------------------- configs, counts, limits
+
+
+def dataset_configs_from_yaml(spark, yaml_text: str):
+    """Dataset configs (a YAML mapping job -> {in, out, type, manifest}) as a small
+    DataFrame ``(cfg_ord, job, inputs array, out, type, manifest)``; ``in`` may be a
+    string or a list.  The YAML is config-sized and parsed on the driver."""
+    import yaml
+
+    data = yaml.safe_load(yaml_text) or {}
+    rows = []
+    for i, (job, spec) in enumerate(data.items()):
+        spec = spec or {}
+        raw_in = spec.get("in")
+        inputs = [str(x) for x in raw_in] if isinstance(raw_in, (list, tuple)) else ([str(raw_in)] if raw_in else [])
+        rows.append((i, str(job), inputs, spec.get("out"), spec.get("type", DEFAULT_TYPE), spec.get("manifest")))
+    schema = "cfg_ord int, job string, inputs array<string>, out string, type string, manifest string"
+    return spark.createDataFrame(rows, schema)
+
+
+def attach_counts(entries: DataFrame, counts: DataFrame, entry_ord_col: str = "entry_ord") -> DataFrame:
+    """Per dataset key (dataset id, else the resolved path): the first entry's output path
+    and the record count.  ``counts`` has ``(dataset_key, records)``."""
+    key = F.coalesce(F.col("dataset_id"), F.col("resolved_path"))
+    first = entries.withColumn("dataset_key", key).groupBy("dataset_key").agg(
+        F.min_by(F.col("resolved_path"), F.col(entry_ord_col)).alias("first_path")
+    )
+    return first.join(counts, "dataset_key", "left").withColumn("records", F.coalesce("records", F.lit(0)).cast("bigint"))
+
+
+def limit_samples(df: DataFrame, order_cols, n: int) -> DataFrame:
+    """Scoring sample limit: the first ``n`` rows in order (0 = all).  A distributed
+    top-n (per-task top-n, then a merge), not a global sort."""
+    if not n:
+        return df
+    return df.orderBy(*order_cols).limit(int(n))

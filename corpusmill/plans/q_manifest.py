@@ -390,3 +390,99 @@ def q_manifest_lines(spark, sf):
     e = manifest_entries(spark, sf)
     e = e.withColumn("weight", F.col("weight") * 2)
     return M.manifest_json(M.override_type_weight(e, "math_tool", None))
+
+
+# ------------------------------------------------------------------ configs, counts, split, limit
+
+
+def config_yaml(spark, sf) -> str:
+    """Dataset-config YAML text built from the per-source table (config-sized)."""
+    docs = table(spark, sf, "documents")
+    per = docs.groupBy("source").agg(F.count(F.lit(1)).alias("cnt")).withColumn("n", F.expr(_N)).orderBy("n")
+    lines = []
+    for r in per.collect():  # one row per source: the config itself
+        lines.append(f"{r.source}:")
+        if r.n % 2 == 0:
+            lines.append(f"  in: gs://raw/{r.source}/a.jsonl")
+        else:
+            lines.append(f"  in: [gs://raw/{r.source}/a.jsonl, gs://raw/{r.source}/b.jsonl]")
+        lines.append(f"  out: gs://out/{r.source}/")
+        if r.n % 3:
+            lines.append("  type: math_tool")
+    return "\n".join(lines) + "\n"
+
+
+@register(
+    "dataset_configs",
+    f"""
+WITH s AS (SELECT DISTINCT source, {_N} AS n FROM documents)
+SELECT source AS job, 'gs://raw/' || source || '/a.jsonl' AS input, 'gs://out/' || source || '/' AS out,
+       CASE WHEN n % 3 <> 0 THEN 'math_tool' ELSE 'lm' END AS type FROM s
+UNION ALL
+SELECT source, 'gs://raw/' || source || '/b.jsonl', 'gs://out/' || source || '/',
+       CASE WHEN n % 3 <> 0 THEN 'math_tool' ELSE 'lm' END FROM s WHERE n % 2 = 1
+""",
+)
+def q_dataset_configs(spark, sf):
+    cfg = M.dataset_configs_from_yaml(spark, config_yaml(spark, sf))
+    return cfg.select("job", F.explode("inputs").alias("input"), "out", "type")
+
+
+@register(
+    "count_attach",
+    _LISTING_SQL
+    + """,
+entries AS (SELECT cfg_ord AS entry_ord, job, 'gs://raw/' || job || '/train.jsonl' AS path FROM configs
+            UNION ALL SELECT cfg_ord + 1000, job, 'gs://raw/' || job || '/more.jsonl' FROM configs
+            UNION ALL SELECT cfg_ord + 2000, job, 'gs://raw/' || job || 'x/other.jsonl' FROM configs),
+cnt AS (SELECT regexp_extract(path, '^(.*)/[^/]*$', 1) AS folder, count(*) AS n_files
+        FROM files WHERE ends_with(path, '.jsonl') GROUP BY 1),
+r AS (SELECT e.entry_ord, e.path, CASE WHEN e.path LIKE 'gs://raw/' || e.job || '/%' THEN e.job END AS dataset_id, e.job FROM entries e),
+rp AS (SELECT r.*, CASE WHEN r.dataset_id IS NOT NULL AND coalesce(cnt.n_files, 0) > 0 THEN 'gs://out/' || r.job || '/*.jsonl'
+                        ELSE r.path END AS resolved_path
+       FROM r LEFT JOIN cnt ON cnt.folder = 'gs://out/' || r.job),
+recs AS (SELECT source AS dataset_key, count(*) AS records FROM documents GROUP BY source)
+SELECT k.dataset_key, k.first_path, CAST(coalesce(recs.records, 0) AS BIGINT) AS records FROM (
+  SELECT coalesce(dataset_id, resolved_path) AS dataset_key, arg_min(resolved_path, entry_ord) AS first_path FROM rp GROUP BY 1) k
+LEFT JOIN recs ON recs.dataset_key = k.dataset_key
+""",
+)
+def q_count_attach(spark, sf):
+    files, _after, configs = listing_frames(spark, sf)
+    raw = F.concat(F.lit("gs://raw/"), F.col("job"))
+    entries = (
+        configs.select(F.col("cfg_ord").alias("entry_ord"), F.concat(raw, F.lit("/train.jsonl")).alias("path"))
+        .unionByName(configs.select((F.col("cfg_ord") + 1000).alias("entry_ord"), F.concat(raw, F.lit("/more.jsonl")).alias("path")))
+        .unionByName(configs.select((F.col("cfg_ord") + 2000).alias("entry_ord"), F.concat(raw, F.lit("x/other.jsonl")).alias("path")))
+    )
+    resolved = M.resolve_paths(entries, configs.drop("job_failed"), files.select("path"))
+    counts = table(spark, sf, "documents").groupBy(F.col("source").alias("dataset_key")).agg(F.count(F.lit(1)).alias("records"))
+    return M.attach_counts(resolved, counts).select("dataset_key", "first_path", "records")
+
+
+@register(
+    "manifest_split",
+    _ENTRIES_SQL
+    + f""", c AS (SELECT path, {canon_sql('type', 'path')} AS ctype FROM entries)
+SELECT path, ctype = 'lm' AS in_lm, ctype <> 'lm' AS in_math_code FROM c""",
+)
+def q_manifest_split(spark, sf):
+    e = manifest_entries(spark, sf).withColumn("type", M.canonical_type("type", "path"))
+    lm = e.filter(F.col("type") == "lm").select("path", F.lit(True).alias("in_lm"))
+    mc = e.filter(F.col("type") != "lm").select("path", F.lit(True).alias("in_math_code"))
+    full = e.select("path")
+    # invariant: every entry of the full manifest is in exactly one of the two splits
+    j = full.join(lm, "path", "left").join(mc, "path", "left")
+    return j.select("path", F.coalesce("in_lm", F.lit(False)).alias("in_lm"), F.coalesce("in_math_code", F.lit(False)).alias("in_math_code"))
+
+
+SAMPLE_LIMIT = 100
+
+
+@register(
+    "sample_limit",
+    f"""SELECT doc_id FROM documents WHERE lang IN ('fr', 'de') ORDER BY doc_id LIMIT {SAMPLE_LIMIT}""",
+)
+def q_sample_limit(spark, sf):
+    docs = table(spark, sf, "documents").filter(F.col("lang").isin("fr", "de")).select("doc_id")
+    return M.limit_samples(docs, ["doc_id"], SAMPLE_LIMIT)
