@@ -19,13 +19,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Largest summary table we broadcast (rows); beyond it the join is a regular shuffle join.
 BROADCAST_ROW_LIMIT = 2_000_000
 SAMPLE_PER_BUCKET = 20
-MAX_BUCKETS = 4096
+MAX_SAMPLE = 1_000_000
+MAX_BUCKETS = 1 << 17
+CASE_TREE_LIMIT = 1024  # up to this many bounds the lookup is a nested CASE (JVM, codegen)
 SAMPLE_SEED = 17
 
 
@@ -79,7 +82,7 @@ def key_bounds(df: DataFrame, key_cols: list[str], buckets: int) -> list[tuple]:
     random number, then a merge; only the sample reaches the driver)."""
     if buckets <= 1:
         return []
-    want = buckets * SAMPLE_PER_BUCKET
+    want = min(MAX_SAMPLE, buckets * SAMPLE_PER_BUCKET)
     rows = (
         df.select(*key_cols)
         .withColumn("__cm_r", F.rand(SAMPLE_SEED))
@@ -101,16 +104,44 @@ def key_bounds(df: DataFrame, key_cols: list[str], buckets: int) -> list[tuple]:
     return sorted(bounds, key=_sort_key)
 
 
-def bucket_column(key_cols: list[str], bounds: list[tuple]) -> Column:
-    """Bucket index = number of bounds below the row key (binary search as nested CASE)."""
+def _py_key(values):
+    import math
 
-    def node(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(_greater(key_cols, bounds[mid]), node(mid + 1, hi)).otherwise(node(lo, mid))
+    def norm(v):
+        if v is None or (isinstance(v, float) and math.isnan(v)):
+            return None
+        return v.item() if hasattr(v, "item") else v
 
-    return node(0, len(bounds)).cast("int")
+    return _sort_key([norm(v) for v in values])
+
+
+def bucket_column(key_cols: list[str], bounds: list[tuple], spark=None) -> Column:
+    """Bucket index = number of bounds below the row key.
+
+    Few bounds: binary search written as a nested CASE (JVM, inside codegen).  Many
+    bounds (large clusters): the sorted bounds are broadcast once and an Arrow UDF runs
+    ``bisect`` over the key columns only, so the plan stays small."""
+    if len(bounds) <= CASE_TREE_LIMIT or spark is None:
+
+        def node(lo: int, hi: int) -> Column:
+            if lo == hi:
+                return F.lit(lo)
+            mid = (lo + hi) // 2
+            return F.when(_greater(key_cols, bounds[mid]), node(mid + 1, hi)).otherwise(node(lo, mid))
+
+        return node(0, len(bounds)).cast("int")
+    import bisect
+
+    from pyspark.sql.types import IntegerType
+
+    shared = spark.sparkContext.broadcast([_sort_key(b) for b in bounds])
+
+    @F.pandas_udf(IntegerType())
+    def lookup(rows: pd.DataFrame) -> pd.Series:
+        keys = shared.value
+        return pd.Series([bisect.bisect_left(keys, _py_key(t)) for t in rows.itertuples(index=False)], dtype="int32")
+
+    return lookup(F.struct(*[F.col(c) for c in key_cols]))
 
 
 def default_buckets(df: DataFrame) -> int:
@@ -139,7 +170,7 @@ def with_ordinal(
     orders = _names(_cols(order_cols))
     keys = groups + orders
     bounds = key_bounds(sample_from if sample_from is not None else df, keys, partitions or default_buckets(df))
-    tagged = df.withColumn("__cm_b", bucket_column(keys, bounds))
+    tagged = df.withColumn("__cm_b", bucket_column(keys, bounds, df.sparkSession))
     w = Window.partitionBy("__cm_b", *groups).orderBy(*orders)
     local = tagged.withColumn("__cm_rn", F.row_number().over(w) - F.lit(1))
     # counts from the windowed branch: both branches share one exchange of the input
