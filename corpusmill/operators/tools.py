@@ -43,6 +43,12 @@ def calculator(exprs: Iterator[pd.Series]) -> Iterator[pd.Series]:
         yield s.map(evaluate, na_action="ignore")
 
 
+@F.pandas_udf(ArrayType(StringType()))
+def calculator_many(arrays: pd.Series) -> pd.Series:
+    """Calculator over an array of expressions per row."""
+    return arrays.map(lambda a: None if a is None else [evaluate(x) for x in a])
+
+
 @F.pandas_udf(ArrayType(StringType()))
 def tool_results(names: pd.Series, args: pd.Series) -> pd.Series:
     """Per row: the tool output for every call line, aligned with the lines (null for
@@ -110,7 +116,8 @@ def py_splitlines(text: Column | str) -> Column:
 
 
 def _is_result_line(l: Column) -> Column:
-    return py_strip(l).startswith(RESULT_MARK)
+    """Stripped line starts with ``RESULT:`` (one anchored regex)."""
+    return l.rlike(f"^{PY_SPACE_CLASS}*{RESULT_MARK}")
 
 
 def result_values(text: Column | str) -> Column:

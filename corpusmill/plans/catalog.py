@@ -30,7 +30,10 @@ def register(name: str, oracle: str | None = None):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table; single-split files are spread over the cluster's task slots."""
+    from corpusmill.sources.files import ensure_parallelism
+
+    return ensure_parallelism(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 def dirty(col: Column | str) -> Column:

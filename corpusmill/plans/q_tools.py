@@ -144,13 +144,16 @@ def stored_trace(spark, sf):
     e1 = F.concat(q, F.lit("*"), p)
     e1_stored = F.when(F.col("l_linenumber") % 5 == 0, F.concat(e1, F.lit(" + 1"))).otherwise(e1)
     e2 = F.concat(p, F.lit("-"), q)
+    # both stored results in one Arrow pass
+    stored = n.withColumn("__r", U.calculator_many(F.array(e1_stored, e2)))
     text = F.concat_ws(
         "\n",
         F.concat(F.lit('CALL calculator: "'), e1, F.lit('"')),
-        F.concat(F.lit("RESULT: "), U.calculator(e1_stored)),
+        F.concat(F.lit("RESULT: "), F.element_at("__r", 1)),
         F.concat(F.lit('CALL calculator: "'), e2, F.lit('"')),
-        F.concat(F.lit("  RESULT:  "), U.calculator(e2), F.lit(" ")),
+        F.concat(F.lit("  RESULT:  "), F.element_at("__r", 2), F.lit(" ")),
     )
+    n = stored
     return n.select("l_orderkey", "l_linenumber", text.alias("text"))
 
 

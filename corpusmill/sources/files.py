@@ -163,3 +163,14 @@ def read_json_lines_numbered(spark: SparkSession, paths, schema: T.StructType) -
     numbered = with_ordinal(raw, ["block", "__mid"], ["file_path"], name="line_no", groups_are_small=False)
     parsed = numbered.withColumn("rec", F.from_json("line", _with_corrupt(schema), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COL}))
     return parsed.withColumn("bad", F.col(f"rec.{CORRUPT_COL}").isNotNull() | F.col("rec").isNull()).drop("__mid")
+
+
+def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin repartition when a scan yields fewer partitions than the cluster can
+    run (a non-splittable file: gzip, or one parquet row group).  Large inputs already
+    have many splits and pass through unchanged, so no shuffle is added at scale."""
+    spark = df.sparkSession
+    target = min_partitions or 2 * spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
