@@ -61,3 +61,17 @@ def shard_summary(df: DataFrame, scope_cols=()) -> DataFrame:
         F.format_string(SHARD_NAME_FORMAT, F.min("shard")).alias("first_shard"),
         F.format_string(SHARD_NAME_FORMAT, F.max("shard")).alias("last_shard"),
     )
+
+
+def summary_from_counts(unique_keys: DataFrame, scope_cols=(), max_records: int = DEFAULT_MAX_RECORDS) -> DataFrame:
+    """Job summary without numbering rows: shards are consecutive blocks of
+    ``max_records`` kept rows, so records = count, shards = ceil(count / size).
+    ``unique_keys`` holds one row per kept record (e.g. distinct (scope, text hash))."""
+    n = F.count(F.lit(1))
+    last = F.floor((n - F.lit(1)) / F.lit(int(max_records))).cast("bigint")
+    return unique_keys.groupBy(*scope_cols).agg(
+        n.cast("bigint").alias("records"),
+        (last + F.lit(1)).alias("shards"),
+        F.format_string(SHARD_NAME_FORMAT, F.lit(0)).alias("first_shard"),
+        F.format_string(SHARD_NAME_FORMAT, last).alias("last_shard"),
+    )

@@ -9,7 +9,7 @@ from corpusmill.functions import text as T
 from corpusmill.operators.dedup import dedup_keep_first, shard_summary
 from corpusmill.plans import duck as D
 from corpusmill.plans.catalog import dirty, register, table
-from corpusmill.plans.recipes import number_records, prepare_corpus
+from corpusmill.plans.recipes import corpus_summary, number_records, prepare_corpus
 
 SUMMARY_SHARD_SIZE = 16  # small shards so that every source spans several
 
@@ -181,6 +181,21 @@ def q_shard_assign(spark, sf):
 FROM s GROUP BY source""",
 )
 def q_shard_assign_summary(spark, sf):
+    docs = table(spark, sf, "documents").select("source", dirty("text").alias("text"))
+    return corpus_summary(docs, "source", max_records=SUMMARY_SHARD_SIZE)
+
+
+@register(
+    "shard_layout_summary",
+    _PREP_SQL
+    + f"""SELECT source, CAST(count(*) AS BIGINT) AS records,
+       CAST(max(pos // {SUMMARY_SHARD_SIZE}) + 1 AS BIGINT) AS shards,
+       {D.shard_name(f'min(pos // {SUMMARY_SHARD_SIZE})')} AS first_shard,
+       {D.shard_name(f'max(pos // {SUMMARY_SHARD_SIZE})')} AS last_shard
+FROM s GROUP BY source""",
+)
+def q_shard_layout_summary(spark, sf):
+    """The same summary read off the full row-level layout (ordinals, ids, dedup, shards)."""
     return shard_summary(prepared_documents(spark, sf), ["source"])
 
 

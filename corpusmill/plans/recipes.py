@@ -61,3 +61,22 @@ def prepare_corpus(
     return assign_shards(
         unique, order_cols, [dataset_col], max_records=max_records, groups_are_small=True, sample_from=df
     )
+
+
+def corpus_summary(
+    df: DataFrame,
+    dataset_col: str,
+    text_col: str = "text",
+    min_length: int = 10,
+    collapse_whitespace: bool = True,
+    max_records: int = DEFAULT_MAX_RECORDS,
+) -> DataFrame:
+    """Records / shards / first and last shard per dataset, computed from counts: which
+    copy of a duplicate is kept and the record ordinals do not change the counts, so
+    this plan is normalise -> hash -> distinct (dataset, hash) -> count (two partial
+    aggregations, no ordinal)."""
+    from corpusmill.operators.dedup import summary_from_counts
+
+    cleaned = with_normalized(df.select(dataset_col, text_col), text_col, text_col, min_length, collapse_whitespace)
+    keys = cleaned.select(dataset_col, text_hash(text_col).alias("text_sha1")).distinct()
+    return summary_from_counts(keys, [dataset_col], max_records)
