@@ -71,41 +71,34 @@ def scratchpad_note(arg: Column) -> Column:
     )
 
 
+# The call-line rule over a whole text: multiline anchors, no class or dot crosses "\n".
+_LINE_SPACE = PY_SPACE_CLASS.replace(r"\t-\r", r"\t\x0b-\r")
+CALL_LINE_PATTERN = (
+    r"(?md)^CALL" + _LINE_SPACE + r"+([a-zA-Z0-9_\-]+):" + _LINE_SPACE + r'*"(.*)"' + _LINE_SPACE + r"*$"
+)
+
+
 def inject_tool_results(df: DataFrame, text: Column | str, out_col: str) -> DataFrame:
     """After every CALL line add ``RESULT: <tool output>``; lines are split on ``\\n``
     only and a final newline is not kept (as the line-by-line original does).
 
-    Lines and CALL parts are extracted natively (the regex only runs on lines starting
-    with ``CALL``); only the names/arguments of rows that contain a call go through the
-    Arrow UDF (tool registry, record-scoped scratchpad); the output is assembled with one
-    linear ``transform`` over (line, result) pairs."""
-    t = _c(text)
-    st = df.withColumn("__lines", lines_of(t))
-    is_call = lambda l: l.startswith("CALL")
-    st = st.withColumn(
-        "__names",
-        F.transform("__lines", lambda l: F.when(is_call(l), F.lower(F.regexp_extract(l, CALL_PATTERN, 1))).otherwise(F.lit(""))),
-    )
-    st = st.withColumn(
-        "__args", F.transform("__lines", lambda l: F.when(is_call(l), F.regexp_extract(l, CALL_PATTERN, 2)).otherwise(F.lit("")))
-    )
-    has_call = F.exists("__names", lambda n: n != "")
-    st = st.withColumn("__res", tool_results(F.when(has_call, F.col("__names")), F.col("__args")))
-    pairs = F.arrays_zip(F.col("__lines").alias("line"), F.col("__res").alias("res"))
-    assembled = F.array_join(
-        F.flatten(
-            F.transform(
-                pairs,
-                lambda z: F.when(z["res"].isNull(), F.array(z["line"])).otherwise(
-                    F.array(z["line"], F.concat(F.lit(RESULT_PREFIX), z["res"]))
-                ),
-            )
-        ),
-        "\n",
-    )
-    out = F.when(F.col("__res").isNull(), F.array_join("__lines", "\n")).otherwise(assembled)
+    Whole-text regex work in the JVM: ``regexp_extract_all`` gives the call names and
+    arguments in order, ``split`` on the call lines gives the text between them.  Only
+    rows with calls send their (name, argument) arrays through the Arrow UDF (tool
+    registry, record-scoped scratchpad); ``zip_with`` splices the results back."""
+    t = F.regexp_replace(_c(text), r"\n\z", "")
+    st = df.withColumn("__body", t)
+    body = F.col("__body")
+    st = st.withColumn("__calls", F.regexp_extract_all(body, F.lit(CALL_LINE_PATTERN), 0))
+    st = st.withColumn("__names", F.transform(F.regexp_extract_all(body, F.lit(CALL_LINE_PATTERN), 1), F.lower))
+    st = st.withColumn("__args", F.regexp_extract_all(body, F.lit(CALL_LINE_PATTERN), 2))
+    st = st.withColumn("__res", tool_results(F.when(F.size("__calls") > 0, F.col("__names")), F.col("__args")))
+    st = st.withColumn("__segs", F.split(body, CALL_LINE_PATTERN, -1))
+    with_results = F.zip_with("__calls", "__res", lambda c, r: F.concat(c, F.lit("\n" + RESULT_PREFIX), r))
+    tail = F.zip_with(with_results, F.slice("__segs", 2, F.greatest(F.size("__segs") - 1, F.lit(0))), lambda a, b: F.concat(a, b))
+    out = F.when(F.size("__calls") == 0, body).otherwise(F.concat(F.element_at("__segs", 1), F.array_join(tail, "")))
     st = st.withColumn(out_col, out)
-    return st.drop("__lines", "__names", "__args", "__res")
+    return st.drop("__body", "__calls", "__names", "__args", "__res", "__segs")
 
 
 def py_splitlines(text: Column | str) -> Column:
