@@ -112,7 +112,9 @@ def q_manifest_scan(spark, sf):
         recs = recs.unionByName(p, allowMissingColumns=True)
     recs = S.with_provenance(recs)
     lk = listing.select(_norm_uri(F.col("file")).alias("__f"), "source")
-    out = recs.withColumn("__f", _norm_uri(F.col("path"))).join(F.broadcast(lk), "__f")
+    if len(files) <= 100_000:  # listing size is known here: broadcast only a bounded listing
+        lk = F.broadcast(lk)
+    out = recs.withColumn("__f", _norm_uri(F.col("path"))).join(lk, "__f")
     return out.select("doc_id", I.sha1_hex("text").alias("text_sha1"), "source")
 
 

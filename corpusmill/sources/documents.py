@@ -117,7 +117,8 @@ def code_records(spark: SparkSession, pattern: str) -> DataFrame:
     has_jsonl = members.groupBy("archive").agg(
         F.max(F.lower("member").endswith(".jsonl").cast("int")).alias("__has_jsonl")
     )
-    m = members.join(F.broadcast(has_jsonl), "archive")
+    # one row per archive; the join strategy is left to AQE's measured sizes
+    m = members.join(has_jsonl, "archive")
     jsonl = m.filter((F.col("__has_jsonl") == 1) & F.lower("member").endswith(".jsonl"))
     lines = jsonl.select(
         "archive", "member", F.posexplode(F.split(F.regexp_replace("content", r"\n\z", ""), "\n", -1)).alias("pos", "line")
