@@ -77,20 +77,19 @@ def _greater(cols: list[str], bound: tuple) -> Column:
 
 
 def key_bounds(df: DataFrame, key_cols: list[str], buckets: int) -> list[tuple]:
-    """Up to ``buckets - 1`` sorted, distinct split points from a uniform fixed-seed
-    sample of ``buckets * SAMPLE_PER_BUCKET`` keys (one job: per-task top-k of a seeded
-    random number, then a merge; only the sample reaches the driver)."""
+    """Up to ``buckets - 1`` sorted, distinct split points from a fixed-seed Bernoulli
+    sample of about ``buckets * SAMPLE_PER_BUCKET`` keys (capped at ``MAX_SAMPLE``).  A
+    count of the key columns sets the fraction; the sample is drawn in every task and
+    only the sampled keys (bounded) reach the driver."""
     if buckets <= 1:
         return []
     want = min(MAX_SAMPLE, buckets * SAMPLE_PER_BUCKET)
-    rows = (
-        df.select(*key_cols)
-        .withColumn("__cm_r", F.rand(SAMPLE_SEED))
-        .orderBy("__cm_r")
-        .limit(want)
-        .drop("__cm_r")
-        .collect()
-    )
+    keys_df = df.select(*key_cols)
+    total = keys_df.count()
+    if total == 0:
+        return []
+    fraction = min(1.0, 1.5 * want / total)
+    rows = keys_df.sample(False, fraction, SAMPLE_SEED).limit(2 * want).collect()
     keys = sorted((tuple(r) for r in rows), key=_sort_key)
     if not keys:
         return []
