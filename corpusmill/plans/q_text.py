@@ -9,6 +9,7 @@ from corpusmill.functions import text as T
 from corpusmill.operators.dedup import dedup_keep_first, shard_summary
 from corpusmill.plans import duck as D
 from corpusmill.plans.catalog import dirty, register, table
+from corpusmill.operators.ordinals import with_ordinal
 from corpusmill.plans.recipes import corpus_summary, number_records, prepare_corpus
 
 SUMMARY_SHARD_SIZE = 16  # small shards so that every source spans several
@@ -263,3 +264,35 @@ def q_problem_template(spark, sf):
     j = q.join(b, ["conv_id", "turn"], "left")
     raw = j.select("conv_id", "turn", T.problem_text("body", "question").alias("raw"))
     return T.with_normalized(raw, "raw", "text", 5).drop("raw")
+
+
+SHARD_DEDUP_SIZE = 50
+
+# Oracle: the sequential shard rule as a recursive CTE over shard starts.
+_SHARDED_SQL = f"""
+WITH RECURSIVE n AS (SELECT doc_id, sha1(t) AS h FROM (SELECT doc_id, {D.normalize('text')} AS t FROM documents) WHERE t IS NOT NULL),
+p AS (SELECT doc_id, h, row_number() OVER (ORDER BY doc_id) - 1 AS pos FROM n),
+q AS (SELECT doc_id, pos, h, lag(pos) OVER (PARTITION BY h ORDER BY pos) AS prev FROM p),
+b(k, start) AS (
+  SELECT 0, 0
+  UNION ALL
+  SELECT b.k + 1, (SELECT min(x.pos) FROM (SELECT q.pos, row_number() OVER (ORDER BY q.pos) AS rn FROM q
+                    WHERE q.pos >= b.start AND (q.prev IS NULL OR q.prev < b.start)) x WHERE x.rn = {SHARD_DEDUP_SIZE + 1})
+  FROM b WHERE b.start IS NOT NULL
+),
+bounds AS (SELECT k, start, coalesce(lead(start) OVER (ORDER BY k), (SELECT max(pos) + 1 FROM q)) AS stop FROM b WHERE start IS NOT NULL)
+SELECT q.doc_id, CAST(bounds.k AS BIGINT) AS shard FROM q JOIN bounds ON q.pos >= bounds.start AND q.pos < bounds.stop
+WHERE q.prev IS NULL OR q.prev < bounds.start
+"""
+
+
+@register("dedup_sharded", _SHARDED_SQL)
+def q_dedup_sharded(spark, sf):
+    """Shard-scoped exact dedup (writer order = doc_id, shards of 50 accepted rows)."""
+    from corpusmill.operators.sharded_dedup import sharded_dedup
+
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    clean = T.with_normalized(docs, "text", "t").select("doc_id", I.text_hash("t").alias("h"))
+    pos = with_ordinal(clean, "doc_id", name="pos")
+    out = sharded_dedup(pos.withColumn("ds", F.lit("documents")), "ds", "pos", "h", SHARD_DEDUP_SIZE)
+    return out.select("doc_id", "shard")
