@@ -17,7 +17,7 @@ from pyspark.sql.types import ArrayType, StringType
 
 from corpusmill.functions.calculator import evaluate
 from corpusmill.functions.registry import call_tools
-from corpusmill.functions.text import PY_SPACE_CLASS, lines_of, py_strip
+from corpusmill.functions.text import PY_SPACE_CLASS, py_strip
 
 # --- fixed values (must equal the reference's rules) --------------------------------
 # A tool call line: CALL <name>: "<argument>"  (name: letters, digits, _ and -).

@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.functions.text import first_truthy, is_code_file, lines_of, py_strip
+from corpusmill.functions.text import first_truthy, is_code_file, py_strip
 from corpusmill.sources.archives import read_zip_members
 
 # --- fixed values --------------------------------------------------------------------
