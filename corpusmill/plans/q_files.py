@@ -323,3 +323,22 @@ def q_manifest_lines_write(spark, sf):
     e = manifest_entries(spark, sf).withColumn("weight", F.col("weight") * 2)
     K.write_manifest_lines(M.manifest_json(M.override_type_weight(e, "math_tool", None)), base)
     return spark.read.text(base).select("value")
+
+
+@register(
+    "shard_listing",
+    _PREP_SQL
+    + f"""SELECT DISTINCT source, printf('part-%05d.jsonl', pos // {SUMMARY_SHARD_SIZE}) AS shard_file FROM s""",
+)
+def q_shard_listing(spark, sf):
+    """Shards written one folder per (source, zero-padded shard name), listed in name order."""
+    base = scratch_dir(spark, "shard_listing")
+    prepared = prepared_documents(spark, sf).withColumn("type", F.lit("lm"))
+    K.write_shards(prepared, base, ["source"], "shard_file", "record_index")
+    listing = K.list_shard_files(spark, base)
+    parts = listing.select(
+        F.regexp_extract("path", r"source=([^/]+)/", 1).alias("source"),
+        F.regexp_extract("path", r"shard_file=([^/]+)/", 1).alias("shard_file"),
+        "name_rank",
+    )
+    return parts.groupBy("source", "shard_file").agg(F.min("name_rank").alias("first_rank")).select("source", "shard_file")

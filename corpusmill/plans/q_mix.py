@@ -114,3 +114,19 @@ def q_mixture_report(spark, sf):
     return rep.select(
         "source", "rows", F.round("expected_share", 6).alias("expected_share"), F.round("actual_share", 6).alias("actual_share")
     )
+
+
+@register(
+    "type_snapshot",
+    _WORKER_SQL
+    + """SELECT CAST(worker AS INT) AS worker,
+       CASE lang WHEN 'fr' THEN 'math_tool' WHEN 'de' THEN 'code' ELSE 'lm' END AS sample_type,
+       CAST(count(*) AS BIGINT) AS n FROM b WHERE batch_id = 0 GROUP BY ALL""",
+)
+def q_type_snapshot(spark, sf):
+    """Sample-type counts of each worker's first batch (the start-of-run snapshot)."""
+    b = _worker_batches(spark, sf).filter(F.col("batch_id") == 0)
+    t = F.when(F.col("lang") == "fr", "math_tool").when(F.col("lang") == "de", "code").otherwise("lm")
+    return b.groupBy(F.col("worker").cast("int").alias("worker"), t.alias("sample_type")).agg(
+        F.count(F.lit(1)).cast("bigint").alias("n")
+    )

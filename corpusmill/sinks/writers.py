@@ -76,3 +76,13 @@ def write_snapshot(frames: dict[str, DataFrame], base: str, run_id: str) -> None
 def write_manifest_lines(lines: DataFrame, path: str) -> None:
     """Manifest lines (one compact JSON object per line) as text files."""
     lines.select("value").write.mode("overwrite").text(path)
+
+
+def list_shard_files(spark: SparkSession, base: str) -> DataFrame:
+    """Shard files under ``base`` in name order (names are zero-padded, so name order is
+    shard order): ``(path, name_rank)``."""
+    from corpusmill.operators.ordinals import with_ordinal
+    from corpusmill.sources.files import list_files
+
+    files = list_files(spark, f"{base.rstrip('/')}/*/*", recursive=False).select("path")
+    return with_ordinal(files, "path", name="name_rank", groups_are_small=True)
