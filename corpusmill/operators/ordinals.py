@@ -29,6 +29,8 @@ SAMPLE_PER_BUCKET = 20
 MAX_SAMPLE = 1_000_000
 MAX_BUCKETS = 1 << 17
 CASE_TREE_LIMIT = 1024  # up to this many bounds the lookup is a nested CASE (JVM, codegen)
+# Below this estimated input size one window task is cheaper than sampling bucket bounds.
+SINGLE_BUCKET_BYTES = 64 << 20
 SAMPLE_SEED = 17
 
 
@@ -143,6 +145,14 @@ def bucket_column(key_cols: list[str], bounds: list[tuple], spark=None) -> Colum
     return lookup(F.struct(*[F.col(c) for c in key_cols]))
 
 
+def estimated_bytes(df: DataFrame) -> int | None:
+    """Optimizer size estimate of a plan (no job runs); None when unavailable."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001
+        return None
+
+
 def default_buckets(df: DataFrame) -> int:
     sc = df.sparkSession.sparkContext
     return max(2, min(MAX_BUCKETS, 2 * max(num_partitions(df), sc.defaultParallelism)))
@@ -168,7 +178,12 @@ def with_ordinal(
     groups = _names(_cols(group_cols))
     orders = _names(_cols(order_cols))
     keys = groups + orders
-    bounds = key_bounds(sample_from if sample_from is not None else df, keys, partitions or default_buckets(df))
+    source = sample_from if sample_from is not None else df
+    size = estimated_bytes(source) if partitions is None else None
+    if size is not None and size < SINGLE_BUCKET_BYTES:
+        bounds = []  # small input (size checked): one bucket, no sampling jobs
+    else:
+        bounds = key_bounds(source, keys, partitions or default_buckets(df))
     tagged = df.withColumn("__cm_b", bucket_column(keys, bounds, df.sparkSession))
     w = Window.partitionBy("__cm_b", *groups).orderBy(*orders)
     local = tagged.withColumn("__cm_rn", F.row_number().over(w) - F.lit(1))
