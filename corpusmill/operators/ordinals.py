@@ -197,7 +197,12 @@ def with_ordinal(
         summary = F.broadcast(summary)
     out = local.join(summary, ["__cm_b", *groups])
     out = out.withColumn(name, (F.col("__cm_off") + F.col("__cm_rn") + F.lit(start)).cast("bigint"))
-    return out.drop("__cm_b", "__cm_rn", "__cm_off")
+    out = out.drop("__cm_b", "__cm_rn", "__cm_off")
+    if not bounds:
+        # one bucket puts every row of a group in one window task; spread the (small,
+        # size-checked) result again so the work downstream runs on all task slots
+        out = out.repartition(2 * df.sparkSession.sparkContext.defaultParallelism)
+    return out
 
 
 def with_group_sizes(df: DataFrame, group_cols, name: str = "group_size", groups_are_small: bool | None = None) -> DataFrame:
