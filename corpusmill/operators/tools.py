@@ -90,8 +90,9 @@ def inject_tool_results(df: DataFrame, text: Column | str, out_col: str) -> Data
     st = df.withColumn("__body", t)
     body = F.col("__body")
     st = st.withColumn("__calls", F.regexp_extract_all(body, F.lit(CALL_LINE_PATTERN), 0))
-    st = st.withColumn("__names", F.transform(F.regexp_extract_all(body, F.lit(CALL_LINE_PATTERN), 1), F.lower))
-    st = st.withColumn("__args", F.regexp_extract_all(body, F.lit(CALL_LINE_PATTERN), 2))
+    # names and arguments from the (short) call lines, not another pass over the text
+    st = st.withColumn("__names", F.transform("__calls", lambda c: F.lower(F.regexp_extract(c, CALL_LINE_PATTERN, 1))))
+    st = st.withColumn("__args", F.transform("__calls", lambda c: F.regexp_extract(c, CALL_LINE_PATTERN, 2)))
     st = st.withColumn("__res", tool_results(F.when(F.size("__calls") > 0, F.col("__names")), F.col("__args")))
     st = st.withColumn("__segs", F.split(body, CALL_LINE_PATTERN, -1))
     with_results = F.zip_with("__calls", "__res", lambda c, r: F.concat(c, F.lit("\n" + RESULT_PREFIX), r))
