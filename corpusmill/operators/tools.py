@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
@@ -49,11 +50,12 @@ def calculator_many(arrays: pd.Series) -> pd.Series:
     return arrays.map(lambda a: None if a is None else [evaluate(x) for x in a])
 
 
-@F.pandas_udf(ArrayType(StringType()))
-def tool_results(names: pd.Series, args: pd.Series) -> pd.Series:
-    """Per row: the tool output for every call line, aligned with the lines (null for
-    other lines, null array for rows without calls)."""
-    return pd.Series([call_tools(n, a) for n, a in zip(names, args)])
+@F.arrow_udf(ArrayType(StringType()))
+def tool_results(names: pa.Array, args: pa.Array) -> pa.Array:
+    """Per row: the tool output for each call, in call order (null array for rows
+    without calls).  Arrow in, Arrow out: no pandas object conversion."""
+    out = [call_tools(n, a) for n, a in zip(names.to_pylist(), args.to_pylist())]
+    return pa.array(out, type=pa.list_(pa.string()))
 
 
 def _c(col):
