@@ -7,7 +7,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm import decontam, mixing, quality, simhash, token_output
+from corpusmill.llm import (
+    decontam,
+    hpylm,
+    langid,
+    line_dedup,
+    mixing,
+    quality,
+    seed_extend,
+    simhash,
+    sparse_suffix,
+    token_output,
+)
 from corpusmill.llm.oracles import ORACLES  # noqa: F401
 from corpusmill.session import scratch_dir
 
@@ -55,6 +66,20 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = langid.fold(F.col("doc_id"), 4) == 2
+    model = langid.learn_centroids(docs.filter(~held_out), "doc_id", "text", "lang")
+    found = langid.identify(docs.drop("lang"), model, out="l")
+    return found.select(
+        "doc_id",
+        held_out.alias("held_out"),
+        F.col("l.nearest").alias("lang_pred"),
+        F.col("l.score").alias("score"),
+        F.col("l.rejected").alias("rejected"),
+    )
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     mixed = mixing.mix(docs, emphasis=mix_emphasis())
@@ -62,6 +87,18 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", taken.alias("taken"))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = sparse_suffix.dedup_suffixes(docs)
+    return found.select("doc_id", "n_words", "n_repeated", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = seed_extend.dedup_substrings(docs)
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def token_table(docs: DataFrame) -> DataFrame:
     """Write the token files of ``docs`` and read them back, a row per document."""
     spark = docs.sparkSession
@@ -76,18 +113,37 @@ def op7_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_table(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = line_dedup.dedup_lines(docs)
+    return found.select("doc_id", "n_lines", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return simhash.simhash_classes(docs).select("doc_id", "fingerprint", "component_id")
 
 
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = hpylm.score_texts(docs, langid.fold(F.col("doc_id"), 10) != 0)
+    return scored.select(
+        "doc_id", (~F.col("learned")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_decontamination,
         op2_quality_rules,
+        op3_language_id,
         op4_mixing,
+        op5_suffix_dedup,
+        op6_substring_dedup,
         op7_token_output,
+        op8_line_dedup,
         op9_simhash_dedup,
+        op10_lm_scoring,
     )
 }
