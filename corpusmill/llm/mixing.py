@@ -66,7 +66,7 @@ def targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, share: float =
     left = F.sum("source_size").over(everyone) * F.lit(float(share)) - F.coalesce(F.sum("most").over(before), F.lit(0.0))
     wide = F.sum("w").over(everyone) - F.coalesce(F.sum("w").over(before), F.lit(0.0))
     t = t.withColumn("level", left / wide).withColumn("full", F.col("most") <= F.col("w") * F.col("level"))
-    level = F.min(F.when(~F.col("full"), F.col("level"))).over(everyone)
+    level = F.max(F.when(~F.col("full"), F.col("level"))).over(everyone)
     target = F.when(F.col("full") | level.isNull(), F.col("most")).otherwise(F.col("w") * level)
     return t.select("source", "source_size", target.alias("target"))
 
@@ -93,7 +93,7 @@ def _rates(levels: DataFrame, plan: DataFrame, cap: float) -> DataFrame:
     down = Window.partitionBy("source").orderBy(F.col("level").desc())
     above = F.coalesce(F.sum("words").over(down.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     below = F.sum("sx").over(down.rowsBetween(Window.currentRow, Window.unboundedFollowing))
-    t = t.withColumn("c", (F.col("target") - F.lit(float(cap)) * above) / below)
+    t = t.withColumn("c", (F.col("target") - F.lit(float(cap)) * above) / F.nullif(below, F.lit(0.0)))
     # right: no document of this level or below is over the cap
     fits = F.col("c") * F.col("x") <= F.lit(float(cap)) * (1 + 1e-12)
     rate = F.coalesce(F.max(F.when(fits, F.col("c"))), F.lit(0.0))

@@ -52,8 +52,8 @@ def mixed() -> str:
                     (sum(w) OVER () - coalesce(sum(w) OVER b, 0)) AS lv FROM w
           WINDOW b AS (ORDER BY most / w, source ASC NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
     t AS (SELECT source, source_size,
-                 CASE WHEN most <= w * lv OR min(lv) FILTER (most > w * lv) OVER () IS NULL THEN most
-                      ELSE w * min(lv) FILTER (most > w * lv) OVER () END AS target FROM v),
+                 CASE WHEN most <= w * lv OR max(lv) FILTER (most > w * lv) OVER () IS NULL THEN most
+                      ELSE w * max(lv) FILTER (most > w * lv) OVER () END AS target FROM v),
     l AS (SELECT source, level, sum(size) AS words, power(2.0, level / 8.0) AS x FROM y GROUP BY source, level),
     c AS (SELECT l.source, x, (target - {cap} * coalesce(sum(words) OVER a, 0)) / nullif(sum(words * x) OVER b, 0) AS c
           FROM l JOIN t ON l.source IS NOT DISTINCT FROM t.source
