@@ -14,8 +14,8 @@ Format of an output folder:
   writes new file names, and only the names returned by the successful attempt reach the
   manifest, so lost executors and speculative copies leave no trace in it.
 
-Plan: documents are encoded and compressed where they are read (each distinct word of a
-shard is tokenised once: the tokenizer splits at white space and works word by word), then
+Plan: documents are encoded and compressed where they are read (a distinct word is tokenised
+about once per Python worker: the tokenizer splits at white space, so works word by word), then
 only frames are shuffled, by contiguous key ranges, and written in ascending key order.
 
 Defined cases: a null text is an empty one (just the end id); null keys come first;
@@ -51,75 +51,98 @@ SAMPLE_DOCS = 2048
 SAMPLE_BYTES = 4096
 DICTIONARY_BYTES = 64 << 10
 LEVEL = 3
-_CHUNK = 512
-_MARK = "\x01"
+KNOWN_WORDS = 1_000_000
+_LINE, _LINES = 64, 64  # words per line, lines per call of the tokenizer
+_TOKENIZERS: dict = {}
 
 
 class WordTokenizer:
-    """Encodes words with a public tokenizer file; every distinct word once per shard."""
+    """Encodes words with a public tokenizer file; a word met again is looked up.
+
+    The lookup table (128-bit word hashes, ids) is bounded by ``KNOWN_WORDS``; when it is
+    full it starts anew, which costs time only."""
 
     def __init__(self, definition: str, end_id: int):
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_str(definition)
         self.end_id = end_id
-        self.mark = self.tok.encode(_MARK, add_special_tokens=False).ids
-        special = [t["content"] for t in json.loads(definition).get("added_tokens") or []]
-        self.alone = [_MARK.encode(), *(s.encode() for s in special)]
+        self._forget()
+
+    @classmethod
+    def shared(cls, definition: str, end_id: int) -> WordTokenizer:
+        """One per Python worker, kept from task to task."""
+        key = (hashlib.sha256(definition.encode()).digest(), end_id)
+        if key not in _TOKENIZERS:
+            _TOKENIZERS.clear()
+            _TOKENIZERS[key] = cls(definition, end_id)
+        return _TOKENIZERS[key]
+
+    def _forget(self) -> None:
+        self.known = np.zeros(0, np.uint64)
+        self.check, self.start = np.zeros(0, np.uint64), np.zeros(0, np.int32)
+        self.size, self.flat = np.zeros(0, np.int32), np.zeros(0, np.uint32)
+
+    def _encode_new(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words and how many each has: a line of words per call, the offsets
+        tell which word an id belongs to."""
+        size, flat = np.zeros(len(words), np.int64), []
+        for a in range(0, len(words), _LINE * _LINES):
+            lines = [words[k : k + _LINE] for k in range(a, min(a + _LINE * _LINES, len(words)), _LINE)]
+            for k, e in enumerate(self.tok.encode_batch([" ".join(x) for x in lines], add_special_tokens=False)):
+                ends = np.cumsum([len(w) + 1 for w in lines[k]])
+                begin = np.array(e.offsets, np.int64).reshape(-1, 2)[:, 0]
+                owner = np.searchsorted(ends, begin, side="right")
+                if (np.diff(owner) < 0).any():
+                    raise ValueError("the tokenizer does not keep words apart")
+                first = a + k * _LINE
+                size[first : first + len(lines[k])] = np.bincount(owner, minlength=len(lines[k]))
+                flat.append(np.array(e.ids, np.uint32))
+        return np.concatenate(flat) if flat else np.zeros(0, np.uint32), size
 
     def words(self, dictionary: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all distinct words in one array, and the bounds of each word's."""
-        raw = dictionary.to_pylist()
-        parts: list[list[int] | None] = [None] * len(raw)
-        usual: list[int] = []
-        for k, w in enumerate(raw):
-            if len(self.mark) != 1 or any(a in w for a in self.alone):
-                parts[k] = self.tok.encode(w.decode("utf-8", "replace"), add_special_tokens=False).ids
-            else:
-                usual.append(k)
-        # many words in one call, told apart by the id of a mark that none of them contains
-        chunks = [usual[a : a + _CHUNK] for a in range(0, len(usual), _CHUNK)]
-        joint = f" {_MARK} "
-        lines = [joint.join(raw[k].decode("utf-8", "replace") for k in c) for c in chunks]
-        got = [e.ids for e in self.tok.encode_batch_fast(lines, add_special_tokens=False)] if lines else []
-        size = np.zeros(len(raw), np.int64)
-        flat: list[np.ndarray] = []
-        for c, ids in zip(chunks, got):
-            ids = np.array(ids, np.int64)
-            cut = np.flatnonzero(ids == self.mark[0])
-            edge = np.concatenate([[-1], cut, [len(ids)]])
-            if len(edge) != len(c) + 1:
-                raise ValueError("the tokenizer does not keep words apart")
-            size[c] = np.diff(edge) - 1
-            flat.append(np.delete(ids, cut))
-        for k, ids in enumerate(parts):
-            if ids is not None:
-                size[k] = len(ids)
-        bounds = np.zeros(len(raw) + 1, np.int64)
-        np.cumsum(size, out=bounds[1:])
-        out = np.zeros(bounds[-1], np.int64)
-        listed = np.array([k for c in chunks for k in c], np.int64)
-        if len(listed):
-            joined = np.concatenate(flat)
-            out[_ragged(bounds[listed], size[listed])] = joined
-        for k, ids in enumerate(parts):
-            if ids is not None:
-                out[bounds[k] : bounds[k + 1]] = ids
-        return out, bounds
+        """Places in ``self.flat`` of all distinct words' ids: starts and sizes."""
+        n = len(dictionary)
+        off = np.frombuffer(dictionary.buffers()[1], np.int64)[: n + 1] if n else np.zeros(1, np.int64)
+        data = np.frombuffer(dictionary.buffers()[2], np.uint8) if n else np.zeros(0, np.uint8)
+        split = W.Words(data, off, np.array([0, n]))
+        one, two = W.token_hashes(split, 21), W.token_hashes(split, 22)
+        for again in (False, True):
+            at = np.searchsorted(self.known, one)
+            at[at == len(self.known)] = 0
+            have = (self.known[at] == one) & (self.check[at] == two) if len(self.known) else np.zeros(n, bool)
+            new = np.flatnonzero(~have)
+            if not len(new) or again:
+                break
+            if len(self.known) + len(new) > KNOWN_WORDS:
+                self._forget()
+                new = np.arange(n)
+            raw = dictionary.take(pa.array(new)).to_pylist()
+            flat, size = self._encode_new([w.decode("utf-8", "replace") for w in raw])
+            known = np.concatenate([self.known, one[new]])
+            order = np.argsort(known, kind="stable")
+            self.known, self.check = known[order], np.concatenate([self.check, two[new]])[order]
+            start = len(self.flat) + np.cumsum(size) - size
+            self.start = np.concatenate([self.start, start.astype(np.int32)])[order]
+            self.size = np.concatenate([self.size, size.astype(np.int32)])[order]
+            self.flat = np.concatenate([self.flat, flat])
+        if n and not have.all():
+            raise ValueError("two words with one hash")
+        return self.start[at].astype(np.int64), self.size[at].astype(np.int64)
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts of a shard (each closed by the end id) and the texts' bounds."""
         split = W.split(data, offsets, W.NOT_SPACE)
         which, dictionary = split.encode()
-        flat, word = self.words(dictionary)
-        size = np.diff(word)[which] if len(which) else np.zeros(0, np.int64)
+        start, sizes = self.words(dictionary)
+        size = sizes[which]
         total = W.per_text(size, split.doc) + 1
         bounds = np.zeros(len(offsets), np.int64)
         np.cumsum(total, out=bounds[1:])
-        ids = np.full(bounds[-1], self.end_id, np.int64)
+        ids = np.full(bounds[-1], self.end_id, np.uint32)
         body = np.ones(len(ids), bool)
         body[bounds[1:] - 1] = False
-        ids[body] = flat[_ragged(word[which], size)]
+        ids[body] = self.flat[_ragged(start[which], size)]
         return ids, bounds
 
 
@@ -154,7 +177,7 @@ def train_dictionary(docs: DataFrame, key: str, text: str, tokenizer, end_id: in
     rows = docs.select(F.col(text).cast("string").alias("t"), hashed.alias("h")).orderBy("h").limit(SAMPLE_DOCS)
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = WordTokenizer(tokenizer.value, end_id)
+        own = WordTokenizer.shared(tokenizer.value, end_id)
         for batch in batches:
             hashed = batch.column(1).to_numpy().astype(np.int64)
             for first, end, data, offsets in W.shards(batch.column(0)):
@@ -200,11 +223,11 @@ def write_tokens(
 
     @F.arrow_udf("n_ids bigint, crc32 bigint, frame binary")
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        own = WordTokenizer(tokenizer.value, end_id)
+        own = WordTokenizer.shared(tokenizer.value, end_id)
         packer = zstandard.ZstdCompressor(level=LEVEL, dict_data=_dict_data(shared.value))
         for column in batches:
             sizes, sums, frames = [], [], []
-            for _, _, data, offsets in W.shards(column, 4 * W.SHARD_BYTES):
+            for _, _, data, offsets in W.shards(column):
                 ids, bounds = own.encode(data, offsets)
                 wide, narrow = ids.astype("<u4"), ids.astype(kind)
                 for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):

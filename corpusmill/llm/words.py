@@ -127,7 +127,7 @@ def _powers(n: int) -> list[np.ndarray]:
     return _POWERS
 
 
-def token_hashes(split: Words, seed: int = 0, segment: int = SHARD_BYTES) -> np.ndarray:
+def token_hashes(split: Words, seed: int = 0, segment: int = 1 << 20) -> np.ndarray:
     """64-bit content hash of every word (polynomial over a random byte table), the same in
     every shard; worked out in byte segments of about ``segment`` cut at word bounds."""
     out = np.zeros(split.n, np.uint64)
