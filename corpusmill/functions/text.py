@@ -20,6 +20,10 @@ BLANK_RUN = r"[ \t\f\x0b]+"
 PY_SPACE_CLASS = (
     r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 )
+PY_SPACES = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 DEFAULT_MIN_LENGTH = 10
 CODE_MIN_LENGTH = 5
 # Source-file extensions accepted from code archives (compared lower-cased).
@@ -34,8 +38,9 @@ def _c(col: Column | str) -> Column:
 
 
 def py_strip(col: Column | str) -> Column:
-    """Python ``str.strip()``: remove Unicode whitespace at both ends."""
-    return F.regexp_replace(_c(col), f"^{PY_SPACE_CLASS}+|{PY_SPACE_CLASS}+\\z", "")
+    """Python ``str.strip()``: remove Unicode whitespace at both ends.  A scan from each
+    end (a regex that is anchored at the end restarts in every inner run of blanks)."""
+    return F.btrim(_c(col), F.lit(PY_SPACES))
 
 
 def clean_text(col: Column | str, collapse_whitespace: bool = True) -> Column:

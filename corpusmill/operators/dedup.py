@@ -41,12 +41,11 @@ def assign_shards(
     scope_cols=(),
     max_records: int = DEFAULT_MAX_RECORDS,
     pos_col: str = "shard_pos",
-    groups_are_small: bool | None = None,
     sample_from: DataFrame | None = None,
 ) -> DataFrame:
     """Number kept rows contiguously per scope and cut them into shards of ``max_records``."""
     out = with_ordinal(
-        df, order_col, list(scope_cols), name=pos_col, groups_are_small=groups_are_small, sample_from=sample_from
+        df, order_col, list(scope_cols), name=pos_col, sample_from=sample_from
     )
     return out.withColumn("shard", F.floor(F.col(pos_col) / F.lit(int(max_records))).cast("bigint")).withColumn(
         "shard_file", F.format_string(SHARD_NAME_FORMAT, F.col("shard"))

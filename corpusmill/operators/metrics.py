@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.operators.ordinals import with_ordinal
+from corpusmill.operators.ordinals import null_safe_join, with_ordinal
 from corpusmill.operators.topk import top_k_per_group
 from corpusmill.operators.windows import last_n, running
 
@@ -19,13 +19,13 @@ def best_so_far(df: DataFrame, run_cols, step_col: str, metric_col: str, stop_th
     """``best`` = running minimum; ``is_new_best`` when the value beats every earlier
     one; ``after_stop`` for rows after the first value <= threshold (threshold > 0)."""
     runs = list(run_cols)
-    pos = with_ordinal(df, step_col, runs, name="__pos", groups_are_small=False)
+    pos = with_ordinal(df, step_col, runs, name="__pos")
     prev = running(pos, runs, "__pos", metric_col, "min", "__prev_min", exclusive=True)
     out = prev.withColumn("is_new_best", F.col("__prev_min").isNull() | (F.col(metric_col) < F.col("__prev_min")))
     out = out.withColumn("best", F.least(F.coalesce("__prev_min", F.col(metric_col)), F.col(metric_col)))
     if stop_threshold and stop_threshold > 0:
         stops = df.filter(F.col(metric_col) <= stop_threshold).groupBy(*runs).agg(F.min(step_col).alias("__stop"))
-        out = out.join(stops, runs, "left").withColumn(
+        out = null_safe_join(out, stops, runs, "left").withColumn(
             "after_stop", F.coalesce(F.col(step_col) > F.col("__stop"), F.lit(False))
         ).drop("__stop")
     return out.drop("__pos", "__prev_min")
@@ -35,7 +35,7 @@ def nonfinite_guard(df: DataFrame, run_cols, step_col: str, bad_col: str) -> Dat
     """One bad step is skipped, a second consecutive bad step aborts the run; rows after
     the abort are ``halted``."""
     runs = list(run_cols)
-    pos = with_ordinal(df, step_col, runs, name="__pos", groups_are_small=False)
+    pos = with_ordinal(df, step_col, runs, name="__pos")
     pair = last_n(pos, runs, "__pos", F.col(bad_col), 2, "__pair")
     prev_bad = F.when(F.size("__pair") == 2, F.element_at("__pair", 1)).otherwise(F.lit(False))
     act = pair.withColumn(
@@ -43,7 +43,7 @@ def nonfinite_guard(df: DataFrame, run_cols, step_col: str, bad_col: str) -> Dat
         F.when(~F.col(bad_col), F.lit("ok")).when(prev_bad, F.lit("abort")).otherwise(F.lit("skip")),
     )
     aborts = act.filter(F.col("__act") == "abort").groupBy(*runs).agg(F.min(step_col).alias("__abort"))
-    out = act.join(aborts, runs, "left")
+    out = null_safe_join(act, aborts, runs, "left")
     action = F.when(F.col(step_col) > F.col("__abort"), F.lit("halted")).otherwise(F.col("__act"))
     return out.withColumn("action", action).drop("__pos", "__pair", "__act", "__abort")
 

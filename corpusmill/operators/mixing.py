@@ -29,9 +29,9 @@ def interleave(
 
     ``scope_cols`` interleaves independently per scope (e.g. per worker)."""
     scope = list(scope_cols)
-    out = with_ordinal(df, order_cols, [*scope, source_col], name=round_col, groups_are_small=True)
+    out = with_ordinal(df, order_cols, [*scope, source_col], name=round_col)
     if position_col:
-        out = with_ordinal(out, [round_col, source_ord_col], scope, name=position_col, groups_are_small=True)
+        out = with_ordinal(out, [round_col, source_ord_col], scope, name=position_col)
     return out
 
 

@@ -12,7 +12,11 @@ rows are cut into B contiguous buckets of the ``(g, k)`` order instead:
 2. ``row_number() over (partition by bucket, g order by k)``: windows of bounded size,
    a hot group is spread over many buckets;
 3. per (bucket, g) counts -> exclusive prefix sum over buckets, on a table of at most
-   ``B + groups`` rows, joined back (broadcast when checked to be small).
+   ``B + groups`` rows, joined back null-safely (broadcast when the number of groups,
+   estimated in the same job that counts the keys, is checked to be small).
+
+There is one path for every input size; an input with a single distinct key (or none)
+needs no join.
 """
 
 from __future__ import annotations
@@ -29,8 +33,6 @@ SAMPLE_PER_BUCKET = 20
 MAX_SAMPLE = 1_000_000
 MAX_BUCKETS = 1 << 17
 CASE_TREE_LIMIT = 1024  # up to this many bounds the lookup is a nested CASE (JVM, codegen)
-# Below this estimated input size one window task is cheaper than sampling bucket bounds.
-SINGLE_BUCKET_BYTES = 64 << 20
 SAMPLE_SEED = 17
 
 
@@ -50,14 +52,29 @@ def num_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
+def key_stats(df: DataFrame, group_cols: Sequence[str]) -> tuple[int, int]:
+    """Rows and (approximate) distinct groups, from the group columns alone."""
+    groups = [F.col(c) for c in group_cols]
+    distinct = F.approx_count_distinct(F.struct(*groups)) if groups else F.lit(1)
+    total, kinds = df.agg(F.count(F.lit(1)), distinct).first()
+    return int(total), int(kinds)
+
+
 def small_group_count(df: DataFrame, group_cols: Sequence[str], limit: int = BROADCAST_ROW_LIMIT) -> bool:
-    """Size check before a broadcast: are there at most ``limit`` distinct groups?
+    """Size check before a broadcast: are there at most ``limit`` distinct groups?  Reads
+    only the group columns and stops counting at the limit."""
+    return df.select(*group_cols).distinct().limit(limit + 1).count() <= limit
+
 
-    Reads only the group columns (pruned scan) and stops counting at the limit."""
-    if not group_cols:
-        return True
-    n = df.select(*group_cols).distinct().limit(limit + 1).count()
-    return n <= limit
+def null_safe_join(left: DataFrame, right: DataFrame, cols: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join on ``cols`` where null equals null; the columns of ``left`` stay."""
+    names = {c: f"__cm_r{k}" for k, c in enumerate(cols)}
+    right = right.withColumnsRenamed(names)
+    on = F.lit(True)
+    for k, (c, r) in enumerate(names.items()):
+        same = left[c].eqNullSafe(right[r])
+        on = same if k == 0 else on & same
+    return left.join(right, on, how).drop(*names.values())
 
 
 def _sort_key(values):
@@ -78,7 +95,7 @@ def _greater(cols: list[str], bound: tuple) -> Column:
     return out
 
 
-def key_bounds(df: DataFrame, key_cols: list[str], buckets: int) -> list[tuple]:
+def key_bounds(df: DataFrame, key_cols: list[str], buckets: int, total: int | None = None) -> list[tuple]:
     """Up to ``buckets - 1`` sorted, distinct split points from a fixed-seed Bernoulli
     sample of about ``buckets * SAMPLE_PER_BUCKET`` keys (capped at ``MAX_SAMPLE``).  A
     count of the key columns sets the fraction; the sample is drawn in every task and
@@ -87,7 +104,7 @@ def key_bounds(df: DataFrame, key_cols: list[str], buckets: int) -> list[tuple]:
         return []
     want = min(MAX_SAMPLE, buckets * SAMPLE_PER_BUCKET)
     keys_df = df.select(*key_cols)
-    total = keys_df.count()
+    total = keys_df.count() if total is None else total
     if total == 0:
         return []
     fraction = min(1.0, 1.5 * want / total)
@@ -145,14 +162,6 @@ def bucket_column(key_cols: list[str], bounds: list[tuple], spark=None) -> Colum
     return lookup(F.struct(*[F.col(c) for c in key_cols]))
 
 
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Optimizer size estimate of a plan (no job runs); None when unavailable."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001
-        return None
-
-
 def default_buckets(df: DataFrame) -> int:
     sc = df.sparkSession.sparkContext
     return max(2, min(MAX_BUCKETS, 2 * max(num_partitions(df), sc.defaultParallelism)))
@@ -165,12 +174,11 @@ def with_ordinal(
     name: str = "ord",
     start: int = 0,
     partitions: int | None = None,
-    groups_are_small: bool | None = None,
     sample_from: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``name`` = contiguous row number (from ``start``) within each group in
     ``order_cols`` order (ascending).  The order should be total within a group; ties
-    are numbered in an arbitrary order.
+    are numbered in an arbitrary order.  Nulls are a group of their own and sort first.
 
     ``sample_from``: a cheaper frame with the same key columns (e.g. the raw input of a
     filtered frame) to draw bucket bounds from; any bounds are correct, good ones only
@@ -179,40 +187,29 @@ def with_ordinal(
     orders = _names(_cols(order_cols))
     keys = groups + orders
     source = sample_from if sample_from is not None else df
-    size = estimated_bytes(source) if partitions is None else None
-    if size is not None and size < SINGLE_BUCKET_BYTES:
-        bounds = []  # small input (size checked): one bucket, no sampling jobs
-    else:
-        bounds = key_bounds(source, keys, partitions or default_buckets(df))
+    total, kinds = key_stats(source, groups)
+    bounds = key_bounds(source, keys, partitions or default_buckets(df), total)
     tagged = df.withColumn("__cm_b", bucket_column(keys, bounds, df.sparkSession))
     w = Window.partitionBy("__cm_b", *groups).orderBy(*orders)
     local = tagged.withColumn("__cm_rn", F.row_number().over(w) - F.lit(1))
+    if not bounds:  # at most one distinct key: nothing lies before the only bucket
+        out = local.withColumn(name, (F.col("__cm_rn") + F.lit(start)).cast("bigint"))
+        return out.drop("__cm_b", "__cm_rn")
     # counts from the windowed branch: both branches share one exchange of the input
     summary = local.groupBy("__cm_b", *groups).agg((F.max("__cm_rn") + F.lit(1)).alias("__cm_n"))
     pw = Window.partitionBy(*groups).orderBy("__cm_b").rowsBetween(Window.unboundedPreceding, -1)
     summary = summary.withColumn("__cm_off", F.coalesce(F.sum("__cm_n").over(pw), F.lit(0))).drop("__cm_n")
-    if groups_are_small is None:
-        groups_are_small = small_group_count(df, groups)
-    if groups_are_small:
+    if kinds <= BROADCAST_ROW_LIMIT // 2:  # the estimate is off by a few per cent
         summary = F.broadcast(summary)
-    out = local.join(summary, ["__cm_b", *groups])
+    out = null_safe_join(local, summary, ["__cm_b", *groups])
     out = out.withColumn(name, (F.col("__cm_off") + F.col("__cm_rn") + F.lit(start)).cast("bigint"))
-    out = out.drop("__cm_b", "__cm_rn", "__cm_off")
-    if not bounds:
-        # one bucket puts every row of a group in one window task; spread the (small,
-        # size-checked) result again so the work downstream runs on all task slots
-        out = out.repartition(2 * df.sparkSession.sparkContext.defaultParallelism)
-    return out
+    return out.drop("__cm_b", "__cm_rn", "__cm_off")
 
 
-def with_group_sizes(df: DataFrame, group_cols, name: str = "group_size", groups_are_small: bool | None = None) -> DataFrame:
-    """Attach the row count of each group (partial aggregation, then a join on the key)."""
+def with_group_sizes(df: DataFrame, group_cols, name: str = "group_size") -> DataFrame:
+    """Attach the row count of each group (partial aggregation, then a null-safe join on the
+    key; AQE picks the strategy from measured sizes)."""
     groups = _names(_cols(group_cols))
-    sizes = df.groupBy(*groups).agg(F.count(F.lit(1)).alias(name))
-    if groups_are_small is None:
-        groups_are_small = small_group_count(df, groups)
-    if groups_are_small:
-        sizes = F.broadcast(sizes)
     if not groups:
         raise ValueError("with_group_sizes needs at least one group column")
-    return df.join(sizes, groups)
+    return null_safe_join(df, df.groupBy(*groups).agg(F.count(F.lit(1)).alias(name)), groups)

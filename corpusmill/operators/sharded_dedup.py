@@ -185,7 +185,8 @@ def sharded_dedup(
     # phase 3: replay shards from each chunk's entry (own rows + next chunk as halo)
     copies3 = F.array(F.col("__own"), F.col("__own") - 1)
     spread3 = keyed.select("dataset", "pos", "key", "__total", F.explode(copies3).alias("__chunk")).filter(F.col("__chunk") >= 0)
-    with_entry = spread3.join(F.broadcast(entries.withColumnRenamed("chunk", "__chunk")), ["dataset", "__chunk"])
+    # entries grow with the corpus: no broadcast hint, AQE measures them
+    with_entry = spread3.join(entries.withColumnRenamed("chunk", "__chunk"), ["dataset", "__chunk"])
     accepted = with_entry.groupBy("dataset", "__chunk").applyInPandas(
         _phase3(max_records, chunk), "dataset string, pos long, shard long"
     )

@@ -11,13 +11,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
 
 from corpusmill.functions.calculator import evaluate
-from corpusmill.functions.registry import call_tools
 from corpusmill.functions.text import PY_SPACE_CLASS, py_strip
 
 # --- fixed values (must equal the reference's rules) --------------------------------
@@ -46,18 +44,10 @@ def calculator(exprs: Iterator[pd.Series]) -> Iterator[pd.Series]:
 
 @F.pandas_udf(ArrayType(StringType()))
 def calculator_many(arrays: pd.Series) -> pd.Series:
-    """Calculator over an array of expressions per row."""
+    """Calculator over an array of expressions per row (null elements stay null)."""
     return arrays.map(lambda a: None if a is None else [evaluate(x) for x in a])
 
 
-@F.arrow_udf(ArrayType(StringType()))
-def tool_results(names: pa.Array, args: pa.Array) -> pa.Array:
-    """Per row: the tool output for each call, in call order (null array for rows
-    without calls).  Arrow in, Arrow out: no pandas object conversion."""
-    out = [call_tools(n, a) for n, a in zip(names.to_pylist(), args.to_pylist())]
-    return pa.array(out, type=pa.list_(pa.string()))
-
-
 def _c(col):
     return F.col(col) if isinstance(col, str) else col
 
@@ -73,6 +63,25 @@ def scratchpad_note(arg: Column) -> Column:
     )
 
 
+def call_results(names: Column, args: Column, sums: Column) -> Column:
+    """One result per call, in call order: the calculator's from ``sums``, the scratchpad's
+    last notes of this record, the unknown-tool error.  One pass that carries the notes."""
+    start = F.struct(
+        F.array().cast("array<string>").alias("notes"), F.array().cast("array<string>").alias("out")
+    )
+    calls = F.arrays_zip(names.alias("n"), args.alias("a"), F.coalesce(sums, F.transform(names, lambda n: F.lit(None).cast("string"))).alias("s"))
+
+    def step(state: Column, call: Column) -> Column:
+        pad = call["n"] == SCRATCHPAD
+        longer = F.concat(state["notes"], F.array(scratchpad_note(call["a"])))
+        last = F.slice(longer, F.greatest(F.size(longer) - (SCRATCHPAD_LINES - 1), F.lit(1)), F.lit(SCRATCHPAD_LINES))
+        notes = F.when(pad, last).otherwise(state["notes"])
+        said = F.when(call["n"] == CALCULATOR, call["s"]).when(pad, F.array_join(last, "\n")).otherwise(F.lit(UNKNOWN_TOOL))
+        return F.struct(notes.alias("notes"), F.concat(state["out"], F.array(said)).alias("out"))
+
+    return F.aggregate(calls, start, step, lambda state: state["out"])
+
+
 # The call-line rule over a whole text: multiline anchors, no class or dot crosses "\n".
 _LINE_SPACE = PY_SPACE_CLASS.replace(r"\t-\r", r"\t\x0b-\r")
 CALL_LINE_PATTERN = (
@@ -86,8 +95,8 @@ def inject_tool_results(df: DataFrame, text: Column | str, out_col: str) -> Data
 
     Whole-text regex work in the JVM: ``regexp_extract_all`` gives the call names and
     arguments in order, ``split`` on the call lines gives the text between them.  Only
-    rows with calls send their (name, argument) arrays through the Arrow UDF (tool
-    registry, record-scoped scratchpad); ``zip_with`` splices the results back."""
+    the arguments of calculator calls cross into Python; the scratchpad and unknown tools
+    are native; ``zip_with`` splices the results back."""
     t = F.regexp_replace(_c(text), r"\n\z", "")
     st = df.withColumn("__body", t)
     body = F.col("__body")
@@ -95,13 +104,16 @@ def inject_tool_results(df: DataFrame, text: Column | str, out_col: str) -> Data
     # names and arguments from the (short) call lines, not another pass over the text
     st = st.withColumn("__names", F.transform("__calls", lambda c: F.lower(F.regexp_extract(c, CALL_LINE_PATTERN, 1))))
     st = st.withColumn("__args", F.transform("__calls", lambda c: F.regexp_extract(c, CALL_LINE_PATTERN, 2)))
-    st = st.withColumn("__res", tool_results(F.when(F.size("__calls") > 0, F.col("__names")), F.col("__args")))
+    sums = F.zip_with("__names", "__args", lambda n, a: F.when(n == CALCULATOR, a))
+    any_sum = F.array_contains("__names", CALCULATOR)
+    st = st.withColumn("__sums", calculator_many(F.when(any_sum, sums)))
+    st = st.withColumn("__res", call_results(F.col("__names"), F.col("__args"), F.col("__sums")))
     st = st.withColumn("__segs", F.split(body, CALL_LINE_PATTERN, -1))
     with_results = F.zip_with("__calls", "__res", lambda c, r: F.concat(c, F.lit("\n" + RESULT_PREFIX), r))
     tail = F.zip_with(with_results, F.slice("__segs", 2, F.greatest(F.size("__segs") - 1, F.lit(0))), lambda a, b: F.concat(a, b))
     out = F.when(F.size("__calls") == 0, body).otherwise(F.concat(F.element_at("__segs", 1), F.array_join(tail, "")))
     st = st.withColumn(out_col, out)
-    return st.drop("__body", "__calls", "__names", "__args", "__res", "__segs")
+    return st.drop("__body", "__calls", "__names", "__args", "__sums", "__res", "__segs")
 
 
 def py_splitlines(text: Column | str) -> Column:
@@ -194,7 +206,7 @@ def scratchpad_renders(
     if position_col:
         pos = df.withColumn("__pad_pos", F.col(position_col))
     else:
-        pos = with_ordinal(df, order_cols, keys, name="__pad_pos", groups_are_small=False)
+        pos = with_ordinal(df, order_cols, keys, name="__pad_pos")
     with_notes = last_n(pos, keys, "__pad_pos", scratchpad_note(F.col(arg_col)), keep, "__notes")
     return with_notes.withColumn(out_col, F.array_join("__notes", "\n")).withColumn(
         "n_notes", F.size("__notes").cast("bigint")

@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusmill.operators.ordinals import null_safe_join
+
 DEFAULT_BLOCK = 1 << 16
 
 
@@ -76,7 +78,7 @@ def running(
     upper = -1 if exclusive else 0
     in_w = Window.partitionBy(*groups, "__r_blk").orderBy(pos_col).rowsBetween(Window.unboundedPreceding, upper)
     local = base.withColumn("__r_local", agg("__r_val").over(in_w))
-    j = local.join(carry, [*groups, "__r_blk"], "left")
+    j = null_safe_join(local, carry, [*groups, "__r_blk"], "left")
     c, l = F.col("__r_carry"), F.col("__r_local")
     res = F.when(c.isNull(), l).when(l.isNull(), c).otherwise(comb(c, l))
     return j.withColumn(out_col, res).drop("__r_val", "__r_blk", "__r_carry", "__r_local")

@@ -19,10 +19,10 @@ from corpusmill.operators.ordinals import with_ordinal
 
 
 def number_records(
-    df: DataFrame, dataset_col: str, order_cols, name: str = "record_index", groups_are_small: bool | None = True
+    df: DataFrame, dataset_col: str, order_cols, name: str = "record_index"
 ) -> DataFrame:
     """Running record index per dataset, counted before any filter (0-based)."""
-    return with_ordinal(df, order_cols, [dataset_col], name=name, groups_are_small=groups_are_small)
+    return with_ordinal(df, order_cols, [dataset_col], name=name)
 
 
 def clean_records(
@@ -59,7 +59,7 @@ def prepare_corpus(
     # record_index follows order_cols within a dataset, so bucket bounds can be drawn
     # from the cheap raw input instead of the cleaned, deduplicated frame
     return assign_shards(
-        unique, order_cols, [dataset_col], max_records=max_records, groups_are_small=True, sample_from=df
+        unique, order_cols, [dataset_col], max_records=max_records, sample_from=df
     )
 
 

@@ -8,6 +8,7 @@ Only when that setting is absent (local tests) do we set one ourselves.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -38,12 +39,15 @@ def get_spark(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "c
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, setting a local one only if unset (tests)."""
+    """The shared checkpoint folder.  Unset, a local master (tests) gets a temporary one; on
+    a cluster that is an error, as executors would write to their own disks."""
     current = spark.conf.get(_CHECKPOINT_KEY, None) or spark.sparkContext.getCheckpointDir()
     if current:
         if spark.sparkContext.getCheckpointDir() is None:
             spark.sparkContext.setCheckpointDir(current)
         return current
+    if not re.match(r"local($|\[)", spark.sparkContext.master):
+        raise RuntimeError(f"set {_CHECKPOINT_KEY} to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="corpusmill-ckpt-")
     spark.conf.set(_CHECKPOINT_KEY, local)
     spark.sparkContext.setCheckpointDir(local)

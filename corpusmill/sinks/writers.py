@@ -85,4 +85,4 @@ def list_shard_files(spark: SparkSession, base: str) -> DataFrame:
     from corpusmill.sources.files import list_files
 
     files = list_files(spark, f"{base.rstrip('/')}/*/*", recursive=False).select("path")
-    return with_ordinal(files, "path", name="name_rank", groups_are_small=True)
+    return with_ordinal(files, "path", name="name_rank")

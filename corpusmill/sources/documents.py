@@ -138,23 +138,16 @@ def code_records(spark: SparkSession, pattern: str) -> DataFrame:
 # ---------------------------------------------------------------- paragraphs
 
 
-# Whitespace that can sit on a "blank" line: Python whitespace except the newline itself.
-_LINE_SPACE = (
-    r"[\t\x0b-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
-)
-
-
 def paragraphs_of(text: Column | str) -> Column:
     """Whole-text paragraph assembly: runs of consecutive non-blank lines (blank =
     whitespace only) joined by ``\\n``; lines split on ``\\n`` as a line iterator does.
 
-    Linear regex work on the text: drop one final newline, cut leading and trailing
-    blank lines, split on ``\\n`` followed by one or more blank lines."""
+    Linear in the text: blank lines are emptied, the lines joined again, outer newlines
+    trimmed, and the rest split at runs of newlines (no group repeats in a regex)."""
     t = F.col(text) if isinstance(text, str) else text
-    body = F.regexp_replace(t, r"\n\z", "")
-    body = F.regexp_replace(body, rf"^(?:{_LINE_SPACE}*\n)+|(?:\n{_LINE_SPACE}*)+\z", "")
-    parts = F.split(body, rf"\n(?:{_LINE_SPACE}*\n)+", -1)
-    return F.filter(parts, lambda p: py_strip(p) != "")
+    lines = F.transform(F.split(t, "\n", -1), lambda x: F.when(py_strip(x) == "", F.lit("")).otherwise(x))
+    body = F.btrim(F.array_join(lines, "\n"), F.lit("\n"))
+    return F.filter(F.split(body, "\n{2,}", -1), lambda p: p != "")
 
 
 def with_paragraphs(df: DataFrame, text: Column | str, out_col: str = "paragraphs") -> DataFrame:
@@ -168,7 +161,7 @@ def paragraphs_from_lines(lines: DataFrame, key_cols, line_no_col: str, line_col
     from corpusmill.operators.windows import running
 
     keys = list(key_cols)
-    pos = with_ordinal(lines, line_no_col, keys, name="__pos", groups_are_small=False)
+    pos = with_ordinal(lines, line_no_col, keys, name="__pos")
     blank = (py_strip(F.col(line_col)) == "").cast("int")
     grp = running(pos.withColumn("__blank", blank), keys, "__pos", "__blank", "sum", "__grp")
     body = grp.filter(F.col("__blank") == 0)
@@ -178,4 +171,4 @@ def paragraphs_from_lines(lines: DataFrame, key_cols, line_no_col: str, line_col
             "text"
         ),
     )
-    return with_ordinal(para, "first_line", keys, name="para_no", groups_are_small=False).drop("__grp")
+    return with_ordinal(para, "first_line", keys, name="para_no").drop("__grp")

@@ -160,7 +160,7 @@ def read_json_lines_numbered(spark: SparkSession, paths, schema: T.StructType) -
         F.monotonically_increasing_id().alias("__mid"),
     )
     raw = raw.filter(F.trim("line") != "")
-    numbered = with_ordinal(raw, ["block", "__mid"], ["file_path"], name="line_no", groups_are_small=False)
+    numbered = with_ordinal(raw, ["block", "__mid"], ["file_path"], name="line_no")
     parsed = numbered.withColumn("rec", F.from_json("line", _with_corrupt(schema), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COL}))
     return parsed.withColumn("bad", F.col(f"rec.{CORRUPT_COL}").isNotNull() | F.col("rec").isNull()).drop("__mid")
 
