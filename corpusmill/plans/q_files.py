@@ -9,14 +9,15 @@ oracle SQL states that result.
 
 from __future__ import annotations
 
+import gzip
 import math
-import os
 import zipfile
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as Ty
 
 from corpusmill.functions import ids as I
 from corpusmill.functions import text as T
@@ -33,48 +34,41 @@ from corpusmill.sinks import writers as K
 from corpusmill.sources import documents as SD
 from corpusmill.sources import files as S
 from corpusmill.sources.archives import read_zip_lines
+from corpusmill.sources.stores import open_store
 
 _N = "CAST(substring(source, 4) AS INT)"
 ROWS_PER_FILE = 500
 
 
-def _local(path: str) -> str:
-    return path[len("file:") :] if path.startswith("file:") else path
-
-
 def _norm_uri(col):
     return F.regexp_replace(col, r"^file:/+", "/")
 
 
 def write_zip_archives(df: DataFrame, base: str, archive_col: str, member_col: str, content_col: str) -> int:
-    """One zip per archive key, written by the task that holds the key (Spark job)."""
-    target = _local(base)
+    """One zip per archive key, streamed to the shared store by the task that holds the key."""
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        store, root = open_store(base)
         open_zips: dict[str, zipfile.ZipFile] = {}
         counts: dict[str, int] = {}
-        try:
-            for pdf in batches:
-                for a, m, c in zip(pdf[archive_col], pdf[member_col], pdf[content_col]):
-                    if a not in open_zips:
-                        os.makedirs(target, exist_ok=True)
-                        open_zips[a] = zipfile.ZipFile(os.path.join(target, f"{a}.zip"), "w", zipfile.ZIP_DEFLATED)
-                        counts[a] = 0
-                    if m.endswith("/"):
-                        open_zips[a].writestr(zipfile.ZipInfo(m), "")
-                    else:
-                        open_zips[a].writestr(m, c or "")
-                    counts[a] += 1
-        finally:
-            for z in open_zips.values():
-                z.close()
+        for pdf in batches:
+            for a, m, c in zip(pdf[archive_col], pdf[member_col], pdf[content_col]):
+                if a not in open_zips:
+                    store.create_dir(root, recursive=True)
+                    open_zips[a] = zipfile.ZipFile(store.open_output_stream(f"{root}/{a}.zip"), "w", zipfile.ZIP_DEFLATED)
+                    counts[a] = 0
+                open_zips[a].writestr(zipfile.ZipInfo(m) if m.endswith("/") else m, c or "")
+                counts[a] += 1
+        for z in open_zips.values():
+            z.close()
+            z.fp and z.fp.close()
         yield pd.DataFrame(
             {"archive": pd.Series(list(counts), dtype="object"), "members": pd.Series(list(counts.values()), dtype="int64")}
         )
 
     keys = df.select(archive_col).distinct().count()
-    out = df.repartition(max(1, keys), archive_col).mapInPandas(write, "archive string, members long")
-    return out.count()
+    out = df.repartition(max(1, keys), archive_col).sortWithinPartitions(archive_col, member_col)
+    return out.mapInPandas(write, "archive string, members long").count()
 
 
 # ------------------------------------------------------------------ scans
@@ -97,8 +91,6 @@ def q_manifest_scan(spark, sf):
     )
     listing = S.expand_or_keep(spark, entries)
     files = [r.file for r in listing.select("file").distinct().collect()]  # file listing, not rows
-    from pyspark.sql import types as Ty
-
     rec_schema = Ty.StructType([Ty.StructField("doc_id", Ty.LongType()), Ty.StructField("text", Ty.StringType())])
     parts = []
     js = [f for f in files if S.suffix_of(f) != ".parquet"]
@@ -112,28 +104,87 @@ def q_manifest_scan(spark, sf):
         recs = recs.unionByName(p, allowMissingColumns=True)
     recs = S.with_provenance(recs)
     lk = listing.select(_norm_uri(F.col("file")).alias("__f"), "source")
-    if len(files) <= 100_000:  # listing size is known here: broadcast only a bounded listing
-        lk = F.broadcast(lk)
     out = recs.withColumn("__f", _norm_uri(F.col("path"))).join(lk, "__f")
     return out.select("doc_id", I.sha1_hex("text").alias("text_sha1"), "source")
 
 
-@register("bad_shard_scan", "SELECT doc_id FROM documents")
-def q_bad_shard_scan(spark, sf):
+def _bad_shards(spark, sf):
+    """JSON Lines in six folders: four intact ones with some broken lines (two of them
+    compressed), one with texts that are not strings, one compressed file cut in half."""
     base = scratch_dir(spark, "bad_shards")
     docs = table(spark, sf, "documents").select("doc_id", "text")
     good = docs.select(F.to_json(F.struct("doc_id", "text")).alias("value"), "doc_id")
     bad = docs.filter(F.col("doc_id") % 50 == 0).select(
         F.concat(F.lit('{"doc_id": '), F.col("doc_id").cast("string"), F.lit(", broken")).alias("value"), "doc_id"
     )
-    lines = good.unionByName(bad).withColumn("part", F.pmod(F.col("doc_id"), F.lit(4)))
-    lines.filter("part < 2").select("value", "part").write.partitionBy("part").text(f"{base}/plain")
-    lines.filter("part >= 2").select("value", "part").write.option("compression", "gzip").partitionBy("part").text(f"{base}/gz")
-    from pyspark.sql import types as Ty
+    lines = good.unionByName(bad).withColumn("part", F.pmod(F.col("doc_id"), F.lit(4)).cast("string"))
+    odd = docs.filter(F.col("doc_id") % 10 == 0).select(
+        F.format_string('{"doc_id": %d, "text": %s}', F.col("doc_id"), F.element_at(F.array(F.lit("5"), F.lit('["a"]'), F.lit("null")), (F.col("doc_id") % 3 + 1).cast("int"))).alias("value"),
+        "doc_id",
+        F.lit("odd").alias("part"),
+    )
+    plain = lines.filter("part in ('0', '1')").unionByName(odd)
+    plain.select("value", "part").write.partitionBy("part").text(f"{base}/plain")
+    lines.filter("part in ('2', '3')").select("value", "part").write.option("compression", "gzip").partitionBy("part").text(f"{base}/gz")
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        store, root = open_store(base)
+        for pdf in batches:
+            whole = gzip.compress("\n".join(pdf["value"]).encode())
+            store.create_dir(f"{root}/cut/part=cut", recursive=True)
+            with store.open_output_stream(f"{root}/cut/part=cut/half.json.gz", compression=None) as f:
+                f.write(whole[: len(whole) // 2])
+            yield pd.DataFrame({"n": [len(pdf)]})
+
+    one = good.filter(F.col("doc_id") % 100 == 0).orderBy("doc_id").limit(200).coalesce(1)  # the broken file's content
+    one.select("value").mapInPandas(cut, "n long").count()
+    return base
+
+
+_DOC_RECORD = Ty.StructType([Ty.StructField("doc_id", Ty.LongType()), Ty.StructField("text", Ty.StringType())])
+
+
+@register("bad_shard_scan", "SELECT doc_id, sha1(text) AS text_sha1 FROM documents WHERE text IS NOT NULL AND text <> ''")
+def q_bad_shard_scan(spark, sf):
+    base = _bad_shards(spark, sf)
+    recs = S.read_jsonl(spark, [f"{base}/plain/*/*", f"{base}/gz/*/*"], _DOC_RECORD)
+    return recs.filter(T.is_valid_text("text")).select("doc_id", I.sha1_hex("text").alias("text_sha1"))
+
+
+@register(
+    "file_faults",
+    """SELECT CAST(doc_id % 4 AS VARCHAR) AS part, count(*) AS rows, count(*) FILTER (doc_id % 50 = 0) AS bad_lines,
+              false AS cut FROM documents GROUP BY ALL
+       UNION ALL SELECT 'odd', count(*), 0, false FROM documents WHERE doc_id % 10 = 0
+       UNION ALL SELECT 'cut', NULL, NULL, true""",
+)
+def q_file_faults(spark, sf):
+    """The fault report of the shards above: rows, bad lines, and which file is cut short."""
+    base = _bad_shards(spark, sf)
+    faults = S.file_faults(spark, [f"{base}/plain/*/*", f"{base}/gz/*/*", f"{base}/cut/*/*"], _DOC_RECORD)
+    part = F.regexp_extract("file_path", r"part=([^/]+)/", 1)
+    return faults.groupBy(part.alias("part")).agg(
+        F.sum("rows").alias("rows"), F.sum("bad_lines").alias("bad_lines"), F.bool_or(F.col("error").isNotNull()).alias("cut")
+    )
+
 
-    schema = Ty.StructType([Ty.StructField("doc_id", Ty.LongType()), Ty.StructField("text", Ty.StringType())])
-    recs = S.read_jsonl(spark, [f"{base}/plain/*/*", f"{base}/gz/*/*"], schema)
-    return recs.select("doc_id")
+@register(
+    "truncated_shards",
+    """WITH b AS (SELECT doc_id % 4 AS part, min(doc_id) FILTER (doc_id % 50 = 0) AS first_bad FROM documents GROUP BY 1)
+       SELECT doc_id FROM documents d JOIN b ON d.doc_id % 4 = b.part WHERE first_bad IS NULL OR doc_id < first_bad""",
+)
+def q_truncated_shards(spark, sf):
+    """The strict rule: a shard ends at its first bad line (line order = doc_id)."""
+    base = scratch_dir(spark, "truncated")
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    good = F.to_json(F.struct("doc_id", "text"))
+    broken = F.concat(F.lit('{"doc_id": '), F.col("doc_id").cast("string"), F.lit(", broken"))
+    line = F.when(F.col("doc_id") % 50 == 0, broken).otherwise(good)
+    lines = docs.select(line.alias("value"), "doc_id", F.pmod("doc_id", F.lit(4)).alias("part"))
+    lines.repartition(4, "part").sortWithinPartitions("part", "doc_id").select("value", "part").write.partitionBy("part").text(base)
+    numbered = S.read_json_lines_numbered(spark, f"{base}/*/*", _DOC_RECORD)
+    kept = S.truncate_after_first_bad(numbered, "file_path", "line_no", "bad")
+    return kept.select(F.col("rec.doc_id").alias("doc_id"))
 
 
 @register("zip_text", PARAGRAPHS_SQL)
@@ -157,7 +208,21 @@ def q_zip_text(spark, sf):
     )
 
 
-@register("zip_code")
+_ZIP_CODE_SQL = f"""
+WITH s AS (
+  SELECT doc_id, text, 'jsonl_' || CAST(doc_id // 200 AS VARCHAR) AS archive, 'data/part.jsonl' AS member, true AS from_jsonl
+  FROM documents WHERE doc_id % 4 = 0
+  UNION ALL
+  SELECT doc_id, text, 'src_' || CAST(doc_id % 3 AS VARCHAR),
+         'src/' || CAST(doc_id AS VARCHAR) || (['.py', '.txt', '.JAVA', '.go'])[doc_id % 4 + 1], false
+  FROM documents WHERE doc_id % 4 IN (2, 3)),
+r AS (SELECT *, row_number() OVER (ORDER BY archive || '.zip', CASE WHEN from_jsonl THEN '' ELSE member END, doc_id) AS record_index FROM s),
+n AS (SELECT archive, member, from_jsonl, record_index, {D.normalize('text', 5, collapse=False)} AS t FROM r)
+SELECT archive, member, from_jsonl, record_index, sha1(t) AS text_sha1 FROM n WHERE t IS NOT NULL
+"""
+
+
+@register("zip_code", _ZIP_CODE_SQL)
 def q_zip_code(spark, sf):
     base = scratch_dir(spark, "zip_code")
     docs = table(spark, sf, "documents").select("doc_id", "text")
@@ -179,7 +244,10 @@ def q_zip_code(spark, sf):
     write_zip_archives(jsonl_members.unionByName(src), base, "archive", "member", "content")
     recs = SD.code_records(spark, f"{base}/*.zip")
     cleaned = T.with_normalized(recs, "text", "text", T.CODE_MIN_LENGTH, collapse_whitespace=False)
-    return cleaned.select("archive", "member", "pos", "from_jsonl", I.text_hash("text").alias("text_sha1"))
+    name = F.regexp_extract("archive", r"([^/]+)\.zip$", 1)
+    return cleaned.select(
+        name.alias("archive"), "member", "from_jsonl", "record_index", I.text_hash("text").alias("text_sha1")
+    )
 
 
 _PROBLEMS_SQL = f"""
@@ -214,8 +282,12 @@ def _problems_out(df):
 @register("xml_problems", _PROBLEMS_SQL)
 def q_xml_problems(spark, sf):
     base = scratch_dir(spark, "xml_problems")
-    _problem_rows(spark, sf).write.format("xml").option("rootTag", "Problems").option("rowTag", "Problem").save(base)
-    df = SD.read_problem_xml(spark, base, keep=("ConvId", "Turn"))
+    # element names in several cases
+    rows = _problem_rows(spark, sf)
+    for k, tag in enumerate(("Problem", "pRoblem", "ITEM")):
+        part = rows.filter(F.pmod("ConvId", F.lit(3)) == k)
+        part.write.format("xml").option("rootTag", "Set").option("rowTag", tag).save(f"{base}/{tag}")
+    df = SD.read_problem_xml(spark, f"{base}/*/*", keep=("ConvId", "Turn"))
     return _problems_out(df)
 
 
@@ -229,11 +301,15 @@ def q_json_array(spark, sf):
         F.to_json(F.collect_list(F.struct("ConvId", "Turn", "Body", "Question", "Answer"))).alias("value")
     )
     grouped.write.partitionBy("file_id").text(base)
-    df = spark.read.option("multiLine", "true").json(f"{base}/*/*")
-    return _problems_out(df.select("ConvId", "Turn", F.col("Body").alias("body"), F.col("Question").alias("question")))
+    return _problems_out(SD.read_problem_json_array(spark, f"{base}/*/*", keep=("ConvId", "Turn")))
 
 
-@register("wiki_pages")
+@register(
+    "wiki_pages",
+    """WITH p AS (SELECT doc_id, 'Heading' || chr(10) || source || ' ' || text || ' shown text' AS t
+                 FROM documents WHERE doc_id % 10 <> 0 AND doc_id % 13 <> 0)
+       SELECT doc_id AS page_id, 'Doc ' || CAST(doc_id AS VARCHAR) AS title, sha1(t) AS text_sha1, CAST(length(t) AS BIGINT) AS n_chars FROM p""",
+)
 def q_wiki_pages(spark, sf):
     base = scratch_dir(spark, "wiki")
     docs = table(spark, sf, "documents")
@@ -305,7 +381,7 @@ def q_metrics_log(spark, sf):
     return back.groupBy("step").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
 
 
-@register("snapshots")
+@register("snapshots", _ENTRIES_SQL + "SELECT 'run-1' AS run_id, CAST(count(*) AS BIGINT) AS entries FROM entries")
 def q_snapshots(spark, sf):
     base = scratch_dir(spark, "snapshots")
     entries = manifest_entries(spark, sf)

@@ -1,34 +1,50 @@
 """Zip archives as a Spark data source (Python Data Source API).
 
-One input partition per archive; each task streams its archive member by member, so
-an archive is never loaded whole into memory.  Two shapes:
-
-* ``lines``   -> (archive, member, line_no, line): every non-directory member decoded
-  as UTF-8 (bad bytes dropped), split on ``\\n`` (1-based line numbers);
-* ``members`` -> (archive, member, is_dir, content): one row per member.
-
-Archive paths are listed on the driver when the read is planned (like a file index);
-the work itself is distributed.  Register once per session with ``register(spark)``.
+Archives are listed and opened through pyarrow's file systems, so they may lie in any
+shared store.  An archive up to ``SPLIT_BYTES`` is one input partition, a larger one is cut
+into ranges of members (by compressed size, read from its central directory when the read
+is planned).  A task streams its members.  Shapes:
+
+* ``lines``   -> every non-directory member decoded as UTF-8 (bad bytes dropped), split on
+  universal newlines (1-based line numbers);
+* ``members`` -> one row per member with its whole content;
+* ``code``    -> an archive with any ``*.jsonl`` member: the stripped, non-blank lines of
+  those members; any other: each file with an extension of ``CODE_EXTENSIONS``, whole.
+  Members that do not count are never decompressed.
+
+``member_no`` is the member's place in the archive.  Register once per session.
 """
 
 from __future__ import annotations
 
-import glob
 import io
+import os
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from corpusmill.functions.text import CODE_EXTENSIONS
+from corpusmill.sources.stores import list_matching, open_store
+
 FORMAT = "corpusmill_zip"
-LINES_SCHEMA = "archive string, member string, line_no bigint, line string"
-MEMBERS_SCHEMA = "archive string, member string, is_dir boolean, content string"
+SPLIT_BYTES = 64 << 20
+SCHEMAS = {
+    "lines": "archive string, member string, member_no int, line_no bigint, line string",
+    "members": "archive string, member string, member_no int, is_dir boolean, content string",
+    "code": "archive string, member string, member_no int, line_no bigint, from_jsonl boolean, content string",
+}
+
+
+class MemberRange(InputPartition):
+    def __init__(self, path: str, first: int, end: int | None):
+        super().__init__((path, first, end))
+        self.path, self.first, self.end = path, first, end
 
 
-class _ArchivePartition(InputPartition):
-    def __init__(self, path: str):
-        super().__init__(path)
-        self.path = path
+def _open(path: str) -> zipfile.ZipFile:
+    store, inner = open_store(path)
+    return zipfile.ZipFile(store.open_input_file(inner))
 
 
 class ZipReader(DataSourceReader):
@@ -37,52 +53,69 @@ class ZipReader(DataSourceReader):
         self.mode = mode
 
     def partitions(self):
-        paths = sorted(glob.glob(self.pattern.replace("file://", ""))) if self.pattern else []
-        return [_ArchivePartition(p) for p in paths]
+        out = []
+        for path, size in list_matching(self.pattern):
+            if size <= SPLIT_BYTES:
+                out.append(MemberRange(path, 0, None))
+                continue
+            with _open(path) as archive:
+                first = held = 0
+                members = archive.infolist()
+                for k, info in enumerate(members):
+                    held += info.compress_size
+                    if held >= SPLIT_BYTES or k == len(members) - 1:
+                        out.append(MemberRange(path, first, k + 1))
+                        first, held = k + 1, 0
+        return out
 
     def read(self, partition):
-        path = partition.path
-        with zipfile.ZipFile(path) as zf:
-            for info in zf.infolist():
+        with _open(partition.path) as archive:
+            members = archive.infolist()
+            json_lines = any(m.filename.lower().endswith(".jsonl") for m in members)
+            for no, info in enumerate(members[partition.first : partition.end], partition.first):
+                at = (partition.path, info.filename, no)
                 if self.mode == "members":
-                    if info.is_dir():
-                        yield (path, info.filename, True, None)
-                        continue
-                    with zf.open(info) as fh:
-                        yield (path, info.filename, False, fh.read().decode("utf-8", "ignore"))
-                    continue
-                if info.filename.endswith("/"):
-                    continue
-                with zf.open(info) as fh:
-                    # universal newlines, bad bytes dropped (as a text-mode archive reader does)
-                    text = io.TextIOWrapper(fh, encoding="utf-8", errors="ignore")
-                    for i, line in enumerate(text, start=1):
-                        yield (path, info.filename, i, line.rstrip("\n"))
+                    yield (*at, info.is_dir(), None if info.is_dir() else archive.read(info).decode("utf-8", "ignore"))
+                elif self.mode == "lines" and not info.is_dir():
+                    yield from ((*at, k, line) for k, line in self._lines(archive, info))
+                elif self.mode == "code" and json_lines and info.filename.lower().endswith(".jsonl"):
+                    for k, line in self._lines(archive, info):
+                        if stripped := line.strip():
+                            yield (*at, k, True, stripped)
+                elif self.mode == "code" and not json_lines and not info.is_dir():
+                    if os.path.splitext(info.filename)[1].lower() in CODE_EXTENSIONS:
+                        yield (*at, 1, False, archive.read(info).decode("utf-8", "ignore"))
+
+    @staticmethod
+    def _lines(archive: zipfile.ZipFile, info: zipfile.ZipInfo):
+        with archive.open(info) as raw:
+            text = io.TextIOWrapper(raw, encoding="utf-8", errors="ignore")
+            for k, line in enumerate(text, start=1):
+                yield k, line.removesuffix("\n")
 
 
 class ZipSource(DataSource):
-    """``spark.read.format("corpusmill_zip").option("mode", "lines"|"members").load(glob)``"""
+    """``spark.read.format("corpusmill_zip").option("mode", ...).load(glob)``"""
 
     @classmethod
     def name(cls):
         return FORMAT
 
     def schema(self):
-        return MEMBERS_SCHEMA if self.options.get("mode", "lines") == "members" else LINES_SCHEMA
+        return SCHEMAS[self.options.get("mode", "lines")]
 
     def reader(self, schema):
         return ZipReader(self.options, self.options.get("mode", "lines"))
 
 
-def register(spark: SparkSession) -> None:
+def read_zip(spark: SparkSession, pattern: str, mode: str) -> DataFrame:
     spark.dataSource.register(ZipSource)
+    return spark.read.format(FORMAT).option("mode", mode).load(pattern)
 
 
 def read_zip_lines(spark: SparkSession, pattern: str) -> DataFrame:
-    register(spark)
-    return spark.read.format(FORMAT).option("mode", "lines").load(pattern)
+    return read_zip(spark, pattern, "lines")
 
 
 def read_zip_members(spark: SparkSession, pattern: str) -> DataFrame:
-    register(spark)
-    return spark.read.format(FORMAT).option("mode", "members").load(pattern)
+    return read_zip(spark, pattern, "members")

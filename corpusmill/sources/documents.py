@@ -7,11 +7,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.functions.text import first_truthy, is_code_file, py_strip
-from corpusmill.sources.archives import read_zip_members
+from corpusmill.functions.text import first_truthy, py_strip
+from corpusmill.sources.archives import read_zip
 
 # --- fixed values --------------------------------------------------------------------
-PROBLEM_TAGS = ("Problem", "problem", "PROBLEM", "Item", "item", "ITEM")
 BODY_FIELDS = ("Body", "body", "Description")
 QUESTION_FIELDS = ("Question", "question", "Problem")
 ANSWER_FIELDS = ("Answer", "answer")
@@ -20,44 +19,57 @@ JSON_ANSWER_FIELDS = ("Answer", "answer")
 # -------------------------------------------------------------------------------------
 
 
-def _fields(df: DataFrame, names) -> Column:
-    present = [n for n in names if n in df.columns]
-    if not present:
-        return F.lit(None).cast("string")
-    return first_truthy(*[F.col(f"`{n}`").cast("string") for n in present])
+#: An element named problem or item in any case, up to its end tag.
+_PROBLEM = r"(?is)<((?:problem|item)(?=[\s>]))[^>]*>.*?</\1\s*>"
+_FIRST_TAG = r"(?is)^<[^\s>]+"
+_LAST_TAG = r"(?is)</[^\s>]+\s*>\z"
 
 
 def read_problem_xml(spark: SparkSession, path: str, keep=()) -> DataFrame:
-    """Word problems from XML: one read per tag spelling (problem/item in any of the
-    common cases), fields by first non-empty alternative; adds ``file_path``; ``keep``
-    carries extra fields through (null when absent)."""
-    out = None
-    for tag in PROBLEM_TAGS:
-        df = spark.read.format("xml").option("rowTag", tag).option("ignoreSurroundingSpaces", "false").option("inferSchema", "false").load(path)
-        if not df.columns:
-            continue
-        part = df.select(
-            *[(F.col(k) if k in df.columns else F.lit(None)).cast("string").alias(k) for k in keep],
-            _fields(df, BODY_FIELDS).alias("body"),
-            _fields(df, QUESTION_FIELDS).alias("question"),
-            _fields(df, ANSWER_FIELDS).alias("answer"),
-            F.col("_metadata.file_path").alias("file_path"),
-        )
-        out = part if out is None else out.unionByName(part)
-    if out is None:
-        extra = "".join(f"{k} string, " for k in keep)
-        return spark.createDataFrame([], extra + "body string, question string, answer string, file_path string")
-    return out
-
-
-def read_problem_json_array(spark: SparkSession, path: str) -> DataFrame:
-    """Word problems from files that hold one JSON array each (multi-line JSON)."""
-    df = spark.read.option("multiLine", "true").json(path)
-    return df.select(
-        _fields(df, ("Body",)).alias("body"),
-        _fields(df, JSON_QUESTION_FIELDS).alias("question"),
-        _fields(df, JSON_ANSWER_FIELDS).alias("answer"),
+    """Word problems from XML: elements named ``problem`` or ``item`` in any case, fields by
+    first non-empty alternative; ``keep`` carries extra fields through (null when absent).
+
+    One pass: a file is one row (word-problem files are a few MB), its elements are cut out
+    in document order (``position``, 0-based per file) and parsed with ``from_xml``."""
+    names = list(dict.fromkeys([*BODY_FIELDS, *QUESTION_FIELDS, *ANSWER_FIELDS, *keep]))
+    files = spark.read.text(path, wholetext=True)
+    found = files.select(
         F.col("_metadata.file_path").alias("file_path"),
+        F.posexplode(F.regexp_extract_all("value", F.lit(_PROBLEM), F.lit(0))).alias("position", "xml"),
+    )
+    xml = F.regexp_replace(F.regexp_replace("xml", _FIRST_TAG, "<row"), _LAST_TAG, "</row>")
+    schema = ", ".join(f"`{n}` string" for n in names)
+    parsed = F.from_xml(xml, schema, {"rowTag": "row", "ignoreSurroundingSpaces": "false"})
+    # names that differ by case only are told apart as keys of a map
+    rec = found.withColumn("m", F.from_json(F.to_json(parsed), "map<string,string>"))
+    first = lambda fields: first_truthy(*[F.col("m")[n] for n in fields])
+    return rec.select(
+        *[F.col("m")[k].alias(k) for k in keep],
+        first(BODY_FIELDS).alias("body"),
+        first(QUESTION_FIELDS).alias("question"),
+        first(ANSWER_FIELDS).alias("answer"),
+        "file_path",
+        F.col("position").cast("bigint").alias("position"),
+    )
+
+
+def read_problem_json_array(spark: SparkSession, path: str, keep=()) -> DataFrame:
+    """Word problems from files that hold one JSON array each, in document order
+    (``position``); ``keep`` carries extra fields through.  Elements are read as maps, as
+    the alternatives' names differ by case only."""
+    raw = spark.read.text(path, wholetext=True)
+    rows = raw.select(
+        F.col("_metadata.file_path").alias("file_path"),
+        F.posexplode(F.from_json("value", "array<map<string,string>>")).alias("position", "m"),
+    )
+    first = lambda names: first_truthy(*[F.col("m")[n] for n in names])
+    return rows.select(
+        *[F.col("m")[k].alias(k) for k in keep],
+        first(("Body",)).alias("body"),
+        first(JSON_QUESTION_FIELDS).alias("question"),
+        first(JSON_ANSWER_FIELDS).alias("answer"),
+        "file_path",
+        F.col("position").cast("bigint").alias("position"),
     )
 
 
@@ -86,17 +98,16 @@ def strip_wiki_markup(col: Column) -> Column:
 def read_wiki_dump(spark: SparkSession, path: str) -> DataFrame:
     """Articles from a MediaWiki XML dump (bz2 or plain): namespace 0, not redirects,
     one record per article ``(page_id, title, text)`` with markup stripped."""
-    df = spark.read.format("xml").option("rowTag", "page").load(path)
-    cols = df.columns
-    ns = F.col("ns").cast("int") if "ns" in cols else F.lit(0)
-    not_redirect = F.col("redirect").isNull() if "redirect" in cols else F.lit(True)
-    from pyspark.sql import types as T
-
-    text_type = df.schema["revision"].dataType["text"].dataType
-    # <text xml:space="preserve"> carries an attribute: the body is then the _VALUE field
-    text = F.col("revision.text._VALUE") if isinstance(text_type, T.StructType) else F.col("revision.text")
-    out = df.filter((ns == 0) & not_redirect).select(
-        F.col("id").cast("bigint").alias("page_id"), F.col("title").cast("string").alias("title"), text.cast("string").alias("raw")
+    # a fixed schema: no inference pass, titles and texts stay as written.  The body is the
+    # value of <text>, with or without attributes; <redirect title=".."/> marks a redirect
+    schema = (
+        "id string, ns string, title string, redirect struct<_title:string>, "
+        "revision struct<text:struct<_VALUE:string>>"
+    )
+    df = spark.read.format("xml").schema(schema).option("rowTag", "page").load(path)
+    article = (F.coalesce(F.col("ns").cast("int"), F.lit(0)) == 0) & F.col("redirect").isNull()
+    out = df.filter(article).select(
+        F.col("id").cast("bigint").alias("page_id"), "title", F.col("revision.text._VALUE").alias("raw")
     )
     return out.withColumn("text", py_strip(strip_wiki_markup(F.col("raw")))).drop("raw")
 
@@ -104,35 +115,36 @@ def read_wiki_dump(spark: SparkSession, path: str) -> DataFrame:
 # ---------------------------------------------------------------- code archives
 
 
-def code_records(spark: SparkSession, pattern: str) -> DataFrame:
-    """Code archive members -> records.
+#: JSON renderings of the values that count as no value.
+_FALSY_JSON = ("null", '""', "false", "0", "-0", "0.0", "-0.0", "[]", "{}")
 
-    An archive that holds any ``*.jsonl`` member is read as JSON lines (field
-    precedence ``code``, ``func_code``, ``original_string``, ``content``); otherwise each
-    source file with a known extension is one record.  ``record_index`` follows the
-    original counting: non-blank JSONL lines (1-based, before parsing) or files."""
+
+def _first_truthy_text(record: Column, fields) -> Column:
+    """The first field with a truthy JSON value; null unless that value is a string."""
+    values = [F.try_variant_get(record, f"$.{f}", "variant") for f in fields]
+    picked = F.coalesce(*[F.when(~F.to_json(v).isin(*_FALSY_JSON), v) for v in values])
+    return F.when(F.schema_of_variant(picked) == "STRING", F.try_variant_get(picked, "$", "string"))
+
+
+def code_records(spark: SparkSession, pattern: str) -> DataFrame:
+    """Code archive members -> records ``(archive, member, line_no, from_jsonl,
+    record_index, text)``; one scan of the archives.
+
+    An archive that holds any ``*.jsonl`` member is read as JSON lines (field precedence
+    ``code``, ``func_code``, ``original_string``, ``content``); otherwise each source file
+    with a known extension is one record.  ``record_index`` is 1-based and runs over all
+    archives in name order: every non-blank JSON line counts, parsed or not, and every
+    source file.  Lines without a text are dropped after counting."""
     from corpusmill.functions.text import CODE_FIELDS
+    from corpusmill.operators.ordinals import with_ordinal
 
-    members = read_zip_members(spark, pattern)
-    has_jsonl = members.groupBy("archive").agg(
-        F.max(F.lower("member").endswith(".jsonl").cast("int")).alias("__has_jsonl")
-    )
-    # one row per archive; the join strategy is left to AQE's measured sizes
-    m = members.join(has_jsonl, "archive")
-    jsonl = m.filter((F.col("__has_jsonl") == 1) & F.lower("member").endswith(".jsonl"))
-    lines = jsonl.select(
-        "archive", "member", F.posexplode(F.split(F.regexp_replace("content", r"\n\z", ""), "\n", -1)).alias("pos", "line")
-    ).filter(py_strip("line") != "")
-    schema = ", ".join(f"`{f}` string" for f in CODE_FIELDS)
-    parsed = lines.withColumn("rec", F.from_json("line", schema))
-    from_jsonl = parsed.select(
-        "archive", "member", "pos", first_truthy(*[F.col(f"rec.`{f}`") for f in CODE_FIELDS]).alias("text"),
-        F.lit(True).alias("from_jsonl"),
-    )
-    files = m.filter((F.col("__has_jsonl") == 0) & ~F.col("is_dir") & is_code_file("member")).select(
-        "archive", "member", F.lit(0).alias("pos"), F.col("content").alias("text"), F.lit(False).alias("from_jsonl")
-    )
-    return from_jsonl.unionByName(files)
+    raw = read_zip(spark, pattern, "code")
+    numbered = with_ordinal(raw, ["archive", "member_no", "line_no"], name="record_index", start=1,
+                            sample_from=raw.select("archive", "member_no", "line_no"))
+    from_json = _first_truthy_text(F.try_parse_json("content"), CODE_FIELDS)
+    text = F.when(F.col("from_jsonl"), from_json).otherwise(F.col("content"))
+    out = numbered.withColumn("text", text).filter("text is not null")
+    return out.select("archive", "member", "line_no", "from_jsonl", "record_index", "text")
 
 
 # ---------------------------------------------------------------- paragraphs

@@ -1,8 +1,8 @@
 """Record sources: JSONL (plain / gzip), parquet, format dispatch, provenance, listings.
 
 Every read has an explicit schema (no inference at scale).  Bad JSON lines land in a
-corrupt-record column (PERMISSIVE) instead of failing the job; unreadable files can be
-skipped with ``ignoreCorruptFiles``.  gzip is not splittable: one task per file, so a
+corrupt-record column (PERMISSIVE) instead of failing the job; unreadable files fail it
+unless asked otherwise, and ``file_faults`` reports them.  gzip is not splittable: one task per file, so a
 ``repartition`` after the scan restores parallelism for the work downstream.
 """
 
@@ -10,7 +10,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,27 +35,77 @@ def _with_corrupt(schema: T.StructType) -> T.StructType:
     return T.StructType(list(schema.fields) + [T.StructField(CORRUPT_COL, T.StringType())])
 
 
+def _is_string(value: Column) -> Column:
+    return F.schema_of_variant(value) == "STRING"
+
+
 def read_jsonl(
     spark: SparkSession,
     paths: Sequence[str] | str,
     schema: T.StructType = RECORD_SCHEMA,
     keep_corrupt: bool = False,
-    ignore_corrupt_files: bool = True,
+    skip_corrupt_files: bool = False,
 ) -> DataFrame:
     """JSON Lines (``.gz`` decompressed transparently), one object per non-blank line.
+
     Malformed lines are dropped unless ``keep_corrupt`` (then ``_corrupt_record`` holds
-    the raw line).  Adds ``file_path`` (``_metadata.file_path``)."""
-    reader = (
-        spark.read.schema(_with_corrupt(schema))
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT_COL)
-        .option("ignoreCorruptFiles", str(ignore_corrupt_files).lower())
+    the raw line).  A ``text`` or ``content`` that is not a JSON string is null.  A file
+    that cannot be read to its end fails the job; ``skip_corrupt_files`` keeps what could
+    be read instead - run ``file_faults`` on the same files to know which those are.
+    Adds ``file_path`` (``_metadata.file_path``)."""
+    lines = spark.read.option("ignoreCorruptFiles", str(skip_corrupt_files).lower()).text(paths)
+    lines = lines.select("value", F.col("_metadata.file_path").alias("file_path")).filter(F.trim("value") != "")
+    fields = [T.StructField(f.name, T.VariantType() if f.name in TEXT_COLUMNS else f.dataType) for f in schema.fields]
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COL}
+    parsed = lines.withColumn("rec", F.from_json("value", _with_corrupt(T.StructType(fields)), options))
+
+    def column(name: str) -> Column:
+        value = F.col(f"rec.`{name}`")
+        if name not in TEXT_COLUMNS:
+            return value.alias(name)
+        return F.when(_is_string(value), F.try_variant_get(value, "$", "string")).alias(name)
+
+    corrupt = F.when(F.col("rec").isNull(), F.col("value")).otherwise(F.col(f"rec.{CORRUPT_COL}"))
+    out = parsed.select(*[column(f.name) for f in schema.fields if f.name != CORRUPT_COL], corrupt.alias(CORRUPT_COL), "file_path")
+    return out if keep_corrupt else out.filter(F.col(CORRUPT_COL).isNull()).drop(CORRUPT_COL)
+
+
+def file_faults(spark: SparkSession, paths: Sequence[str] | str, schema: T.StructType = RECORD_SCHEMA) -> DataFrame:
+    """Fault report, one row per file: ``rows`` and ``bad_lines`` of a JSON Lines file that
+    reads to its end, else ``error`` (rows and bad lines are then null).  Compressed files
+    are read through in tasks, one stream each, to find the ones cut short."""
+    from collections.abc import Iterator
+
+    import pyarrow as pa
+
+    from corpusmill.sources.stores import open_store
+
+    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            errors = []
+            for path in batch.column(0).to_pylist():
+                try:
+                    store, inner = open_store(path)
+                    with store.open_input_stream(inner, compression="detect") as stream:
+                        while stream.read(1 << 20):
+                            pass
+                    errors.append(None)
+                except OSError as failure:
+                    errors.append(type(failure).__name__)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(errors, pa.string())], names=["file_path", "error"])
+
+    listed = spark.read.format("binaryFile").load(paths).select(F.col("path").alias("file_path"))
+    listed = listed.repartition(2 * spark.sparkContext.defaultParallelism, "file_path")
+    probed = listed.mapInArrow(probe, "file_path string, error string")
+    lines = read_jsonl(spark, paths, schema, keep_corrupt=True, skip_corrupt_files=True)
+    counts = lines.groupBy("file_path").agg(
+        F.count(F.lit(1)).alias("rows"), F.count(CORRUPT_COL).alias("bad_lines")
     )
-    df = reader.json(list(paths) if not isinstance(paths, str) else paths)
-    df = df.withColumn("file_path", F.col("_metadata.file_path"))
-    if keep_corrupt:
-        return df
-    return df.filter(F.col(CORRUPT_COL).isNull()).drop(CORRUPT_COL)
+    whole = F.col("error").isNull()
+    same = F.regexp_replace("file_path", "^file:/+", "/")  # listings and metadata spell local paths apart
+    j = probed.withColumn("__p", same).join(counts.withColumn("__p", same).drop("file_path"), "__p", "left")
+    number = lambda c: F.when(whole, F.coalesce(F.col(c), F.lit(0)))
+    return j.select("file_path", (number("rows") - number("bad_lines")).alias("rows"), number("bad_lines").alias("bad_lines"), "error")
 
 
 def detect_text_column(df: DataFrame) -> str:
@@ -66,11 +117,13 @@ def detect_text_column(df: DataFrame) -> str:
 
 
 def read_parquet_text(spark: SparkSession, paths: Sequence[str] | str, extra_cols: Sequence[str] = ()) -> DataFrame:
-    """Parquet corpus: the detected text column as ``text`` (only the needed columns are
-    decoded), plus ``file_path``."""
-    df = spark.read.option("ignoreCorruptFiles", "true").parquet(*([paths] if isinstance(paths, str) else paths))
-    col = detect_text_column(df)
-    return df.select(F.col(col).cast("string").alias("text"), *extra_cols, F.col("_metadata.file_path").alias("file_path"))
+    """Parquet corpus: the text column as ``text`` (only the needed columns are decoded),
+    plus ``file_path``.  Files may name it differently: each row takes the first of
+    ``TEXT_COLUMNS`` that its file has."""
+    df = spark.read.option("mergeSchema", "true").parquet(*([paths] if isinstance(paths, str) else paths))
+    detect_text_column(df)
+    text = F.coalesce(*[F.col(c).cast("string") for c in TEXT_COLUMNS if c in df.columns])
+    return df.select(text.alias("text"), *extra_cols, F.col("_metadata.file_path").alias("file_path"))
 
 
 def suffix_of(path: str) -> str:
@@ -111,7 +164,9 @@ def list_files(spark: SparkSession, pattern: str, recursive: bool = False) -> Da
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
     try:
         df = reader.load(pattern)
-    except Exception:  # noqa: BLE001 - no match
+    except AnalysisException as failure:
+        if failure.getCondition() != "PATH_NOT_FOUND":
+            raise  # no permission, a broken path: not the same as no files
         schema = "path string, length bigint, modificationTime timestamp"
         return spark.createDataFrame([], schema)
     return df.select("path", "length", "modificationTime")
@@ -144,7 +199,7 @@ def union_inputs(frames: Sequence[DataFrame]) -> DataFrame:
 def truncate_after_first_bad(lines: DataFrame, file_col: str, line_col: str, bad_col: str) -> DataFrame:
     """Drop every line at or after the first bad line of its file (strict shard rule)."""
     first_bad = lines.filter(F.col(bad_col)).groupBy(file_col).agg(F.min(line_col).alias("__first_bad"))
-    j = lines.join(first_bad, file_col, "left")
+    j = lines.join(first_bad, file_col, "left")  # a row per file with a fault
     return j.filter(F.col("__first_bad").isNull() | (F.col(line_col) < F.col("__first_bad"))).drop("__first_bad")
 
 
