@@ -338,14 +338,32 @@ def q_wiki_pages(spark, sf):
 
 @register(
     "shard_write_roundtrip",
-    _PREP_SQL + f"SELECT source, CAST(pos // {SUMMARY_SHARD_SIZE} AS BIGINT) AS shard, CAST(count(*) AS BIGINT) AS n FROM s GROUP BY ALL",
+    _PREP_SQL
+    + f"""SELECT source, printf('part-%05d.jsonl', pos // {SUMMARY_SHARD_SIZE}) AS shard_file,
+       CAST(pos % {SUMMARY_SHARD_SIZE} AS BIGINT) AS line_no, {D.sample_id('source', 'ri', 't')} AS sample_id,
+       'lm' AS type, sha1(t) AS text_sha1 FROM s""",
 )
 def q_shard_write_roundtrip(spark, sf):
+    """Ids, order and texts of every shard file, and that readiness finds the files."""
     base = scratch_dir(spark, "shards")
     prepared = prepared_documents(spark, sf).withColumn("type", F.lit("lm"))
-    K.write_shards(prepared, base, ["source"], "shard", "record_index")
-    back = spark.read.option("basePath", base).json(f"{base}/source=*/shard=*")
-    return back.groupBy("source", F.col("shard").cast("bigint").alias("shard")).agg(F.count(F.lit(1)).cast("bigint").alias("n"))
+    K.write_shards(prepared, base, ["source"], "shard", "shard_pos")
+    schema = Ty.StructType([Ty.StructField(c, Ty.StringType()) for c in ("sample_id", "type", "text")])
+    back = S.read_json_lines_numbered(spark, f"{base}/source=*/part-*.jsonl", schema)
+    out = back.select(
+        F.regexp_extract("file_path", r"source=([^/]+)/", 1).alias("source"),
+        F.regexp_extract("file_path", r"([^/]+)$", 1).alias("shard_file"),
+        "line_no",
+        "rec.sample_id",
+        "rec.type",
+        I.sha1_hex("rec.text").alias("text_sha1"),
+    )
+    configs = prepared.select("source").distinct().select(
+        F.col("source").alias("job"), F.concat(F.lit(f"{base}/source="), "source").alias("out")
+    )
+    listing = S.list_files(spark, f"{base}/source=*/*").withColumn("path", _norm_uri("path"))
+    ready = M.with_readiness(configs.withColumn("out", _norm_uri("out")), listing).filter("ready")
+    return out.join(ready.select(F.col("job").alias("source")), "source")
 
 
 @register("no_clobber", "SELECT doc_id, source FROM documents")
@@ -404,17 +422,16 @@ def q_manifest_lines_write(spark, sf):
 @register(
     "shard_listing",
     _PREP_SQL
-    + f"""SELECT DISTINCT source, printf('part-%05d.jsonl', pos // {SUMMARY_SHARD_SIZE}) AS shard_file FROM s""",
+    + f""", f2 AS (SELECT DISTINCT source, printf('part-%05d.jsonl', pos // {SUMMARY_SHARD_SIZE}) AS shard_file FROM s)
+SELECT source, shard_file, row_number() OVER (ORDER BY source || '/' || shard_file) - 1 AS name_rank FROM f2""",
 )
 def q_shard_listing(spark, sf):
-    """Shards written one folder per (source, zero-padded shard name), listed in name order."""
+    """Shard files listed in name order."""
     base = scratch_dir(spark, "shard_listing")
     prepared = prepared_documents(spark, sf).withColumn("type", F.lit("lm"))
-    K.write_shards(prepared, base, ["source"], "shard_file", "record_index")
-    listing = K.list_shard_files(spark, base)
-    parts = listing.select(
+    K.write_shards(prepared, base, ["source"], "shard", "shard_pos")
+    return K.list_shard_files(spark, base).select(
         F.regexp_extract("path", r"source=([^/]+)/", 1).alias("source"),
-        F.regexp_extract("path", r"shard_file=([^/]+)/", 1).alias("shard_file"),
+        F.regexp_extract("path", r"([^/]+)$", 1).alias("shard_file"),
         "name_rank",
     )
-    return parts.groupBy("source", "shard_file").agg(F.min("name_rank").alias("first_rank")).select("source", "shard_file")

@@ -1,5 +1,5 @@
 """Streaming queries: each writes table-derived JSON files into a scratch inbox, runs the
-incremental job to completion (availableNow, one file per micro-batch) and returns the
+incremental job to completion (availableNow) and returns the
 sink's content, which must equal the batch result (same oracle SQL)."""
 
 from __future__ import annotations
@@ -40,7 +40,8 @@ def q_stream_ingest(spark, sf):
 
 @register(
     "stream_dedup",
-    f"SELECT DISTINCT sha1(t) AS text_sha1 FROM (SELECT {D.normalize('text')} AS t FROM documents) WHERE t IS NOT NULL",
+    f"""SELECT min(doc_id) AS doc_id, sha1(t) AS text_sha1
+        FROM (SELECT doc_id, {D.normalize('text')} AS t FROM documents) WHERE t IS NOT NULL GROUP BY t""",
 )
 def q_stream_dedup(spark, sf):
     base = scratch_dir(spark, "stream_dedup")
@@ -49,7 +50,7 @@ def q_stream_dedup(spark, sf):
     s = ST.read_stream_jsonl(spark, f"{base}/in", "doc_id bigint, text string")
     cleaned = T.with_normalized(s, "text", "text").withColumn("text_sha1", I.text_hash("text")).select("doc_id", "text_sha1")
     ST.run_foreach_batch(cleaned, ST.dedup_into_table("text_sha1", "doc_id", f"{base}/seen"), f"{base}/ckpt")
-    return spark.read.parquet(f"{base}/seen").select("text_sha1")
+    return spark.read.parquet(f"{base}/seen").select("doc_id", "text_sha1")
 
 
 @register(
@@ -68,7 +69,7 @@ def q_stream_scratchpad(spark, sf):
     rng = F.least(F.floor(F.col("turn") / 3), F.lit(INBOX_FILES - 1))
     for k in range(INBOX_FILES):
         conv.filter(rng == k).coalesce(1).write.mode("append").json(f"{base}/in")
-    s = ST.read_stream_jsonl(spark, f"{base}/in", "conv_id bigint, turn bigint, arg string")
+    s = ST.read_stream_jsonl(spark, f"{base}/in", "conv_id bigint, turn bigint, arg string", max_files=1)
     notes = s.select("conv_id", "turn", scratchpad_note(F.col("arg")).alias("note"))
     ST.run_to_parquet(ST.scratchpad_stream(notes), f"{base}/out", f"{base}/ckpt")
     out = spark.read.parquet(f"{base}/out")

@@ -7,21 +7,63 @@ cluster); nothing here assumes a machine-local folder.
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+from corpusmill.sources.stores import open_store
+
 
 def write_shards(df: DataFrame, out_dir: str, scope_cols=(), shard_col: str = "shard", order_col: str | None = None,
-                 cols=("sample_id", "type", "text")) -> None:
-    """One output folder per (scope, shard) holding that shard's records as JSON lines,
-    in order.  A shard has at most ``max_records`` rows, so one task per shard is bounded.
-    Non-ASCII text is written as is."""
+                 cols=("sample_id", "type", "text")) -> DataFrame:
+    """Shard files ``<out_dir>/<scope>=<value>/.../part-%05d.jsonl``, each with that shard's
+    records as JSON lines in order (non-ASCII text as is); returns ``(path, records)``.
+
+    A shard has at most ``max_records`` rows, so the task that writes it is bounded.  It
+    streams to a temporary name and moves the finished file to its own, so a task that is
+    run again replaces the same content and readers never see half a shard.  Tasks write
+    through pyarrow's file systems (a shared folder or an object store)."""
     keys = [*scope_cols, shard_col]
-    out = df.repartition(*[F.col(k) for k in keys])
-    if order_col:
-        out = out.sortWithinPartitions(*keys, order_col)
-    out.select(*keys, *cols).write.mode("overwrite").partitionBy(*keys).json(out_dir)
+    folder = F.concat_ws("/", F.lit(out_dir.rstrip("/")), *[
+        F.concat(F.lit(f"{c}="), F.coalesce(F.url_encode(F.col(c).cast("string")), F.lit("__HIVE_DEFAULT_PARTITION__"))) for c in scope_cols
+    ])
+    rows = df.repartition(*[F.col(k) for k in keys])
+    rows = rows.sortWithinPartitions(*keys, *([order_col] if order_col else []))
+    line = F.to_json(F.struct(*cols), {"ignoreNullFields": "false"})
+    rows = rows.select(F.concat(folder, F.format_string("/part-%05d.jsonl", F.col(shard_col))).alias("path"), line.alias("line"))
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now = store = inner = out = temporary = None
+        records = 0
+
+        def close() -> pa.RecordBatch:
+            out.close()
+            store.move(temporary, inner)
+            return pa.RecordBatch.from_arrays([pa.array([now]), pa.array([records], pa.int64())], names=["path", "records"])
+
+        for batch in batches:
+            for path, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if path != now:
+                    if now is not None:
+                        yield close()
+                    now, records = path, 0
+                    store, inner = open_store(path)
+                    store.create_dir(inner.rsplit("/", 1)[0], recursive=True)
+                    head, name = inner.rsplit("/", 1)
+                    temporary = f"{head}/.{name}.{uuid.uuid4().hex}"
+                    out = store.open_output_stream(temporary)
+                out.write(text.encode() + b"\n")
+                records += 1
+        if now is not None:
+            yield close()
+
+    report = f"{out_dir.rstrip('/')}/_written-{uuid.uuid4().hex[:12]}"
+    rows.mapInArrow(write, "path string, records bigint").write.parquet(report)
+    return df.sparkSession.read.schema("path string, records bigint").parquet(report)
 
 
 def capped_files(df: DataFrame, out_dir: str, max_records: int, fmt: str = "json") -> None:
@@ -80,9 +122,9 @@ def write_manifest_lines(lines: DataFrame, path: str) -> None:
 
 def list_shard_files(spark: SparkSession, base: str) -> DataFrame:
     """Shard files under ``base`` in name order (names are zero-padded, so name order is
-    shard order): ``(path, name_rank)``."""
+    shard order): ``(path, name_rank)``, ranks from 0."""
     from corpusmill.operators.ordinals import with_ordinal
     from corpusmill.sources.files import list_files
 
-    files = list_files(spark, f"{base.rstrip('/')}/*/*", recursive=False).select("path")
+    files = list_files(spark, f"{base.rstrip('/')}/*=*/part-*.jsonl", recursive=False).select("path")
     return with_ordinal(files, "path", name="name_rank")

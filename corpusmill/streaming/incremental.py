@@ -19,7 +19,11 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 from corpusmill.sinks.writers import table_exists
 
 
-def read_stream_jsonl(spark: SparkSession, folder: str, schema: T.StructType | str, max_files: int = 1) -> DataFrame:
+MAX_FILES = 1000  # per micro-batch
+SEEN_BUCKETS = 64
+
+
+def read_stream_jsonl(spark: SparkSession, folder: str, schema: T.StructType | str, max_files: int = MAX_FILES) -> DataFrame:
     """New JSON-lines files in ``folder`` as a stream (explicit schema, bad lines dropped)."""
     return (
         spark.readStream.schema(schema)
@@ -45,16 +49,19 @@ def run_foreach_batch(stream: DataFrame, fn: Callable[[DataFrame, int], None], c
 
 def dedup_into_table(key_col: str, order_col: str, table_path: str) -> Callable[[DataFrame, int], None]:
     """foreachBatch body: keep the first row per key inside the batch, drop keys already
-    in the table (bounded state: the table itself), append the rest.  Idempotent per
-    batch id: a replayed batch finds its keys already present."""
+    in the table (the state is the table itself), append the rest.  The table is
+    partitioned by a hash bucket of the key (``bucket``), so a batch reads the keys of its
+    own buckets only.  Idempotent per batch id: a replayed batch finds its keys present."""
 
     def fn(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         firsts = batch.groupBy(key_col).agg(F.min_by(F.struct(*batch.columns), F.col(order_col)).alias("__r")).select("__r.*")
+        firsts = firsts.withColumn("bucket", F.pmod(F.xxhash64(key_col), F.lit(SEEN_BUCKETS)).cast("int"))
         if table_exists(spark, table_path):
-            seen = spark.read.parquet(table_path).select(key_col)
-            firsts = firsts.join(seen, key_col, "left_anti")
-        firsts.write.mode("append").parquet(table_path)
+            mine = [r[0] for r in firsts.select("bucket").distinct().collect()]  # at most SEEN_BUCKETS
+            seen = spark.read.parquet(table_path).filter(F.col("bucket").isin(mine)).select(key_col, "bucket")
+            firsts = firsts.join(seen, [key_col, "bucket"], "left_anti")
+        firsts.write.mode("append").partitionBy("bucket").parquet(table_path)
 
     return fn
 
