@@ -52,6 +52,7 @@ SAMPLE_BYTES = 4096
 DICTIONARY_BYTES = 64 << 10
 LEVEL = 3
 KNOWN_WORDS = 1_000_000
+_SHARD = 4 << 20  # text bytes looked up at a time
 _LINE, _LINES = 64, 64  # words per line, lines per call of the tokenizer
 _TOKENIZERS: dict = {}
 
@@ -227,7 +228,7 @@ def write_tokens(
         packer = zstandard.ZstdCompressor(level=LEVEL, dict_data=_dict_data(shared.value))
         for column in batches:
             sizes, sums, frames = [], [], []
-            for _, _, data, offsets in W.shards(column):
+            for _, _, data, offsets in W.shards(column, _SHARD):
                 ids, bounds = own.encode(data, offsets)
                 wide, narrow = ids.astype("<u4"), ids.astype(kind)
                 for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):

@@ -19,7 +19,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 1 << 20
 
 _BYTES = np.arange(256)
 LOWER = np.where((_BYTES >= 65) & (_BYTES <= 90), _BYTES + 32, _BYTES).astype(np.uint8)
