@@ -66,7 +66,8 @@ def position_tokens(text: Column | str, seq_len: int) -> tuple[Column, Column]:
 
 def pad_or_truncate(arr: Column, length: int, pad_value=0) -> Column:
     """Right-pad with ``pad_value`` or truncate an array to ``length``."""
-    return F.slice(F.concat(arr, F.array_repeat(F.lit(pad_value), F.lit(length))), 1, length)
+    pad = pad_value if isinstance(pad_value, Column) else F.lit(pad_value)
+    return F.slice(F.concat(arr, F.array_repeat(pad, F.lit(length))), 1, length)
 
 
 def active_tokens(mask: Column) -> Column:
@@ -92,8 +93,9 @@ def tokenize(df: DataFrame, model_factory, text_col: str, seq_len: int, output_c
 
         return apply
 
-    raw = batch_udf(factory, "array<bigint>")(F.col(text_col))
-    ids = F.slice(F.concat(raw, F.array_repeat(F.lit(0).cast("bigint"), seq_len)), 1, seq_len)
+    raw = F.col("__raw_ids")
+    zeros, ones = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
     n = F.least(F.size(raw), F.lit(seq_len))
-    mask = F.transform(F.sequence(F.lit(1), F.lit(seq_len)), lambda i: F.when(i <= n, 1).otherwise(0).cast("bigint"))
-    return df.withColumn(output_col, ids).withColumn("attention_mask", mask)
+    out = df.withColumn("__raw_ids", batch_udf(factory, "array<bigint>").asNondeterministic()(F.col(text_col)))
+    out = out.withColumn("attention_mask", F.concat(F.array_repeat(ones, n), F.array_repeat(zeros, F.lit(seq_len) - n)))
+    return out.withColumn(output_col, pad_or_truncate(raw, seq_len, zeros)).drop("__raw_ids")

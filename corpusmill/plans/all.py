@@ -6,6 +6,7 @@ from corpusmill.plans import (  # noqa: F401
     q_manifest,
     q_mix,
     q_numeric,
+    q_recipes,
     q_records,
     q_stream,
     q_text,

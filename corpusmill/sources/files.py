@@ -134,14 +134,17 @@ def suffix_of(path: str) -> str:
 
 def read_records(spark: SparkSession, paths: Sequence[str], schema: T.StructType = RECORD_SCHEMA) -> DataFrame:
     """Format dispatch by suffix: ``.parquet`` -> parquet, everything else (incl. ``.gz``)
-    -> JSON Lines; union by name.  Adds ``path`` = record path or file path."""
+    -> JSON Lines; the columns of ``schema`` that the files have, union by name.  Adds
+    ``path`` = record path or file path."""
     parquet = [p for p in paths if suffix_of(p) == ".parquet"]
     jsonl = [p for p in paths if suffix_of(p) != ".parquet"]
     parts = []
     if jsonl:
         parts.append(read_jsonl(spark, jsonl, schema))
     if parquet:
-        parts.append(read_parquet_text(spark, parquet))
+        there = spark.read.option("mergeSchema", "true").parquet(*parquet).columns
+        extra = [f.name for f in schema.fields if f.name in there and f.name not in TEXT_COLUMNS]
+        parts.append(read_parquet_text(spark, parquet, extra))
     if not parts:
         raise ValueError("no input paths")
     out = parts[0]
