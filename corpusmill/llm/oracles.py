@@ -75,31 +75,44 @@ def mixed() -> str:
     FROM f LEFT JOIN k ON f.source IS NOT DISTINCT FROM k.source"""
 
 
-def repeated_words(length: int, keep_first: bool) -> str:
-    """Words covered by windows that occur elsewhere (or, keeping the first, earlier)."""
-    gone = "later" if keep_first else "true"
-    extra = "coalesce(n_repeated, 0) AS n_repeated, " if keep_first else ""
+def _covered(length: int) -> str:
+    """c: words covered by windows that occur elsewhere; ``later``: by one that occurs earlier."""
     return f"""
     WITH d AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id NULLS FIRST) AS r,
                       coalesce(regexp_extract_all(text, {_SPACED}), []) AS w FROM documents),
     g AS (SELECT r, i, md5(array_to_string(w[i + 1 : i + {length}], ' ')) AS s
           FROM d, unnest(range(greatest(len(w) - {length} + 1, 0))) AS t(i)),
     h AS (SELECT r, i, count(*) OVER (PARTITION BY s) AS n, row_number() OVER (PARTITION BY s ORDER BY r, i) > 1 AS later FROM g),
-    c AS (SELECT r, i + j AS p, max(later) AS later FROM h, unnest(range({length})) AS t(j) WHERE n > 1 GROUP BY r, i + j),
-    k AS (SELECT r, count(*) AS n_repeated, count(*) FILTER ({gone}) AS n_removed, list(p) FILTER ({gone}) AS ps FROM c GROUP BY r),
+    c AS (SELECT r, i + j AS p, max(later) AS later FROM h, unnest(range({length})) AS t(j) WHERE n > 1 GROUP BY r, i + j)"""
+
+
+def removed_words(length: int) -> str:
+    """All copies removed."""
+    return _covered(length) + """,
+    k AS (SELECT r, count(*) AS n_removed FROM c GROUP BY r),
     x AS (SELECT d.r, string_agg(w[p + 1], ' ' ORDER BY p) AS kept
-          FROM d, unnest(range(len(w))) AS t(p) LEFT JOIN (SELECT r AS cr, p AS cp FROM c WHERE {gone}) ON cr = d.r AND cp = p
+          FROM d, unnest(range(len(w))) AS t(p) LEFT JOIN (SELECT r AS cr, p AS cp FROM c) ON cr = d.r AND cp = p
           WHERE cp IS NULL GROUP BY d.r)
-    SELECT doc_id, len(w) AS n_words, {extra}coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+    SELECT doc_id, len(w) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
     FROM d LEFT JOIN k USING (r) LEFT JOIN x USING (r)"""
 
 
+def repeat_spans(length: int) -> str:
+    """Maximal repeats of every copy, with the words that later copies lose."""
+    return _covered(length) + """,
+    s AS (SELECT r, p, later, p - row_number() OVER (PARTITION BY r ORDER BY p) AS island FROM c)
+    SELECT any_value(doc_id) AS doc_id, any_value(len(w)) AS n_words, min(p) AS start, count(*) AS length,
+           count(*) FILTER (later) AS n_removed
+    FROM s JOIN d USING (r) GROUP BY r, island"""
+
+
 def line_runs() -> str:
     """Lines with a word covered by two consecutive ones that occur earlier (min_lines = 2)."""
     return r"""
     WITH d AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id NULLS FIRST) AS r, text, string_split(text, chr(10)) AS ls FROM documents),
     a AS (SELECT r, unnest(ls) AS l, generate_subscripts(ls, 1) AS i FROM d),
-    b AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY i) AS p FROM a WHERE regexp_matches(l, '[^ 	-]')),
+    b AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY i) AS p FROM a WHERE regexp_matches(l, '[^ 	-
+]')),
     c AS (SELECT r, p, l, lead(l) OVER (PARTITION BY r ORDER BY p) AS m FROM b),
     e AS (SELECT r, p, row_number() OVER (PARTITION BY l, m ORDER BY r, p) > 1 AS later FROM c WHERE m IS NOT NULL),
     f AS (SELECT DISTINCT r, p + j AS p FROM e, unnest([0, 1]) AS t(j) WHERE later),
@@ -114,7 +127,7 @@ def line_runs() -> str:
 ORACLES: dict[str, str] = {
     "op1_decontamination": decontamination(),
     "op4_mixing": mixed(),
-    "op5_suffix_dedup": repeated_words(50, keep_first=True),
-    "op6_substring_dedup": repeated_words(35, keep_first=False),
+    "op5_suffix_dedup": repeat_spans(50),
+    "op6_substring_dedup": removed_words(35),
     "op8_line_dedup": line_runs(),
 }

@@ -89,8 +89,12 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = sparse_suffix.dedup_suffixes(docs)
-    return found.select("doc_id", "n_words", "n_repeated", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+    # a row per maximal repeat, all copies; documents without one have none
+    found = sparse_suffix.dedup_suffixes(docs).select("doc_id", "n_words", F.explode("repeats").alias("r"))
+    return found.select(
+        "doc_id", "n_words", *[F.col(f"r.{c}").cast("bigint").alias(n) for c, n in
+                               (("start", "start"), ("length", "length"), ("removed", "n_removed"))]
+    )
 
 
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

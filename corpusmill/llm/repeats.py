@@ -160,14 +160,17 @@ def repeated_words(
     return X.with_answers(blocks, seeds.unionByName(found), decide, schema)
 
 
-def span_lists(mask: np.ndarray, doc: np.ndarray) -> pa.Array:
-    """Per text the maximal runs of the mask as (start, length), in words."""
+def span_lists(mask: np.ndarray, doc: np.ndarray, removed: np.ndarray | None = None) -> pa.Array:
+    """Per text the maximal runs of the mask as (start, length), in words, and how many of
+    their words are removed if that mask is given."""
     start, end = W.runs(mask, doc)
     owner = np.searchsorted(doc, start, side="right") - 1
     bounds = np.searchsorted(owner, np.arange(len(doc)))
-    found = pa.StructArray.from_arrays(
-        [pa.array(start - doc[owner], pa.int32()), pa.array(end - start, pa.int32())], names=["start", "length"]
-    )
+    columns = {"start": start - doc[owner], "length": end - start}
+    if removed is not None:
+        upto = np.concatenate([[0], np.cumsum(removed)])
+        columns["removed"] = upto[end] - upto[start]
+    found = pa.StructArray.from_arrays([pa.array(x, pa.int32()) for x in columns.values()], names=list(columns))
     return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), found)
 
 

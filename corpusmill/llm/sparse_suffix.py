@@ -43,8 +43,9 @@ def compare_neighbours(prefix: np.ndarray, multi: np.ndarray, row: np.ndarray) -
 def dedup_suffixes(
     docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, prefix_words: int = PREFIX_WORDS
 ) -> DataFrame:
-    """``(key, n_words, n_repeated, n_removed, repeats, removed, kept)`` per document: words
-    in repeats, words in later copies, the maximal spans of both, and the remaining words."""
+    """``(key, n_words, n_repeated, n_removed, repeats, kept)`` per document: words in
+    repeats, words in later copies, the maximal repeats (start, length, and how many of their
+    words are in later copies), and the remaining words."""
     kind = docs.schema[key].dataType.simpleString()
 
     def finish(spans: R.Spans, repeated: np.ndarray, later: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -55,14 +56,13 @@ def dedup_suffixes(
                 pa.array(split.counts(), pa.int64()),
                 pa.array(W.per_text(repeated, split.doc), pa.int64()),
                 pa.array(W.per_text(later, split.doc), pa.int64()),
-                R.span_lists(repeated, split.doc),
-                R.span_lists(later, split.doc),
+                R.span_lists(repeated, split.doc, removed=later),
                 R.kept_text(split, later),
             ],
-            names=["key", "n_words", "n_repeated", "n_removed", "repeats", "removed", "kept"],
+            names=["key", "n_words", "n_repeated", "n_removed", "repeats", "kept"],
         )
 
-    span = "array<struct<start:int,length:int>>"
-    schema = f"key {kind}, n_words bigint, n_repeated bigint, n_removed bigint, repeats {span}, removed {span}, kept string"
+    span = "array<struct<start:int,length:int,removed:int>>"
+    schema = f"key {kind}, n_words bigint, n_repeated bigint, n_removed bigint, repeats {span}, kept string"
     found = R.repeated_words(docs, key, text, length, min(prefix_words, length), compare_neighbours, finish, schema, "sparse-suffix")
     return found.withColumnRenamed("key", key)

@@ -203,7 +203,11 @@ def test_repeated_words(odd, empty, first_stays, length):
     same([(r.doc_id, r.n_words, r.n_removed, r.kept) for r in got],
          [(r[0], len(w), len(g), k) for r, w, g, k in zip(rows, lists, gone, kept)])
     for r in got:
-        assert sum(s.length for s in (r.removed if first_stays else r.spans)) == r.n_removed
+        if first_stays:
+            assert sum(s.removed for s in r.repeats) == r.n_removed
+            assert sum(s.length for s in r.repeats) == r.n_repeated
+        else:
+            assert sum(s.length for s in r.spans) == r.n_removed
 
 
 def test_tokens(spark, odd, empty):
