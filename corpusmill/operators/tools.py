@@ -10,13 +10,16 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
 
 from corpusmill.functions.calculator import evaluate
-from corpusmill.functions.text import PY_SPACE_CLASS, py_strip
+from corpusmill.functions.text import PY_SPACE_CLASS, PY_SPACES, py_strip
 
 # --- fixed values (must equal the reference's rules) --------------------------------
 # A tool call line: CALL <name>: "<argument>"  (name: letters, digits, _ and -).
@@ -42,10 +45,14 @@ def calculator(exprs: Iterator[pd.Series]) -> Iterator[pd.Series]:
         yield s.map(evaluate, na_action="ignore")
 
 
-@F.pandas_udf(ArrayType(StringType()))
-def calculator_many(arrays: pd.Series) -> pd.Series:
+@F.arrow_udf(ArrayType(StringType()))
+def calculator_many(arrays: pa.Array) -> pa.Array:
     """Calculator over an array of expressions per row (null elements stay null)."""
-    return arrays.map(lambda a: None if a is None else [evaluate(x) for x in a])
+    values = arrays.flatten()
+    done = pa.array([evaluate(x) for x in values.to_pylist()], pa.string())
+    size = pc.list_value_length(arrays).fill_null(0).to_numpy(zero_copy_only=False)
+    bounds = np.concatenate([[0], np.cumsum(size)])
+    return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), done, mask=arrays.is_null())
 
 
 def _c(col):
@@ -63,23 +70,11 @@ def scratchpad_note(arg: Column) -> Column:
     )
 
 
-def call_results(names: Column, args: Column, sums: Column) -> Column:
-    """One result per call, in call order: the calculator's from ``sums``, the scratchpad's
-    last notes of this record, the unknown-tool error.  One pass that carries the notes."""
-    start = F.struct(
-        F.array().cast("array<string>").alias("notes"), F.array().cast("array<string>").alias("out")
-    )
-    calls = F.arrays_zip(names.alias("n"), args.alias("a"), F.coalesce(sums, F.transform(names, lambda n: F.lit(None).cast("string"))).alias("s"))
-
-    def step(state: Column, call: Column) -> Column:
-        pad = call["n"] == SCRATCHPAD
-        longer = F.concat(state["notes"], F.array(scratchpad_note(call["a"])))
-        last = F.slice(longer, F.greatest(F.size(longer) - (SCRATCHPAD_LINES - 1), F.lit(1)), F.lit(SCRATCHPAD_LINES))
-        notes = F.when(pad, last).otherwise(state["notes"])
-        said = F.when(call["n"] == CALCULATOR, call["s"]).when(pad, F.array_join(last, "\n")).otherwise(F.lit(UNKNOWN_TOOL))
-        return F.struct(notes.alias("notes"), F.concat(state["out"], F.array(said)).alias("out"))
-
-    return F.aggregate(calls, start, step, lambda state: state["out"])
+def _argument(call: Column) -> Column:
+    """Between the first and the last quote of a call line."""
+    rest = F.btrim(call, F.lit(PY_SPACES))  # ends with the closing quote
+    first = F.instr(rest, '"')
+    return F.substr(rest, first + 1, F.length(rest) - first - 1)
 
 
 # The call-line rule over a whole text: multiline anchors, no class or dot crosses "\n".
@@ -101,19 +96,41 @@ def inject_tool_results(df: DataFrame, text: Column | str, out_col: str) -> Data
     st = df.withColumn("__body", t)
     body = F.col("__body")
     st = st.withColumn("__calls", F.regexp_extract_all(body, F.lit(CALL_LINE_PATTERN), 0))
-    # names and arguments from the (short) call lines, not another pass over the text
-    st = st.withColumn("__names", F.transform("__calls", lambda c: F.lower(F.regexp_extract(c, CALL_LINE_PATTERN, 1))))
-    st = st.withColumn("__args", F.transform("__calls", lambda c: F.regexp_extract(c, CALL_LINE_PATTERN, 2)))
+    # names and arguments from the (short) call lines, which match the rule already: the
+    # name ends at the first colon, the argument lies between the first and the last quote
+    # (the name's regex class has neither)
+    after = lambda c: F.substring_index(c, ":", 1)
+    st = st.withColumn("__names", F.transform("__calls", lambda c: F.lower(py_strip(F.substring(after(c), 5, 1 << 30)))))
+    st = st.withColumn("__args", F.transform("__calls", _argument))
     sums = F.zip_with("__names", "__args", lambda n, a: F.when(n == CALCULATOR, a))
-    any_sum = F.array_contains("__names", CALCULATOR)
-    st = st.withColumn("__sums", calculator_many(F.when(any_sum, sums)))
-    st = st.withColumn("__res", call_results(F.col("__names"), F.col("__args"), F.col("__sums")))
+    st = st.withColumn("__sums", calculator_many(F.when(F.array_contains("__names", CALCULATOR), sums)))
+    # the scratchpad: all notes of the record once, then each call shows the last ones
+    pad_args = F.filter(F.zip_with("__names", "__args", lambda n, a: F.when(n == SCRATCHPAD, a)), lambda a: a.isNotNull())
+    st = st.withColumn("__notes", F.transform(pad_args, scratchpad_note))
+    count = F.size("__notes")
+    shown = F.transform(
+        F.sequence(F.lit(1), count),
+        lambda k: F.array_join(
+            F.slice("__notes", F.greatest(k - (SCRATCHPAD_LINES - 1), F.lit(1)), F.least(k, F.lit(SCRATCHPAD_LINES))), "\n"
+        ),
+    )
+    # results with their call's place, put in order: nothing is looked up by index, as an
+    # array computed in this projection would be worked out again for every element
+    places = F.filter(F.sequence(F.lit(1), F.size("__names")), lambda i: F.element_at("__names", i) == SCRATCHPAD)
+    pads = F.arrays_zip(places.alias("i"), shown.alias("r"))
+    other = F.zip_with(
+        "__names", F.coalesce("__sums", F.transform("__names", lambda n: F.lit(None).cast("string"))),
+        lambda n, s: F.when(n == CALCULATOR, s).when(n != SCRATCHPAD, F.lit(UNKNOWN_TOOL)),
+    )
+    rest = F.filter(F.transform(other, lambda r, i: F.struct((i + 1).alias("i"), r.alias("r"))), lambda x: x["r"].isNotNull())
+    ordered = F.sort_array(F.when(count > 0, F.concat(pads, rest)).otherwise(rest))
+    st = st.withColumn("__res", F.transform(ordered, lambda x: x["r"]))
     st = st.withColumn("__segs", F.split(body, CALL_LINE_PATTERN, -1))
     with_results = F.zip_with("__calls", "__res", lambda c, r: F.concat(c, F.lit("\n" + RESULT_PREFIX), r))
     tail = F.zip_with(with_results, F.slice("__segs", 2, F.greatest(F.size("__segs") - 1, F.lit(0))), lambda a, b: F.concat(a, b))
     out = F.when(F.size("__calls") == 0, body).otherwise(F.concat(F.element_at("__segs", 1), F.array_join(tail, "")))
     st = st.withColumn(out_col, out)
-    return st.drop("__body", "__calls", "__names", "__args", "__sums", "__res", "__segs")
+    return st.drop("__body", "__calls", "__names", "__args", "__sums", "__notes", "__res", "__segs")
 
 
 def py_splitlines(text: Column | str) -> Column:
