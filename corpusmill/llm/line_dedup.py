@@ -9,7 +9,8 @@ when no run is repeated: the places that share a name at level j are an interval
 with a common prefix of at least ``2**j`` lines.  Runs of at least ``min_lines`` lines that
 occur earlier are deleted, merged to maximal runs; the first occurrence stays.
 
-Plan: line hashes and names are shuffled, texts once, for the result.  Names are partial
+Plan: line hashes and names are shuffled, texts once, for the result; the two large joins
+are shuffle joins at every size (a small corpus takes the plan that a large one takes).  Names are partial
 aggregates (a hot line costs one row per task) joined back by name; the join's skewed
 partitions can be split (AQE).  Every round is a written table.
 
@@ -58,16 +59,17 @@ def lines_of(docs: DataFrame, key: str, text: str) -> DataFrame:
     return rows.select("o", "h", F.posexplode(listed).alias("p", "l")).select("o", "h", "p", "l.a", "l.b")
 
 
-def named(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
+def named(rows: DataFrame, keys: list[str], name: str, join: str = "") -> DataFrame:
     """Rows whose keys occur at two places at least, with the first such place."""
     first = rows.groupBy(*keys).agg(F.min(_place()).alias("first"), F.max(_place()).alias("last"))
     first = first.filter("first <> last").select(*keys, "first")
+    first = first.hint(join) if join else first
     return written(rows.join(first, keys).select("o", "h", "p", F.col("first").alias("name")).distinct(), name)
 
 
 def run_levels(lines: DataFrame) -> list[DataFrame]:
     """Level j: repeated runs of 2**j lines, named by their first place."""
-    levels = [named(lines, ["a", "b"], "lines-0")]
+    levels = [named(lines, ["a", "b"], "lines-0", "merge")]
     while len(levels) <= MAX_ROUNDS:
         now, step = levels[-1], 1 << (len(levels) - 1)
         ahead = now.select("o", "h", (F.col("p") - step).alias("p"), F.col("name").alias("next"))
@@ -117,7 +119,7 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_li
     runs = written(runs, "lines-runs")
     t = F.col("t")
     rows = docs.select(F.col(key).alias("key"), _order(docs, key).alias("o"), F.xxhash64(F.col(text).cast("string")).alias("h"), F.col(text).cast("string").alias("t"))
-    joined = rows.join(runs, ["o", "h"], "left")
+    joined = rows.join(runs.hint("merge"), ["o", "h"], "left")
     listed = F.coalesce(F.split(t, "\n", -1), F.array().cast("array<string>"))
     count = F.size(F.filter(listed, lambda x: x.rlike(_WORD))).cast("bigint")
     removed = F.coalesce(F.aggregate("runs", F.lit(0).cast("bigint"), lambda s, r: s + r["length"]), F.lit(0).cast("bigint"))
