@@ -145,7 +145,6 @@ def links(distinct: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFr
             last += 1
         reach.append((ranges[at][0], [r[0] for r in ranges[at : last + 1]]))
     pairs = spark.createDataFrame(reach, "i int, js array<int>").select("i", F.explode("js").alias("j"))
-    pairs = pairs.repartition(max(1, min(4 * count * count, 4 * spark.sparkContext.defaultParallelism * (1 + count // 8))), "i", "j")
     left = tiles.select(F.col("tile").alias("i"), F.col("fps").alias("left"))
     right = tiles.select(F.col("tile").alias("j"), F.col("fps").alias("right"))
 
@@ -159,6 +158,9 @@ def links(distinct: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFr
                 yield pa.RecordBatch.from_arrays(got.flatten(), names=["a", "b"])
 
     joined = pairs.join(left, "i").join(right, "j").select("i", "j", "left", "right")
+    # a pair is much work for few bytes: dealt to tasks by number, not by size
+    most = 32 * spark.sparkContext.defaultParallelism
+    joined = joined.repartition(max(1, min(most, sum(len(js) for _, js in reach))), "i", "j")
     return joined.mapInArrow(compare, "a bigint, b bigint")
 
 
