@@ -179,9 +179,8 @@ def kept_text(split: W.Words, removed: np.ndarray) -> pa.Array:
     keep = ~removed
     size = np.diff(split.off)
     owner = split.doc_of()
-    last = np.ones(split.n, bool)  # the last kept word of a text has no space after it
+    last = np.zeros(split.n, bool)  # the last kept word of a text has no space after it
     kept_at = np.flatnonzero(keep)
-    last[:] = False
     if len(kept_at):
         ends = np.append(owner[kept_at][1:] != owner[kept_at][:-1], True)
         last[kept_at[ends]] = True

@@ -17,7 +17,6 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 
 SHARD_BYTES = 1 << 20
 
@@ -103,12 +102,6 @@ def split(data: np.ndarray, offsets: np.ndarray, word_bytes: np.ndarray, lower:
     return Words(data[inside], off, np.searchsorted(first, offsets).astype(np.int64))
 
 
-def hashes(dictionary: pa.Array, seed: int = 0) -> np.ndarray:
-    """64-bit content hashes of distinct words (the same in every shard)."""
-    digest = xxhash.xxh64_intdigest
-    return np.fromiter((digest(w, seed) for w in dictionary.to_pylist()), np.uint64, len(dictionary))
-
-
 def _byte_table(seed: int) -> np.ndarray:
     return mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95) + np.uint64(2 * seed + 1))
 
@@ -138,16 +131,12 @@ def token_hashes(split: Words, seed: int = 0, segment: int = 1 << 20) -> np.ndar
         end = min(max(end, first + 1), split.n)
         off = split.off[first : end + 1] - split.off[first]
         data = split.data[split.off[first] : split.off[end]]
-        up, down = _powers(max(len(data), segment)) if len(data) <= segment else _powers(len(data))
+        up, down = _powers(max(len(data), segment))
         total = np.zeros(len(data) + 1, np.uint64)
         np.cumsum(table[data] * up[: len(data)], out=total[1:])
         out[first:end] = (total[off[1:]] - total[off[:-1]]) * down[off[:-1]]
         first = end
-    return mix(out + split_lengths(split) * np.uint64(0xA24BAED4963EE407))
-
-
-def split_lengths(split: Words) -> np.ndarray:
-    return np.diff(split.off).astype(np.uint64)
+    return mix(out + np.diff(split.off).astype(np.uint64) * np.uint64(0xA24BAED4963EE407))
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -127,7 +127,7 @@ def test_mixing(spark, odd, empty):
     for emphasis in (None, queries.mix_emphasis()):
         got = mixing.mix(odd, emphasis=emphasis).collect()
         assert len(got) == odd.count()
-        total = sum(r.size_ if hasattr(r, "size_") else r["size"] for r in got)
+        total = sum(r["size"] for r in got)
         targets = {r.source: r.target for r in got}
         assert sum(targets.values()) == pytest.approx(1.5 * total)
         for r in got:
