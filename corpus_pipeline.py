@@ -14,8 +14,9 @@ from corpusmill.session import scratch_dir
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the base rules and the likelihood-ratio threshold."""
-    return quality.keep_quality(docs, queries.trusted_documents(spark, sf_dir))
+    """Documents that pass the base rules, the likelihood-ratio and the toxicity threshold."""
+    trusted = queries.trusted_documents(spark, sf_dir)
+    return quality.keep_quality(docs, trusted, labels=queries.toxic_labels(spark, sf_dir))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -35,6 +35,11 @@ def trusted_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "labels").filter("quality = 1 and toxic = 0").select("doc_id")
 
 
+def toxic_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(id, toxic) of all labelled documents."""
+    return table(spark, sf_dir, "labels").select("doc_id", (F.col("toxic") == 1).alias("toxic"))
+
+
 def mix_emphasis() -> F.Column:
     """Longer texts are a little more likely: the logarithm of the size in words."""
     return F.log2(mixing.size_of(F.col("text")) + 2)
@@ -56,7 +61,7 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     q = F.col("q")
-    scored = quality.score_quality(docs, trusted_documents(spark, sf_dir), out="q")
+    scored = quality.score_quality(docs, trusted_documents(spark, sf_dir), out="q", labels=toxic_labels(spark, sf_dir))
     return scored.select(
         "doc_id",
         *[q[c].alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")],
