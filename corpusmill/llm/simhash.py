@@ -172,7 +172,8 @@ def simhash_classes(
     radius: int = RADIUS,
     tile: int = TILE,
 ) -> DataFrame:
-    """``(key, text_hash, fingerprint, component_id)``, one row per row of ``docs``."""
+    """``(key, text_hash, fingerprint, component_id, class_root)``, one row per row of
+    ``docs``; ``class_root`` is a fingerprint of the component that names it."""
 
     @F.arrow_udf("bigint")
     def fingerprint(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -186,14 +187,17 @@ def simhash_classes(
     member = components(links(distinct, radius, tile), "simhash-components")
     joined = member.join(distinct, member["node"] == distinct["fp"]).select("fp", "root", "low")
     lows = joined.groupBy("root").agg(F.min("low").alias("component"))
-    named = joined.join(lows, "root").select("fp", "component")
-    labels = distinct.join(named, "fp", "left").select("fp", F.coalesce("component", "low").alias("component_id"))
+    named = joined.join(lows, "root").select("fp", "root", "component")
+    labels = distinct.join(named, "fp", "left").select(
+        "fp", F.coalesce("component", "low").alias("component_id"), F.coalesce("root", "fp").alias("root")
+    )
     out = rows.join(labels, "fp")
     return out.select(
         F.col("id").alias(key),
         F.col("th").alias("text_hash"),
         F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
         "component_id",
+        F.lpad(F.lower(F.hex("root")), 16, "0").alias("class_root"),
     )
 
 
@@ -205,9 +209,8 @@ def keep_one_per_class(docs: DataFrame, key: str = "doc_id", text: str = "text",
     row with the smallest text hash."""
     classes = simhash_classes(docs, key, text, **options)
     chosen = classes.filter(F.col(key).eqNullSafe(F.col("component_id")))
-    # a class is named by its component id, a class without ids by its fingerprint
-    name = F.coalesce(F.col("component_id").cast("string"), F.concat(F.lit("?"), "fingerprint"))
-    chosen = chosen.groupBy(name.alias("__cm_class")).agg(F.min(F.struct("text_hash", F.col(key))).alias("__cm_pick"))
+    # texts of several classes can share an id, so a component id does not name a class
+    chosen = chosen.groupBy("class_root").agg(F.min(F.struct("text_hash", F.col(key))).alias("__cm_pick"))
     chosen = chosen.select(F.col("__cm_pick.text_hash").alias("__cm_hash"), F.col("__cm_pick")[key].alias("__cm_id")).distinct()
     tagged = docs.withColumn("__cm_th", F.xxhash64(F.col(text).cast("string")))
     match = tagged["__cm_th"].eqNullSafe(F.col("__cm_hash")) & tagged[key].eqNullSafe(F.col("__cm_id"))
