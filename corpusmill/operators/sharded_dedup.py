@@ -4,132 +4,148 @@ earlier *in the same output shard*; a shard holds ``n`` accepted rows).
 A shard that opens at position p is the greedy maximal run [p, f(p)) holding n
 distinct texts; its accepted rows are the first occurrence of each text inside the
 run, and f(p) is the first occurrence of the (n+1)-th distinct text.  Boundaries form a
-chain 0 -> f(0) -> f(f(0)) ...; it is computed without a sequential pass:
-
-1. positions are cut into chunks of ``chunk`` rows; one task per chunk sees the previous
-   chunk, its own rows and the next chunk (halo) and computes f for both chunks with a
-   two-pointer pass, the set X of positions where chains from the previous chunk can
-   enter this chunk, and - one backwards pass - the exit of the chain from every entry
-   and the number of shards it opens inside the chunk;
-2. the (chunk, entry) -> (next entry, shards) maps are composed along the chunks by
-   pointer doubling (log #chunks joins on small tables), which yields every chunk's
-   actual entry and the number of shards before it;
-3. one task per chunk (own rows + next chunk as halo) replays its shards from its entry
-   and emits the accepted positions with their shard number.
-
-A shard may span at most ``chunk`` positions (an error names the setting otherwise).
+chain 0 -> f(0) -> f(f(0)) ...; it is computed without a sequential pass and without a
+bound on the positions that a shard spans:
+
+1. positions are cut into chunks of ``chunk`` rows.  A chunk's head is its first n+1
+   distinct texts with their first positions, its tail the n texts with the last
+   occurrences.  Heads of everything from a chunk on come from pointer doubling (the
+   head of 2m chunks merges two heads of m chunks);
+2. a window that reaches its chunk's end with k distinct texts holds the first k of the
+   tail, so its f is the (n+1-k)-th text of the following head that is not among them:
+   at most n exits per chunk, however far they lie.  They are the only entries of chunks;
+3. one task per chunk follows the chain from every entry to the last shard that opens in
+   the chunk; the (entry) -> (next entry, shards) maps are composed by pointer doubling,
+   which yields the actual entries and the number of shards before each;
+4. one task per chunk replays its shards; the rows that a shard accepts beyond the chunk
+   are those first texts of the following head.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_CHUNK = 1 << 20
 
 
-def _next_boundaries(codes: np.ndarray, starts: range, n: int, total_end: int, base: int) -> dict[int, int]:
-    """f(p) for p in ``starts`` (absolute positions; ``codes`` begin at ``base``)."""
-    out: dict[int, int] = {}
-    m = len(codes)
+def _codes(pdf: pd.DataFrame) -> tuple[list[int], int]:
+    pdf = pdf.sort_values("pos")
+    return pd.factorize(pdf["key"])[0].tolist(), int(pdf["pos"].iloc[0])
+
+
+def _next_boundaries(codes: list[int], n: int) -> list[int]:
+    """Index f(i) for every index; -1 where the window reaches the end of the chunk."""
+    out = [-1] * len(codes)
     counts: dict[int, int] = {}
-    distinct = 0
-    x = None  # exclusive window end (index)
-    for p in starts:
-        i = p - base
-        if x is None:
-            x = i
-        if x < i:
-            x, counts, distinct = i, {}, 0
+    x = 0
+    for i, c in enumerate(codes):
         # grow the window [i, x) until the next row would be the (n+1)-th distinct text
-        while x < m:
-            c = codes[x]
-            if counts.get(c, 0) == 0 and distinct == n:
-                break
-            if counts.get(c, 0) == 0:
-                distinct += 1
-            counts[c] = counts.get(c, 0) + 1
+        while x < len(codes) and (len(counts) < n or codes[x] in counts):
+            counts[codes[x]] = counts.get(codes[x], 0) + 1
             x += 1
-        if x < m:
-            out[p] = base + x
-        elif base + m >= total_end:
-            out[p] = total_end
+        if x == len(codes):
+            return out
+        out[i] = x
+        if counts[c] == 1:
+            del counts[c]
         else:
-            raise ValueError("a shard spans more positions than the dedup chunk; raise chunk size")
-        # slide: drop row i from the window
-        c = codes[i]
-        counts[c] -= 1
-        if counts[c] == 0:
-            distinct -= 1
+            counts[c] -= 1
     return out
 
 
-def _phase1(n: int, chunk: int):
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("pos")
-        c = int(pdf["__chunk"].iloc[0])
-        total = int(pdf["__total"].iloc[0])
-        pos = pdf["pos"].to_numpy()
-        codes = pd.factorize(pdf["key"])[0]
-        base = int(pos[0])
-        a, b = c * chunk, min((c + 1) * chunk, total)
-        if c == 0:
-            entries = [0]
-        else:
-            f_prev = _next_boundaries(codes, range(a - chunk, a), n, total, base)
-            entries = sorted({v for v in f_prev.values() if a <= v < b})
-        f_own = _next_boundaries(codes, range(a, b), n, total, base)
-        out_pos: dict[int, int] = {}
-        out_cnt: dict[int, int] = {}
-        for q in range(b - 1, a - 1, -1):
-            nxt = f_own[q]
-            if nxt >= b:
-                out_pos[q], out_cnt[q] = nxt, 1
-            else:
-                out_pos[q], out_cnt[q] = out_pos[nxt], 1 + out_cnt[nxt]
-        ds = pdf["dataset"].iloc[0]
+def _follow(n: int):
+    """Per entry: the distinct texts of the last shard that opens here, and the shards."""
+
+    def fn(rows: pd.DataFrame, entries: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        if len(rows) and len(entries):
+            codes, base = _codes(rows)
+            f = _next_boundaries(codes, n)
+            # backwards: last opening and shards from every index
+            last, shards = list(range(len(codes))), [1] * len(codes)
+            for i in range(len(codes) - 1, -1, -1):
+                if f[i] >= 0:
+                    last[i], shards[i] = last[f[i]], 1 + shards[f[i]]
+            kinds: dict[int, int] = {}
+            for q in entries["q"].tolist():
+                p = last[q - base]
+                if p not in kinds:
+                    kinds[p] = len(set(codes[p:]))
+                out.append((entries["dataset"].iloc[0], entries["chunk"].iloc[0], q, kinds[p], shards[q - base]))
+        return pd.DataFrame(out, columns=["dataset", "chunk", "q", "k", "w"])
+
+    return fn
+
+
+def _exits(n: int):
+    """Per number k of texts in an open window: where it ends after the chunk."""
+
+    def fn(tail: pd.DataFrame, head: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        if len(tail) and len(head):
+            texts = tail.sort_values("last", ascending=False)["key"].tolist()
+            following = head.sort_values("pos")
+            place = {t: k for k, t in enumerate(texts)}
+            for k in range(1, len(texts) + 1):
+                new = 0
+                for t, p in zip(following["key"].tolist(), following["pos"].tolist()):
+                    new += place.get(t, n) >= k
+                    if new == n + 1 - k:
+                        out.append((tail["dataset"].iloc[0], tail["chunk"].iloc[0], k, p))
+                        break
+        return pd.DataFrame(out, columns=["dataset", "chunk", "k", "nq"])
+
+    return fn
+
+
+def _replay(n: int):
+    def fn(rows: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        positions, numbers = [], []
+        if len(rows) and len(right):
+            sorted_rows = rows.sort_values("pos")
+            codes, base = _codes(sorted_rows)
+            keys = sorted_rows["key"].tolist()
+            p, shard = int(right["entry"].iloc[0]) - base, int(right["before"].iloc[0])
+            while p < len(codes):
+                seen: dict[int, int] = {}
+                x = p
+                while x < len(codes) and (len(seen) < n or codes[x] in seen):
+                    seen.setdefault(codes[x], x)
+                    x += 1
+                positions += [base + i for i in seen.values()]
+                numbers += [shard] * len(seen)
+                if x == len(codes) and len(seen) <= n:
+                    had, room = {keys[i] for i in seen.values()}, n - len(seen)
+                    following = right.dropna(subset=["pos"]).sort_values("pos")
+                    new = [int(q) for t, q in zip(following["key"].tolist(), following["pos"].tolist()) if t not in had][:room]
+                    positions += new
+                    numbers += [shard] * len(new)
+                p, shard = x, shard + 1
+        name = rows["dataset"].iloc[0] if len(rows) else None
         return pd.DataFrame(
             {
-                "dataset": pd.Series([ds] * len(entries), dtype="object"),
-                "chunk": np.full(len(entries), c, dtype="int64"),
-                "q": np.array(entries, dtype="int64"),
-                "nq": np.array([out_pos[q] for q in entries], dtype="int64"),
-                "w": np.array([out_cnt[q] for q in entries], dtype="int64"),
+                "dataset": pd.Series([name] * len(positions), dtype="object"),
+                "pos": np.array(positions, dtype="int64"),
+                "shard": np.array(numbers, dtype="int64"),
             }
         )
 
     return fn
 
 
-def _phase3(n: int, chunk: int):
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("pos")
-        c = int(pdf["__chunk"].iloc[0])
-        total = int(pdf["__total"].iloc[0])
-        entry, shard0 = int(pdf["__entry"].iloc[0]), int(pdf["__shards_before"].iloc[0])
-        pos = pdf["pos"].to_numpy()
-        codes = pd.factorize(pdf["key"])[0]
-        base = int(pos[0])
-        b = min((c + 1) * chunk, total)
-        acc_pos, acc_shard = [], []
-        p, k = entry, shard0
-        while p < b:
-            f = _next_boundaries(codes, range(p, p + 1), n, total, base)[p]
-            seen = set()
-            for i in range(p - base, f - base):
-                if codes[i] not in seen:
-                    seen.add(codes[i])
-                    acc_pos.append(base + i)
-                    acc_shard.append(k)
-            p, k = f, k + 1
-        ds = pdf["dataset"].iloc[0]
-        return pd.DataFrame(
-            {"dataset": pd.Series([ds] * len(acc_pos), dtype="object"), "pos": np.array(acc_pos, dtype="int64"), "shard": np.array(acc_shard, dtype="int64")}
-        )
+def _first(rows: DataFrame, order, most: int) -> DataFrame:
+    ranked = rows.withColumn("__rank", F.row_number().over(Window.partitionBy("dataset", "chunk").orderBy(order)))
+    return ranked.filter(F.col("__rank") <= most).drop("__rank")
 
-    return fn
+
+def _text(df: DataFrame, key_col: str):
+    """The key as a string (null stays a text of its own: a prefix tells it apart)."""
+    kind = df.schema[key_col].dataType.simpleString()
+    value = F.hex(key_col) if kind == "binary" else F.col(key_col).cast("string")
+    return F.coalesce(F.concat(F.lit("="), value), F.lit("?"))
 
 
 def sharded_dedup(
@@ -142,53 +158,56 @@ def sharded_dedup(
         chunk = 2 * max_records
     from corpusmill.session import ensure_checkpoint_dir
 
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    keys = df.select(F.col(dataset_col).cast("string").alias("dataset"), F.col(pos_col).alias("pos"), F.col(key_col).alias("key"))
-    totals = keys.groupBy("dataset").agg((F.max("pos") + 1).alias("__total"))
-    keyed = keys.join(totals, "dataset").withColumn("__own", F.floor(F.col("pos") / chunk))
-
-    # phase 1: previous chunk + own + next chunk per task
-    copies = F.array(F.col("__own") - 1, F.col("__own"), F.col("__own") + 1)
-    spread = keyed.select("dataset", "pos", "key", "__total", F.explode(copies).alias("__chunk")).filter(
-        (F.col("__chunk") >= 0) & (F.col("__chunk") * chunk < F.col("__total"))
+    ensure_checkpoint_dir(df.sparkSession)
+    n, group = max_records, ["dataset", "chunk"]
+    keyed = df.select(
+        F.col(dataset_col).cast("string").alias("dataset"),
+        F.floor(F.col(pos_col) / chunk).cast("long").alias("chunk"),
+        F.col(pos_col).cast("long").alias("pos"),
+        _text(df, key_col).alias("key"),
     )
-    maps = spread.select("dataset", "pos", "key", "__total", "__chunk").groupBy("dataset", "__chunk").applyInPandas(_phase1(max_records, chunk), "dataset string, chunk long, q long, nq long, w long")
+    n_chunks = (keyed.agg(F.max("chunk")).first()[0] or 0) + 1
 
-    # phase 2: compose the chunk maps by pointer doubling
-    node = maps.select("dataset", "chunk", "q", (F.col("chunk") + 1).alias("nc"), "nq", "w").checkpoint()
-    n_chunks = totals.agg(F.max(F.ceil(F.col("__total") / chunk))).first()[0] or 1
-    jumps = [node]
+    # heads and tails of chunks; heads of all that follows by doubling
+    ends = keyed.groupBy(*group, "key").agg(F.min("pos").alias("pos"), F.max("pos").alias("last")).checkpoint()
+    tails = _first(ends.select(*group, "key", "last"), F.desc("last"), n)
+    heads = _first(ends.select(*group, "key", "pos"), F.asc("pos"), n + 1).checkpoint()
     span = 1
+    while span < n_chunks:
+        ahead = heads.withColumn("chunk", F.col("chunk") - span).filter("chunk >= 0")
+        both = heads.unionByName(ahead).groupBy(*group, "key").agg(F.min("pos").alias("pos"))
+        heads = _first(both, F.asc("pos"), n + 1).checkpoint()
+        span *= 2
+    after = heads.withColumn("chunk", F.col("chunk") - 1).filter("chunk >= 0")
+
+    # exits are the entries of later chunks
+    exits = tails.groupBy(*group).cogroup(after.groupBy(*group)).applyInPandas(
+        _exits(n), "dataset string, chunk long, k long, nq long"
+    ).checkpoint()
+    starts = keyed.select("dataset").distinct().select("dataset", F.lit(0).cast("long").alias("q"))
+    nodes = exits.select("dataset", F.col("nq").alias("q")).unionByName(starts).distinct()
+    nodes = nodes.withColumn("chunk", F.floor(F.col("q") / chunk).cast("long"))
+    follow = keyed.groupBy(*group).cogroup(nodes.groupBy(*group)).applyInPandas(
+        _follow(n), "dataset string, chunk long, q long, k long, w long"
+    )
+    node = follow.join(exits, ["dataset", "chunk", "k"]).select("dataset", "q", "nq", "w").checkpoint()
+
+    # compose the maps by pointer doubling
+    jumps, span = [node], 1
     while span * 2 < n_chunks:
-        j = jumps[-1]
-        nxt = j.alias("a").join(
-            j.alias("b"), (F.col("a.dataset") == F.col("b.dataset")) & (F.col("a.nc") == F.col("b.chunk")) & (F.col("a.nq") == F.col("b.q"))
-        ).select(
-            F.col("a.dataset").alias("dataset"),
-            F.col("a.chunk").alias("chunk"),
-            F.col("a.q").alias("q"),
-            F.col("b.nc").alias("nc"),
-            F.col("b.nq").alias("nq"),
-            (F.col("a.w") + F.col("b.w")).alias("w"),
-        )
-        jumps.append(nxt.checkpoint())
+        a, b = jumps[-1], jumps[-1].select("dataset", F.col("q").alias("nq"), F.col("nq").alias("mq"), F.col("w").alias("v"))
+        jumps.append(a.join(b, ["dataset", "nq"]).select("dataset", "q", F.col("mq").alias("nq"), (F.col("w") + F.col("v")).alias("w")).checkpoint())
         span *= 2
-    reached = totals.select("dataset", F.lit(0).cast("long").alias("chunk"), F.lit(0).cast("long").alias("q"), F.lit(0).cast("long").alias("s"))
+    reached = starts.withColumn("s", F.lit(0).cast("long"))
     for j in reversed(jumps):
-        step = reached.join(j, ["dataset", "chunk", "q"]).select(
-            "dataset", F.col("nc").alias("chunk"), F.col("nq").alias("q"), (F.col("s") + F.col("w")).alias("s")
-        )
+        step = reached.join(j, ["dataset", "q"]).select("dataset", F.col("nq").alias("q"), (F.col("s") + F.col("w")).alias("s"))
         reached = reached.unionByName(step).distinct().checkpoint()
-    entries = reached.select("dataset", "chunk", F.col("q").alias("__entry"), F.col("s").alias("__shards_before"))
-
-    # phase 3: replay shards from each chunk's entry (own rows + next chunk as halo)
-    copies3 = F.array(F.col("__own"), F.col("__own") - 1)
-    spread3 = keyed.select("dataset", "pos", "key", "__total", F.explode(copies3).alias("__chunk")).filter(F.col("__chunk") >= 0)
-    # entries grow with the corpus: no broadcast hint, AQE measures them
-    with_entry = spread3.join(entries.withColumnRenamed("chunk", "__chunk"), ["dataset", "__chunk"])
-    accepted = with_entry.groupBy("dataset", "__chunk").applyInPandas(
-        _phase3(max_records, chunk), "dataset string, pos long, shard long"
+    entries = reached.select("dataset", F.floor(F.col("q") / chunk).cast("long").alias("chunk"), F.col("q").alias("entry"), F.col("s").alias("before"))
+
+    # replay the shards of every chunk from its entry
+    right = entries.join(after, group, "left")
+    accepted = keyed.groupBy(*group).cogroup(right.groupBy(*group)).applyInPandas(
+        _replay(n), "dataset string, pos long, shard long"
     )
     out = df.withColumn("__ds", F.col(dataset_col).cast("string"))
     res = out.join(accepted.withColumnRenamed("dataset", "__ds").withColumnRenamed("pos", pos_col), ["__ds", pos_col])
