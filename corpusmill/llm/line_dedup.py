@@ -1,12 +1,12 @@
-"""Line dedup: a suffix array over line-id sequences by distributed prefix doubling.
+"""Line dedup: repeated runs of lines by distributed prefix doubling (no sorted suffix array).
 
 A text is the sequence of its lines that have a word.  Round 0 names every line by the
 first place in the corpus (document order, then line) that has it; round j names the run of
 ``2**j`` lines at a place by the first place with that run, from the pair of names of its
 halves.  So a name is the run's rank by first occurrence, exact, without hashes of runs.
 Places whose run is unique drop out, so every round works on fewer rows, and the rounds end
-when no run is repeated: the places that share a name at level j are an interval of suffixes
-with a common prefix of at least ``2**j`` lines.  Runs of at least ``min_lines`` lines that
+when no run is repeated: the places that share a name at level j start the same ``2**j`` lines; names are not in sorted order and
+no LCP is made.  Runs of at least ``min_lines`` lines that
 occur earlier are deleted, merged to maximal runs; the first occurrence stays.
 
 Plan: line hashes and names are shuffled, texts once, for the result; the two large joins
