@@ -124,10 +124,75 @@ def line_runs() -> str:
     FROM d LEFT JOIN k USING (r)"""
 
 
+def repaired_conversations() -> str:
+    """Damage by CRC-32, faults, and the edits by a shortest-path walk over (row, state) that
+    keeps the cheapest, ASCII-least audit as a text."""
+    flip = "CASE WHEN x < 0 THEN a ELSE xor(a, x) END"
+    bits = "[ord(c), -1, -1, -1, -1, -1, -1, -1]"
+    return rf"""
+    WITH RECURSIVE src AS (
+      SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+             coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations),
+    crc AS (
+      SELECT k, xor(4294967295, list_reduce(
+               [CAST(4294967295 AS BIGINT)] || CAST(flatten(list_transform(string_split(k, ''), lambda c: {bits})) AS BIGINT[]),
+               lambda a, x: xor(({flip}) >> 1, CAST(3988292384 AS BIGINT) * (({flip}) & 1)))) % 20 AS f
+      FROM (SELECT DISTINCT k FROM src)),
+    dm AS (
+      SELECT conv_id, turn, CASE WHEN f = 4 THEN 'user' ELSE role END AS role,
+             CASE f WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+      FROM src JOIN crc USING (k), unnest(range(CASE WHEN f = 3 THEN 2 ELSE 1 END)) AS t(i) WHERE f <> 0),
+    nm AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text)) AS p FROM dm),
+    fl AS (
+      SELECT *, NOT regexp_matches(text, '[^ 	-]') AS blank,
+             row_number() OVER (PARTITION BY conv_id, role, text ORDER BY p) > 1 AS seen, left(role, 1) AS c,
+             lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY p) || left(role, 1) AS pair,
+             regexp_extract(text, '([^ 	-])[ 	-]*$', 1) NOT IN ('.', '!', '?') AS cut FROM nm),
+    kd AS (SELECT *, CASE WHEN blank OR seen THEN 2 WHEN cut THEN 1 ELSE 0 END AS kind FROM fl),
+    ins(s, w, said, m) AS (VALUES (0, '', '', 0), (1, '', '', 1), (2, '', '', 2), (3, '', '', 3),
+      (0, 'I', 'user:' || chr(10), 2), (1, 'I', 'user:' || chr(10), 2),
+      (2, 'I', 'assistant:' || chr(10), 3), (3, 'I', 'user:' || chr(10), 2)),
+    way(m, letter, c, t) AS (VALUES (0, 'D', '', 0), (1, 'D', '', 1), (2, 'D', '', 2), (3, 'D', '', 3),
+      (0, 'K', 's', 1), (0, 'K', 'u', 2), (1, 'K', 'u', 2), (3, 'K', 'u', 2), (2, 'K', 'a', 3),
+      (0, 'R', '', 2), (1, 'R', '', 2), (3, 'R', '', 2), (2, 'R', '', 3)),
+    st AS (
+      SELECT conv_id, CAST(0 AS BIGINT) AS p, 0 AS s, CAST(0 AS BIGINT) AS cost, '' AS audit, '' AS fixed
+      FROM (SELECT DISTINCT conv_id FROM dm)
+      UNION ALL
+      SELECT conv_id, p, t, cost, audit, fixed FROM (
+        SELECT st.conv_id, kd.p, way.t, st.audit || ins.w || way.letter AS audit,
+               st.cost + 3 * length(ins.w) + CASE letter WHEN 'D' THEN 4 WHEN 'R' THEN 3 ELSE 0 END
+                 + CASE WHEN letter <> 'D' AND kind = 1 THEN 3 ELSE 0 END AS cost,
+               st.fixed || ins.said || CASE letter WHEN 'D' THEN '' ELSE
+                 CASE WHEN letter = 'K' THEN role WHEN way.t = 2 THEN 'user' ELSE 'assistant' END || ':' || text || chr(10) END AS fixed
+        FROM st JOIN kd ON kd.conv_id IS NOT DISTINCT FROM st.conv_id AND kd.p = st.p + 1
+        JOIN ins ON ins.s = st.s JOIN way ON way.m = ins.m
+        WHERE letter = 'D' OR (kind < 2 AND (letter = 'R' OR way.c = kd.c)))
+      QUALIFY row_number() OVER (PARTITION BY conv_id, t ORDER BY cost, audit) = 1),
+    cnt AS (
+      SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, max(p) AS n,
+             count(*) FILTER (blank) AS blank, count(*) FILTER (NOT blank AND seen) AS duplicate,
+             count(*) FILTER (kind = 1) AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+      FROM kd GROUP BY conv_id),
+    fin(s, w, said) AS (VALUES (0, '', ''), (3, '', ''), (2, 'I', 'assistant:' || chr(10)),
+      (1, 'II', 'user:' || chr(10) || 'assistant:' || chr(10))),
+    best AS (
+      SELECT st.conv_id, cost + 3 * length(w) AS cost, audit || w AS audit, fixed || said AS fixed
+      FROM st JOIN cnt ON cnt.conv_id IS NOT DISTINCT FROM st.conv_id AND st.p = cnt.n JOIN fin ON fin.s = st.s
+      QUALIFY row_number() OVER (PARTITION BY st.conv_id ORDER BY cost + 3 * length(w), audit || w) = 1),
+    ids AS (SELECT DISTINCT conv_id FROM conversations)
+    SELECT ids.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+           coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost,
+           coalesce(audit, '') AS audit, sha256(coalesce(left(fixed, greatest(length(fixed) - 1, 0)), '')) AS repaired_sha256
+    FROM ids LEFT JOIN cnt ON cnt.conv_id IS NOT DISTINCT FROM ids.conv_id
+    LEFT JOIN best ON best.conv_id IS NOT DISTINCT FROM ids.conv_id"""
+
+
 ORACLES: dict[str, str] = {
     "op1_decontamination": decontamination(),
     "op4_mixing": mixed(),
     "op5_suffix_dedup": repeat_spans(50),
     "op6_substring_dedup": removed_words(35),
     "op8_line_dedup": line_runs(),
+    "op11_conversation_repair": repaired_conversations(),
 }

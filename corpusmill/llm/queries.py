@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill.llm import (
+    conversations,
     decontam,
     hpylm,
     langid,
@@ -20,6 +21,7 @@ from corpusmill.llm import (
     token_output,
 )
 from corpusmill.llm.oracles import ORACLES  # noqa: F401
+from corpusmill.operators.ordinals import null_safe_join
 from corpusmill.session import scratch_dir
 
 TOKENIZER = "word_bpe_49k.json"
@@ -141,6 +143,36 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def damaged_turns(rows: DataFrame) -> DataFrame:
+    """The contract's damage: by the checksum of ``conv_id:turn`` a row is dropped, emptied,
+    stripped of its sentence marks, repeated, or given the role user; nulls are one space."""
+    filled = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    fault = F.crc32(F.concat_ws(":", filled("conv_id"), filled("turn")).cast("binary")) % 20
+    text = F.when(fault == 1, "").when(fault == 2, F.regexp_replace(filled("text"), "[.!?]", "")).otherwise(filled("text"))
+    return rows.filter(fault != 0).select(
+        "conv_id",
+        "turn",
+        F.when(fault == 4, "user").otherwise(filled("role")).alias("role"),
+        text.alias("text"),
+        F.explode(F.when(fault == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("copy"),
+    )
+
+
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    repair = conversations.repair_conversations(damaged_turns(rows))
+    digests = repair.digests().withColumnRenamed("key", "conv_id")
+    found = null_safe_join(repair.report, digests, ["conv_id"], "left")
+    found = null_safe_join(rows.select("conv_id").distinct(), found, ["conv_id"], "left")
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return found.select(
+        "conv_id",
+        *[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c) for c in counts],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -154,5 +186,6 @@ QUERIES = {
         op8_line_dedup,
         op9_simhash_dedup,
         op10_lm_scoring,
+        op11_conversation_repair,
     )
 }
