@@ -14,6 +14,7 @@ from corpusmill.llm import (
     langid,
     line_dedup,
     mixing,
+    periodic,
     quality,
     seed_extend,
     simhash,
@@ -173,6 +174,39 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def looped_documents(docs: DataFrame) -> DataFrame:
+    """The contract's damage: in texts whose checksum of the id ends in 0, the words from some
+    place on become repeats of the words there; the others keep their text."""
+    h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    words = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    marked = docs.withColumn("h", h).withColumn("w", F.when(F.col("h") % 10 == 0, words))
+    n = F.when(F.size("w") > 0, F.size("w"))  # null: the text stays
+    marked = marked.withColumn("a", F.pmod(F.floor(F.col("h") / 10), n).cast("int")).withColumn(
+        "p", (F.floor((n - F.col("a")) / (F.floor(F.col("h") / 10) % 8 + 3)) + 1).cast("int")
+    )
+    rest = n - F.col("a")
+    block = F.slice("w", F.col("a") + 1, F.col("p"))
+    loop = F.slice(F.flatten(F.array_repeat(block, F.ceil(rest / F.col("p")).cast("int"))), 1, rest)
+    text = F.array_join(F.concat(F.slice("w", 1, F.col("a")), loop), " ")
+    return marked.select("doc_id", F.when(n.isNotNull(), text).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = looped_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = periodic.periodic_runs(docs, out="r").select("doc_id", "r.*")
+    # a listing of the runs, one per line; a document without runs has no strongest one
+    line = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    best = F.get("runs", F.col("strongest"))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        *[best[c].alias(c) for c in ("start", "length", "period")],
+        F.floor(best["length"] * 1000 / best["period"]).cast("bigint").alias("exponent_milli"),
+        F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -187,5 +221,6 @@ QUERIES = {
         op9_simhash_dedup,
         op10_lm_scoring,
         op11_conversation_repair,
+        op12_periodic_runs,
     )
 }
