@@ -18,8 +18,8 @@ blocks of ``BLOCK`` rows.  A block is summed up by its 4 x 4 costs and audit ord
 blocks make a block of the next level, and so on: the levels are solved from the top down,
 every block between known states, so that a conversation of any length is many tasks.
 
-Defined results: a null role or text is one space; rows of one turn follow each other by
-role, then by SHA-256 of the text; repeated rows are duplicates; a null key is a key of its
+Defined results: a null role or text is one space; rows of one turn follow each other by the
+SHA-256 of ``length of role:role:text``; repeated rows are duplicates; a null key is a key of its
 own; an empty table gives no rows; columns other than the four are left out.
 """
 
@@ -175,14 +175,14 @@ def numbered_rows(rows: DataFrame, key: str, turn: str, role: str, text: str) ->
         F.col(turn).alias("turn"),
         filled(role).alias("role"),
         filled(text).alias("text"),
-        F.sha2(filled(text), 256).alias("digest"),
+        F.sha2(F.concat(F.length(filled(role)), F.lit(":"), filled(role), F.lit(":"), filled(text)), 256).alias("digest"),
     )
-    return written(with_ordinal(base, ["turn", "role", "digest"], "key", "pos"), "turns")
+    return written(with_ordinal(base, ["turn", "digest"], "key", "pos"), "turns")
 
 
 def coded_rows(numbered: DataFrame) -> DataFrame:
     """``(key, pos, blank, duplicate, truncated, code)``: the first fault of every row."""
-    first = numbered.groupBy("key", "role", "digest").agg(F.min("pos").alias("pos"))
+    first = numbered.groupBy("key", "digest").agg(F.min("pos").alias("pos"))
     first = first.select("key", "pos", F.lit(True).alias("first"))
     initial = F.substring("role", 1, 1)
     mark = F.regexp_extract("text", r"([^\x20\x09-\x0D])[\x20\x09-\x0D]*\z", 1)

@@ -142,12 +142,16 @@ def repaired_conversations() -> str:
       SELECT conv_id, turn, CASE WHEN f = 4 THEN 'user' ELSE role END AS role,
              CASE f WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
       FROM src JOIN crc USING (k), unnest(range(CASE WHEN f = 3 THEN 2 ELSE 1 END)) AS t(i) WHERE f <> 0),
-    nm AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text)) AS p FROM dm),
+    nm AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+           sha256(length(role) || ':' || role || ':' || text)) AS p FROM dm),
     fl AS (
-      SELECT *, NOT regexp_matches(text, '[^ 	-]') AS blank,
+      SELECT *, NOT regexp_matches(text, '[^ 	-
+]') AS blank,
              row_number() OVER (PARTITION BY conv_id, role, text ORDER BY p) > 1 AS seen, left(role, 1) AS c,
              lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY p) || left(role, 1) AS pair,
-             regexp_extract(text, '([^ 	-])[ 	-]*$', 1) NOT IN ('.', '!', '?') AS cut FROM nm),
+             regexp_extract(text, '([^ 	-
+])[ 	-
+]*$', 1) NOT IN ('.', '!', '?') AS cut FROM nm),
     kd AS (SELECT *, CASE WHEN blank OR seen THEN 2 WHEN cut THEN 1 ELSE 0 END AS kind FROM fl),
     ins(s, w, said, m) AS (VALUES (0, '', '', 0), (1, '', '', 1), (2, '', '', 2), (3, '', '', 3),
       (0, 'I', 'user:' || chr(10), 2), (1, 'I', 'user:' || chr(10), 2),

@@ -54,7 +54,7 @@ def expected(rows):
     """Contract's columns of one conversation's rows (turn, role, text)."""
     none = lambda v: " " if v is None else v
     rows = [(t, none(r), none(x)) for t, r, x in rows]
-    rows.sort(key=lambda r: (r[0] is not None, r[0] or 0, r[1], hashlib.sha256(r[2].encode()).hexdigest()))
+    rows.sort(key=lambda r: (r[0] is not None, r[0] or 0, hashlib.sha256(f"{len(r[1])}:{r[1]}:{r[2]}".encode()).hexdigest()))
     seen, coded, faults = set(), [], [0, 0, 0]
     for _, role, text in rows:
         chars = re.findall(r"[^\x20\x09-\x0D]", text)
