@@ -20,6 +20,7 @@ from corpusmill.llm import (
     simhash,
     sparse_suffix,
     token_output,
+    wrappers,
 )
 from corpusmill.llm.oracles import ORACLES  # noqa: F401
 from corpusmill.operators.ordinals import null_safe_join
@@ -207,6 +208,12 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    found = wrappers.extract_main_text(pages)
+    return found.withColumn("n_chars", F.char_length("text").cast("bigint"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -222,5 +229,6 @@ QUERIES = {
         op10_lm_scoring,
         op11_conversation_repair,
         op12_periodic_runs,
+        op13_html_extraction,
     )
 }
