@@ -37,6 +37,7 @@ from corpusmill.llm.tables import written
 from corpusmill.operators.ordinals import null_safe_join, with_ordinal
 
 BLOCK = 1024
+ORDINAL_ROWS = 1 << 16  # rows per range in which rows are numbered
 KEEP, REROLE, DELETE, INSERT, TRUNCATED = 0, 3, 4, 3, 3
 START, SYSTEM, USER, ASSISTANT = range(4)
 FAR = 1 << 50
@@ -177,7 +178,8 @@ def numbered_rows(rows: DataFrame, key: str, turn: str, role: str, text: str) ->
         filled(text).alias("text"),
         F.sha2(F.concat(F.length(filled(role)), F.lit(":"), filled(role), F.lit(":"), filled(text)), 256).alias("digest"),
     )
-    return written(with_ordinal(base, ["turn", "digest"], "key", "pos"), "turns")
+    buckets = max(2, rows.count() // ORDINAL_ROWS)
+    return written(with_ordinal(base, ["turn", "digest"], "key", "pos", partitions=buckets), "turns")
 
 
 def coded_rows(numbered: DataFrame) -> DataFrame:
