@@ -1,18 +1,68 @@
 """Mixing sources into training order: round-robin interleave, worker striping,
 batching, collation and weighted mixture sampling.
 
-The interleaved order is a sort key ``(round, source_ord)``; a total position, when
-needed, comes from the distributed ordinal (range partitioning), never from a global
-single-partition window.
+The interleaved order is ``(round, source order)``.  Round and size of every source give the
+total position in closed form: before row (r, s) stand ``sum of min(n_j, r)`` rows of earlier
+rounds and one row of every earlier source with ``n_j > r``.  So an interleave needs one
+ordinal (the round) and no sort of the mixed order.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusmill.functions.ids import unit_hash
-from corpusmill.operators.ordinals import with_ordinal
+from corpusmill.operators.ordinals import null_safe_join, with_ordinal
+
+# Largest table of sources (rows) that goes to the driver and is broadcast; beyond it the
+# position comes from a second distributed ordinal.
+SOURCE_LIMIT = 200_000
+
+
+class RoundRobin:
+    """Positions of a round-robin over many sources, from their sizes alone.
+
+    ``scope[k]`` and ``size[k]`` describe source k; sources of a scope are consecutive and in
+    their order.  ``levels`` is a merge-sort tree over the sizes: level l has them sorted in
+    aligned blocks of 2**l, as ``block * base + size``, so that the sources before k with more
+    than r rows are counted with one binary search per bit of k."""
+
+    def __init__(self, scope: np.ndarray, size: np.ndarray):
+        n = len(size)
+        self.first = np.searchsorted(scope, scope)  # the first source of its scope
+        self.base = int(size.max(initial=0)) + 2
+        self.levels = []
+        while (1 << len(self.levels)) <= n:
+            block = np.arange(n) >> len(self.levels)
+            self.levels.append(np.sort(block * self.base + size))
+        # per scope: sizes in ascending order with their running sums
+        order = np.lexsort((size, scope))
+        self.scope = scope
+        self.sorted = scope * self.base + size[order]
+        self.sums = np.concatenate([[0], np.cumsum(size[order])])
+        self.end = np.searchsorted(scope, scope, side="right")
+
+    def _longer(self, upto: np.ndarray, r: np.ndarray) -> np.ndarray:
+        """Sources before ``upto`` with more than r rows."""
+        out = np.zeros(len(upto), np.int64)
+        for k, level in enumerate(self.levels):
+            at = np.flatnonzero(upto >> k & 1)
+            block = (upto[at] >> (k + 1)) << 1
+            short = np.searchsorted(level, block * self.base + r[at], side="right") - (block << k)
+            out[at] += (1 << k) - short
+        return out
+
+    def position(self, source: np.ndarray, r: np.ndarray) -> np.ndarray:
+        first, end = self.first[source], self.end[source]
+        # rows of earlier rounds: the whole of sources with at most r rows, r of each other one
+        short = np.searchsorted(self.sorted, self.scope[source] * self.base + r, side="right")
+        before = self.sums[short] - self.sums[first] + (end - short) * r
+        return before + self._longer(source, r) - self._longer(first, r)
 
 
 def interleave(
@@ -27,12 +77,38 @@ def interleave(
     """Fair round-robin: round r takes the r-th row of every source that still has one,
     in source order.  Exhausted sources simply have no row in later rounds.
 
-    ``scope_cols`` interleaves independently per scope (e.g. per worker)."""
+    ``scope_cols`` interleaves independently per scope (e.g. per worker).  The order column is
+    one value per source (nulls first); sources of one order follow each other by name.  Up to
+    SOURCE_LIMIT (scope, source) pairs, counted first, their sizes are broadcast and give the
+    positions in closed form; beyond it a second ordinal does."""
     scope = list(scope_cols)
     out = with_ordinal(df, order_cols, [*scope, source_col], name=round_col)
-    if position_col:
-        out = with_ordinal(out, [round_col, source_ord_col], scope, name=position_col)
-    return out
+    if not position_col:
+        return out
+    keys = [*scope, source_col]
+    sizes = df.groupBy(*keys).agg(F.min(source_ord_col).alias("__rr_ord"), F.count(F.lit(1)).alias("__rr_n"))
+    order = [*scope, "__rr_ord", source_col]
+    found = sizes.limit(SOURCE_LIMIT + 1).collect()
+    if len(found) > SOURCE_LIMIT:
+        return with_ordinal(out, list(dict.fromkeys([round_col, source_ord_col, source_col])), scope, name=position_col)
+    found.sort(key=lambda row: [(row[c] is not None, row[c]) for c in order])
+    places = [tuple(row[c] for c in scope) for row in found]
+    number = {place: k for k, place in enumerate(dict.fromkeys(places))}
+    model = RoundRobin(
+        np.array([number[p] for p in places], np.int64), np.array([row["__rr_n"] for row in found], np.int64)
+    )
+    spark = df.sparkSession
+    shared = spark.sparkContext.broadcast(model)
+    schema = sizes.select(*keys, F.lit(0).alias("__rr_source")).schema
+    table = spark.createDataFrame([(*(row[c] for c in keys), k) for k, row in enumerate(found)], schema)
+    out = null_safe_join(out, F.broadcast(table), keys)
+
+    @F.arrow_udf("bigint")
+    def position(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for source, r in batches:
+            yield pa.array(shared.value.position(source.to_numpy().astype(np.int64), r.to_numpy()), pa.int64())
+
+    return out.withColumn(position_col, position("__rr_source", round_col)).drop("__rr_source")
 
 
 def stripe_workers(entries: DataFrame, num_workers: int, entry_ord_col: str = "entry_ord", name: str = "worker") -> DataFrame:

@@ -31,28 +31,54 @@ from pyspark.sql import functions as F
 DEFAULT_CHUNK = 1 << 20
 
 
-def _codes(pdf: pd.DataFrame) -> tuple[list[int], int]:
+def _codes(pdf: pd.DataFrame) -> tuple[np.ndarray, int]:
     pdf = pdf.sort_values("pos")
-    return pd.factorize(pdf["key"])[0].tolist(), int(pdf["pos"].iloc[0])
-
-
-def _next_boundaries(codes: list[int], n: int) -> list[int]:
-    """Index f(i) for every index; -1 where the window reaches the end of the chunk."""
-    out = [-1] * len(codes)
-    counts: dict[int, int] = {}
-    x = 0
-    for i, c in enumerate(codes):
-        # grow the window [i, x) until the next row would be the (n+1)-th distinct text
-        while x < len(codes) and (len(counts) < n or codes[x] in counts):
-            counts[codes[x]] = counts.get(codes[x], 0) + 1
+    return pd.factorize(pdf["key"])[0], int(pdf["pos"].iloc[0])
+
+
+def _neighbours(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Index of the previous (-1: none) and the next (len: none) row with the same text."""
+    m = len(codes)
+    order = np.argsort(codes, kind="stable")
+    same = codes[order][1:] == codes[order][:-1]
+    before, after = np.full(m, -1, np.int64), np.full(m, m, np.int64)
+    before[order[1:][same]] = order[:-1][same]
+    after[order[:-1][same]] = order[1:][same]
+    return before, after
+
+
+def _window_end(before: np.ndarray, p: int, n: int) -> int:
+    """Index of the (n+1)-th distinct text from p on; the length if there is none.  Looks at
+    stretches of doubling size, so the cost is in proportion to the window."""
+    size = 2 * n + 2
+    while True:
+        new = np.flatnonzero(before[p : p + size] < p)
+        if len(new) > n:
+            return p + int(new[n])
+        if p + size >= len(before):
+            return len(before)
+        size *= 2
+
+
+def _next_boundaries(before: np.ndarray, after: np.ndarray, n: int) -> np.ndarray:
+    """Index f(i) for every index; -1 where the window reaches the end of the chunk.
+
+    When row i leaves a window whose text does not come again inside it, the window takes row
+    f(i) and ends at the next row whose text has not occurred since i."""
+    m = len(before)
+    out = np.full(m, -1, np.int64)
+    x = _window_end(before, 0, n) if m else 0
+    prev, nxt = before.tolist(), after.tolist()
+    ends = []
+    for i in range(m):
+        if x == m:
+            break
+        ends.append(x)
+        if nxt[i] >= x:
             x += 1
-        if x == len(codes):
-            return out
-        out[i] = x
-        if counts[c] == 1:
-            del counts[c]
-        else:
-            counts[c] -= 1
+            while x < m and prev[x] > i:
+                x += 1
+    out[: len(ends)] = ends
     return out
 
 
@@ -60,78 +86,110 @@ def _follow(n: int):
     """Per entry: the distinct texts of the last shard that opens here, and the shards."""
 
     def fn(rows: pd.DataFrame, entries: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        if len(rows) and len(entries):
-            codes, base = _codes(rows)
-            f = _next_boundaries(codes, n)
-            # backwards: last opening and shards from every index
-            last, shards = list(range(len(codes))), [1] * len(codes)
-            for i in range(len(codes) - 1, -1, -1):
-                if f[i] >= 0:
-                    last[i], shards[i] = last[f[i]], 1 + shards[f[i]]
-            kinds: dict[int, int] = {}
-            for q in entries["q"].tolist():
-                p = last[q - base]
-                if p not in kinds:
-                    kinds[p] = len(set(codes[p:]))
-                out.append((entries["dataset"].iloc[0], entries["chunk"].iloc[0], q, kinds[p], shards[q - base]))
-        return pd.DataFrame(out, columns=["dataset", "chunk", "q", "k", "w"])
+        if not len(rows) or not len(entries):
+            return pd.DataFrame([], columns=["dataset", "chunk", "q", "k", "w"])
+        codes, base = _codes(rows)
+        before, after = _neighbours(codes)
+        f = _next_boundaries(before, after, n)
+        q = entries["q"].to_numpy(np.int64)
+        at, shards = q - base, np.ones(len(q), np.int64)
+        while True:  # a shard holds n rows at least, so a chunk takes few steps
+            on = np.flatnonzero(f[at] >= 0)
+            if not len(on):
+                break
+            at[on] = f[at[on]]
+            shards[on] += 1
+        # distinct texts from a place on: the last occurrences there
+        kinds = np.cumsum((after == len(codes))[::-1])[::-1][at]
+        return pd.DataFrame({"dataset": entries["dataset"].iloc[0], "chunk": entries["chunk"].iloc[0], "q": q, "k": kinds, "w": shards})
 
     return fn
 
 
+def _exit_places(place: np.ndarray, n: int, held: int) -> np.ndarray:
+    """For a window of k = 1..held texts, the index in the following head of the text that it
+    cannot take (-1: the head ends before).  ``place[j]`` is the place of following text j among
+    the held texts, latest first (n: not one of them).  Text j is new to a window of k texts if
+    its place is k or more, so texts leave one by one as k grows: a Fenwick tree over the head
+    gives the (n+1-k)-th of those left, n log n steps for all k."""
+    size = len(place)
+    top = 1 << max(size, 1).bit_length()
+    tree = [0] * (top + 1)
+    for j in range(1, top + 1):
+        tree[j] += j <= size
+        up = j + (j & -j)
+        if up <= top:
+            tree[up] += tree[j]
+    owner = np.full(held + 1, -1, np.int64)
+    known = np.flatnonzero(place < held)
+    owner[place[known]] = known
+    left, out = size, []
+    for k, gone in enumerate(owner[:held].tolist(), 1):
+        if gone >= 0:
+            left -= 1
+            j = gone + 1
+            while j <= top:
+                tree[j] -= 1
+                j += j & -j
+        want = n + 1 - k
+        if want > left:
+            out.append(-1)
+            continue
+        j, step = 0, top
+        while step:
+            if j + step <= top and tree[j + step] < want:
+                j += step
+                want -= tree[j]
+            step >>= 1
+        out.append(j)
+    return np.array(out, np.int64)
+
+
 def _exits(n: int):
     """Per number k of texts in an open window: where it ends after the chunk."""
 
     def fn(tail: pd.DataFrame, head: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        if len(tail) and len(head):
-            texts = tail.sort_values("last", ascending=False)["key"].tolist()
-            following = head.sort_values("pos")
-            place = {t: k for k, t in enumerate(texts)}
-            for k in range(1, len(texts) + 1):
-                new = 0
-                for t, p in zip(following["key"].tolist(), following["pos"].tolist()):
-                    new += place.get(t, n) >= k
-                    if new == n + 1 - k:
-                        out.append((tail["dataset"].iloc[0], tail["chunk"].iloc[0], k, p))
-                        break
-        return pd.DataFrame(out, columns=["dataset", "chunk", "k", "nq"])
+        if not len(tail) or not len(head):
+            return pd.DataFrame([], columns=["dataset", "chunk", "k", "nq"])
+        texts = pd.Index(tail.sort_values("last", ascending=False)["key"])
+        following = head.sort_values("pos")
+        place = texts.get_indexer(following["key"])
+        ends = _exit_places(np.where(place < 0, n, place), n, len(texts))
+        k = np.flatnonzero(ends >= 0)
+        return pd.DataFrame(
+            {
+                "dataset": tail["dataset"].iloc[0],
+                "chunk": tail["chunk"].iloc[0],
+                "k": k + 1,
+                "nq": following["pos"].to_numpy(np.int64)[ends[k]],
+            }
+        )
 
     return fn
 
 
 def _replay(n: int):
     def fn(rows: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        positions, numbers = [], []
+        positions, numbers = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         if len(rows) and len(right):
             sorted_rows = rows.sort_values("pos")
             codes, base = _codes(sorted_rows)
-            keys = sorted_rows["key"].tolist()
+            before, _ = _neighbours(codes)
             p, shard = int(right["entry"].iloc[0]) - base, int(right["before"].iloc[0])
             while p < len(codes):
-                seen: dict[int, int] = {}
-                x = p
-                while x < len(codes) and (len(seen) < n or codes[x] in seen):
-                    seen.setdefault(codes[x], x)
-                    x += 1
-                positions += [base + i for i in seen.values()]
-                numbers += [shard] * len(seen)
-                if x == len(codes) and len(seen) <= n:
-                    had, room = {keys[i] for i in seen.values()}, n - len(seen)
+                x = _window_end(before, p, n)
+                first = p + np.flatnonzero(before[p:x] < p)
+                positions.append(base + first)
+                if x == len(codes) and len(first) <= n:
                     following = right.dropna(subset=["pos"]).sort_values("pos")
-                    new = [int(q) for t, q in zip(following["key"].tolist(), following["pos"].tolist()) if t not in had][:room]
-                    positions += new
-                    numbers += [shard] * len(new)
+                    new = ~following["key"].isin(sorted_rows["key"].iloc[first])
+                    positions.append(following["pos"].to_numpy(np.int64)[new.to_numpy(bool)][: n - len(first)])
+                numbers.append(np.full(sum(map(len, positions)) - sum(map(len, numbers)), shard))
                 p, shard = x, shard + 1
         name = rows["dataset"].iloc[0] if len(rows) else None
-        return pd.DataFrame(
-            {
-                "dataset": pd.Series([name] * len(positions), dtype="object"),
-                "pos": np.array(positions, dtype="int64"),
-                "shard": np.array(numbers, dtype="int64"),
-            }
-        )
+        out = pd.DataFrame({"pos": np.concatenate(positions), "shard": np.concatenate(numbers)})
+        out.insert(0, "dataset", pd.Series([name] * len(out), dtype="object"))
+        return out
 
     return fn
 
