@@ -1,9 +1,8 @@
 """Tool-call traces: calculator, tool dispatch, RESULT injection, audit and exact match.
 
-Injection works on each text's array of lines with higher-order functions, so it is a
-map-only stage: no explode / regroup shuffle.  Only the calculator arguments of a row
-(an array of short strings) cross into Python, in Arrow batches.  The scratchpad is a
-per-record state: the k-th scratchpad call renders notes max(1, k-7)..k.
+Injection and audit are one Arrow step each (``functions.traces``): a map-only stage in which
+the lines of a batch are cut once and all its expressions are evaluated together, by shape.
+The scratchpad is a per-record state: the k-th scratchpad call renders notes max(1, k-7)..k.
 """
 
 from __future__ import annotations
@@ -16,22 +15,22 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType
-
-from corpusmill.functions.calculator import evaluate
-from corpusmill.functions.text import PY_SPACE_CLASS, PY_SPACES, py_strip
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
+
+from corpusmill.functions.calculator import evaluate_many
+from corpusmill.functions.text import PY_SPACE_CLASS, py_strip
+from corpusmill.functions.traces import (
+    CALCULATOR,
+    DEFAULT_NOTE_LABEL,
+    RESULT_MARK,
+    SCRATCHPAD,
+    SCRATCHPAD_LINES,
+    UNKNOWN_TOOL,
+    audit_texts,
+    inject_texts,
+)
 
 # --- fixed values (must equal the reference's rules) --------------------------------
-# A tool call line: CALL <name>: "<argument>"  (name: letters, digits, _ and -).
-CALL_PATTERN = (
-    r"(?d)^CALL" + PY_SPACE_CLASS + r"+([a-zA-Z0-9_\-]+):" + PY_SPACE_CLASS + r'*"(.*)"' + PY_SPACE_CLASS + r"*$"
-)
-RESULT_PREFIX = "RESULT: "
-RESULT_MARK = "RESULT:"
-SCRATCHPAD_LINES = 8
-DEFAULT_NOTE_LABEL = "note"
-UNKNOWN_TOOL = "ERROR:UNKNOWN_TOOL"
-CALCULATOR, SCRATCHPAD = "calculator", "scratchpad"
 VALIDATION_TOOL_SAMPLES_PER_BATCH = 16
 # Line breaks recognised by Python's str.splitlines().
 PY_LINE_BREAKS = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x{85}\x{2028}\x{2029}]"
@@ -42,14 +41,14 @@ PY_LINE_BREAKS = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x{85}\x{2028}\x{2029}]"
 def calculator(exprs: Iterator[pd.Series]) -> Iterator[pd.Series]:
     """Vectorised calculator over a string column."""
     for s in exprs:
-        yield s.map(evaluate, na_action="ignore")
+        yield pd.Series(evaluate_many(s.where(s.notna(), None).tolist()), dtype="object")
 
 
 @F.arrow_udf(ArrayType(StringType()))
 def calculator_many(arrays: pa.Array) -> pa.Array:
     """Calculator over an array of expressions per row (null elements stay null)."""
     values = arrays.flatten()
-    done = pa.array([evaluate(x) for x in values.to_pylist()], pa.string())
+    done = pa.array(evaluate_many(values.to_pylist()), pa.string())
     size = pc.list_value_length(arrays).fill_null(0).to_numpy(zero_copy_only=False)
     bounds = np.concatenate([[0], np.cumsum(size)])
     return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), done, mask=arrays.is_null())
@@ -70,67 +69,36 @@ def scratchpad_note(arg: Column) -> Column:
     )
 
 
-def _argument(call: Column) -> Column:
-    """Between the first and the last quote of a call line."""
-    rest = F.btrim(call, F.lit(PY_SPACES))  # ends with the closing quote
-    first = F.instr(rest, '"')
-    return F.substr(rest, first + 1, F.length(rest) - first - 1)
+#: Texts handled together inside an Arrow batch; bounds the lists of lines.
+TEXTS_AT_ONCE = 2048
 
 
-# The call-line rule over a whole text: multiline anchors, no class or dot crosses "\n".
-_LINE_SPACE = PY_SPACE_CLASS.replace(r"\t-\r", r"\t\x0b-\r")
-CALL_LINE_PATTERN = (
-    r"(?md)^CALL" + _LINE_SPACE + r"+([a-zA-Z0-9_\-]+):" + _LINE_SPACE + r'*"(.*)"' + _LINE_SPACE + r"*$"
-)
+@F.arrow_udf(StringType())
+def _injected(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    for texts in batches:
+        parts = [inject_texts(texts[k : k + TEXTS_AT_ONCE].to_pylist()) for k in range(0, len(texts), TEXTS_AT_ONCE)]
+        yield pa.array([t for part in parts for t in part], pa.string())
+
+
+_AUDIT = pa.struct([("actual", pa.list_(pa.string())), ("expected", pa.list_(pa.string()))])
+
+
+@F.arrow_udf(StructType([StructField(c, ArrayType(StringType())) for c in ("actual", "expected")]))
+def _audited(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    for texts in batches:
+        actual, expected = [], []
+        for k in range(0, len(texts), TEXTS_AT_ONCE):
+            part = audit_texts(texts[k : k + TEXTS_AT_ONCE].to_pylist())
+            actual += part[0]
+            expected += part[1]
+        lists = [pa.array(x, pa.list_(pa.string())) for x in (actual, expected)]
+        yield pa.StructArray.from_arrays(lists, fields=list(_AUDIT))
 
 
 def inject_tool_results(df: DataFrame, text: Column | str, out_col: str) -> DataFrame:
     """After every CALL line add ``RESULT: <tool output>``; lines are split on ``\\n``
-    only and a final newline is not kept (as the line-by-line original does).
-
-    Whole-text regex work in the JVM: ``regexp_extract_all`` gives the call names and
-    arguments in order, ``split`` on the call lines gives the text between them.  Only
-    the arguments of calculator calls cross into Python; the scratchpad and unknown tools
-    are native; ``zip_with`` splices the results back."""
-    t = F.regexp_replace(_c(text), r"\n\z", "")
-    st = df.withColumn("__body", t)
-    body = F.col("__body")
-    st = st.withColumn("__calls", F.regexp_extract_all(body, F.lit(CALL_LINE_PATTERN), 0))
-    # names and arguments from the (short) call lines, which match the rule already: the
-    # name ends at the first colon, the argument lies between the first and the last quote
-    # (the name's regex class has neither)
-    after = lambda c: F.substring_index(c, ":", 1)
-    st = st.withColumn("__names", F.transform("__calls", lambda c: F.lower(py_strip(F.substring(after(c), 5, 1 << 30)))))
-    st = st.withColumn("__args", F.transform("__calls", _argument))
-    sums = F.zip_with("__names", "__args", lambda n, a: F.when(n == CALCULATOR, a))
-    st = st.withColumn("__sums", calculator_many(F.when(F.array_contains("__names", CALCULATOR), sums)))
-    # the scratchpad: all notes of the record once, then each call shows the last ones
-    pad_args = F.filter(F.zip_with("__names", "__args", lambda n, a: F.when(n == SCRATCHPAD, a)), lambda a: a.isNotNull())
-    st = st.withColumn("__notes", F.transform(pad_args, scratchpad_note))
-    count = F.size("__notes")
-    shown = F.transform(
-        F.sequence(F.lit(1), count),
-        lambda k: F.array_join(
-            F.slice("__notes", F.greatest(k - (SCRATCHPAD_LINES - 1), F.lit(1)), F.least(k, F.lit(SCRATCHPAD_LINES))), "\n"
-        ),
-    )
-    # results with their call's place, put in order: nothing is looked up by index, as an
-    # array computed in this projection would be worked out again for every element
-    places = F.filter(F.sequence(F.lit(1), F.size("__names")), lambda i: F.element_at("__names", i) == SCRATCHPAD)
-    pads = F.arrays_zip(places.alias("i"), shown.alias("r"))
-    other = F.zip_with(
-        "__names", F.coalesce("__sums", F.transform("__names", lambda n: F.lit(None).cast("string"))),
-        lambda n, s: F.when(n == CALCULATOR, s).when(n != SCRATCHPAD, F.lit(UNKNOWN_TOOL)),
-    )
-    rest = F.filter(F.transform(other, lambda r, i: F.struct((i + 1).alias("i"), r.alias("r"))), lambda x: x["r"].isNotNull())
-    ordered = F.sort_array(F.when(count > 0, F.concat(pads, rest)).otherwise(rest))
-    st = st.withColumn("__res", F.transform(ordered, lambda x: x["r"]))
-    st = st.withColumn("__segs", F.split(body, CALL_LINE_PATTERN, -1))
-    with_results = F.zip_with("__calls", "__res", lambda c, r: F.concat(c, F.lit("\n" + RESULT_PREFIX), r))
-    tail = F.zip_with(with_results, F.slice("__segs", 2, F.greatest(F.size("__segs") - 1, F.lit(0))), lambda a, b: F.concat(a, b))
-    out = F.when(F.size("__calls") == 0, body).otherwise(F.concat(F.element_at("__segs", 1), F.array_join(tail, "")))
-    st = st.withColumn(out_col, out)
-    return st.drop("__body", "__calls", "__names", "__args", "__sums", "__notes", "__res", "__segs")
+    only and a final newline is not kept (as the line-by-line original does)."""
+    return df.withColumn(out_col, _injected(_c(text).cast("string")))
 
 
 def py_splitlines(text: Column | str) -> Column:
@@ -152,34 +120,30 @@ def result_values(text: Column | str) -> Column:
     return F.transform(hits, lambda l: py_strip(F.substr(l, F.instr(l, RESULT_MARK) + len(RESULT_MARK))))
 
 
-def strip_results(text: Column | str) -> Column:
-    lines = py_splitlines(text)
-    return F.array_join(F.filter(lines, lambda l: ~_is_result_line(l)), "\n")
-
-
 def audit_tool_results(df: DataFrame, text_col: str) -> DataFrame:
-    """Stored RESULT values (``actual``) vs values recomputed by re-injection
-    (``expected``); ``comparable`` when both are non-empty and of equal length."""
-    out = df.withColumn("actual", result_values(text_col)).withColumn("__stripped", strip_results(text_col))
-    out = inject_tool_results(out, "__stripped", "__reinjected")
-    out = out.withColumn("expected", result_values("__reinjected")).drop("__stripped", "__reinjected")
+    """Stored RESULT values (``actual``) vs values recomputed by re-injection into the text
+    without them (``expected``); ``comparable`` when both are non-empty and of equal length;
+    ``pairs`` and ``correct`` count them and the equal ones (after stripping)."""
+    out = df.withColumn("__audit", _audited(F.col(text_col).cast("string")))
+    out = out.withColumn("actual", F.col("__audit.actual")).withColumn("expected", F.col("__audit.expected")).drop("__audit")
     comparable = (F.size("actual") > 0) & (F.size("expected") > 0) & (F.size("actual") == F.size("expected"))
-    return out.withColumn("comparable", comparable)
+    same = F.zip_with("actual", "expected", lambda a, e: py_strip(a) == py_strip(e))
+    return (
+        out.withColumn("comparable", comparable)
+        .withColumn("pairs", F.size("actual"))
+        .withColumn("correct", F.size(F.filter(same, lambda x: x)))
+    )
 
 
 def exact_match_by_batch(
     audited: DataFrame, batch_col: str, pos_col: str, per_batch: int = VALIDATION_TOOL_SAMPLES_PER_BATCH
 ) -> DataFrame:
-    """Per batch: the first ``per_batch`` comparable rows contribute their pairs; counts
-    pairs and exact matches after stripping.  ``tool_em`` = correct / pairs (null with
-    no pairs).  Batches are bounded, so the window per batch is small."""
-    pairs = F.arrays_zip(F.col("actual").alias("a"), F.col("expected").alias("e"))
+    """Per batch: the first ``per_batch`` comparable rows of an audit contribute their pairs;
+    counts pairs and exact matches.  ``tool_em`` = correct / pairs (null with no pairs).
+    Batches are bounded, so the window per batch is small.  Of the audit only ``comparable``,
+    ``pairs`` and ``correct`` are read."""
     per_row = audited.select(
-        batch_col,
-        pos_col,
-        "comparable",
-        F.size("actual").alias("__pairs"),
-        F.size(F.filter(pairs, lambda p: py_strip(p["a"]) == py_strip(p["e"]))).alias("__correct"),
+        batch_col, pos_col, "comparable", F.col("pairs").alias("__pairs"), F.col("correct").alias("__correct")
     )
     # rank comparable rows first; filtering after the window keeps the optimiser from
     # pushing the predicate (and the whole audit expression) below the projection

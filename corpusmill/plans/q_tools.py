@@ -171,10 +171,12 @@ FROM t WHERE rk <= 16 GROUP BY batch_id
 """,
 )
 def q_tool_exact_match(spark, sf):
-    t = with_ordinal(stored_trace(spark, sf), ["l_orderkey", "l_linenumber"], name="pos")
+    # texts are audited where they are read; only keys and counts are numbered and shuffled
+    audited = U.audit_tool_results(stored_trace(spark, sf), "text")
+    audited = audited.select("l_orderkey", "l_linenumber", "comparable", "pairs", "correct")
+    t = with_ordinal(audited, ["l_orderkey", "l_linenumber"], name="pos")
     t = assign_batches(t, "pos", VALIDATION_BATCH)
-    audited = U.audit_tool_results(t, "text")
-    em = U.exact_match_by_batch(audited, "batch_id", "pos")
+    em = U.exact_match_by_batch(t, "batch_id", "pos")
     return em.select("batch_id", "pairs", "correct", F.round("tool_em", 6).alias("tool_em"))
 
 
