@@ -71,6 +71,8 @@ def write_zip_archives(df: DataFrame, base: str, archive_col: str, member_col: s
     return out.mapInPandas(write, "archive string, members long").count()
 
 
+_DOC_RECORD = Ty.StructType([Ty.StructField("doc_id", Ty.LongType()), Ty.StructField("text", Ty.StringType())])
+
 # ------------------------------------------------------------------ scans
 
 
@@ -84,27 +86,12 @@ def q_manifest_scan(spark, sf):
     docs.filter("n % 3 = 0").drop("n").write.partitionBy("source").json(f"{base}/jsonl")
     docs.filter("n % 3 = 1").drop("n").write.option("compression", "gzip").partitionBy("source").json(f"{base}/gz")
     docs.filter("n % 3 = 2").drop("n").write.partitionBy("source").parquet(f"{base}/parquet")
-    # manifest: one entry per source (manifest-sized driver loop for listing patterns)
+    # manifest: one entry per source
     fmt = F.when(F.col("n") % 3 == 0, "jsonl").when(F.col("n") % 3 == 1, "gz").otherwise("parquet")
     entries = docs.select("source", "n").distinct().select(
         "source", F.concat(F.lit(f"{base}/"), fmt, F.lit("/source="), F.col("source"), F.lit("/part-*")).alias("pattern")
     )
-    listing = S.expand_or_keep(spark, entries)
-    files = [r.file for r in listing.select("file").distinct().collect()]  # file listing, not rows
-    rec_schema = Ty.StructType([Ty.StructField("doc_id", Ty.LongType()), Ty.StructField("text", Ty.StringType())])
-    parts = []
-    js = [f for f in files if S.suffix_of(f) != ".parquet"]
-    pq = [f for f in files if S.suffix_of(f) == ".parquet"]
-    if js:
-        parts.append(S.read_jsonl(spark, js, rec_schema))
-    if pq:
-        parts.append(S.read_parquet_text(spark, pq, extra_cols=["doc_id"]))
-    recs = parts[0]
-    for p in parts[1:]:
-        recs = recs.unionByName(p, allowMissingColumns=True)
-    recs = S.with_provenance(recs)
-    lk = listing.select(_norm_uri(F.col("file")).alias("__f"), "source")
-    out = recs.withColumn("__f", _norm_uri(F.col("path"))).join(lk, "__f")
+    out = S.read_manifest(entries, _DOC_RECORD)
     return out.select("doc_id", I.sha1_hex("text").alias("text_sha1"), "source")
 
 
@@ -141,9 +128,6 @@ def _bad_shards(spark, sf):
     return base
 
 
-_DOC_RECORD = Ty.StructType([Ty.StructField("doc_id", Ty.LongType()), Ty.StructField("text", Ty.StringType())])
-
-
 @register("bad_shard_scan", "SELECT doc_id, sha1(text) AS text_sha1 FROM documents WHERE text IS NOT NULL AND text <> ''")
 def q_bad_shard_scan(spark, sf):
     base = _bad_shards(spark, sf)

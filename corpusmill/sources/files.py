@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corpusmill.sources.splits import SPLIT_BYTES, expand_paths, number_lines, paths_table, plan_splits, read_splits
+
 CORRUPT_COL = "_corrupt_record"
 TEXT_COLUMNS = ("text", "content")  # first present one is the text column (fixed order)
 
@@ -72,40 +74,54 @@ def read_jsonl(
 
 def file_faults(spark: SparkSession, paths: Sequence[str] | str, schema: T.StructType = RECORD_SCHEMA) -> DataFrame:
     """Fault report, one row per file: ``rows`` and ``bad_lines`` of a JSON Lines file that
-    reads to its end, else ``error`` (rows and bad lines are then null).  Compressed files
-    are read through in tasks, one stream each, to find the ones cut short."""
-    from collections.abc import Iterator
-
-    import pyarrow as pa
-
-    from corpusmill.sources.stores import open_store
-
-    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            errors = []
-            for path in batch.column(0).to_pylist():
-                try:
-                    store, inner = open_store(path)
-                    with store.open_input_stream(inner, compression="detect") as stream:
-                        while stream.read(1 << 20):
-                            pass
-                    errors.append(None)
-                except OSError as failure:
-                    errors.append(type(failure).__name__)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(errors, pa.string())], names=["file_path", "error"])
-
-    listed = spark.read.format("binaryFile").load(paths).select(F.col("path").alias("file_path"))
-    listed = listed.repartition(2 * spark.sparkContext.defaultParallelism, "file_path")
-    probed = listed.mapInArrow(probe, "file_path string, error string")
-    lines = read_jsonl(spark, paths, schema, keep_corrupt=True, skip_corrupt_files=True)
-    counts = lines.groupBy("file_path").agg(
-        F.count(F.lit(1)).alias("rows"), F.count(CORRUPT_COL).alias("bad_lines")
+    reads to its end, else ``error`` (rows and bad lines are then null).  Files are read in
+    ranges, so a large compressed file is many tasks here too."""
+    plan = plan_splits(expand_paths(paths_table(spark, paths)))
+    read = read_splits(plan.drop("pattern"), keep_faults=True)
+    rec = parse_lines(read, schema)
+    line, bad = F.col("line").isNotNull(), F.col(f"rec.{CORRUPT_COL}").isNotNull() | F.col("rec").isNull()
+    # a file without a line has its row from the plan
+    counts = rec.groupBy("file").agg(
+        F.count_if(line & ~bad).alias("rows"), F.count_if(line & bad).alias("bad_lines"), F.max("error").alias("error")
     )
-    whole = F.col("error").isNull()
-    same = F.regexp_replace("file_path", "^file:/+", "/")  # listings and metadata spell local paths apart
-    j = probed.withColumn("__p", same).join(counts.withColumn("__p", same).drop("file_path"), "__p", "left")
-    number = lambda c: F.when(whole, F.coalesce(F.col(c), F.lit(0)))
-    return j.select("file_path", (number("rows") - number("bad_lines")).alias("rows"), number("bad_lines").alias("bad_lines"), "error")
+    j = plan.select("file").distinct().join(counts, "file", "left")
+    number = lambda c: F.when(F.col("error").isNull(), F.coalesce(F.col(c), F.lit(0)))
+    return j.select(F.col("file").alias("file_path"), number("rows").alias("rows"), number("bad_lines").alias("bad_lines"), "error")
+
+
+def parse_lines(lines: DataFrame, schema: T.StructType, line_col: str = "line") -> DataFrame:
+    """``rec``: the line parsed with ``schema``, a raw bad line in its corrupt-record field."""
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COL}
+    return lines.withColumn("rec", F.from_json(line_col, _with_corrupt(schema), options))
+
+
+def read_manifest(
+    entries: DataFrame, schema: T.StructType = RECORD_SCHEMA, pattern_col: str = "pattern", split_bytes: int = SPLIT_BYTES
+) -> DataFrame:
+    """Manifest entries -> their files -> their records, in one branch of tasks: the columns of
+    ``entries`` beside those of ``schema`` and ``file_path``.  JSON Lines (gzip too) and parquet
+    files by suffix; malformed lines are left out; a text is the first of ``TEXT_COLUMNS`` that
+    the record has and null if that is not a string; ``path`` falls back to the file."""
+    plan = plan_splits(expand_paths(entries, pattern_col), split_bytes)
+    names = list(dict.fromkeys([*schema.fieldNames(), *TEXT_COLUMNS]))
+    kinds = {f.name: f.dataType for f in schema.fields}
+    read = read_splits(plan, ", ".join(f"`{n}` {kinds.get(n, T.StringType()).simpleString()}" for n in names if n not in entries.columns))
+    fields = [T.StructField(n, T.VariantType() if n in TEXT_COLUMNS else kinds[n]) for n in names]
+    rec = parse_lines(read, T.StructType(fields))
+    rec = rec.filter(F.col("line").isNull() | (F.col("rec").isNotNull() & F.col(f"rec.{CORRUPT_COL}").isNull()))
+
+    def value(name: str) -> Column:
+        found = F.col(f"rec.`{name}`")
+        if name in TEXT_COLUMNS:
+            found = F.when(_is_string(found), F.try_variant_get(found, "$", "string"))
+        return F.when(F.col("line").isNotNull(), found).otherwise(F.col(name))
+
+    columns = {n: value(n) for n in schema.fieldNames()}
+    if "text" in columns:
+        columns["text"] = F.coalesce(*[value(n) for n in TEXT_COLUMNS])
+    if "path" in columns:
+        columns["path"] = F.coalesce(value("path"), F.col("file"))
+    return rec.select(*entries.columns, *[c.alias(n) for n, c in columns.items()], F.col("file").alias("file_path"))
 
 
 def detect_text_column(df: DataFrame) -> str:
@@ -175,19 +191,10 @@ def list_files(spark: SparkSession, pattern: str, recursive: bool = False) -> Da
     return df.select("path", "length", "modificationTime")
 
 
-def expand_or_keep(spark: SparkSession, patterns: DataFrame, pattern_col: str = "pattern") -> DataFrame:
-    """Each pattern -> its matching files, or the pattern itself when nothing matches.
-
-    ``patterns`` is a small table (manifest entries); each pattern is listed by Spark."""
-    rows = patterns.select(pattern_col).distinct().collect()  # manifest-sized
-    listed = None
-    for r in rows:
-        files = list_files(spark, r[0]).select(F.lit(r[0]).alias(pattern_col), F.col("path").alias("file"))
-        listed = files if listed is None else listed.unionByName(files)
-    if listed is None:
-        return patterns.withColumn("file", F.col(pattern_col))
-    j = patterns.join(listed, pattern_col, "left")
-    return j.withColumn("file", F.coalesce("file", F.col(pattern_col)))
+def expand_or_keep(patterns: DataFrame, pattern_col: str = "pattern") -> DataFrame:
+    """Each pattern -> its matching files, or the pattern itself when nothing matches; listed
+    in tasks, so the table may be of any size."""
+    return expand_paths(patterns, pattern_col).drop("size")
 
 
 def union_inputs(frames: Sequence[DataFrame]) -> DataFrame:
@@ -206,21 +213,16 @@ def truncate_after_first_bad(lines: DataFrame, file_col: str, line_col: str, bad
     return j.filter(F.col("__first_bad").isNull() | (F.col(line_col) < F.col("__first_bad"))).drop("__first_bad")
 
 
-def read_json_lines_numbered(spark: SparkSession, paths, schema: T.StructType) -> DataFrame:
-    """Raw lines with file and line number, parsed with ``schema``; ``bad`` marks lines
-    that are not valid records.  Line numbers come from the distributed ordinal."""
-    from corpusmill.operators.ordinals import with_ordinal
-
-    raw = spark.read.text(paths).select(
-        F.col("value").alias("line"),
-        F.col("_metadata.file_path").alias("file_path"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("__mid"),
-    )
-    raw = raw.filter(F.trim("line") != "")
-    numbered = with_ordinal(raw, ["block", "__mid"], ["file_path"], name="line_no")
-    parsed = numbered.withColumn("rec", F.from_json("line", _with_corrupt(schema), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COL}))
-    return parsed.withColumn("bad", F.col(f"rec.{CORRUPT_COL}").isNotNull() | F.col("rec").isNull()).drop("__mid")
+def read_json_lines_numbered(
+    spark: SparkSession, paths, schema: T.StructType, split_bytes: int = SPLIT_BYTES
+) -> DataFrame:
+    """Non-blank lines with file and 0-based line number, parsed with ``schema``; ``bad`` marks
+    lines that are not valid records.  Lines are counted per range in one pass, a range's first
+    number is the sum over the ranges before it."""
+    plan = number_lines(plan_splits(expand_paths(paths_table(spark, paths)), split_bytes))
+    lines = read_splits(plan.drop("pattern")).select("line", F.col("file").alias("file_path"), "line_no")
+    parsed = parse_lines(lines, schema)
+    return parsed.withColumn("bad", F.col(f"rec.{CORRUPT_COL}").isNotNull() | F.col("rec").isNull())
 
 
 def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
