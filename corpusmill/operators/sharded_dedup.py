@@ -223,7 +223,7 @@ def sharded_dedup(
         F.floor(F.col(pos_col) / chunk).cast("long").alias("chunk"),
         F.col(pos_col).cast("long").alias("pos"),
         _text(df, key_col).alias("key"),
-    )
+    ).checkpoint()  # read in every phase
     n_chunks = (keyed.agg(F.max("chunk")).first()[0] or 0) + 1
 
     # heads and tails of chunks; heads of all that follows by doubling

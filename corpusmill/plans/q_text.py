@@ -290,9 +290,12 @@ WHERE q.prev IS NULL OR q.prev < bounds.start
 def q_dedup_sharded(spark, sf):
     """Shard-scoped exact dedup (writer order = doc_id, shards of 50 accepted rows)."""
     from corpusmill.operators.sharded_dedup import sharded_dedup
+    from corpusmill.session import ensure_checkpoint_dir
 
+    ensure_checkpoint_dir(spark)
     docs = table(spark, sf, "documents").select("doc_id", "text")
-    clean = T.with_normalized(docs, "text", "t").select("doc_id", I.text_hash("t").alias("h"))
+    # texts are normalised once; what follows reads ids and hashes in several phases
+    clean = T.with_normalized(docs, "text", "t").select("doc_id", I.text_hash("t").alias("h")).checkpoint()
     pos = with_ordinal(clean, "doc_id", name="pos")
     out = sharded_dedup(pos.withColumn("ds", F.lit("documents")), "ds", "pos", "h", SHARD_DEDUP_SIZE)
     return out.select("doc_id", "shard")
