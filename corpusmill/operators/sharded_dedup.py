@@ -214,20 +214,24 @@ def sharded_dedup(
     ``pos_col`` must be a contiguous 0-based position per dataset (writer order)."""
     if chunk < 2 * max_records:
         chunk = 2 * max_records
-    from corpusmill.session import ensure_checkpoint_dir
+    from corpusmill.session import ensure_checkpoint_dir, scratch_dir
 
     ensure_checkpoint_dir(df.sparkSession)
+    schema = "dataset string, chunk long, pos long, key string"
     n, group = max_records, ["dataset", "chunk"]
     keyed = df.select(
         F.col(dataset_col).cast("string").alias("dataset"),
         F.floor(F.col(pos_col) / chunk).cast("long").alias("chunk"),
         F.col(pos_col).cast("long").alias("pos"),
         _text(df, key_col).alias("key"),
-    ).checkpoint()  # read in every phase
-    n_chunks = (keyed.agg(F.max("chunk")).first()[0] or 0) + 1
+    )
+    spark, path = df.sparkSession, scratch_dir(df.sparkSession, "sharded-keys")
+    keyed.write.parquet(path)  # read in every phase
+    keys = lambda: spark.read.schema(schema).parquet(path)
+    n_chunks = (keys().agg(F.max("chunk")).first()[0] or 0) + 1
 
     # heads and tails of chunks; heads of all that follows by doubling
-    ends = keyed.groupBy(*group, "key").agg(F.min("pos").alias("pos"), F.max("pos").alias("last")).checkpoint()
+    ends = keys().groupBy(*group, "key").agg(F.min("pos").alias("pos"), F.max("pos").alias("last")).checkpoint()
     tails = _first(ends.select(*group, "key", "last"), F.desc("last"), n)
     heads = _first(ends.select(*group, "key", "pos"), F.asc("pos"), n + 1).checkpoint()
     span = 1
@@ -242,10 +246,10 @@ def sharded_dedup(
     exits = tails.groupBy(*group).cogroup(after.groupBy(*group)).applyInPandas(
         _exits(n), "dataset string, chunk long, k long, nq long"
     ).checkpoint()
-    starts = keyed.select("dataset").distinct().select("dataset", F.lit(0).cast("long").alias("q"))
+    starts = keys().select("dataset").distinct().select("dataset", F.lit(0).cast("long").alias("q"))
     nodes = exits.select("dataset", F.col("nq").alias("q")).unionByName(starts).distinct()
     nodes = nodes.withColumn("chunk", F.floor(F.col("q") / chunk).cast("long"))
-    follow = keyed.groupBy(*group).cogroup(nodes.groupBy(*group)).applyInPandas(
+    follow = keys().groupBy(*group).cogroup(nodes.groupBy(*group)).applyInPandas(
         _follow(n), "dataset string, chunk long, q long, k long, w long"
     )
     node = follow.join(exits, ["dataset", "chunk", "k"]).select("dataset", "q", "nq", "w").checkpoint()
@@ -264,7 +268,7 @@ def sharded_dedup(
 
     # replay the shards of every chunk from its entry
     right = entries.join(after, group, "left")
-    accepted = keyed.groupBy(*group).cogroup(right.groupBy(*group)).applyInPandas(
+    accepted = keys().groupBy(*group).cogroup(right.groupBy(*group)).applyInPandas(
         _replay(n), "dataset string, pos long, shard long"
     )
     out = df.withColumn("__ds", F.col(dataset_col).cast("string"))
