@@ -290,7 +290,8 @@ def q_json_array(spark, sf):
 
 @register(
     "wiki_pages",
-    """WITH p AS (SELECT doc_id, 'Heading' || chr(10) || source || ' ' || text || ' shown text' AS t
+    """WITH p AS (SELECT doc_id, 'Heading' || chr(10) || source || ' ' || text || ' shown text'
+                 || CASE WHEN doc_id % 2 = 1 THEN '  ' || chr(10) || 'before  between deep link after {{open' ELSE '' END AS t
                  FROM documents WHERE doc_id % 10 <> 0 AND doc_id % 13 <> 0)
        SELECT doc_id AS page_id, 'Doc ' || CAST(doc_id AS VARCHAR) AS title, sha1(t) AS text_sha1, CAST(length(t) AS BIGINT) AS n_chars FROM p""",
 )
@@ -304,6 +305,14 @@ def q_wiki_pages(spark, sf):
         F.lit("''' "),
         F.col("text"),
         F.lit(" [[Target page|shown text]] {{cite web}} <ref>a note</ref>"),
+        # nested three deep, a picture with a caption, and a mark that is never closed
+        F.when(
+            F.col("doc_id") % 2 == 1,
+            F.lit(
+                "\nbefore {{box|{{cell|{{unit|m}}|x}}|y}} between {| a {| b {| c |} |} d |}"
+                "[[File:p.jpg|thumb|a [[b|c]] {{d}}]][[One|[[Two|[[Three|deep link]]]]]] after {{open"
+            ),
+        ).otherwise(""),
     )
     pages = docs.select(
         F.col("doc_id").alias("id"),

@@ -4,10 +4,15 @@ and paragraph assembly.  All produce DataFrames of records ready for ``prepare_c
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from corpusmill.functions.text import first_truthy, py_strip
+from corpusmill.functions.wiki import strip_wiki
 from corpusmill.sources.archives import read_zip
 
 # --- fixed values --------------------------------------------------------------------
@@ -73,26 +78,11 @@ def read_problem_json_array(spark: SparkSession, path: str, keep=()) -> DataFram
     )
 
 
-# Wiki markup, stripped with a regex chain (templates, refs, tags, links, emphasis, headings).
-_WIKI_RULES = (
-    (r"(?s)<!--.*?-->", ""),
-    (r"(?s)<ref[^>]*/>", ""),
-    (r"(?s)<ref[^>]*>.*?</ref>", ""),
-    (r"(?s)\{\{[^{}]*\}\}", ""),
-    (r"(?s)\{\|.*?\|\}", ""),
-    (r"\[\[(?:[^\]|]*\|)?([^\]]*)\]\]", "$1"),
-    (r"\[https?://[^\s\]]+ ([^\]]*)\]", "$1"),
-    (r"'{2,}", ""),
-    (r"(?m)^=+\s*(.*?)\s*=+\s*$", "$1"),
-    (r"<[^>]+>", ""),
-)
-
-
-def strip_wiki_markup(col: Column) -> Column:
-    t = col
-    for pattern, repl in _WIKI_RULES:
-        t = F.regexp_replace(t, pattern, repl)
-    return t
+@F.arrow_udf(StringType())
+def strip_wiki_markup(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """Wiki markup to text, by one scan per text (``functions.wiki``)."""
+    for texts in batches:
+        yield pa.array([strip_wiki(t.as_py()) for t in texts], pa.string())
 
 
 def read_wiki_dump(spark: SparkSession, path: str) -> DataFrame:
@@ -109,7 +99,7 @@ def read_wiki_dump(spark: SparkSession, path: str) -> DataFrame:
     out = df.filter(article).select(
         F.col("id").cast("bigint").alias("page_id"), "title", F.col("revision.text._VALUE").alias("raw")
     )
-    return out.withColumn("text", py_strip(strip_wiki_markup(F.col("raw")))).drop("raw")
+    return out.withColumn("text", strip_wiki_markup("raw")).drop("raw")
 
 
 # ---------------------------------------------------------------- code archives
