@@ -8,6 +8,9 @@ of a theta join between all paths and all roots.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,28 +46,46 @@ def _c(col):
 # ---------------------------------------------------------------- manifest records
 
 
-def parse_manifest_lines(lines: DataFrame, line_col: str = "value", ord_col: str | None = None) -> DataFrame:
+def parse_manifest_lines(
+    lines: DataFrame, line_col: str = "value", ord_col: str | None = None, strict: bool = False
+) -> DataFrame:
     """JSONL manifest lines -> entries with defaults.
 
-    ``path`` is required (rows without one are flagged ``bad_entry``); ``type``
-    defaults to ``lm``, ``weight`` to 1.0; ``approx_records`` is the first truthy of
+    ``path`` is required: a line that is not JSON or has none is flagged ``bad_entry``, or
+    fails the job if ``strict``; ``manifest_faults`` lists such lines.  ``type`` defaults to ``lm``, ``weight`` to 1.0; ``approx_records`` is the first truthy of
     ``count``/``num_records``/``records`` coerced to an integer when it safely can be."""
-    v = F.parse_json(_c(line_col))
+    v = F.try_parse_json(_c(line_col))
     keep = [ord_col] if ord_col else []
-    df = lines.filter(F.trim(_c(line_col)) != "").select(*keep, v.alias("__v"))
+    df = lines.filter(F.trim(_c(line_col)) != "").select(*keep, v.alias("__v"), _c(line_col).alias("__line"))
+    path = F.try_variant_get("__v", "$.path", "string")
+    if strict:
+        path = F.coalesce(path, F.raise_error(F.concat(F.lit("manifest line without a path: "), F.col("__line"))).cast("string"))
     approx = None
     for f in reversed(COUNT_FIELDS):
         val = F.try_variant_get("__v", f"$.{f}", "variant")
         approx = F.when(_truthy_variant(val), val).otherwise(approx if approx is not None else F.lit(None))
     return df.select(
         *keep,
-        F.try_variant_get("__v", "$.path", "string").alias("path"),
+        path.alias("path"),
         F.coalesce(F.try_variant_get("__v", "$.type", "string"), F.lit(DEFAULT_TYPE)).alias("type"),
         F.coalesce(F.try_variant_get("__v", "$.weight", "double"), F.lit(DEFAULT_WEIGHT)).alias("weight"),
         safe_int(approx).alias("approx_records"),
     ).withColumn("bad_entry", F.col("path").isNull())
 
 
+def manifest_faults(lines: DataFrame, line_col: str = "value", ord_col: str | None = None) -> DataFrame:
+    """Non-blank manifest lines that give no entry, with the reason."""
+    v = F.try_parse_json(_c(line_col))
+    keep = [ord_col] if ord_col else []
+    found = lines.filter(F.trim(_c(line_col)) != "").select(*keep, _c(line_col).alias("line"), v.alias("__v"))
+    reason = F.when(F.col("__v").isNull(), "not JSON").when(
+        F.try_variant_get("__v", "$.path", "string").isNull(), "no path"
+    )
+    # an empty or one-element array instead of a filter, which would parse every line twice
+    listed = found.withColumn("reason", F.explode(F.array_compact(F.array(reason))))
+    return listed.drop("__v")
+
+
 def _truthy_variant(v: Column) -> Column:
     kind = F.schema_of_variant(v)
     s = F.try_variant_get(v, "$", "string")
@@ -330,21 +351,55 @@ def slice_manifest(entries: DataFrame, listing: DataFrame, files_per_entry: int,
 # ---------------------------------------------------------------- configs, counts, limits
 
 
-def dataset_configs_from_yaml(spark, yaml_text: str):
-    """Dataset configs (a YAML mapping job -> {in, out, type, manifest}) as a small
-    DataFrame ``(cfg_ord, job, inputs array, out, type, manifest)``; ``in`` may be a
-    string or a list.  The YAML is config-sized and parsed on the driver."""
+_CONFIG_SCHEMA = T.StructType(
+    [
+        T.StructField("file_path", T.StringType()),
+        T.StructField("position", T.IntegerType()),
+        T.StructField("job", T.StringType()),
+        T.StructField("inputs", T.ArrayType(T.StringType())),
+        T.StructField("out", T.StringType()),
+        T.StructField("type", T.StringType()),
+        T.StructField("manifest", T.StringType()),
+    ]
+)
+
+
+def config_rows(text: str | None) -> list[tuple]:
+    """The jobs of one YAML mapping job -> {in, out, type, manifest}, in order; ``in`` may be a
+    string or a list."""
     import yaml
 
-    data = yaml.safe_load(yaml_text) or {}
+    data = yaml.safe_load(text or "") or {}
+    if not isinstance(data, dict):
+        raise ValueError("a dataset config is a mapping of jobs")
     rows = []
-    for i, (job, spec) in enumerate(data.items()):
+    for k, (job, spec) in enumerate(data.items()):
         spec = spec or {}
-        raw_in = spec.get("in")
-        inputs = [str(x) for x in raw_in] if isinstance(raw_in, (list, tuple)) else ([str(raw_in)] if raw_in else [])
-        rows.append((i, str(job), inputs, spec.get("out"), spec.get("type", DEFAULT_TYPE), spec.get("manifest")))
-    schema = "cfg_ord int, job string, inputs array<string>, out string, type string, manifest string"
-    return spark.createDataFrame(rows, schema)
+        given = spec.get("in")
+        inputs = [str(x) for x in given] if isinstance(given, (list, tuple)) else [str(given)] if given else []
+        rows.append((k, str(job), inputs, spec.get("out"), spec.get("type", DEFAULT_TYPE), spec.get("manifest")))
+    return rows
+
+
+def read_dataset_configs(spark, paths) -> DataFrame:
+    """Dataset configs from YAML files, parsed in tasks, a file a row: ``(cfg_ord, file_path,
+    job, inputs array, out, type, manifest)``.  ``cfg_ord`` follows the files' names and the
+    order within a file.  A file that is no mapping fails the job."""
+    from corpusmill.operators.ordinals import with_ordinal
+
+    files = spark.read.text(paths, wholetext=True).select(F.col("_metadata.file_path").alias("file_path"), "value")
+
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        names = _CONFIG_SCHEMA.fieldNames()
+        for batch in batches:
+            rows = [(path, *r) for path, text in zip(*(c.to_pylist() for c in batch.columns)) for r in config_rows(text)]
+            yield pa.RecordBatch.from_pylist([dict(zip(names, r)) for r in rows], to_arrow_schema(_CONFIG_SCHEMA))
+
+    parsed = files.mapInArrow(parse, _CONFIG_SCHEMA)
+    out = with_ordinal(parsed, ["file_path", "position"], name="cfg_ord")
+    return out.select("cfg_ord", "file_path", "job", "inputs", "out", "type", "manifest")
 
 
 def attach_counts(entries: DataFrame, counts: DataFrame, entry_ord_col: str = "entry_ord") -> DataFrame:

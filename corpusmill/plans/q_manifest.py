@@ -9,7 +9,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from corpusmill.operators import manifest as M
+from corpusmill.operators.ordinals import with_ordinal
 from corpusmill.plans.catalog import register, table
+from corpusmill.session import scratch_dir
 
 # ------------------------------------------------------------------ derived inputs
 
@@ -73,6 +75,27 @@ def q_manifest_defaults(spark, sf):
     return e.select("path", "type", F.round("weight", 6).alias("weight"), "approx_records")
 
 
+@register(
+    "manifest_faults",
+    f"""WITH p AS (SELECT DISTINCT url FROM pages)
+        SELECT url, CASE length(url) % 4 WHEN 1 THEN 'no path' WHEN 2 THEN 'no path' ELSE 'not JSON' END AS reason
+        FROM p WHERE length(url) % 4 > 0""",
+)
+def q_manifest_faults(spark, sf):
+    """Lines of a manifest, one per url, that give no entry: without a path, with a null one,
+    cut short."""
+    urls = table(spark, sf, "pages").select("url").distinct()
+    kind, quoted = F.length("url") % 4, F.to_json(F.struct(F.col("url").alias("path")))
+    line = (
+        F.when(kind == 0, quoted)
+        .when(kind == 1, '{"type": "code"}')
+        .when(kind == 2, '{"path": null}')
+        .otherwise(F.substring(quoted, 1, 12))
+    )
+    faults = M.manifest_faults(urls.select("url", line.alias("value")), "value", ord_col="url")
+    return faults.select("url", "reason")
+
+
 @register(
     "expected_length",
     _ENTRIES_SQL + "SELECT CAST(sum(coalesce(approx_records, 0)) AS BIGINT) AS expected_length FROM entries",
@@ -340,10 +363,7 @@ def q_longest_prefix(spark, sf):
         .unionByName(pages.select(F.concat(F.lit("dup:"), host).alias("job"), F.concat(host, F.lit("/")).alias("root")).distinct())
         .unionByName(pages.select(F.concat(F.lit("lang:"), lang).alias("job"), lang.alias("root")).distinct())
     )
-    from pyspark.sql import Window
-
-    # configs are one row per dataset (small): a plain window numbers them
-    cfg = cfg_raw.withColumn("cfg_ord", F.row_number().over(Window.orderBy("job")))
+    cfg = with_ordinal(cfg_raw, "job", name="cfg_ord")  # grows with the hosts of pages
     paths = pages.select("page_id", F.col("url").alias("path"))
     return M.match_dataset(paths, cfg).select("page_id", "dataset_id")
 
@@ -395,21 +415,22 @@ def q_manifest_lines(spark, sf):
 # ------------------------------------------------------------------ configs, counts, split, limit
 
 
-def config_yaml(spark, sf) -> str:
-    """Dataset-config YAML text built from the per-source table (config-sized)."""
-    docs = table(spark, sf, "documents")
-    per = docs.groupBy("source").agg(F.count(F.lit(1)).alias("cnt")).withColumn("n", F.expr(_N)).orderBy("n")
-    lines = []
-    for r in per.collect():  # one row per source: the config itself
-        lines.append(f"{r.source}:")
-        if r.n % 2 == 0:
-            lines.append(f"  in: gs://raw/{r.source}/a.jsonl")
-        else:
-            lines.append(f"  in: [gs://raw/{r.source}/a.jsonl, gs://raw/{r.source}/b.jsonl]")
-        lines.append(f"  out: gs://out/{r.source}/")
-        if r.n % 3:
-            lines.append("  type: math_tool")
-    return "\n".join(lines) + "\n"
+def write_config_files(spark, sf, base: str) -> None:
+    """Dataset-config YAML, a job per source, a dozen files written by tasks."""
+    sources = table(spark, sf, "documents").select("source").distinct().withColumn("n", F.expr(_N))
+    source, n = F.col("source"), F.col("n")
+    one = F.concat(F.lit("  in: gs://raw/"), source, F.lit("/a.jsonl"))
+    two = F.concat(F.lit("  in: [gs://raw/"), source, F.lit("/a.jsonl, gs://raw/"), source, F.lit("/b.jsonl]"))
+    text = F.concat_ws(
+        "\n",
+        F.concat(source, F.lit(":")),
+        F.when(n % 2 == 0, one).otherwise(two),
+        F.concat(F.lit("  out: gs://out/"), source, F.lit("/")),
+        F.when(n % 3 != 0, F.lit("  type: math_tool")),
+    )
+    sources.select(text.alias("value"), F.pmod(F.xxhash64("source"), F.lit(12)).alias("part")).repartition("part").write.partitionBy(
+        "part"
+    ).text(base)
 
 
 @register(
@@ -424,7 +445,9 @@ SELECT source, 'gs://raw/' || source || '/b.jsonl', 'gs://out/' || source || '/'
 """,
 )
 def q_dataset_configs(spark, sf):
-    cfg = M.dataset_configs_from_yaml(spark, config_yaml(spark, sf))
+    base = scratch_dir(spark, "configs")
+    write_config_files(spark, sf, base)
+    cfg = M.read_dataset_configs(spark, f"{base}/*/*")
     return cfg.select("job", F.explode("inputs").alias("input"), "out", "type")
 
 
