@@ -7,15 +7,11 @@ cluster); nothing here assumes a machine-local folder.
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Iterator
-
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from corpusmill.sources.stores import open_store
+from corpusmill.sinks.committed import write_files
 
 
 def write_shards(df: DataFrame, out_dir: str, scope_cols=(), shard_col: str = "shard", order_col: str | None = None,
@@ -23,52 +19,21 @@ def write_shards(df: DataFrame, out_dir: str, scope_cols=(), shard_col: str = "s
     """Shard files ``<out_dir>/<scope>=<value>/.../part-%05d.jsonl``, each with that shard's
     records as JSON lines in order (non-ASCII text as is); returns ``(path, records)``.
 
-    A shard has at most ``max_records`` rows, so the task that writes it is bounded.  It
-    streams to a temporary name and moves the finished file to its own, so a task that is
-    run again replaces the same content and readers never see half a shard.  Tasks write
-    through pyarrow's file systems (a shared folder or an object store)."""
+    A shard has at most ``max_records`` rows, so the task that writes it is bounded.  Files are
+    committed together (``sinks.committed``): tasks that fail, are retried or run twice leave
+    nothing behind and readers never see half a shard."""
     keys = [*scope_cols, shard_col]
-    folder = F.concat_ws("/", F.lit(out_dir.rstrip("/")), *[
+    base = out_dir.rstrip("/")
+    folder = F.concat_ws("/", *[
         F.concat(F.lit(f"{c}="), F.coalesce(F.url_encode(F.col(c).cast("string")), F.lit("__HIVE_DEFAULT_PARTITION__"))) for c in scope_cols
     ])
+    name = F.format_string("part-%05d.jsonl", F.col(shard_col))
     rows = df.repartition(*[F.col(k) for k in keys])
     rows = rows.sortWithinPartitions(*keys, *([order_col] if order_col else []))
-    line = F.to_json(F.struct(*cols), {"ignoreNullFields": "false"})
-    rows = rows.select(F.concat(folder, F.format_string("/part-%05d.jsonl", F.col(shard_col))).alias("path"), line.alias("line"))
-
-    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now = store = inner = out = temporary = None
-        records = 0
-
-        def close() -> pa.RecordBatch:
-            out.close()
-            store.move(temporary, inner)
-            return pa.RecordBatch.from_arrays([pa.array([now]), pa.array([records], pa.int64())], names=["path", "records"])
-
-        for batch in batches:
-            for path, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if path != now:
-                    if now is not None:
-                        yield close()
-                    now, records = path, 0
-                    store, inner = open_store(path)
-                    store.create_dir(inner.rsplit("/", 1)[0], recursive=True)
-                    head, name = inner.rsplit("/", 1)
-                    temporary = f"{head}/.{name}.{uuid.uuid4().hex}"
-                    out = store.open_output_stream(temporary)
-                out.write(text.encode() + b"\n")
-                records += 1
-        if now is not None:
-            yield close()
-
-    report = f"{out_dir.rstrip('/')}/_written-{uuid.uuid4().hex[:12]}"
-    rows.mapInArrow(write, "path string, records bigint").write.parquet(report)
-    return df.sparkSession.read.schema("path string, records bigint").parquet(report)
-
-
-def capped_files(df: DataFrame, out_dir: str, max_records: int, fmt: str = "json") -> None:
-    """Size cap only: at most ``max_records`` rows per file (no global numbering)."""
-    df.write.mode("overwrite").option("maxRecordsPerFile", int(max_records)).format(fmt).save(out_dir)
+    line = F.concat(F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}), F.lit("\n")).cast("binary")
+    file = F.concat_ws("/", folder, name) if scope_cols else name
+    done = write_files(rows.select(file.alias("file"), line.alias("data")), base)
+    return done.select(F.concat(F.lit(f"{base}/"), F.col("file")).alias("path"), F.col("rows").alias("records"))
 
 
 def table_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> bool:
@@ -94,11 +59,6 @@ def write_no_clobber(df: DataFrame, path: str, key_cols, fmt: str = "parquet", p
     w.save(path)
 
 
-def write_table_once(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Whole-table no-clobber: an existing table is left untouched."""
-    df.write.mode("ignore").format(fmt).save(path)
-
-
 def write_routed_artifacts(df: DataFrame, path: str, family_col: str = "family") -> None:
     """Artifacts routed by family (math -> family=math/, code -> family=code/)."""
     df.write.mode("append").partitionBy(family_col).parquet(path)
