@@ -104,13 +104,28 @@ def pending_counters(samples: DataFrame, artifacts: DataFrame, key_cols=("sample
 def skip_policy(looked_up: DataFrame, batch_cols, type_col: str, strict: bool, payload_col: str) -> DataFrame:
     """Strict: a missing math/code artifact removes teacher scores from the whole batch.
     Lenient: only the row itself lacks scores (already the case after lookup)."""
+    if not strict:
+        return looked_up.withColumn("skip_kd", F.lit(False))
     flag = (F.col("status") == STATUS_MISSING) & F.col(type_col).isin("math_tool", "code")
-    out = looked_up.withColumn("row_skip", flag if strict else F.lit(False))
-    w = Window.partitionBy(*batch_cols)
-    out = out.withColumn("skip_kd", F.bool_or("row_skip").over(w)).drop("row_skip")
+    flag = F.coalesce(flag, F.lit(False))
+    out = looked_up.withColumn("skip_kd", F.bool_or(flag).over(Window.partitionBy(*batch_cols)))
     return out.withColumn(payload_col, F.when(~F.col("skip_kd"), F.col(payload_col)))
 
 
+def skip_policies(looked_up: DataFrame, batch_cols, type_col: str, payload_col: str) -> DataFrame:
+    """Both policies of every row (``mode``: strict, lenient) from one look-up and one window
+    over the batches."""
+    whole = looked_up.withColumn("__payload", F.col(payload_col))
+    strict = skip_policy(whole, batch_cols, type_col, True, payload_col)
+    modes = F.array(
+        F.struct(F.lit("strict").alias("mode"), F.col("skip_kd").alias("skip"), F.col(payload_col).alias("payload")),
+        F.struct(F.lit("lenient").alias("mode"), F.lit(False).alias("skip"), F.col("__payload").alias("payload")),
+    )
+    out = strict.withColumn("__m", F.explode(modes))
+    out = out.withColumns({"mode": F.col("__m.mode"), "skip_kd": F.col("__m.skip"), payload_col: F.col("__m.payload")})
+    return out.drop("__m", "__payload")
+
+
 def route_scores(looked_up: DataFrame, type_col: str, precomputed_col: str, scorer, skip_col: str | None = None) -> DataFrame:
     """Precomputed scores first; rows of type lm without one go to ``scorer``
     (DataFrame -> DataFrame adding ``online_score``); everything else gets none.

@@ -1,8 +1,8 @@
 """Training-log analytics: best-so-far / early stop, non-finite guard, down-sampling,
 throughput, log tails.
 
-Sequence rules per run use the skew-safe blocked windows (``windows.running`` /
-``windows.last_n``) over a contiguous position from ``with_ordinal``.
+Sequence rules per run look at what stands before a row (``windows.before``): one exchange of
+the rows, also when a run holds most of them.
 """
 
 from __future__ import annotations
@@ -10,42 +10,42 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.operators.ordinals import null_safe_join, with_ordinal
+from corpusmill.operators.ordinals import null_safe_join
 from corpusmill.operators.topk import top_k_per_group
-from corpusmill.operators.windows import last_n, running
+from corpusmill.operators.windows import before
 
 
 def best_so_far(df: DataFrame, run_cols, step_col: str, metric_col: str, stop_threshold: float | None = None) -> DataFrame:
-    """``best`` = running minimum; ``is_new_best`` when the value beats every earlier
-    one; ``after_stop`` for rows after the first value <= threshold (threshold > 0)."""
+    """``best`` = running minimum, from infinity; ``is_new_best`` when the value is below every
+    earlier one, which a null, NaN or infinite value never is; ``after_stop`` for rows after
+    the first value <= threshold (threshold > 0)."""
     runs = list(run_cols)
-    pos = with_ordinal(df, step_col, runs, name="__pos")
-    prev = running(pos, runs, "__pos", metric_col, "min", "__prev_min", exclusive=True)
-    out = prev.withColumn("is_new_best", F.col("__prev_min").isNull() | (F.col(metric_col) < F.col("__prev_min")))
-    out = out.withColumn("best", F.least(F.coalesce("__prev_min", F.col(metric_col)), F.col(metric_col)))
+    infinity = F.lit(float("inf"))
+    value = F.col(metric_col).cast("double")
+    value = F.when(value.isNull() | F.isnan(value), infinity).otherwise(value)
+    out = before(df, runs, step_col, value, "min", "__prev")
+    prev = F.coalesce("__prev", infinity)
+    out = out.withColumn("is_new_best", value < prev).withColumn("best", F.least(value, prev)).drop("__prev")
     if stop_threshold and stop_threshold > 0:
         stops = df.filter(F.col(metric_col) <= stop_threshold).groupBy(*runs).agg(F.min(step_col).alias("__stop"))
         out = null_safe_join(out, stops, runs, "left").withColumn(
             "after_stop", F.coalesce(F.col(step_col) > F.col("__stop"), F.lit(False))
         ).drop("__stop")
-    return out.drop("__pos", "__prev_min")
+    return out
 
 
 def nonfinite_guard(df: DataFrame, run_cols, step_col: str, bad_col: str) -> DataFrame:
     """One bad step is skipped, a second consecutive bad step aborts the run; rows after
-    the abort are ``halted``."""
+    the abort are ``halted``.  A null flag is no bad step."""
     runs = list(run_cols)
-    pos = with_ordinal(df, step_col, runs, name="__pos")
-    pair = last_n(pos, runs, "__pos", F.col(bad_col), 2, "__pair")
-    prev_bad = F.when(F.size("__pair") == 2, F.element_at("__pair", 1)).otherwise(F.lit(False))
-    act = pair.withColumn(
-        "__act",
-        F.when(~F.col(bad_col), F.lit("ok")).when(prev_bad, F.lit("abort")).otherwise(F.lit("skip")),
-    )
-    aborts = act.filter(F.col("__act") == "abort").groupBy(*runs).agg(F.min(step_col).alias("__abort"))
-    out = null_safe_join(act, aborts, runs, "left")
+    bad = F.coalesce(F.col(bad_col), F.lit(False))
+    paired = before(df, runs, step_col, bad, "last", "__prev_bad")
+    act = F.when(~bad, "ok").when(F.col("__prev_bad"), "abort").otherwise("skip")
+    acted = paired.withColumn("__act", act)
+    aborts = acted.filter(F.col("__act") == "abort").groupBy(*runs).agg(F.min(step_col).alias("__abort"))
+    out = null_safe_join(acted, aborts, runs, "left")
     action = F.when(F.col(step_col) > F.col("__abort"), F.lit("halted")).otherwise(F.col("__act"))
-    return out.withColumn("action", action).drop("__pos", "__pair", "__act", "__abort")
+    return out.withColumn("action", action).drop("__prev_bad", "__act", "__abort")
 
 
 def sample_steps(df: DataFrame, step_col: str, every: int) -> DataFrame:

@@ -177,18 +177,22 @@ def scratchpad_renders(
     position_col: str | None = None,
 ) -> DataFrame:
     """Scratchpad state per key across rows (e.g. per conversation over turns): each row
-    adds its note and renders the last ``keep`` notes.  Skew-safe: positions from the
+    adds its note and renders the last ``keep`` notes.  A null argument adds none, its row shows
+    the notes so far.  Skew-safe: positions from the
     distributed ordinal (or ``position_col`` when the rows already carry a contiguous
     0-based position), frame from the blocked ``last_n`` window."""
     from corpusmill.operators.ordinals import with_ordinal
-    from corpusmill.operators.windows import last_n
+    from corpusmill.operators.windows import last_n, running
 
     keys = list(key_cols)
     if position_col:
         pos = df.withColumn("__pad_pos", F.col(position_col))
     else:
         pos = with_ordinal(df, order_cols, keys, name="__pad_pos")
-    with_notes = last_n(pos, keys, "__pad_pos", scratchpad_note(F.col(arg_col)), keep, "__notes")
+    pos = pos.withColumn("__pad_note", scratchpad_note(F.col(arg_col)))
+    has_note = F.col("__pad_note").isNotNull().cast("bigint")
+    numbered = running(pos, keys, "__pad_pos", has_note, "sum", "__pad_no").withColumn("__pad_no", F.col("__pad_no") - 1)
+    with_notes = last_n(numbered, keys, "__pad_no", "__pad_note", keep, "__notes", by_number=True)
     return with_notes.withColumn(out_col, F.array_join("__notes", "\n")).withColumn(
         "n_notes", F.size("__notes").cast("bigint")
-    ).drop("__notes", "__pad_pos")
+    ).drop("__notes", "__pad_pos", "__pad_note", "__pad_no")

@@ -158,16 +158,11 @@ FROM (SELECT *, bool_or({strict} AND status = 'missing' AND sample_type IN ('mat
     + " UNION ALL ".join(_skip_sql(m) for m in ("strict", "lenient")),
 )
 def q_skip_policy(spark, sf):
-    lk = with_ordinal(looked_up(spark, sf), "sample_id", name="pos")
-    lk = assign_batches(lk, "pos", BATCH)
-    out = None
-    for mode in ("strict", "lenient"):
-        p = A.skip_policy(lk, ["batch_id"], "sample_type", mode == "strict", "score")
-        p = p.select(
-            F.lit(mode).alias("mode"), "sample_id", "batch_id", "status", "skip_kd", F.col("score").isNotNull().alias("has_score")
-        )
-        out = p if out is None else out.unionByName(p)
-    return out
+    # the ids are those of the samples, so the ranges are drawn from these without a look-up
+    ids = samples(spark, sf).select("sample_id")
+    lk = with_ordinal(looked_up(spark, sf), "sample_id", name="pos", sample_from=ids)
+    both = A.skip_policies(assign_batches(lk, "pos", BATCH), ["batch_id"], "sample_type", "score")
+    return both.select("mode", "sample_id", "batch_id", "status", "skip_kd", F.col("score").isNotNull().alias("has_score"))
 
 
 @register(

@@ -204,20 +204,27 @@ def q_weighted_loss(spark, sf):
 STOP_AT = 1.0
 
 
+_METRIC = """CASE event_id % 11 WHEN 3 THEN CAST('NaN' AS DOUBLE) WHEN 5 THEN CAST('Infinity' AS DOUBLE)
+  WHEN 7 THEN NULL ELSE value END"""
+
+
 @register(
     "best_so_far",
     f"""
-WITH w AS (SELECT user_id, event_id, value,
-  min(value) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev,
-  min(event_id) FILTER (WHERE value <= {STOP_AT}) OVER (PARTITION BY user_id) AS stop FROM events)
-SELECT user_id, event_id, round(least(coalesce(prev, value), value), 6) AS best,
-       prev IS NULL OR value < prev AS is_new_best, coalesce(event_id > stop, FALSE) AS after_stop FROM w
+WITH m AS (SELECT user_id, event_id, {_METRIC} AS value FROM events),
+v AS (SELECT *, CASE WHEN value IS NULL OR isnan(value) THEN CAST('Infinity' AS DOUBLE) ELSE value END AS v FROM m),
+w AS (SELECT user_id, event_id, v,
+  coalesce(min(v) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+           CAST('Infinity' AS DOUBLE)) AS prev,
+  min(event_id) FILTER (WHERE value <= {STOP_AT}) OVER (PARTITION BY user_id) AS stop FROM v)
+SELECT user_id, event_id, least(prev, v) AS best, v < prev AS is_new_best, coalesce(event_id > stop, FALSE) AS after_stop FROM w
 """,
 )
 def q_best_so_far(spark, sf):
-    ev = table(spark, sf, "events").select("user_id", "event_id", "value")
+    """Values with NaN, infinity and null among them, also as the first of a run."""
+    ev = table(spark, sf, "events").select("user_id", "event_id", F.expr(_METRIC).alias("value"))
     b = Mx.best_so_far(ev, ["user_id"], "event_id", "value", STOP_AT)
-    return b.select("user_id", "event_id", F.round("best", 6).alias("best"), "is_new_best", "after_stop")
+    return b.select("user_id", "event_id", "best", "is_new_best", "after_stop")
 
 
 BAD_ABOVE = 40.0

@@ -21,21 +21,36 @@ INBOX_FILES = 4
 
 
 def _inbox(df, folder: str, split_col):
-    df.withColumn("__f", split_col).repartition("__f").drop("__f").write.json(folder)
+    df.withColumn("__f", split_col).repartition("__f").drop("__f").write.mode("append").json(folder)
 
 
-_NORM_SQL = f"SELECT doc_id, sha1(t) AS text_sha1 FROM (SELECT doc_id, {D.normalize('text')} AS t FROM documents) WHERE t IS NOT NULL"
-
-
-@register("stream_ingest", _NORM_SQL)
+@register(
+    "stream_ingest",
+    f"""
+WITH d AS (SELECT doc_id, source, text, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS ri FROM documents),
+n AS (SELECT doc_id, source, ri, {D.normalize('text')} AS t FROM d)
+SELECT doc_id, source, CAST(ri AS BIGINT) AS record_index, {D.sample_id('source', 'ri', 't')} AS sample_id, sha1(t) AS text_sha1
+FROM n WHERE t IS NOT NULL
+""",
+)
 def q_stream_ingest(spark, sf):
+    """Files that arrive in two runs of the stream: the ids are those of the batch rule."""
     base = scratch_dir(spark, "stream_ingest")
-    docs = table(spark, sf, "documents").select("doc_id", "text")
-    _inbox(docs, f"{base}/in", F.pmod("doc_id", F.lit(INBOX_FILES)))
-    s = ST.read_stream_jsonl(spark, f"{base}/in", "doc_id bigint, text string")
-    cleaned = T.with_normalized(s, "text", "text").withColumn("text_sha1", I.text_hash("text"))
-    ST.run_to_parquet(cleaned.select("doc_id", "text_sha1"), f"{base}/out", f"{base}/ckpt")
-    return spark.read.parquet(f"{base}/out")
+    docs = table(spark, sf, "documents").select("doc_id", "source", "text")
+    cut = docs.agg(F.percentile_approx("doc_id", 0.5)).first()[0] or 0
+    numbers = ST.number_batches(f"{base}/counters", "source", "doc_id")
+
+    def ingest(batch, batch_id):
+        rows = T.with_normalized(numbers(batch, batch_id), "text", "text")
+        return rows.select(
+            "doc_id", "source", "record_index", I.sample_id("source", "record_index", "text").alias("sample_id"), I.text_hash("text").alias("text_sha1")
+        )
+
+    for arrived in (docs.filter(F.col("doc_id") <= cut), docs.filter(F.col("doc_id") > cut)):
+        _inbox(arrived, f"{base}/in", F.pmod("doc_id", F.lit(INBOX_FILES)))
+        s = ST.read_stream_jsonl(spark, f"{base}/in", "doc_id bigint, source string, text string")
+        ST.run_foreach_batch(s, ST.write_batches(f"{base}/out", ingest), f"{base}/ckpt")
+    return spark.read.parquet(f"{base}/out").drop("batch_id")
 
 
 @register(
@@ -49,7 +64,7 @@ def q_stream_dedup(spark, sf):
     _inbox(docs, f"{base}/in", F.pmod("doc_id", F.lit(INBOX_FILES)))
     s = ST.read_stream_jsonl(spark, f"{base}/in", "doc_id bigint, text string")
     cleaned = T.with_normalized(s, "text", "text").withColumn("text_sha1", I.text_hash("text")).select("doc_id", "text_sha1")
-    ST.run_foreach_batch(cleaned, ST.dedup_into_table("text_sha1", "doc_id", f"{base}/seen"), f"{base}/ckpt")
+    ST.run_dedup(cleaned, "text_sha1", "doc_id", f"{base}/seen", f"{base}/ckpt")
     return spark.read.parquet(f"{base}/seen").select("doc_id", "text_sha1")
 
 
@@ -58,16 +73,17 @@ def q_stream_dedup(spark, sf):
     f"""
 WITH a AS (SELECT conv_id, turn, {_PAD_ARG} AS arg FROM conversations),
 n AS (SELECT conv_id, turn, {_note_sql('arg')} AS note FROM a),
-w AS (SELECT conv_id, turn, list(note) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN 7 PRECEDING AND CURRENT ROW) AS notes FROM n)
-SELECT conv_id, turn, sha1(array_to_string(notes, chr(10))) AS pad_sha1, CAST(len(notes) AS BIGINT) AS n_notes FROM w
+w AS (SELECT conv_id, turn, list(note) FILTER (note IS NOT NULL) OVER (PARTITION BY conv_id ORDER BY turn) AS notes FROM n)
+SELECT conv_id, turn, sha1(coalesce(array_to_string(notes[-8:], chr(10)), '')) AS pad_sha1,
+       CAST(least(coalesce(len(notes), 0), 8) AS BIGINT) AS n_notes FROM w
 """,
 )
 def q_stream_scratchpad(spark, sf):
     base = scratch_dir(spark, "stream_pad")
     conv = table(spark, sf, "conversations").select("conv_id", "turn", F.expr(_PAD_ARG).alias("arg"))
-    # one file per turn range, written in order: each micro-batch brings later turns
+    # one file per turn range, the later turns first: they wait for the earlier ones
     rng = F.least(F.floor(F.col("turn") / 3), F.lit(INBOX_FILES - 1))
-    for k in range(INBOX_FILES):
+    for k in reversed(range(INBOX_FILES)):
         conv.filter(rng == k).coalesce(1).write.mode("append").json(f"{base}/in")
     s = ST.read_stream_jsonl(spark, f"{base}/in", "conv_id bigint, turn bigint, arg string", max_files=1)
     notes = s.select("conv_id", "turn", scratchpad_note(F.col("arg")).alias("note"))

@@ -180,7 +180,7 @@ def q_tool_exact_match(spark, sf):
     return em.select("batch_id", "pairs", "correct", F.round("tool_em", 6).alias("tool_em"))
 
 
-_PAD_ARG = "CASE WHEN turn % 3 = 2 THEN text ELSE role || ': ' || text END"
+_PAD_ARG = "CASE WHEN (conv_id + turn) % 5 = 3 THEN NULL WHEN turn % 3 = 2 THEN text ELSE role || ': ' || text END"
 
 
 def _note_sql(a: str) -> str:
@@ -195,8 +195,9 @@ def _note_sql(a: str) -> str:
     f"""
 WITH a AS (SELECT conv_id, turn, {_PAD_ARG} AS arg FROM conversations),
 n AS (SELECT conv_id, turn, {_note_sql('arg')} AS note FROM a),
-w AS (SELECT conv_id, turn, list(note) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN 7 PRECEDING AND CURRENT ROW) AS notes FROM n)
-SELECT conv_id, turn, sha1(array_to_string(notes, chr(10))) AS pad_sha1, CAST(len(notes) AS BIGINT) AS n_notes FROM w
+w AS (SELECT conv_id, turn, list(note) FILTER (note IS NOT NULL) OVER (PARTITION BY conv_id ORDER BY turn) AS notes FROM n)
+SELECT conv_id, turn, sha1(coalesce(array_to_string(notes[-8:], chr(10)), '')) AS pad_sha1,
+       CAST(least(coalesce(len(notes), 0), 8) AS BIGINT) AS n_notes FROM w
 """,
 )
 def q_scratchpad(spark, sf):

@@ -3,7 +3,8 @@
 All run with ``trigger(availableNow=True)``: every file present when the query starts
 is processed (in micro-batches of ``max_files`` files), progress is kept in the
 checkpoint folder, and a restart after a failure resumes from it.  The column logic
-is the same pure functions as the batch operators.
+is the same pure functions as the batch operators.  What a micro-batch writes goes to a
+partition of its own (``batch_id``), which a replay of the batch overwrites.
 """
 
 from __future__ import annotations
@@ -14,13 +15,14 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
+from corpusmill.operators.ordinals import null_safe_join, with_ordinal
 from corpusmill.sinks.writers import table_exists
 
-
 MAX_FILES = 1000  # per micro-batch
-SEEN_BUCKETS = 64
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def read_stream_jsonl(spark: SparkSession, folder: str, schema: T.StructType | str, max_files: int = MAX_FILES) -> DataFrame:
@@ -47,25 +49,73 @@ def run_foreach_batch(stream: DataFrame, fn: Callable[[DataFrame, int], None], c
     q.awaitTermination()
 
 
-def dedup_into_table(key_col: str, order_col: str, table_path: str) -> Callable[[DataFrame, int], None]:
-    """foreachBatch body: keep the first row per key inside the batch, drop keys already
-    in the table (the state is the table itself), append the rest.  The table is
-    partitioned by a hash bucket of the key (``bucket``), so a batch reads the keys of its
-    own buckets only.  Idempotent per batch id: a replayed batch finds its keys present."""
+def _keyed_state(spark: SparkSession) -> None:
+    """Keep the state of keyed operators on disk, by key: a batch reads and writes the keys it
+    brings.  A provider chosen by the session stays."""
+    if not spark.conf.get(STATE_STORE, ""):
+        spark.conf.set(STATE_STORE, ROCKSDB)
+
+
+def write_batches(table_path: str, body: Callable[[DataFrame, int], DataFrame] | None = None) -> Callable[[DataFrame, int], None]:
+    """foreachBatch body: ``body`` of every batch in a partition ``batch_id`` of the table."""
 
     def fn(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        firsts = batch.groupBy(key_col).agg(F.min_by(F.struct(*batch.columns), F.col(order_col)).alias("__r")).select("__r.*")
-        firsts = firsts.withColumn("bucket", F.pmod(F.xxhash64(key_col), F.lit(SEEN_BUCKETS)).cast("int"))
-        if table_exists(spark, table_path):
-            mine = [r[0] for r in firsts.select("bucket").distinct().collect()]  # at most SEEN_BUCKETS
-            seen = spark.read.parquet(table_path).filter(F.col("bucket").isin(mine)).select(key_col, "bucket")
-            firsts = firsts.join(seen, [key_col, "bucket"], "left_anti")
-        firsts.write.mode("append").partitionBy("bucket").parquet(table_path)
+        out = batch if body is None else body(batch, batch_id)
+        out.write.mode("overwrite").parquet(f"{table_path}/batch_id={batch_id}")
 
     return fn
 
 
+def number_batches(counters_path: str, source_col: str, order_cols, name: str = "record_index") -> Callable[[DataFrame, int], DataFrame]:
+    """Record ordinals that go on from batch to batch: per source (a null source is one) the
+    rows of a batch are numbered in ``order_cols`` order after those of all earlier batches, so
+    that the ids of a stream are those of one batch run over the same rows in arrival order.
+
+    The counters are a table with a partition per batch: the rows of each source up to its end.
+    A batch reads the partition of the batch before and overwrites its own, so a replayed batch
+    numbers its rows as before."""
+
+    def body(batch: DataFrame, batch_id: int) -> DataFrame:
+        spark = batch.sparkSession
+        batch = batch.persist()  # read for the counts, the bounds and the rows
+        counts = batch.groupBy(source_col).agg(F.count(F.lit(1)).alias("n"))
+        before = f"{counters_path}/batch_id={batch_id - 1}"
+        if batch_id > 0 and table_exists(spark, before):
+            earlier = spark.read.parquet(before)
+        else:
+            earlier = spark.createDataFrame([], counts.schema)
+        totals = earlier.unionByName(counts).groupBy(source_col).agg(F.sum("n").alias("n"))
+        totals.write.mode("overwrite").parquet(f"{counters_path}/batch_id={batch_id}")
+        numbered = with_ordinal(batch, order_cols, source_col, name="__own")
+        numbered = null_safe_join(numbered, earlier.withColumnRenamed("n", "__before"), [source_col], "left")
+        index = F.col("__own") + F.coalesce("__before", F.lit(0))
+        return numbered.withColumn(name, index.cast("bigint")).drop("__own", "__before")
+
+    return body
+
+
+def first_of_key(stream: DataFrame, key_col: str, order_col: str) -> DataFrame:
+    """Incremental dedup with keyed state: the rows whose key (null is one) has not come in an
+    earlier batch, of those in one batch the first in ``order_col`` order.  Use update mode.
+
+    The state store has one entry per key: a batch touches the entries of its own keys, however
+    many there are, and a replayed batch finds the state as it was before it."""
+    _keyed_state(stream.sparkSession)
+    columns = stream.columns
+    timed = stream.withColumn("__now", F.current_timestamp())  # one per micro-batch, the same when it is replayed
+    rows = timed.groupBy(F.col(key_col).alias("__key")).agg(
+        F.min_by(F.struct(*columns), F.col(order_col)).alias("__row"), F.min("__now").alias("__first")
+    )
+    return rows.filter(F.col("__first") == F.current_timestamp()).select("__row.*")
+
+
+def run_dedup(stream: DataFrame, key_col: str, order_col: str, table_path: str, checkpoint: str) -> None:
+    """``first_of_key`` of everything available now, appended to a table by batch."""
+    firsts = first_of_key(stream, key_col, order_col)
+    writer = firsts.writeStream.outputMode("update").foreachBatch(write_batches(table_path))
+    writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+
 def score_pending_into(
     artifacts_path: str, key_cols, scorer: Callable[[DataFrame], DataFrame], partition_col: str = "family"
 ) -> Callable[[DataFrame, int], None]:
@@ -91,31 +141,96 @@ PAD_OUTPUT = T.StructType(
         T.StructField("n_notes", T.LongType()),
     ]
 )
-PAD_STATE = T.StructType([T.StructField("notes", T.ArrayType(T.StringType()))])
-
-
-def scratchpad_state(keep: int = 8):
-    """applyInPandasWithState body: per key, add this batch's notes in turn order and
-    emit the rendered pad after each; the state holds the last ``keep`` notes."""
-
-    def fn(key, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        notes = list(state.get[0]) if state.exists else []
-        rows = pd.concat(list(pdfs), ignore_index=True).sort_values("turn")
-        pads, counts = [], []
-        for note in rows["note"]:
-            notes.append(note)
-            notes = notes[-keep:]
-            pads.append("\n".join(notes))
-            counts.append(len(notes))
-        state.update((notes,))
-        yield pd.DataFrame(
-            {"conv_id": rows["conv_id"].astype("int64"), "turn": rows["turn"].astype("int64"), "pad": pads, "n_notes": counts}
-        )
 
-    return fn
 
+class ScratchpadProcessor(StatefulProcessor):
+    """Per key: add notes in turn order and emit the rendered pad after each turn.
 
-def scratchpad_stream(stream: DataFrame, key_col: str = "conv_id") -> DataFrame:
-    return stream.groupBy(key_col).applyInPandasWithState(
-        scratchpad_state(), PAD_OUTPUT, PAD_STATE, "append", GroupStateTimeout.NoTimeout
+    List state holds the last ``keep`` notes, value state the next turn, map state the turns that
+    arrived early.  They wait for the missing ones; with ``patience_ms`` a timer ends the wait
+    after so much processing time, and what waits is then taken in turn order.  A null note adds nothing
+    but its turn shows the pad; a null turn or one that was passed is taken when it arrives."""
+
+    def __init__(self, keep: int = 8, first_turn: int = 0, patience_ms: int | None = None, key_col: str = "conv_id"):
+        self.keep, self.first_turn, self.patience_ms, self.key_col = keep, first_turn, patience_ms, key_col
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.notes = handle.getListState("notes", "note string")
+        self.next = handle.getValueState("next", "turn bigint")
+        self.early = handle.getMapState("early", "turn bigint", "notes array<string>")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        found = pd.concat(list(rows), ignore_index=True)
+        arrived = sorted(
+            ((None if pd.isna(t) else int(t), None if pd.isna(n) else n) for t, n in zip(found["turn"], found["note"])),
+            key=lambda r: (r[0] is not None, r[0] or 0),
+        )
+        following = self.next.get()[0] if self.next.exists() else self.first_turn
+        pad, out = [r[0] for r in self.notes.get()], []
+        waiting: dict[int, list] = {}
+        for turn, note in arrived:
+            if turn is not None and turn > following:
+                waiting.setdefault(turn, []).append(note)
+                continue
+            self._take(turn, [note], pad, out)
+            following = following if turn is None else max(following, turn + 1)
+            while True:  # turns that waited for this one
+                held = waiting.pop(following, [])
+                if self.early.containsKey((following,)):
+                    held = [*self.early.getValue((following,))[0], *held]
+                    self.early.removeKey((following,))
+                if not held:
+                    break
+                self._take(following, held, pad, out)
+                following += 1
+        for turn, notes in waiting.items():
+            known = list(self.early.getValue((turn,))[0]) if self.early.containsKey((turn,)) else []
+            self.early.updateValue((turn,), ([*known, *notes],))
+        if waiting and self.patience_ms is not None and not list(self.handle.listTimers()):
+            self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.patience_ms)
+        self._keep(pad, following)
+        yield from self._rows(key, out)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        pad, out = [r[0] for r in self.notes.get()], []
+        following = self.next.get()[0] if self.next.exists() else self.first_turn
+        for (turn,), (notes,) in sorted(((tuple(k), tuple(v)) for k, v in self.early.iterator()), key=lambda r: r[0]):
+            self._take(turn, notes, pad, out)
+            following = max(following, turn + 1)
+        self.early.clear()
+        self._keep(pad, following)
+        yield from self._rows(key, out)
+
+    def _take(self, turn, notes, pad: list, out: list) -> None:
+        for note in notes:
+            if note is not None:
+                pad.append(note)
+                del pad[: -self.keep]
+            out.append((turn, "\n".join(pad), len(pad)))
+
+    def _keep(self, pad: list, following: int) -> None:
+        if pad:  # an empty list is no state; a pad never gets empty again
+            self.notes.put([(n,) for n in pad])
+        self.next.update((following,))
+
+    def _rows(self, key, out: list) -> Iterator[pd.DataFrame]:
+        if out:
+            frame = pd.DataFrame(out, columns=["turn", "pad", "n_notes"])
+            frame["turn"] = frame["turn"].astype("Int64")
+            frame.insert(0, self.key_col, pd.array([key[0]] * len(out), dtype="Int64"))
+            yield frame
+
+    def close(self) -> None:
+        pass
+
+
+def scratchpad_stream(stream: DataFrame, key_col: str = "conv_id", keep: int = 8, patience_ms: int | None = None) -> DataFrame:
+    """``(key, turn, pad, n_notes)`` of a stream of ``(key, turn, note)``; turns may arrive in any
+    order (see ``ScratchpadProcessor``).  A stream with timers always has a next micro-batch, so
+    ``patience_ms`` is for streams that run on, not for ``availableNow``."""
+    _keyed_state(stream.sparkSession)
+    schema = T.StructType([T.StructField(key_col, T.LongType()), *PAD_OUTPUT.fields[1:]])
+    return stream.groupBy(key_col).transformWithStateInPandas(
+        ScratchpadProcessor(keep, 0, patience_ms, key_col), schema, "append", "none" if patience_ms is None else "processingTime"
     )
