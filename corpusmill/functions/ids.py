@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 # --- fixed values --------------------------------------------------------------------
 ID_SNIPPET_CHARS = 200  # code points of text that enter the sample id
+REMOTE_PREFIX = "gs://"
 AUTO_ID_PREFIX = "auto_"
 # -------------------------------------------------------------------------------------
 
@@ -51,6 +52,13 @@ def fallback_sample_id(
     return F.when(F.coalesce(e, F.lit("")) == F.lit(""), auto).otherwise(e)
 
 
+def cache_name(path: Column | str, extension: str) -> Column:
+    """Local name of a remote artifact: md5 of its URI plus the extension; a path that is not
+    remote is its own name."""
+    p = _c(path)
+    return F.when(p.startswith(REMOTE_PREFIX), F.concat(F.md5(p.cast("binary")), F.lit(extension))).otherwise(p)
+
+
 def is_auto_id(col: Column | str) -> Column:
     return _c(col).startswith(AUTO_ID_PREFIX)
 

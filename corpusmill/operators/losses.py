@@ -129,6 +129,11 @@ def squeeze_3d(t: Column) -> Column:
     return F.when(F.size(t) == 1, F.element_at(t, 1)).otherwise(F.flatten(t))
 
 
+def fit_teacher_3d(t: Column, rows: int, vocab: int) -> Column:
+    """Stored 3-D scores to ``rows x vocab``: squeezed or flattened, then centre-fitted."""
+    return center_fit(squeeze_3d(t), rows, vocab)
+
+
 def is_matrix(m: Column) -> Column:
     """2-D check: non-empty and every row as long as the first."""
     first = F.size(F.element_at(m, 1))

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from corpusmill.functions import ids as I
 from corpusmill.operators import artifacts as A
 from corpusmill.operators import scoring as S
 from corpusmill.operators.mixing import assign_batches
@@ -75,6 +76,20 @@ def q_artifact_lookup(spark, sf):
     return looked_up(spark, sf).select("sample_id", "sample_type", "status", "score")
 
 
+_ARTIFACT_PATH = """CASE WHEN doc_id % 4 = 3 THEN 'logits/' ELSE 'gs://logits/' END || coalesce(source, '') || '/é-' || doc_id || '.npy'"""
+
+
+@register(
+    "artifact_cache_names",
+    f"""SELECT doc_id, CASE WHEN doc_id % 4 = 3 THEN p ELSE md5(p) || '.npy' END AS name
+        FROM (SELECT doc_id, {_ARTIFACT_PATH} AS p FROM documents)""",
+)
+def q_artifact_cache_names(spark, sf):
+    """Names under which artifacts are cached: md5 of remote paths."""
+    docs = table(spark, sf, "documents").select("doc_id", F.expr(_ARTIFACT_PATH).alias("path"))
+    return docs.select("doc_id", I.cache_name("path", ".npy").alias("name"))
+
+
 @register(
     "artifact_coverage",
     _ART_SQL

@@ -98,6 +98,16 @@ SELECT vec_id, 'pad11', CAST(88 AS BIGINT), round(sum(v), 6), round(sum(v * ((r
 FROM cells GROUP BY vec_id
 UNION ALL
 SELECT vec_id, 'vocab7', NULL, NULL, NULL FROM embeddings
+UNION ALL
+SELECT vec_id, 'lead1', CAST(40 AS BIGINT), round(sum(CASE WHEN r BETWEEN 1 AND 5 THEN v ELSE 0 END), 6),
+       round(sum(CASE WHEN r BETWEEN 1 AND 5 THEN v * ((r - 1) * 8 + c + 1) ELSE 0 END), 6)
+FROM cells GROUP BY vec_id
+UNION ALL
+SELECT vec_id, 'flat16', CAST(80 AS BIGINT), round(sum(CASE WHEN r >= 3 THEN v ELSE 0 END + CASE WHEN r <= 4 THEN v ELSE 0 END), 6),
+       round(sum(CASE WHEN r >= 3 THEN v * ((r - 3) * 8 + c + 1) ELSE 0 END + CASE WHEN r <= 4 THEN v * ((r + 5) * 8 + c + 1) ELSE 0 END), 6)
+FROM cells GROUP BY vec_id
+UNION ALL
+SELECT vec_id, 'flat7', NULL, NULL, NULL FROM embeddings
 """,
 )
 def q_center_fit(spark, sf):
@@ -107,6 +117,10 @@ def q_center_fit(spark, sf):
         fitted = L.center_fit(F.col("m"), rows, vocab)
         part = _matrix_out(e.withColumn("f", fitted), variant, F.col("f"))  # null matrix -> null stats
         out = part if out is None else out.unionByName(part)
+    # three dimensions: a leading one is dropped, others are laid out as rows
+    for variant, copies, rows, vocab in (("lead1", 1, 5, 8), ("flat16", 2, 10, 8), ("flat7", 2, 10, 7)):
+        fitted = L.fit_teacher_3d(F.array_repeat("m", copies), rows, vocab)
+        out = out.unionByName(_matrix_out(e.withColumn("f", fitted), variant, F.col("f")))
     return out
 
 
