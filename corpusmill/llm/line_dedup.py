@@ -6,8 +6,9 @@ first place in the corpus (document order, then line) that has it; round j names
 halves.  So a name is the run's rank by first occurrence, exact, without hashes of runs.
 Places whose run is unique drop out, so every round works on fewer rows, and the rounds end
 when no run is repeated: the places that share a name at level j start the same ``2**j`` lines; names are not in sorted order and
-no LCP is made.  Runs of at least ``min_lines`` lines that
-occur earlier are deleted, merged to maximal runs; the first occurrence stays.
+no LCP is made.  Runs of at least ``min_lines`` lines, and single lines of at least
+``min_words`` words, that occur earlier are deleted, merged to maximal runs; the first
+occurrence stays.
 
 Plan: line hashes and names are shuffled, texts once, for the result; the two large joins
 are shuffle joins at every size (a small corpus takes the plan that a large one takes).  Names are partial
@@ -35,6 +36,7 @@ from pyspark.sql.types import ByteType, IntegerType, LongType, ShortType
 from corpusmill.llm.tables import written
 
 MIN_LINES = 2
+MIN_WORDS = 10  # a line of so many words is a run by itself
 MAX_ROUNDS = 40  # runs of 2**40 lines
 _WORD = r"[^\x20\x09-\x0D]"
 
@@ -50,26 +52,26 @@ def _place(shift: int = 0) -> Column:
 
 
 def lines_of(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(o, h, p, a, b): document order and hash, place among the lines with a word, and the
-    line's two 64-bit hashes."""
+    """(o, h, p, a, b, w): document order and hash, place among the lines with a word, the
+    line's two 64-bit hashes and its number of words."""
     t = F.col(text).cast("string")
     rows = docs.select(_order(docs, key).alias("o"), F.xxhash64(t).alias("h"), t.alias("t")).filter("t is not null")
     listed = F.filter(F.split("t", "\n", -1), lambda x: x.rlike(_WORD))
-    listed = F.transform(listed, lambda x: F.struct(F.xxhash64(x).alias("a"), F.xxhash64(F.lit(1), x).alias("b")))
-    return rows.select("o", "h", F.posexplode(listed).alias("p", "l")).select("o", "h", "p", "l.a", "l.b")
+    listed = F.transform(listed, lambda x: F.struct(F.xxhash64(x).alias("a"), F.xxhash64(F.lit(1), x).alias("b"), F.regexp_count(x, F.lit(_WORD + "+")).alias("w")))
+    return rows.select("o", "h", F.posexplode(listed).alias("p", "l")).select("o", "h", "p", "l.a", "l.b", "l.w")
 
 
-def named(rows: DataFrame, keys: list[str], name: str, join: str = "") -> DataFrame:
+def named(rows: DataFrame, keys: list[str], name: str, join: str = "", also: tuple[str, ...] = ()) -> DataFrame:
     """Rows whose keys occur at two places at least, with the first such place."""
     first = rows.groupBy(*keys).agg(F.min(_place()).alias("first"), F.max(_place()).alias("last"))
     first = first.filter("first <> last").select(*keys, "first")
     first = first.hint(join) if join else first
-    return written(rows.join(first, keys).select("o", "h", "p", F.col("first").alias("name")).distinct(), name)
+    return written(rows.join(first, keys).select("o", "h", "p", F.col("first").alias("name"), *also).distinct(), name)
 
 
 def run_levels(lines: DataFrame) -> list[DataFrame]:
     """Level j: repeated runs of 2**j lines, named by their first place."""
-    levels = [named(lines, ["a", "b"], "lines-0", "merge")]
+    levels = [named(lines, ["a", "b"], "lines-0", "merge", ("w",))]
     while len(levels) <= MAX_ROUNDS:
         now, step = levels[-1], 1 << (len(levels) - 1)
         ahead = now.select("o", "h", (F.col("p") - step).alias("p"), F.col("name").alias("next"))
@@ -94,15 +96,17 @@ def windows(levels: list[DataFrame], size: int) -> DataFrame:
     return named(pairs.select("o", "h", "p", "name", "next"), ["name", "next"], f"lines-of-{size}")
 
 
-def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_lines: int = MIN_LINES) -> DataFrame:
+def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_lines: int = MIN_LINES, min_words: int = MIN_WORDS) -> DataFrame:
     """``(key, n_lines, n_removed, runs, kept)``: lines with a word, removed ones, the
     removed maximal runs (start and length among the lines with a word; prefix: the longest
     run of a power-of-two length in it that occurs earlier as a whole) and the kept text."""
     levels = run_levels(lines_of(docs, key, text))
-    # runs of min_lines lines that occur earlier; overlapping and adjacent ones are merged to
+    # runs of min_lines lines and long lines that occur earlier; overlapping and adjacent ones are merged to
     # the maximal runs, with the longest common prefix (a power of two) found in them
     later = F.col("name") < _place()
     found = windows(levels, min_lines).filter(later).select("o", "h", "p", F.lit(min_lines).alias("n"))
+    single = levels[0].filter(later & (F.col("w") >= min_words))
+    found = found.unionByName(single.select("o", "h", "p", F.lit(1).alias("n")))
     for j in range(min_lines.bit_length(), len(levels)):
         found = found.unionByName(levels[j].filter(later).select("o", "h", "p", F.lit(1 << j).alias("n")))
     found = found.groupBy("o", "h", "p").agg(F.max("n").alias("n"))

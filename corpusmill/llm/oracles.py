@@ -107,7 +107,8 @@ def repeat_spans(length: int) -> str:
 
 
 def line_runs() -> str:
-    """Lines with a word covered by two consecutive ones that occur earlier (min_lines = 2)."""
+    """Lines with a word covered by two consecutive ones that occur earlier (min_lines = 2), or
+    of ten words or more that occur earlier (min_words = 10)."""
     return r"""
     WITH d AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id NULLS FIRST) AS r, text, string_split(text, chr(10)) AS ls FROM documents),
     a AS (SELECT r, unnest(ls) AS l, generate_subscripts(ls, 1) AS i FROM d),
@@ -115,7 +116,9 @@ def line_runs() -> str:
 ]')),
     c AS (SELECT r, p, l, lead(l) OVER (PARTITION BY r ORDER BY p) AS m FROM b),
     e AS (SELECT r, p, row_number() OVER (PARTITION BY l, m ORDER BY r, p) > 1 AS later FROM c WHERE m IS NOT NULL),
-    f AS (SELECT DISTINCT r, p + j AS p FROM e, unnest([0, 1]) AS t(j) WHERE later),
+    g AS (SELECT r, p, len(regexp_extract_all(l, '[^\x20\x09-\x0D]+')) >= 10
+                       AND row_number() OVER (PARTITION BY l ORDER BY r, p) > 1 AS later FROM b),
+    f AS (SELECT r, p + j AS p FROM e, unnest([0, 1]) AS t(j) WHERE later UNION SELECT r, p FROM g WHERE later),
     k AS (SELECT a.r, count(b.p) AS n_lines, count(f.p) AS n_removed,
                  string_agg(a.l, chr(10) ORDER BY a.i) FILTER (f.p IS NULL) AS kept
           FROM a LEFT JOIN b ON a.r = b.r AND a.i = b.i LEFT JOIN f ON f.r = b.r AND f.p = b.p GROUP BY a.r)

@@ -257,7 +257,7 @@ def test_tokens_with_a_trained_dictionary(spark):
         at += len(ids)
 
 
-def lines_brute(rows, m=2):
+def lines_brute(rows, m=2, words=10):
     seen, out = set(), []
     for _, t in rows:
         at = [k for k, x in enumerate((t or "").split("\n")) if B.SPACED.search(x)] if t else []
@@ -268,6 +268,11 @@ def lines_brute(rows, m=2):
             if run in seen:
                 gone.update(at[i : i + m])
             seen.add(run)
+        for k in at:
+            if len(B.words(ls[k])) >= words:
+                if (ls[k],) in seen and (m > 1 or k in gone):
+                    gone.add(k)
+                seen.add((ls[k],))
         out.append((len(at), len(gone), None if t is None else "\n".join(x for k, x in enumerate(ls) if k not in gone)))
     return out
 
@@ -276,10 +281,12 @@ def lines_brute(rows, m=2):
 def test_lines(spark, empty, m):
     block = "alpha one\n\nbeta two\ngamma three\n  \ndelta four"
     rows = [(1, block), (2, "head\n" + block + "\ntail"), (3, None), (4, ""), (5, "alpha one\nbeta two\nalpha one\nbeta two"),
-            (6, "x\nx\nx\nx\nx"), (7, block + "\n" + block), (8, "beta two\ngamma three"), (9, "\n\n"), (10, "alpha one")]
+            (6, "x\nx\nx\nx\nx"), (7, block + "\n" + block), (8, "beta two\ngamma three"), (9, "\n\n"), (10, "alpha one"),
+            (11, "new\n" + "a long line " * 4), (12, "a long line " * 4 + "\nother"), (13, "a long line " * 3)]
     docs = spark.createDataFrame([(i, t, "k") for i, t in rows], "doc_id bigint, text string, n_lines string").repartition(3)
     got = {r.doc_id: (r.n_lines, r.n_removed, r.kept) for r in line_dedup.dedup_lines(docs, min_lines=m).collect()}
     assert [got[i] for i, _ in rows] == lines_brute(rows, m)
+    assert got[12][1] == 1 and got[11][1] == got[13][1] == 0
     assert line_dedup.dedup_lines(empty).collect() == []
 
 
