@@ -3,7 +3,6 @@ columns of its contract.  ``ORACLES`` has DuckDB SQL where SQL can express the r
 
 from __future__ import annotations
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -114,6 +113,8 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def token_table(docs: DataFrame) -> DataFrame:
     """Write the token files of ``docs`` and read them back, a row per document."""
+    import public_tokenizers  # only this query needs it
+
     spark = docs.sparkSession
     folder = scratch_dir(spark, "tokens")
     token_output.write_tokens(docs, folder, public_tokenizers.path(TOKENIZER), end_id=END_ID)

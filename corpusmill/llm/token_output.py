@@ -57,6 +57,24 @@ _LINE, _LINES = 64, 64  # words per line, lines per call of the tokenizer
 _TOKENIZERS: dict = {}
 
 
+def keeps_words_apart(tok, definition: str) -> bool:
+    """Does the tokenizer encode the words of a text one by one?  Its pre-tokenizer must drop
+    white space: a piece that holds some (as byte-level pieces do) depends on what is before
+    the word.  No added token may reach over white space either."""
+    if tok.pre_tokenizer is None:
+        return False
+    for token in json.loads(definition).get("added_tokens") or []:
+        if token.get("lstrip") or token.get("rstrip") or any(c.isspace() for c in token["content"]):
+            return False
+    for space in (" ", "\t", "\n", "\x0b", "\x0c", "\r", "  "):
+        text = space.join(["ab", "Cd", "9", "!?", "é", "x.y"])
+        text = tok.normalizer.normalize_str(text) if tok.normalizer is not None else text
+        pieces = tok.pre_tokenizer.pre_tokenize_str(text)
+        if any(c.isspace() for _, (a, b) in pieces for c in text[a:b]):
+            return False
+    return True
+
+
 class WordTokenizer:
     """Encodes words with a public tokenizer file; a word met again is looked up.
 
@@ -67,6 +85,8 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_str(definition)
+        if not keeps_words_apart(self.tok, definition):
+            raise ValueError("the tokenizer does not keep words apart: its pieces hold white space")
         self.end_id = end_id
         self._forget()
 
@@ -210,6 +230,7 @@ def write_tokens(
     ``(shard, bin, idx, n_docs, n_ids)``."""
     spark = docs.sparkSession
     definition = Path(tokenizer_file).read_text()  # a vocabulary file
+    WordTokenizer(definition, end_id)  # refuses before any work
     tokenizer = spark.sparkContext.broadcast(definition)
     model = json.loads(definition)
     top = max([*model["model"]["vocab"].values(), *(t["id"] for t in model.get("added_tokens") or []), end_id])
@@ -247,7 +268,8 @@ def write_tokens(
     bounds = key_bounds(keys, ["key"], shards)
     rows = docs.select(F.col(key).alias("key"), encode.asNondeterministic()(F.col(text).cast("string")).alias("e"))
     rows = rows.select(bucket_column(["key"], bounds, spark).alias("shard"), "key", "e.*")
-    rows = rows.repartition(shards, "shard").sortWithinPartitions("shard", "key", "crc32", "n_ids")
+    # one shard a partition
+    rows = rows.repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", "key", "crc32", "n_ids")
     key_type = to_arrow_schema(StructType([StructField("key", keys.schema["key"].dataType)])).field(0).type
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

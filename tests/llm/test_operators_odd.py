@@ -257,6 +257,19 @@ def test_tokens_with_a_trained_dictionary(spark):
         at += len(ids)
 
 
+@pytest.mark.parametrize("file, refused", [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
+def test_tokenizers_that_see_over_words_are_refused(odd, file, refused):
+    import public_tokenizers
+
+    folder = scratch_dir(odd.sparkSession, "refused")
+    if refused:
+        with pytest.raises(ValueError, match="words apart"):
+            token_output.write_tokens(odd, folder, public_tokenizers.path(file))
+    else:
+        made = token_output.write_tokens(odd, folder, public_tokenizers.path(file), shard_docs=4)
+        assert made.agg(F.sum("n_docs")).first()[0] == odd.count()
+
+
 def lines_brute(rows, m=2, words=10):
     seen, out = set(), []
     for _, t in rows:
