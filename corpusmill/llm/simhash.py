@@ -37,6 +37,8 @@ SHINGLE = 4
 RADIUS = 4
 SEED = 42
 TILE = 1 << 15
+BLOCK = 8  # tiles that a task holds
+MOST_TASKS = 1 << 15
 _ROWS = 64
 
 
@@ -129,39 +131,56 @@ def _signed(values: list[tuple[int, int]]) -> pa.Array:
     return pa.StructArray.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["a", "b"])
 
 
-def links(distinct: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
-    """Forest links ``(a, b)`` between the distinct fingerprints of column ``fp``."""
+def links(distinct: DataFrame, radius: int = RADIUS, tile: int = TILE, block: int = BLOCK) -> DataFrame:
+    """Forest links ``(a, b)`` between the distinct fingerprints of column ``fp``.
+
+    Tiles are numbered in population-count order, so the tiles within the radius of one are the
+    next few; where they end follows from its highest count and a table of at most 65 counts,
+    all that the driver sees.  Tiles are compared block by block: a task holds ``block`` tiles
+    and streams the tiles that reach into them past them, so a tile is shuffled once per block
+    it reaches and not once per pair.  The tiles that reach a block are dealt to several tasks."""
     spark = distinct.sparkSession
     keyed = distinct.select(F.bit_count("fp").alias("pop"), "fp")
     count = max(1, -(-keyed.count() // tile))
     bounds = key_bounds(keyed, ["pop", "fp"], count)
     tiles = keyed.withColumn("tile", bucket_column(["pop", "fp"], bounds, spark)).groupBy("tile")
     tiles = written(tiles.agg(F.min("pop").alias("low"), F.max("pop").alias("high"), F.collect_list("fp").alias("fps")), "simhash-tiles")
-    ranges = sorted(tiles.select("tile", "low", "high").collect())  # a row per tile
-    reach = []
-    for at, (_, _, high) in enumerate(ranges):
-        last = at
-        while last + 1 < len(ranges) and ranges[last + 1][1] - high <= radius:
-            last += 1
-        reach.append((ranges[at][0], [r[0] for r in ranges[at : last + 1]]))
-    pairs = spark.createDataFrame(reach, "i int, js array<int>").select("i", F.explode("js").alias("j"))
-    left = tiles.select(F.col("tile").alias("i"), F.col("fps").alias("left"))
-    right = tiles.select(F.col("tile").alias("j"), F.col("fps").alias("right"))
+    begins = dict(tiles.groupBy("low").agg(F.max("tile")).collect())  # a row per population count
+    ends = [max((t for low, t in begins.items() if low <= pop), default=0) for pop in range(65 + radius)]
+    reach = F.element_at(F.array(*map(F.lit, ends)), F.col("high") + radius + 1)
+    blocks = (max(begins.values(), default=0) // block) + 1
+    shares = max(1, min(block, 32 * spark.sparkContext.defaultParallelism // blocks))
+    own = tiles.select(
+        F.floor(F.col("tile") / block).cast("int").alias("block"),
+        F.explode(F.sequence(F.lit(0), F.lit(shares - 1))).alias("share"),
+        F.lit(0).alias("kind"),
+        "tile",
+        "fps",
+    )
+    first, last = (F.floor(t / block).cast("int") for t in (F.col("tile"), reach))
+    coming = tiles.select(F.explode(F.sequence(first, last)).alias("block"), (F.col("tile") % shares).alias("share"), F.lit(1).alias("kind"), "tile", "fps")
+    both = own.unionByName(coming).withColumn("id", F.col("block") * shares + F.col("share"))
+    # a block is much work for few bytes: dealt to tasks by number, not by size
+    both = both.repartitionById(min(blocks * shares, MOST_TASKS), F.col("id") % min(blocks * shares, MOST_TASKS))
+    both = both.sortWithinPartitions("id", "kind", "tile").select("id", "kind", "tile", "fps")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, {}
         for batch in batches:
-            i, j, one, two = (batch.column(c) for c in range(4))
-            for k in range(batch.num_rows):
-                a = one[k].values.to_numpy().astype(np.int64).view(np.uint64)
-                b = None if i[k] == j[k] else two[k].values.to_numpy().astype(np.int64).view(np.uint64)
-                got = _signed(forest(a, b, radius))
-                yield pa.RecordBatch.from_arrays(got.flatten(), names=["a", "b"])
-
-    joined = pairs.join(left, "i").join(right, "j").select("i", "j", "left", "right")
-    # a pair is much work for few bytes: dealt to tasks by number, not by size
-    most = 32 * spark.sparkContext.defaultParallelism
-    joined = joined.repartition(max(1, min(most, sum(len(js) for _, js in reach))), "i", "j")
-    return joined.mapInArrow(compare, "a bigint, b bigint")
+            ids, kinds, numbers = (batch.column(c).to_pylist() for c in range(3))
+            for k, (at, kind, number) in enumerate(zip(ids, kinds, numbers)):
+                if at != now:
+                    now, held = at, {}
+                fps = batch.column(3)[k].values.to_numpy().astype(np.int64).view(np.uint64)
+                if kind == 0:
+                    held[number] = fps
+                    continue
+                for other, right in held.items():
+                    if other >= number:
+                        got = _signed(forest(fps, None if other == number else right, radius))
+                        yield pa.RecordBatch.from_arrays(got.flatten(), names=["a", "b"])
+
+    return both.mapInArrow(compare, "a bigint, b bigint")
 
 
 def simhash_classes(
