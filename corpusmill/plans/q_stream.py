@@ -96,14 +96,13 @@ def q_stream_scratchpad(spark, sf):
 def q_stream_score(spark, sf):
     base = scratch_dir(spark, "stream_score")
     store = f"{base}/artifacts"
-    artifact_table(spark, sf).select("sample_id", "family", F.lit(None).cast("double").alias("online_score")).write.partitionBy(
-        "family"
-    ).parquet(store)
+    artifact_table(spark, sf).select("sample_id", "family").write.partitionBy("family").parquet(store)
     docs = table(spark, sf, "documents").select(
         F.col("doc_id").alias("sample_id"), "text", F.expr(_TYPE).alias("sample_type"), F.expr(_FAMILY).alias("family")
     ).filter(F.col("family").isNotNull())
     _inbox(docs, f"{base}/in", F.pmod("sample_id", F.lit(INBOX_FILES)))
     s = ST.read_stream_jsonl(spark, f"{base}/in", "sample_id bigint, text string, sample_type string, family string")
     scorer = lambda df: Sc.score(df, Sc.stub_length_scorer, "text").select("sample_id", "family", "online_score")
-    ST.run_foreach_batch(s, ST.score_pending_into(store, ["sample_id", "family"], scorer), f"{base}/ckpt")
-    return spark.read.parquet(store).filter(F.col("online_score").isNotNull()).select("sample_id", "family")
+    known = spark.readStream.schema("sample_id bigint, family string").parquet(store)
+    ST.run_scoring(s, known, ["sample_id", "family"], scorer, f"{base}/scores", f"{base}/ckpt")
+    return spark.read.parquet(f"{base}/scores").filter(F.col("online_score").isNotNull()).select("sample_id", "family")

@@ -116,21 +116,34 @@ def run_dedup(stream: DataFrame, key_col: str, order_col: str, table_path: str,
     writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
-def score_pending_into(
-    artifacts_path: str, key_cols, scorer: Callable[[DataFrame], DataFrame], partition_col: str = "family"
-) -> Callable[[DataFrame, int], None]:
-    """foreachBatch body: rows without an artifact (anti-join) are scored and appended,
-    routed by family."""
-    keys = list(key_cols)
-
-    def fn(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        todo = batch.dropDuplicates(keys)
-        if table_exists(spark, artifacts_path):
-            todo = todo.join(spark.read.parquet(artifacts_path).select(*keys), keys, "left_anti")
-        scorer(todo).write.mode("append").partitionBy(partition_col).parquet(artifacts_path)
-
-    return fn
+def pending_of_stream(stream: DataFrame, known: DataFrame, key_cols) -> DataFrame:
+    """Rows of ``stream`` whose keys have neither come before nor are among ``known``, a stream
+    of the keys that have an artifact.  Use update mode.  The state store has one entry per key;
+    artifacts are read once, as their files appear, not once per batch."""
+    _keyed_state(stream.sparkSession)
+    keys, columns = list(key_cols), stream.columns
+    own = stream.withColumn("__known", F.lit(False))
+    rows = own.unionByName(known.select(*keys).withColumn("__known", F.lit(True)), allowMissingColumns=True)
+    rows = rows.withColumn("__now", F.current_timestamp())  # one per micro-batch, the same when it is replayed
+    sample = ~F.col("__known")
+    state = rows.groupBy(*[F.col(k).alias(f"__key_{k}") for k in keys]).agg(
+        F.min(F.when(sample, F.struct(*columns))).alias("__row"),
+        F.min(F.when(sample, F.col("__now"))).alias("__first"),
+        F.bool_or("__known").alias("__known"),
+    )
+    return state.filter(~F.col("__known") & (F.col("__first") == F.current_timestamp())).select("__row.*")
+
+
+def run_scoring(
+    stream: DataFrame, known: DataFrame, key_cols, scorer: Callable[[DataFrame], DataFrame], scores_path: str, checkpoint: str
+) -> None:
+    """Score what is pending of everything available now; a batch's scores are a partition of
+    the table at ``scores_path``.  Let ``known`` read all its files in one micro-batch, so that an
+    artifact is known before a sample that came later."""
+    todo = pending_of_stream(stream, known, key_cols)
+    body = write_batches(scores_path, lambda batch, _: scorer(batch))
+    writer = todo.writeStream.outputMode("update").foreachBatch(body).option("checkpointLocation", checkpoint)
+    writer.trigger(availableNow=True).start().awaitTermination()
 
 
 PAD_OUTPUT = T.StructType(

@@ -71,6 +71,28 @@ def test_stream_ids_go_on_over_batches(spark):
     assert got == want
 
 
+def test_scores_are_made_once_per_key(spark):
+    base = scratch_dir(spark, "test_score")
+    known = lambda rows: spark.createDataFrame(rows, "k long, family string").write.mode("append").partitionBy("family").parquet(f"{base}/art")
+    come = lambda rows: spark.createDataFrame(rows, "k long, family string, text string").coalesce(1).write.mode("append").json(f"{base}/in")
+
+    def run():
+        s = ST.read_stream_jsonl(spark, f"{base}/in", "k bigint, family string, text string", max_files=1)
+        art = spark.readStream.schema("k bigint, family string").parquet(f"{base}/art")
+        scorer = lambda df: df.select("k", "family", F.length("text").alias("score"))
+        ST.run_scoring(s, art, ["k", "family"], scorer, f"{base}/scores", f"{base}/ckpt")
+        return sorted(((r.k or 0), r.family, r.score) for r in spark.read.parquet(f"{base}/scores").collect())
+
+    known([(1, "m"), (2, "c")])
+    come([(1, "m", "a"), (1, "c", "bb"), (3, "m", "ccc"), (3, "m", "ccc"), (None, "m", "d")])
+    come([(3, "m", "again"), (4, "c", "e")])
+    first = [(0, "m", 1), (1, "c", 2), (3, "m", 3), (4, "c", 1)]
+    assert run() == first
+    known([(5, "m")])
+    come([(5, "m", "x"), (4, "c", "y"), (6, "c", "zz")])
+    assert run() == [*first, (6, "c", 2)]
+
+
 def pads(notes, keep=8):
     out, pad = [], []
     for note in notes:
