@@ -9,7 +9,10 @@ verbatim matches ``(item, item_start, start, length)``.
 Suffixes that cannot reach a match are left out of the array without loss: a training
 suffix needs at least as many consecutive words of the benchmark's vocabulary as the
 shortest window has.  One pass over the documents, no shuffle; the benchmark is broadcast
-in blocks of at most ``block_bytes`` of text (a longer single item is a block of its own).
+in blocks of at most ``block_bytes`` of text (a longer single item is a block of its own), at
+most ``PASS_BLOCKS`` of them at a time.  A larger benchmark takes several passes over the
+documents; a pass writes the matches of the texts that have some, by the texts' SHA-256, and
+these few rows are merged and joined back.
 
 Defined cases: null or word-free texts have no words and no matches; a benchmark without
 words matches nothing; an item shorter than the window (but not empty) is one window;
@@ -30,8 +33,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.llm import words as W
+from corpusmill.llm.tables import written
 
 BLOCK_BYTES = 8 << 20
+PASS_BLOCKS = 8  # blocks that are broadcast at the same time
 WINDOW = 13
 
 _MATCH = pa.struct([("item", pa.string()), ("item_start", pa.int32()), ("start", pa.int32()), ("length", pa.int32())])
@@ -223,15 +228,48 @@ def find_contamination(
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-int(size) // block_bytes))
     slot = F.pmod(F.xxhash64("id", "text"), F.lit(blocks))
-    result = docs
-    for k in range(blocks):  # a block is bounded, so is each broadcast
-        found = _block_result(docs, text, items.filter(slot == k).collect(), window)
+    block = lambda k: items.filter(slot == k).collect()
+    if blocks <= PASS_BLOCKS:
+        return _judged(docs, text, map(block, range(blocks)), window, out)
+    digest = F.sha2(F.col(text).cast("string"), 256)
+    hits = None
+    for first in range(0, blocks, PASS_BLOCKS):
+        texts = docs.select(digest.alias("__cm_text"), F.col(text).cast("string").alias("text"))
+        found = _judged(texts, "text", map(block, range(first, min(first + PASS_BLOCKS, blocks))), window, "__cm_found")
+        found = found.filter(F.size("__cm_found.items") > 0).dropDuplicates(["__cm_text"]).drop("text")
+        found = written(found, f"decontam-{first}")
+        hits = found if hits is None else hits.unionByName(found)
+    listed = hits.groupBy("__cm_text").agg(F.collect_list("__cm_found").alias("__cm_found"))  # a value per pass at most
+    merged = listed.select("__cm_text", F.arrow_udf(_merge_all, RESULT_TYPE)("__cm_found").alias("__cm_found"))
+    none = _judged(docs, text, [[]], window, out).withColumn("__cm_text", digest)
+    joined = none.join(merged, "__cm_text", "left")
+    return joined.withColumn(out, F.coalesce("__cm_found", out)).drop("__cm_text", "__cm_found")
+
+
+def _judged(docs: DataFrame, text: str, blocks, window: int, out: str) -> DataFrame:
+    """``docs`` with the results of some blocks of the benchmark as column ``out``."""
+    # the text is kept aside, as ``out`` may be named like a column that is read
+    result = docs.withColumn("__cm_read", F.col(text).cast("string"))
+    for k, rows in enumerate(blocks):
+        found = _block_result(result, "__cm_read", rows, window)
         if k == 0:
-            result = result.withColumn(out, found)
+            result = result.withColumn("__cm_first", found)
         else:
-            result = result.withColumn("__cm_more", found)
-            result = result.withColumn(out, F.arrow_udf(_merge, RESULT_TYPE)(F.col(out), F.col("__cm_more"))).drop("__cm_more")
-    return result
+            more = result.withColumn("__cm_more", found)
+            both = F.arrow_udf(_merge, RESULT_TYPE)(F.col("__cm_first"), F.col("__cm_more"))
+            result = more.withColumn("__cm_first", both).drop("__cm_more")
+    return result.drop("__cm_read", out).withColumnRenamed("__cm_first", out)
+
+
+def _merge_all(lists: pa.Array) -> pa.Array:
+    out = []
+    for found in lists.to_pylist():
+        parts = [pa.array([f], _RESULT) for f in found]
+        whole = parts[0]
+        for part in parts[1:]:
+            whole = _merge(whole, part)
+        out += whole.to_pylist()
+    return pa.array(out, _RESULT)
 
 
 def is_contaminated(found: Column, percent: int = 5) -> Column:
