@@ -41,6 +41,8 @@ ASIDE_WORDS = frozenset(
     "related replies respond search share sharing sidebar signup skip social sponsor sponsored subscribe toolbar widget".split()
 )
 HEAD_WORDS = frozenset("header masthead".split())
+#: Of these, words that the class of a wrapper around the whole page may mention.
+WRAPPER_WORDS = frozenset("banner footer menu nav navbar navigation notice search sidebar toolbar widget".split())
 #: Containers without a class that are told apart by place only.
 PLAIN = frozenset("div section form table td center".split())
 RUN = 4  # so many equal brothers in a row are one node, whatever they are
@@ -325,8 +327,8 @@ def unpacked(text: str) -> Node:
 
 def asides(nodes: list[Node]) -> list[bool]:
     """For numbered nodes: is it part of a menu, header, footer, advert, form and the like?
-    Headers inside an article belong to it; a class says nothing against an element that holds
-    the article."""
+    Headers inside an article belong to it; what a wrapper's class may mention (``content with
+    sidebar``) says nothing against an element that holds an article."""
     holds = [False] * len(nodes)
     for node in nodes:
         if is_article(node):
@@ -344,7 +346,7 @@ def asides(nodes: list[Node]) -> list[bool]:
         if (
             tag in ASIDE_TAGS
             or head and not inside[node.number] and not holds[node.number] and not is_article(node)
-            or not holds[node.number] and any(w in ASIDE_WORDS for w in words)
+            or any(w in ASIDE_WORDS and not (holds[node.number] and w in WRAPPER_WORDS) for w in words)
         ):
             out[node.number] = True
         inside[node.number] |= is_article(node) and not out[node.number]

@@ -116,6 +116,16 @@ def semantic(article, say):
     )
 
 
+def nested(article, say):
+    """Comments and related pages are articles too, the wrapper's class mentions a sidebar."""
+    return (
+        f"<body class='has-sidebar'><div class='content-sidebar-wrap'><div id=main-content><article><header><h1 hidden-x>"
+        f"{article.partition('<h1>')[2]}<section class=comments><h2>{say(2)}</h2><article><p>{say(300)}</article><article>"
+        f"<p>{say(300)}</article></section></article></div><div class='related-posts'><article><p>{say(200)}</article></div>"
+        f"<div class=sidebar-right><p>{say(50)}</div></div><div id=cookie-consent role=dialog><p>{say(9)}</div></body>"
+    )
+
+
 def bare(article, say):
     """No word says what anything is: constants and the region decide."""
     return (
@@ -130,7 +140,7 @@ def run(spark, rows):
     return df, wrappers.extract_main_text(df)
 
 
-@pytest.mark.parametrize("layout", [semantic, bare])
+@pytest.mark.parametrize("layout", [semantic, nested, bare])
 def test_articles_of_a_site(spark, layout, monkeypatch):
     monkeypatch.setattr(wrappers, "FAN", 2)
     pages = site(40)
