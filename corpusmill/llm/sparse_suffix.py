@@ -1,13 +1,14 @@
-"""Suffix-array dedup with sparse suffix arrays.
+"""Suffix-array dedup with sparse suffix arrays, in a reduced form.
 
 Of all suffixes only those at minimiser positions are retained: the leftmost smallest hash
 of ``PREFIX_WORDS`` words in every window of ``length`` words, so any repeat of at least
-``length`` words has a retained suffix in each copy, at the same place.  The retained
-suffixes are sorted by their first ``PREFIX_WORDS`` words and neighbours compared (in parts
-of the corpus-wide order; copies inside a block of texts count as one entry); suffixes with
-an equal neighbour are extended left and right to full-length spans, which are sorted and
-compared in the same way.  Later copies are deleted; the first occurrence (smallest key,
-then place) stays.
+``length`` words has a retained suffix in each copy, at the same place.  Of a retained suffix
+only the 64-bit hash of its first ``PREFIX_WORDS`` words is sorted (in parts of the corpus-wide
+order; copies inside a block of texts count as one entry) and neighbours are compared by it;
+no further words of a suffix are ordered.  Where a neighbour is equal, the windows of
+``length`` words around the place are looked up by their 128-bit keys among those of all such
+places; a match is the union of such windows and is not extended word by word.  Later copies
+are deleted; the first occurrence (smallest key, then place) stays.
 
 Defined cases: a null text has no words; a shorter text keeps all; of repeated rows (same
 key) the one read first keeps its words; keys that are not integers are ordered by a hash;
