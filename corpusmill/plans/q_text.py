@@ -156,10 +156,10 @@ s AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY ri) - 1 AS pos F
 """
 
 
-def prepared_documents(spark, sf):
+def prepared_documents(spark, sf, keep_text=True):
     docs = table(spark, sf, "documents").select("doc_id", "source", F.col("text"))
     docs = docs.withColumn("text", dirty("text"))
-    return prepare_corpus(docs, "source", "doc_id", max_records=SUMMARY_SHARD_SIZE)
+    return prepare_corpus(docs, "source", "doc_id", max_records=SUMMARY_SHARD_SIZE, keep_text=keep_text)
 
 
 @register(
@@ -169,7 +169,8 @@ def prepared_documents(spark, sf):
        CAST(pos // {SUMMARY_SHARD_SIZE} AS BIGINT) AS shard FROM s""",
 )
 def q_shard_assign(spark, sf):
-    return prepared_documents(spark, sf).select("doc_id", "source", "sample_id", "shard_pos", "shard")
+    prepared = prepared_documents(spark, sf, keep_text=False)
+    return prepared.select("doc_id", "source", "sample_id", "shard_pos", "shard")
 
 
 @register(
@@ -197,7 +198,7 @@ FROM s GROUP BY source""",
 )
 def q_shard_layout_summary(spark, sf):
     """The same summary read off the full row-level layout (ordinals, ids, dedup, shards)."""
-    return shard_summary(prepared_documents(spark, sf), ["source"])
+    return shard_summary(prepared_documents(spark, sf, keep_text=False), ["source"])
 
 
 _FT_FIELDS = {

@@ -3,11 +3,13 @@ scoring.
 
 Corpus preparation as one lazy plan:
 
-scan -> ordinal (before filtering) -> normalise -> length filter -> sample id
-     -> keep-first dedup per dataset -> shard layout -> (sink / summary)
+scan -> normalise and hash, where the text is read -> ordinal (rejected rows count)
+     -> drop rejects -> sample id -> keep-first dedup per dataset -> shard layout
+     -> (sink / summary)
 
 Stage boundaries are shuffles chosen by Catalyst: the ordinal (range shuffle), the
 dedup (aggregate + semi-join on (hash, ord)) and the shard numbering (range shuffle).
+Where nothing after the layout reads the texts, only ids and hashes are shuffled.
 """
 
 from __future__ import annotations
@@ -15,8 +17,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.functions.ids import fallback_sample_id, sample_id, text_hash
-from corpusmill.functions.text import is_valid_text, with_normalized
+from corpusmill.functions.ids import ID_SNIPPET_CHARS, fallback_sample_id, sample_id, text_hash
+from corpusmill.functions.text import is_valid_text, normalize_text, with_normalized
 from corpusmill.operators import manifest as M
 from corpusmill.operators.artifacts import lookup, pending, pending_counters
 from corpusmill.operators.dedup import DEFAULT_MAX_RECORDS, assign_shards, dedup_keep_first
@@ -35,21 +37,6 @@ def number_records(
     return with_ordinal(df, order_cols, [dataset_col], name=name)
 
 
-def clean_records(
-    df: DataFrame,
-    text_col: str = "text",
-    uri_col: str = "source_uri",
-    index_col: str = "record_index",
-    min_length: int = 10,
-    collapse_whitespace: bool = True,
-) -> DataFrame:
-    """Normalise, drop rejects, and attach ``sample_id`` and ``text_sha1``."""
-    out = with_normalized(df, text_col, text_col, min_length, collapse_whitespace)
-    return out.withColumn("sample_id", sample_id(uri_col, index_col, text_col)).withColumn(
-        "text_sha1", text_hash(text_col)
-    )
-
-
 def prepare_corpus(
     df: DataFrame,
     dataset_col: str,
@@ -59,13 +46,23 @@ def prepare_corpus(
     min_length: int = 10,
     collapse_whitespace: bool = True,
     max_records: int = DEFAULT_MAX_RECORDS,
+    keep_text: bool = True,
 ) -> DataFrame:
     """Full preparation of one or many datasets (``dataset_col`` scopes numbering,
-    dedup and shards, like one writer per dataset)."""
-    uri = uri_col or dataset_col
-    numbered = number_records(df, dataset_col, order_cols)
-    cleaned = clean_records(numbered, text_col, uri, "record_index", min_length, collapse_whitespace)
-    unique = dedup_keep_first(cleaned, "text_sha1", "record_index", [dataset_col])
+    dedup and shards, like one writer per dataset).  Without ``keep_text`` the texts end
+    where they are normalised; the layout is the same."""
+    # a plain column: nothing above the ordinal filters on it, and the ordinal's own counts
+    # are pruned down to the keys
+    cleaned = df.withColumn(text_col, normalize_text(text_col, min_length, collapse_whitespace))
+    cleaned = cleaned.withColumn("text_sha1", text_hash(text_col))
+    cleaned = cleaned.withColumn("__head", F.substring(text_col, 1, ID_SNIPPET_CHARS))  # what the id needs
+    if not keep_text:
+        cleaned = cleaned.drop(text_col)
+    # keys of the raw input: bounds are drawn without normalising
+    numbered = with_ordinal(cleaned, order_cols, [dataset_col], name="record_index", sample_from=df)
+    valid = numbered.filter(F.col("text_sha1").isNotNull())
+    valid = valid.withColumn("sample_id", sample_id(uri_col or dataset_col, "record_index", "__head")).drop("__head")
+    unique = dedup_keep_first(valid, "text_sha1", "record_index", [dataset_col])
     # record_index follows order_cols within a dataset, so bucket bounds can be drawn
     # from the cheap raw input instead of the cleaned, deduplicated frame
     return assign_shards(

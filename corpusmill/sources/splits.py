@@ -7,7 +7,7 @@
    points of ``gzindex`` (one pass over the file, which also numbers its lines), a parquet file
    by row groups (its footer is read).  The plan is a written table: it is made once and can
    be used again.
-3. ``read_splits``: a task per range or some ranges; JSON lines come out as text, parquet rows
+3. ``read_splits``: a task per large range or per many small ones; JSON lines come out as text, parquet rows
    as columns, both in one frame.
 
 The driver sees no path and no listing; 100,000 files are as many rows of the plan.  A file
@@ -35,6 +35,7 @@ SPLIT_BYTES = 64 << 20
 CHUNK = 1 << 20
 BATCH_LINES = 4096
 MAX_TASKS = 1 << 16
+OPEN_BYTES = 1 << 18  # what opening a range costs, in bytes read
 
 _PLAN = (
     "file string, no int, kind string, start bigint, end bigint, window binary, skip bigint, take bigint, "
@@ -223,11 +224,14 @@ _FAILURES = (OSError, EOFError, zlib.error, pa.ArrowInvalid)
 
 def number_lines(plan: DataFrame) -> DataFrame:
     """``plan`` with ``lines`` = non-blank lines before each range in its file: ranges of plain
-    files are counted in one pass, then summed up over a file's ranges."""
+    files are counted in one pass, then summed up over a file's ranges.  A file's last range is
+    not counted, so a file of one range is read once only."""
+    plan = plan.withColumn("__last", F.col("no") == F.max("no").over(Window.partitionBy("file")))
 
     def counted(row: dict) -> list[tuple]:
         try:
-            return [(sum(len(x) for x in _lines(row)),)] if row["kind"] == "lines" and row["error"] is None else [(0,)]
+            wanted = row["kind"] == "lines" and row["error"] is None and not row["__last"]
+            return [(sum(len(x) for x in _lines(row)),)] if wanted else [(0,)]
         except _FAILURES:
             return [(0,)]
 
@@ -237,12 +241,16 @@ def number_lines(plan: DataFrame) -> DataFrame:
     counts = plan.sparkSession.read.parquet(path)
     before = Window.partitionBy("file").orderBy("no").rowsBetween(Window.unboundedPreceding, -1)
     total = F.coalesce(F.sum("__n").over(before), F.lit(0))  # a row per range of the file
-    return counts.withColumn("lines", F.when(F.col("kind") == "lines", total).otherwise(F.col("lines"))).drop("__n")
+    return counts.withColumn("lines", F.when(F.col("kind") == "lines", total).otherwise(F.col("lines"))).drop("__n", "__last")
 
 
 def _tasks(plan: DataFrame) -> DataFrame:
-    count = plan.count()  # the written plan
-    return plan.repartition(max(1, min(count, MAX_TASKS)), "file", "no")
+    """Ranges dealt to tasks: a task per large range, small ranges share one."""
+    size = F.when(F.col("kind").isin("lines", "gzip"), F.col("end") - F.col("start")).otherwise(SPLIT_BYTES)
+    count, held = plan.agg(F.count(F.lit(1)), F.sum(size + OPEN_BYTES)).first()  # the written plan
+    least = 4 * plan.sparkSession.sparkContext.defaultParallelism
+    tasks = max(least, -(-2 * (held or 0) // SPLIT_BYTES))
+    return plan.repartition(max(1, min(count, tasks, MAX_TASKS)), "file", "no")
 
 
 def read_splits(plan: DataFrame, columns: str = "", keep_faults: bool = False) -> DataFrame:
