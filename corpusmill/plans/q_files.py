@@ -340,7 +340,7 @@ def q_shard_write_roundtrip(spark, sf):
     """Ids, order and texts of every shard file, and that readiness finds the files."""
     base = scratch_dir(spark, "shards")
     prepared = prepared_documents(spark, sf).withColumn("type", F.lit("lm"))
-    K.write_shards(prepared, base, ["source"], "shard", "shard_pos")
+    written = K.write_shards(prepared, base, ["source"], "shard", "shard_pos")
     schema = Ty.StructType([Ty.StructField(c, Ty.StringType()) for c in ("sample_id", "type", "text")])
     back = S.read_json_lines_numbered(spark, f"{base}/source=*/part-*.jsonl", schema)
     out = back.select(
@@ -351,10 +351,11 @@ def q_shard_write_roundtrip(spark, sf):
         "rec.type",
         I.sha1_hex("rec.text").alias("text_sha1"),
     )
-    configs = prepared.select("source").distinct().select(
-        F.col("source").alias("job"), F.concat(F.lit(f"{base}/source="), "source").alias("out")
-    )
-    listing = S.list_files(spark, f"{base}/source=*/*").withColumn("path", _norm_uri("path"))
+    # a job per source that wrote shards, from the writer's report (not from a second preparation)
+    folder = F.regexp_extract("path", r"source=([^/]+)/[^/]*$", 1)
+    job = F.when(folder != "__HIVE_DEFAULT_PARTITION__", F.url_decode(folder))
+    configs = written.select(job.alias("job")).distinct().withColumn("out", F.concat(F.lit(f"{base}/source="), "job"))
+    listing = S.list_folder_files(spark, f"{base}/source=*", "*").withColumn("path", _norm_uri("path"))
     ready = M.with_readiness(configs.withColumn("out", _norm_uri("out")), listing).filter("ready")
     return out.join(ready.select(F.col("job").alias("source")), "source")
 

@@ -48,6 +48,11 @@ def _drop(store: pafs.FileSystem, folder: str) -> None:
         store.delete_dir(folder)
 
 
+def _files(store: pafs.FileSystem, folder: str, recursive: bool = False) -> set[str]:
+    found = store.get_file_info(pafs.FileSelector(folder, recursive=recursive))
+    return {f"{folder}/{info.path[len(folder) :].strip('/')}" for info in found if info.type == pafs.FileType.File}
+
+
 def _text(store: pafs.FileSystem, path: str) -> str:
     with store.open_input_stream(path, compression=None) as f:
         return f.read().decode()
@@ -107,16 +112,10 @@ def finish(path: str, job: str) -> None:
     store, root = open_store(path.rstrip("/"))
     base = f"{root}/{STAGING}/{job}"
     store.create_dir(f"{root}/{COMMITS}/{job}", recursive=True)
-    folders: set[str] = set()
+    taken: dict[str, set[str]] = {}  # folders are listed once, not every file looked up
 
     def move(staged: str, final: str) -> None:
-        if _missing(store, staged):
-            return  # moved before
-        folder = final.rsplit("/", 1)[0]
-        if folder not in folders:
-            store.create_dir(folder, recursive=True)
-            folders.add(folder)
-        if not _missing(store, final):
+        if final in taken[final.rsplit("/", 1)[0]]:
             store.delete_file(final)
         store.move(staged, final)
 
@@ -125,9 +124,14 @@ def finish(path: str, job: str) -> None:
             listing = f"{base}/{name}/{LISTING}"
             if _missing(store, listing):
                 continue  # all of this attempt is in place
+            left = _files(store, f"{base}/{name}", recursive=True)  # the others were moved before
             files = [json.loads(x)["file"] for x in _text(store, listing).splitlines()]
+            files = [f for f in files if f"{base}/{name}/{f}" in left]
+            for folder in {f"{root}/{f}".rsplit("/", 1)[0] for f in files} - taken.keys():
+                store.create_dir(folder, recursive=True)
+                taken[folder] = _files(store, folder)
             list(pool.map(lambda f: move(f"{base}/{name}/{f}", f"{root}/{f}"), files))  # noqa: B023
-            move(listing, f"{root}/{COMMITS}/{job}/{name}.jsonl")
+            store.move(listing, f"{root}/{COMMITS}/{job}/{name}.jsonl")
     _drop(store, base)
 
 

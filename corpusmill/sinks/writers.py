@@ -84,7 +84,7 @@ def list_shard_files(spark: SparkSession, base: str) -> DataFrame:
     """Shard files under ``base`` in name order (names are zero-padded, so name order is
     shard order): ``(path, name_rank)``, ranks from 0."""
     from corpusmill.operators.ordinals import with_ordinal
-    from corpusmill.sources.files import list_files
+    from corpusmill.sources.files import list_folder_files
 
-    files = list_files(spark, f"{base.rstrip('/')}/*=*/part-*.jsonl", recursive=False).select("path")
+    files = list_folder_files(spark, f"{base.rstrip('/')}/*=*", "part-*.jsonl").select("path")
     return with_ordinal(files, "path", name="name_rank")

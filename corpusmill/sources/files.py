@@ -180,7 +180,17 @@ def list_files(spark: SparkSession, pattern: str, recursive: bool = False) -> Da
     """File listing as a table ``(path, length, modificationTime)``; contents are not read
     because the ``content`` column is pruned.  A pattern matching nothing yields no rows
     (use ``expand_or_keep`` for the keep-the-pattern rule)."""
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
+    return _listed(spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower()), pattern)
+
+
+def list_folder_files(spark: SparkSession, folders: str, names: str) -> DataFrame:
+    """``list_files`` of the files ``names`` right in or below the folders that match
+    ``folders``: each folder is listed once, so that the driver globs folders, not files."""
+    return _listed(spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", names), folders)
+
+
+def _listed(reader, pattern: str) -> DataFrame:
+    spark = reader._spark
     try:
         df = reader.load(pattern)
     except AnalysisException as failure:

@@ -21,3 +21,45 @@ def test_layout_without_texts_is_the_same(spark):
     plan = light.select(*keys)._jdf.queryExecution().optimizedPlan().toString()
     windows = [line for line in plan.splitlines() if "Window" in line or "Aggregate" in line]
     assert windows and not any("text#" in line for line in windows)
+
+
+def _small_files(base, n=400):
+    for k in range(n):
+        (base / f"s={k % 3}").mkdir(exist_ok=True)
+        (base / f"s={k % 3}" / f"part-{k:05d}.jsonl").write_text(f'{{"a": "{k}"}}\n\nbroken\n{{"a": "x"}}\n')
+
+
+def test_small_files_share_tasks_and_are_read_once(spark, tmp_path, monkeypatch):
+    from pyspark.sql.types import StringType, StructField, StructType
+
+    from corpusmill.sources import files as S
+    from corpusmill.sources import splits as P
+
+    _small_files(tmp_path)
+    schema = StructType([StructField("a", StringType())])
+    lines = S.read_json_lines_numbered(spark, f"{tmp_path}/*/*", schema)
+    assert lines.rdd.getNumPartitions() <= 4 * spark.sparkContext.defaultParallelism
+    got = sorted((r.file_path[-10:-6], r.line_no, r.bad, r.rec.a) for r in lines.collect())
+    assert got[:3] == [("0000", 0, False, "0"), ("0000", 1, True, None), ("0000", 2, False, "x")] and len(got) == 1200
+    # a file of several ranges is counted up to its last one
+    (tmp_path / "long.jsonl").write_text("".join(f'{{"a": "{k}"}}\n' for k in range(500)))
+    plan = P.plan_splits(P.expand_paths(P.paths_table(spark, str(tmp_path / "long.jsonl"))), 1000)
+    assert plan.count() > 4
+    numbered = P.read_splits(P.number_lines(plan).drop("pattern"))
+    assert all(r.line == f'{{"a": "{r.line_no}"}}' for r in numbered.collect())
+
+
+def test_folders_are_listed_not_globbed(spark, tmp_path):
+    from corpusmill.sinks import writers as K
+
+    _small_files(tmp_path, 40)
+    (tmp_path / "s=0" / "other.txt").write_text("")
+    paths = []
+    listed = K.list_shard_files(spark, str(tmp_path))
+    paths = [(r.name_rank, r.path.rsplit("/", 2)[-2:]) for r in listed.orderBy("name_rank").collect()]
+    assert paths == list(enumerate(sorted([f"s={k % 3}", f"part-{k:05d}.jsonl"] for k in range(40))))
+    roots = spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(
+        listed._jdf.queryExecution().optimizedPlan().collectLeaves()
+    )
+    found = [n.relation().location().rootPaths().size() for n in roots if "LogicalRelation" in n.getClass().getName()]
+    assert found and max(found) == 3  # the scopes' folders, not 40 files
