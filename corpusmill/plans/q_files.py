@@ -12,9 +12,12 @@ from __future__ import annotations
 import gzip
 import math
 import zipfile
+import zlib
 from collections.abc import Iterator
+from contextlib import ExitStack
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as Ty
@@ -45,30 +48,54 @@ def _norm_uri(col):
 
 
 def write_zip_archives(df: DataFrame, base: str, archive_col: str, member_col: str, content_col: str) -> int:
-    """One zip per archive key, streamed to the shared store by the task that holds the key."""
-
-    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """One zip per archive key in the shared store; returns how many.
+
+    Members are compressed where their rows are; the task that holds an archive only strings
+    its compressed members together, one archive after the other."""
+
+    def compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            crc, size, data = [], [], []
+            for content in batch.column(2).to_pylist():
+                raw = (content or "").encode()
+                deflate = zlib.compressobj(zlib.Z_DEFAULT_COMPRESSION, zlib.DEFLATED, -15)
+                crc.append(zlib.crc32(raw))
+                size.append(len(raw))
+                data.append(deflate.compress(raw) + deflate.flush())
+            columns = [pa.array(crc, pa.int64()), pa.array(size, pa.int64()), pa.array(data, pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], names=["archive", "member", "crc", "size", "data"])
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, root = open_store(base)
-        open_zips: dict[str, zipfile.ZipFile] = {}
-        counts: dict[str, int] = {}
-        for pdf in batches:
-            for a, m, c in zip(pdf[archive_col], pdf[member_col], pdf[content_col]):
-                if a not in open_zips:
-                    store.create_dir(root, recursive=True)
-                    open_zips[a] = zipfile.ZipFile(store.open_output_stream(f"{root}/{a}.zip"), "w", zipfile.ZIP_DEFLATED)
-                    counts[a] = 0
-                open_zips[a].writestr(zipfile.ZipInfo(m) if m.endswith("/") else m, c or "")
-                counts[a] += 1
-        for z in open_zips.values():
-            z.close()
-            z.fp and z.fp.close()
-        yield pd.DataFrame(
-            {"archive": pd.Series(list(counts), dtype="object"), "members": pd.Series(list(counts.values()), dtype="int64")}
-        )
-
-    keys = df.select(archive_col).distinct().count()
-    out = df.repartition(max(1, keys), archive_col).sortWithinPartitions(archive_col, member_col)
-    return out.mapInPandas(write, "archive string, members long").count()
+        store.create_dir(root, recursive=True)
+        now, done = None, []
+        with ExitStack() as files:
+            for batch in batches:
+                for a, m, crc, size, data in zip(*(c.to_pylist() for c in batch.columns)):
+                    if a != now:
+                        files.close()
+                        out = files.enter_context(store.open_output_stream(f"{root}/{a}.zip", compression=None))
+                        archive, now = files.enter_context(zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED)), a
+                        done.append(a)
+                    add_compressed(archive, m, crc, size, data)
+        yield pa.RecordBatch.from_arrays([pa.array(done, pa.string())], names=["archive"])
+
+    rows = df.select(F.col(archive_col).alias("archive"), F.col(member_col).alias("member"), F.col(content_col).alias("content"))
+    packed = rows.mapInArrow(compress, "archive string, member string, crc bigint, size bigint, data binary")
+    return packed.repartition("archive").sortWithinPartitions("archive", "member").mapInArrow(write, "archive string").count()
+
+
+def add_compressed(archive: zipfile.ZipFile, name: str, crc: int, size: int, data: bytes) -> None:
+    """Add a member whose raw deflate stream is ready to an archive opened for writing."""
+    info = zipfile.ZipInfo(name)
+    info.compress_type, info.CRC, info.file_size, info.compress_size = zipfile.ZIP_DEFLATED, crc, size, len(data)
+    info.header_offset = archive.fp.tell()
+    archive.fp.write(info.FileHeader())
+    archive.fp.write(data)
+    archive.start_dir = archive.fp.tell()
+    archive.filelist.append(info)
+    archive.NameToInfo[name] = info
+    archive._didModify = True
 
 
 _DOC_RECORD = Ty.StructType([Ty.StructField("doc_id", Ty.LongType()), Ty.StructField("text", Ty.StringType())])

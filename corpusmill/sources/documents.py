@@ -7,12 +7,14 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from corpusmill.functions.text import first_truthy, py_strip
 from corpusmill.functions.wiki import strip_wiki
+from corpusmill.operators.ordinals import null_safe_join
+from corpusmill.session import scratch_dir
 from corpusmill.sources.archives import read_zip
 
 # --- fixed values --------------------------------------------------------------------
@@ -128,7 +130,10 @@ def code_records(spark: SparkSession, pattern: str) -> DataFrame:
     from corpusmill.functions.text import CODE_FIELDS
     from corpusmill.operators.ordinals import with_ordinal
 
-    raw = read_zip(spark, pattern, "code")
+    # the archives are read once: counting, sampling and numbering go over the written records
+    path = scratch_dir(spark, "code-records")
+    read_zip(spark, pattern, "code").write.parquet(path)
+    raw = spark.read.parquet(path)
     numbered = with_ordinal(raw, ["archive", "member_no", "line_no"], name="record_index", start=1,
                             sample_from=raw.select("archive", "member_no", "line_no"))
     from_json = _first_truthy_text(F.try_parse_json("content"), CODE_FIELDS)
@@ -156,21 +161,66 @@ def with_paragraphs(df: DataFrame, text: Column | str, out_col: str = "paragraph
     return df.withColumn(out_col, paragraphs_of(text))
 
 
+LINES_AT_ONCE = 1 << 12  # line numbers of a block of lines
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks of ``(line number, line)`` in order -> their runs of non-blank lines, and whether
+    the first and last line are part of one.  A null line is left out."""
+    for batch in batches:
+        runs, opens, ends = [], [], []
+        for lines in batch.column(batch.num_columns - 1).to_pylist():
+            found, run, number = [], [], None
+            known = [(x["no"], x["line"]) for x in lines if x["line"] is not None]
+            for no, line in known:
+                if line.strip():
+                    number = no if number is None else number
+                    run.append(line)
+                elif run:
+                    found.append({"first_line": number, "text": "\n".join(run)})
+                    run, number = [], None
+            ends.append(bool(run))
+            opens.append(bool(known) and bool(known[0][1].strip()))
+            if run:
+                found.append({"first_line": number, "text": "\n".join(run)})
+            runs.append(found)
+        kind = pa.list_(pa.struct([("first_line", pa.int64()), ("text", pa.string())]))
+        columns = [pa.array(runs, kind), pa.array([len(r) for r in runs], pa.int64()), pa.array(opens), pa.array(ends)]
+        names = [*batch.schema.names[:-1], "__runs", "__n", "__opens", "__ends"]
+        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *columns], names=names)
+
+
 def paragraphs_from_lines(lines: DataFrame, key_cols, line_no_col: str, line_col: str) -> DataFrame:
-    """Line rows -> paragraph rows (gaps and islands).  The blank-line count before each
-    line comes from the skew-safe running window; a paragraph is one group."""
-    from corpusmill.operators.ordinals import with_ordinal
-    from corpusmill.operators.windows import running
-
-    keys = list(key_cols)
-    pos = with_ordinal(lines, line_no_col, keys, name="__pos")
-    blank = (py_strip(F.col(line_col)) == "").cast("int")
-    grp = running(pos.withColumn("__blank", blank), keys, "__pos", "__blank", "sum", "__grp")
-    body = grp.filter(F.col("__blank") == 0)
-    para = body.groupBy(*keys, "__grp").agg(
-        F.min(line_no_col).alias("first_line"),
-        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(line_no_col, line_col))), lambda s: s[line_col]), "\n").alias(
-            "text"
-        ),
+    """Line rows -> paragraph rows (``first_line``, ``text``, ``para_no``).
+
+    Lines are cut by number into blocks of ``LINES_AT_ONCE``, so a long key is many groups; a
+    block gives its runs of non-blank lines.  The blocks are written once.  Over their counts
+    (no texts) a window tells the number of each block's first run and whether it goes on from
+    the block before; only runs at such edges are grouped again."""
+    spark, keys = lines.sparkSession, list(key_cols)
+    held = lines.select(*keys, F.floor(F.col(line_no_col) / F.lit(LINES_AT_ONCE)).cast("bigint").alias("__block"),
+                        F.struct(F.col(line_no_col).cast("bigint").alias("no"), F.col(line_col).alias("line")).alias("__line"))
+    blocks = held.groupBy(*keys, "__block").agg(F.sort_array(F.collect_list("__line")).alias("__lines"))
+    blocks = blocks.filter(F.exists("__lines", lambda x: x["line"].isNotNull()))
+    head = ", ".join(f"`{c}` {lines.schema[c].dataType.simpleString()}" for c in keys)
+    runs = "__runs array<struct<first_line: bigint, text: string>>, __n bigint, __opens boolean, __ends boolean"
+    path = scratch_dir(spark, "line-blocks")
+    blocks.mapInArrow(_runs, f"{head}, __block bigint, {runs}").write.parquet(path)
+    blocks = spark.read.parquet(path)
+
+    order = Window.partitionBy(*keys).orderBy("__block")
+    joins = F.col("__opens") & F.coalesce(F.lag("__ends").over(order), F.lit(False))
+    counts = blocks.select(*keys, "__block", "__n", "__opens", "__ends").withColumn("__joins", joins)
+    before = F.coalesce(F.sum(F.col("__n") - F.col("__joins").cast("int")).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    counts = counts.withColumn("__first", before - F.col("__joins").cast("int"))
+    counts = counts.withColumn("__joined", F.coalesce(F.lead("__joins").over(order), F.lit(False)))
+    placed = null_safe_join(blocks.select(*keys, "__block", "__n", "__runs"), counts.drop("__n", "__opens", "__ends"), [*keys, "__block"])
+    run = placed.select(*keys, "__block", "__n", "__first", "__joins", "__joined", F.posexplode("__runs").alias("__k", "__run"))
+    edge = ((F.col("__k") == 0) & F.col("__joins")) | ((F.col("__k") == F.col("__n") - 1) & F.col("__joined"))
+    run = run.select(*keys, "__block", "__run.*", (F.col("__first") + F.col("__k")).alias("para_no"), edge.alias("__edge"))
+    whole = run.filter(~F.col("__edge")).select(*keys, "first_line", "text", "para_no")
+    pieces = F.sort_array(F.collect_list(F.struct("__block", "text")))
+    cut = run.filter("__edge").groupBy(*keys, "para_no").agg(
+        F.min("first_line").alias("first_line"), F.array_join(F.transform(pieces, lambda p: p["text"]), "\n").alias("text")
     )
-    return with_ordinal(para, "first_line", keys, name="para_no").drop("__grp")
+    return whole.unionByName(cut)
