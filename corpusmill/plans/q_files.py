@@ -185,16 +185,19 @@ def q_file_faults(spark, sf):
        SELECT doc_id FROM documents d JOIN b ON d.doc_id % 4 = b.part WHERE first_bad IS NULL OR doc_id < first_bad""",
 )
 def q_truncated_shards(spark, sf):
-    """The strict rule: a shard ends at its first bad line (line order = doc_id)."""
+    """The strict rule: a shard ends at its first bad line (line order = doc_id).  A shard is a
+    folder of files in name order, so that no task writes or reads a whole one."""
     base = scratch_dir(spark, "truncated")
     docs = table(spark, sf, "documents").select("doc_id", "text")
     good = F.to_json(F.struct("doc_id", "text"))
     broken = F.concat(F.lit('{"doc_id": '), F.col("doc_id").cast("string"), F.lit(", broken"))
     line = F.when(F.col("doc_id") % 50 == 0, broken).otherwise(good)
     lines = docs.select(line.alias("value"), "doc_id", F.pmod("doc_id", F.lit(4)).alias("part"))
-    lines.repartition(4, "part").sortWithinPartitions("part", "doc_id").select("value", "part").write.partitionBy("part").text(base)
+    ordered = lines.repartitionByRange("part", "doc_id").sortWithinPartitions("part", "doc_id")
+    ordered.select("value", "part").write.partitionBy("part").text(base)
     numbered = S.read_json_lines_numbered(spark, f"{base}/*/*", _DOC_RECORD)
-    kept = S.truncate_after_first_bad(numbered, "file_path", "line_no", "bad")
+    numbered = numbered.withColumn("shard", F.regexp_extract("file_path", r"^(.*)/[^/]*$", 1))
+    kept = S.truncate_after_first_bad(numbered, "shard", ["file_path", "line_no"], "bad")
     return kept.select(F.col("rec.doc_id").alias("doc_id"))
 
 

@@ -216,11 +216,13 @@ def union_inputs(frames: Sequence[DataFrame]) -> DataFrame:
     return out
 
 
-def truncate_after_first_bad(lines: DataFrame, file_col: str, line_col: str, bad_col: str) -> DataFrame:
-    """Drop every line at or after the first bad line of its file (strict shard rule)."""
-    first_bad = lines.filter(F.col(bad_col)).groupBy(file_col).agg(F.min(line_col).alias("__first_bad"))
+def truncate_after_first_bad(lines: DataFrame, file_col: str, line_col: str | Sequence[str], bad_col: str) -> DataFrame:
+    """Drop every line at or after the first bad line of its file (strict shard rule).  The
+    order is that of one column or of several (a shard of many files: file, then line)."""
+    order = F.col(line_col) if isinstance(line_col, str) else F.struct(*line_col)
+    first_bad = lines.filter(F.col(bad_col)).groupBy(file_col).agg(F.min(order).alias("__first_bad"))
     j = lines.join(first_bad, file_col, "left")  # a row per file with a fault
-    return j.filter(F.col("__first_bad").isNull() | (F.col(line_col) < F.col("__first_bad"))).drop("__first_bad")
+    return j.filter(F.col("__first_bad").isNull() | (order < F.col("__first_bad"))).drop("__first_bad")
 
 
 def read_json_lines_numbered(
