@@ -10,9 +10,12 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+TEXTS_AT_ONCE = 256  # texts that a tokeniser gets together
+
 _WS = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 
 
@@ -83,19 +86,21 @@ def next_token_shift(ids: Column) -> tuple[Column, Column]:
 
 def tokenize(df: DataFrame, model_factory, text_col: str, seq_len: int, output_col: str = "input_ids") -> DataFrame:
     """Pluggable tokeniser: ``model_factory()`` returns ``fn(texts) -> list of id lists``;
-    ids are then truncated/padded to ``seq_len`` natively with a mask."""
-
-    def factory():
-        fn = model_factory()
-
-        def apply(texts: pd.Series) -> pd.Series:
-            return pd.Series(list(fn(texts.fillna("").tolist())))
-
-        return apply
+    ids are cut to ``seq_len`` in the task and padded natively with a mask."""
+
+    @F.arrow_udf("array<bigint>")
+    def raw_ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        fn, kind = model_factory(), pa.list_(pa.int64())
+        for texts in batches:
+            parts = []
+            for k in range(0, len(texts), TEXTS_AT_ONCE):  # only so many whole lists of ids at a time
+                some = fn([t or "" for t in texts[k : k + TEXTS_AT_ONCE].to_pylist()])
+                parts.append(pa.array([list(ids[:seq_len]) for ids in some], kind))
+            yield pa.concat_arrays(parts) if parts else pa.array([], kind)
 
     raw = F.col("__raw_ids")
     zeros, ones = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
     n = F.least(F.size(raw), F.lit(seq_len))
-    out = df.withColumn("__raw_ids", batch_udf(factory, "array<bigint>").asNondeterministic()(F.col(text_col)))
+    out = df.withColumn("__raw_ids", raw_ids.asNondeterministic()(F.col(text_col)))
     out = out.withColumn("attention_mask", F.concat(F.array_repeat(ones, n), F.array_repeat(zeros, F.lit(seq_len) - n)))
     return out.withColumn(output_col, pad_or_truncate(raw, seq_len, zeros)).drop("__raw_ids")
