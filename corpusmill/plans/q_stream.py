@@ -17,11 +17,14 @@ from corpusmill.plans.q_tools import _PAD_ARG, _note_sql
 from corpusmill.session import scratch_dir
 from corpusmill.streaming import incremental as ST
 
-INBOX_FILES = 4
+TURN_RANGES = 4
+ALL_FILES = 1 << 30  # what has arrived is one micro-batch, however many files
 
 
-def _inbox(df, folder: str, split_col):
-    df.withColumn("__f", split_col).repartition("__f").drop("__f").write.mode("append").json(folder)
+def _inbox(df, folder: str, key):
+    """JSON files of a size that Spark chooses, dealt by a key: more rows are more files, not
+    larger tasks."""
+    df.repartition(F.col(key)).write.mode("append").json(folder)
 
 
 @register(
@@ -47,8 +50,8 @@ def q_stream_ingest(spark, sf):
         )
 
     for arrived in (docs.filter(F.col("doc_id") <= cut), docs.filter(F.col("doc_id") > cut)):
-        _inbox(arrived, f"{base}/in", F.pmod("doc_id", F.lit(INBOX_FILES)))
-        s = ST.read_stream_jsonl(spark, f"{base}/in", "doc_id bigint, source string, text string")
+        _inbox(arrived, f"{base}/in", "doc_id")
+        s = ST.read_stream_jsonl(spark, f"{base}/in", "doc_id bigint, source string, text string", ALL_FILES)
         ST.run_foreach_batch(s, ST.write_batches(f"{base}/out", ingest), f"{base}/ckpt")
     return spark.read.parquet(f"{base}/out").drop("batch_id")
 
@@ -61,8 +64,8 @@ def q_stream_ingest(spark, sf):
 def q_stream_dedup(spark, sf):
     base = scratch_dir(spark, "stream_dedup")
     docs = table(spark, sf, "documents").select("doc_id", "text")
-    _inbox(docs, f"{base}/in", F.pmod("doc_id", F.lit(INBOX_FILES)))
-    s = ST.read_stream_jsonl(spark, f"{base}/in", "doc_id bigint, text string")
+    _inbox(docs, f"{base}/in", "doc_id")
+    s = ST.read_stream_jsonl(spark, f"{base}/in", "doc_id bigint, text string", ALL_FILES)
     cleaned = T.with_normalized(s, "text", "text").withColumn("text_sha1", I.text_hash("text")).select("doc_id", "text_sha1")
     ST.run_dedup(cleaned, "text_sha1", "doc_id", f"{base}/seen", f"{base}/ckpt")
     return spark.read.parquet(f"{base}/seen").select("doc_id", "text_sha1")
@@ -81,13 +84,13 @@ SELECT conv_id, turn, sha1(coalesce(array_to_string(notes[-8:], chr(10)), '')) A
 def q_stream_scratchpad(spark, sf):
     base = scratch_dir(spark, "stream_pad")
     conv = table(spark, sf, "conversations").select("conv_id", "turn", F.expr(_PAD_ARG).alias("arg"))
-    # one file per turn range, the later turns first: they wait for the earlier ones
-    rng = F.least(F.floor(F.col("turn") / 3), F.lit(INBOX_FILES - 1))
-    for k in reversed(range(INBOX_FILES)):
-        conv.filter(rng == k).coalesce(1).write.mode("append").json(f"{base}/in")
-    s = ST.read_stream_jsonl(spark, f"{base}/in", "conv_id bigint, turn bigint, arg string", max_files=1)
-    notes = s.select("conv_id", "turn", scratchpad_note(F.col("arg")).alias("note"))
-    ST.run_to_parquet(ST.scratchpad_stream(notes), f"{base}/out", f"{base}/ckpt")
+    # the turn ranges arrive one after the other, the later turns first: they wait for the earlier ones
+    rng = F.least(F.floor(F.col("turn") / 3), F.lit(TURN_RANGES - 1))
+    for k in reversed(range(TURN_RANGES)):
+        conv.filter(rng == k).write.mode("append").json(f"{base}/in")
+        s = ST.read_stream_jsonl(spark, f"{base}/in", "conv_id bigint, turn bigint, arg string", ALL_FILES)
+        notes = s.select("conv_id", "turn", scratchpad_note(F.col("arg")).alias("note"))
+        ST.run_to_parquet(ST.scratchpad_stream(notes), f"{base}/out", f"{base}/ckpt")
     out = spark.read.parquet(f"{base}/out")
     return out.select("conv_id", "turn", I.sha1_hex("pad").alias("pad_sha1"), "n_notes")
 
@@ -100,8 +103,8 @@ def q_stream_score(spark, sf):
     docs = table(spark, sf, "documents").select(
         F.col("doc_id").alias("sample_id"), "text", F.expr(_TYPE).alias("sample_type"), F.expr(_FAMILY).alias("family")
     ).filter(F.col("family").isNotNull())
-    _inbox(docs, f"{base}/in", F.pmod("sample_id", F.lit(INBOX_FILES)))
-    s = ST.read_stream_jsonl(spark, f"{base}/in", "sample_id bigint, text string, sample_type string, family string")
+    _inbox(docs, f"{base}/in", "sample_id")
+    s = ST.read_stream_jsonl(spark, f"{base}/in", "sample_id bigint, text string, sample_type string, family string", ALL_FILES)
     scorer = lambda df: Sc.score(df, Sc.stub_length_scorer, "text").select("sample_id", "family", "online_score")
     known = spark.readStream.schema("sample_id bigint, family string").parquet(store)
     ST.run_scoring(s, known, ["sample_id", "family"], scorer, f"{base}/scores", f"{base}/ckpt")

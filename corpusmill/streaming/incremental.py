@@ -159,8 +159,8 @@ PAD_OUTPUT = T.StructType(
 class ScratchpadProcessor(StatefulProcessor):
     """Per key: add notes in turn order and emit the rendered pad after each turn.
 
-    List state holds the last ``keep`` notes, value state the next turn, map state the turns that
-    arrived early.  They wait for the missing ones; with ``patience_ms`` a timer ends the wait
+    Value state holds the next turn, the last ``keep`` notes and how many turns wait; map state
+    the turns that arrived early (read only if some wait).  They wait for the missing ones; with ``patience_ms`` a timer ends the wait
     after so much processing time, and what waits is then taken in turn order.  A null note adds nothing
     but its turn shows the pad; a null turn or one that was passed is taken when it arrives."""
 
@@ -169,8 +169,7 @@ class ScratchpadProcessor(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.notes = handle.getListState("notes", "note string")
-        self.next = handle.getValueState("next", "turn bigint")
+        self.state = handle.getValueState("state", "turn bigint, notes array<string>, waiting bigint")
         self.early = handle.getMapState("early", "turn bigint", "notes array<string>")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
@@ -179,8 +178,8 @@ class ScratchpadProcessor(StatefulProcessor):
             ((None if pd.isna(t) else int(t), None if pd.isna(n) else n) for t, n in zip(found["turn"], found["note"])),
             key=lambda r: (r[0] is not None, r[0] or 0),
         )
-        following = self.next.get()[0] if self.next.exists() else self.first_turn
-        pad, out = [r[0] for r in self.notes.get()], []
+        following, pad, held_back = self._state()
+        out: list = []
         waiting: dict[int, list] = {}
         for turn, note in arrived:
             if turn is not None and turn > following:
@@ -190,29 +189,31 @@ class ScratchpadProcessor(StatefulProcessor):
             following = following if turn is None else max(following, turn + 1)
             while True:  # turns that waited for this one
                 held = waiting.pop(following, [])
-                if self.early.containsKey((following,)):
+                if held_back and self.early.containsKey((following,)):
                     held = [*self.early.getValue((following,))[0], *held]
                     self.early.removeKey((following,))
+                    held_back -= 1
                 if not held:
                     break
                 self._take(following, held, pad, out)
                 following += 1
+        added = 0
         for turn, notes in waiting.items():
-            known = list(self.early.getValue((turn,))[0]) if self.early.containsKey((turn,)) else []
+            known = list(self.early.getValue((turn,))[0]) if held_back and self.early.containsKey((turn,)) else []
             self.early.updateValue((turn,), ([*known, *notes],))
+            added += not known
         if waiting and self.patience_ms is not None and not list(self.handle.listTimers()):
             self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.patience_ms)
-        self._keep(pad, following)
+        self.state.update((following, pad, held_back + added))
         yield from self._rows(key, out)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        pad, out = [r[0] for r in self.notes.get()], []
-        following = self.next.get()[0] if self.next.exists() else self.first_turn
+        (following, pad, _), out = self._state(), []
         for (turn,), (notes,) in sorted(((tuple(k), tuple(v)) for k, v in self.early.iterator()), key=lambda r: r[0]):
             self._take(turn, notes, pad, out)
             following = max(following, turn + 1)
         self.early.clear()
-        self._keep(pad, following)
+        self.state.update((following, pad, 0))
         yield from self._rows(key, out)
 
     def _take(self, turn, notes, pad: list, out: list) -> None:
@@ -222,10 +223,9 @@ class ScratchpadProcessor(StatefulProcessor):
                 del pad[: -self.keep]
             out.append((turn, "\n".join(pad), len(pad)))
 
-    def _keep(self, pad: list, following: int) -> None:
-        if pad:  # an empty list is no state; a pad never gets empty again
-            self.notes.put([(n,) for n in pad])
-        self.next.update((following,))
+    def _state(self) -> tuple[int, list, int]:
+        known = self.state.get()
+        return (self.first_turn, [], 0) if known is None else (known[0], list(known[1]), known[2])
 
     def _rows(self, key, out: list) -> Iterator[pd.DataFrame]:
         if out:
