@@ -44,8 +44,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructField, StructType
 
+from corpusmill.llm import exchange
 from corpusmill.llm import words as W
-from corpusmill.llm.exchange import pack, part_count, unpack
+from corpusmill.llm.exchange import part_count
 from corpusmill.llm.tables import written
 
 BLOCK_BYTES = 8 << 20
@@ -59,6 +60,25 @@ SEED = 10
 _END = b"\n"  # no word contains it
 
 
+def pack(values: np.ndarray) -> bytes:
+    """The first bytes of all numbers, then the second ones and so on, compressed."""
+    return exchange.pack(np.ascontiguousarray(values).reshape(-1).view(np.uint8).reshape(-1, values.itemsize).T)
+
+
+def unpack(raw, kind) -> np.ndarray:
+    planes = exchange.unpack(raw, np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).reshape(-1).view(kind)
+
+
+def pack_steps(values: np.ndarray) -> bytes:
+    """Numbers that mostly rise a little, as differences."""
+    return pack(np.diff(values.astype(np.int64), prepend=0).astype(np.int32))
+
+
+def unpack_steps(raw) -> np.ndarray:
+    return np.cumsum(unpack(raw, np.int32), dtype=np.int64)
+
+
 # -- seating -----------------------------------------------------------------------------
 
 
@@ -359,7 +379,7 @@ def token_blocks(docs: DataFrame, key: str, text: str, learns: Column) -> DataFr
 
 class Block:
     """The tokens of a block (words and ends) and its distinct (word, context) pairs, sorted
-    by cell, word and context."""
+    by cell, word and context (hashes, so that all blocks ask in the same order)."""
 
     def __init__(self, row: dict, cells: int):
         self.block, self.keys = row["block"].as_py(), row["keys"].values
@@ -370,8 +390,9 @@ class Block:
         off = np.zeros(len(lengths) + 2, np.int64)
         np.cumsum(np.append(lengths, len(_END)), out=off[1:])
         vocabulary = W.Words(np.concatenate([raw, np.frombuffer(_END, np.uint8)]), off, np.array([0, len(lengths) + 1]))
-        cell = (W.token_hashes(vocabulary, 12) >> np.uint64(20)) % np.uint64(cells)
-        order = np.argsort(cell, kind="stable")
+        hashes = W.token_hashes(vocabulary, 12)
+        cell = (hashes >> np.uint64(20)) % np.uint64(cells)
+        order = np.lexsort((hashes, cell))
         rank = np.empty(len(order), np.int64)
         rank[order] = np.arange(len(order))
         self.vocabulary, self.order, self.cell = vocabulary, order, cell[order].astype(np.int64)
@@ -386,11 +407,14 @@ class Block:
         context[1:] = token[:-1] + 1
         context[self.doc[:-1]] = 0
         contexts = vocabulary.n + 1
-        pairs, self.pair_of = np.unique(rank[token] * contexts + context, return_inverse=True)
-        self.pair_word = pairs // contexts
         # 48 bits of a word's hash are its name as a context, 0 the start of a text
         names = np.append(np.uint64(0), np.maximum(W.token_hashes(vocabulary, 13) >> np.uint64(16), np.uint64(1)))
-        self.pair_context = names[pairs % contexts]
+        by_name = np.argsort(names, kind="stable")
+        place = np.empty(contexts, np.int64)
+        place[by_name] = np.arange(contexts)
+        pairs, self.pair_of = np.unique(rank[token] * contexts + place[context], return_inverse=True)
+        self.pair_word = pairs // contexts
+        self.pair_context = names[by_name][pairs % contexts]
         learned = np.repeat(self.learns, np.diff(self.doc))
         self.pair_count = np.bincount(self.pair_of[learned], minlength=len(pairs))
 
@@ -404,10 +428,10 @@ class Block:
         for p, a, b, i, j in zip(cells.tolist(), edge[:-1], edge[1:], cut[:-1], cut[1:]):
             size = length[a:b]
             at = np.repeat(start[a:b] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
-            blobs = (self.vocabulary.data[at], size.astype(np.uint32), (self.pair_word[i:j] - a).astype(np.uint32),
-                     _six_bytes(self.pair_context[i:j]), self.pair_count[i:j].astype(np.uint32))
+            blobs = (pack(self.vocabulary.data[at]), pack(size.astype(np.uint32)), pack_steps(self.pair_word[i:j] - a),
+                     pack(_six_bytes(self.pair_context[i:j])), pack(self.pair_count[i:j].astype(np.uint32)))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([p], pa.int32()), pa.array([self.block], pa.int64()), *(pa.array([pack(x)], pa.binary()) for x in blobs)],
+                [pa.array([p], pa.int32()), pa.array([self.block], pa.int64()), *(pa.array([x], pa.binary()) for x in blobs)],
                 names=["cell", "block", "words", "lengths", "word", "context", "count"],
             )
 
@@ -445,8 +469,14 @@ def gather_cells(blocks: DataFrame, cells: int) -> DataFrame:
         off = np.concatenate([[0], np.cumsum(np.concatenate(lengths))])
         data = np.concatenate([unpack(r["words"], np.uint8) for r in rows])
         word_of, dictionary = W.Words(data, off, np.array([0, len(off) - 1])).encode()
+        spelt = dictionary.cast(pa.large_binary()).buffers()
+        spelt = W.Words(np.frombuffer(spelt[2], np.uint8), np.frombuffer(spelt[1], np.int64)[: len(dictionary) + 1], None)
+        by_hash = np.argsort(W.token_hashes(spelt, 12), kind="stable")
+        place = np.empty(len(by_hash), np.int64)
+        place[by_hash] = np.arange(len(by_hash))
+        word_of = place[word_of]
         first = np.concatenate([[0], np.cumsum([len(x) for x in lengths])])
-        local = [unpack(r["word"], np.uint32).astype(np.int64) + first[k] for k, r in enumerate(rows)]
+        local = [unpack_steps(r["word"]) + first[k] for k, r in enumerate(rows)]
         contexts, context = np.unique(np.concatenate([_names(unpack(r["context"], np.uint8)) for r in rows]), return_inverse=True)
         count = np.concatenate([unpack(r["count"], np.uint32) for r in rows])
         pairs, asked = np.unique(word_of[np.concatenate(local)] * max(1, len(contexts)) + context, return_inverse=True)
@@ -461,15 +491,15 @@ def gather_cells(blocks: DataFrame, cells: int) -> DataFrame:
                 "cell": pa.array([rows[0]["cell"].as_py()], pa.int32()),
                 "words": pa.array([len(dictionary)], pa.int64()),
                 "stats": pa.array([stats], pa.list_(pa.int64())),
-                "word": pa.array([pack(word.astype(np.uint32))], pa.binary()),
+                "word": pa.array([pack_steps(word)], pa.binary()),
                 "context": pa.array([pack(ctx.astype(np.uint32))], pa.binary()),
                 "contexts": pa.array([pack(_six_bytes(contexts))], pa.binary()),
                 "count": pa.array([pack(total)], pa.binary()),
                 "blocks": pa.array([pack(np.array([r["block"].as_py() for r in rows], np.int64))], pa.binary()),
                 "pair_rows": pa.array([pack(np.array([len(x) for x in local], np.int64))], pa.binary()),
                 "word_rows": pa.array([pack(np.array([len(x) for x in lengths], np.int64))], pa.binary()),
-                "asked": pa.array([pack(asked.astype(np.uint32))], pa.binary()),
-                "word_of": pa.array([pack(word_of.astype(np.uint32))], pa.binary()),
+                "asked": pa.array([pack_steps(asked)], pa.binary()),
+                "word_of": pa.array([pack_steps(word_of)], pa.binary()),
             }
         )
 
@@ -573,26 +603,30 @@ _SEATS = ("leaf_tables", "leaf_sizes", "root_tables", "root_sizes")
 
 def _joined(cells: DataFrame, seats: DataFrame | None, sums: DataFrame, corpus: Corpus) -> DataFrame:
     near = lambda df: df.repartition(corpus.cells, "cell")
-    rows = near(cells).join(near(sums), "cell", "left")
-    return rows if seats is None else rows.join(near(seats.select("cell", "own", *_SEATS)), "cell", "left")
+    if seats is None:
+        return near(cells).join(near(sums), "cell", "left")
+    rows = near(cells.drop("contexts")).join(near(sums), "cell", "left")
+    return rows.join(near(seats.select("cell", "own", "several", *_SEATS)), "cell", "left")
 
 
 def _open_cell(row: dict, corpus: Corpus, round_: int) -> Cell:
-    word, context = unpack(row["word"], np.uint32).astype(np.int64), unpack(row["context"], np.uint32).astype(np.int64)
-    names = _names(unpack(row["contexts"], np.uint8))
+    word, context = unpack_steps(row["word"]), unpack(row["context"], np.uint32).astype(np.int64)
     seats = None
     if "own" in row:
         customers, distinct = unpack(row["own"], np.int64).reshape(2, -1)
         several = customers > distinct
         tables = distinct.copy()
-        tables[several] += _sums_of(row, names[several], corpus.parts, 1)[0]
+        names = _names(unpack(row["several"], np.uint8))
+        tables[several] += _sums_of(row, names, corpus.parts, 1)[0]
         seats = [unpack(row[c], np.int64) for c in _SEATS]
     else:
-        customers, tables = distinct, _ = _sums_of(row, names, corpus.parts, 2)
+        names = _names(unpack(row["contexts"], np.uint8))
+        customers, distinct = _sums_of(row, names, corpus.parts, 2)
+        tables, names = distinct, names[customers > distinct]
     totals = Totals(customers, tables, corpus.root_customers, corpus.root_tables, corpus.known, corpus.discounts, corpus.tokens)
     seed = row["cell"].as_py() * 64 + round_
     cell = Cell(row["words"].as_py(), word, context, unpack(row["count"], np.int64), totals, seed, seats)
-    cell.names, cell.own = names, np.array([customers, distinct if seats else tables])
+    cell.several, cell.own = names, np.array([customers, distinct])
     return cell
 
 
@@ -609,7 +643,7 @@ def sample_cells(cells: DataFrame, seats: DataFrame | None, sums: DataFrame, cor
             several = cell.own[0] > cell.own[1]
             single = np.bincount(cell.context, cell.count > 0, minlength=len(several)).astype(np.int64)
             more = (cell.tables_per_context() - single)[several]
-            blobs = (*cell.leaf.seats(), *cell.root.seats(), cell.own, _six_bytes(cell.names[several]), more)
+            blobs = (*cell.leaf.seats(), *cell.root.seats(), cell.own, _six_bytes(cell.several), more)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([row["cell"].as_py()], pa.int32()), pa.array([[cell.root.c.sum(), cell.root.t.sum()]], pa.list_(pa.int64()))]
                 + [pa.array([pack(x)], pa.binary()) for x in blobs],
@@ -636,7 +670,7 @@ def answer_blocks(cells: DataFrame, seats: DataFrame | None, sums: DataFrame, co
                 total += cell.probabilities()
             logs = np.log10(total / SAMPLES).astype(np.float32)
             count = np.bincount(cell.word, cell.count, minlength=cell.words).astype(np.int64)
-            asked, word_of = unpack(row["asked"], np.uint32), unpack(row["word_of"], np.uint32)
+            asked, word_of = unpack_steps(row["asked"]), unpack_steps(row["word_of"])
             pair_edge = np.concatenate([[0], np.cumsum(unpack(row["pair_rows"], np.int64))])
             word_edge = np.concatenate([[0], np.cumsum(unpack(row["word_rows"], np.int64))])
             for k, block in enumerate(unpack(row["blocks"], np.int64).tolist()):
