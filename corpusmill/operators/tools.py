@@ -26,8 +26,8 @@ from corpusmill.functions.traces import (
     SCRATCHPAD,
     SCRATCHPAD_LINES,
     UNKNOWN_TOOL,
-    audit_texts,
-    inject_texts,
+    audit,
+    inject,
 )
 
 # --- fixed values (must equal the reference's rules) --------------------------------
@@ -76,8 +76,8 @@ TEXTS_AT_ONCE = 2048
 @F.arrow_udf(StringType())
 def _injected(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     for texts in batches:
-        parts = [inject_texts(texts[k : k + TEXTS_AT_ONCE].to_pylist()) for k in range(0, len(texts), TEXTS_AT_ONCE)]
-        yield pa.array([t for part in parts for t in part], pa.string())
+        parts = [inject(texts[k : k + TEXTS_AT_ONCE]).cast(pa.string()) for k in range(0, len(texts), TEXTS_AT_ONCE)]
+        yield pa.concat_arrays(parts) if parts else pa.array([], pa.string())
 
 
 _AUDIT = pa.struct([("actual", pa.list_(pa.string())), ("expected", pa.list_(pa.string()))])
@@ -86,13 +86,8 @@ _AUDIT = pa.struct([("actual", pa.list_(pa.string())), ("expected", pa.list_(pa.
 @F.arrow_udf(StructType([StructField(c, ArrayType(StringType())) for c in ("actual", "expected")]))
 def _audited(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     for texts in batches:
-        actual, expected = [], []
-        for k in range(0, len(texts), TEXTS_AT_ONCE):
-            part = audit_texts(texts[k : k + TEXTS_AT_ONCE].to_pylist())
-            actual += part[0]
-            expected += part[1]
-        lists = [pa.array(x, pa.list_(pa.string())) for x in (actual, expected)]
-        yield pa.StructArray.from_arrays(lists, fields=list(_AUDIT))
+        parts = [audit(texts[k : k + TEXTS_AT_ONCE]) for k in range(0, len(texts), TEXTS_AT_ONCE)] or [audit(texts)]
+        yield pa.StructArray.from_arrays([pa.concat_arrays(x) for x in zip(*parts)], fields=list(_AUDIT))
 
 
 def inject_tool_results(df: DataFrame, text: Column | str, out_col: str) -> DataFrame:
@@ -123,11 +118,11 @@ def result_values(text: Column | str) -> Column:
 def audit_tool_results(df: DataFrame, text_col: str) -> DataFrame:
     """Stored RESULT values (``actual``) vs values recomputed by re-injection into the text
     without them (``expected``); ``comparable`` when both are non-empty and of equal length;
-    ``pairs`` and ``correct`` count them and the equal ones (after stripping)."""
+    ``pairs`` and ``correct`` count them and the equal ones (both come stripped)."""
     out = df.withColumn("__audit", _audited(F.col(text_col).cast("string")))
     out = out.withColumn("actual", F.col("__audit.actual")).withColumn("expected", F.col("__audit.expected")).drop("__audit")
     comparable = (F.size("actual") > 0) & (F.size("expected") > 0) & (F.size("actual") == F.size("expected"))
-    same = F.zip_with("actual", "expected", lambda a, e: py_strip(a) == py_strip(e))
+    same = F.zip_with("actual", "expected", lambda a, e: a == e)
     return (
         out.withColumn("comparable", comparable)
         .withColumn("pairs", F.size("actual"))

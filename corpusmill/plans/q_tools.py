@@ -18,15 +18,22 @@ from corpusmill.plans.catalog import register, table
 VALIDATION_BATCH = 32
 
 
+def two_decimals(column: str):
+    """``%.2f``; positive numbers take a decimal's way, which is faster and rounds alike."""
+    x = F.col(column).cast("double")
+    plain = x.cast("decimal(17,2)").cast("string")
+    return F.when((x > 0) & (x < 1e14), plain).otherwise(F.format_string("%.2f", x))
+
+
 def _nums(spark, sf):
     li = table(spark, sf, "lineitem")
     return li.select(
         "l_orderkey",
         "l_linenumber",
         "l_returnflag",
-        F.format_string("%.2f", "l_quantity").alias("q"),
-        F.format_string("%.2f", "l_extendedprice").alias("p"),
-        F.format_string("%.2f", "l_discount").alias("d"),
+        two_decimals("l_quantity").alias("q"),
+        two_decimals("l_extendedprice").alias("p"),
+        two_decimals("l_discount").alias("d"),
     )
 
 
