@@ -70,14 +70,14 @@ def scratchpad_note(arg: Column) -> Column:
 
 
 #: Texts handled together inside an Arrow batch; bounds the lists of lines.
-TEXTS_AT_ONCE = 2048
+TEXTS_AT_ONCE = 4096
 
 
 @F.arrow_udf(StringType())
 def _injected(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     for texts in batches:
-        parts = [inject(texts[k : k + TEXTS_AT_ONCE]).cast(pa.string()) for k in range(0, len(texts), TEXTS_AT_ONCE)]
-        yield pa.concat_arrays(parts) if parts else pa.array([], pa.string())
+        for k in range(0, max(len(texts), 1), TEXTS_AT_ONCE):
+            yield inject(texts[k : k + TEXTS_AT_ONCE]).cast(pa.string())
 
 
 _AUDIT = pa.struct([("actual", pa.list_(pa.string())), ("expected", pa.list_(pa.string()))])

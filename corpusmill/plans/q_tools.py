@@ -75,27 +75,37 @@ def q_calculator(spark, sf):
 SCRATCH_CALLS = 10
 
 
+def lines_text(lines: list[list]):
+    """Lines of columns and plain strings, joined; a line with a null column is left out.  Without
+    nulls, the rule, all of it is joined at once and plain strings side by side are one."""
+    parts = []
+    for part in [x for line in lines for x in ("\n", *line)][1:]:
+        if parts and isinstance(part, str) and isinstance(parts[-1], str):
+            parts[-1] += part
+        else:
+            parts.append(part)
+    joined = lambda line: F.concat(*[F.lit(x) if isinstance(x, str) else x for x in line])
+    return F.coalesce(joined(parts), F.concat_ws("\n", *map(joined, lines)))
+
+
 def trace_text(spark, sf):
     """A tool-call trace per line item (CALL lines, a decoy, unknown tool, errors)."""
     n = _nums(spark, sf)
     q, p, d = F.col("q"), F.col("p"), F.col("d")
     lines = [
-        F.concat(F.lit("Order "), F.col("l_orderkey").cast("string"), F.lit(" line "), F.col("l_linenumber").cast("string")),
-        F.concat(F.lit('CALL calculator: "'), q, F.lit("*"), p, F.lit('"')),
-        F.lit('  CALL calculator: "1+1"'),
-        F.concat(F.lit('CALL Calculator:"'), p, F.lit("/("), d, F.lit("-"), d, F.lit(')"')),
-    ]
-    for k in range(1, SCRATCH_CALLS + 1):
-        lines.append(F.concat(F.lit(f'CALL scratchpad: "k{k}: '), q, F.lit('"')))
-    lines += [
-        F.concat(F.lit('CALL scratchpad: "'), F.col("l_returnflag"), F.lit('"')),
-        F.lit('CALL web-search: "x"'),
-        F.concat(F.lit('CALL calculator: "sqrt('), q, F.lit(') ** 2"')),
-        F.lit('CALL calculator: "__import__(1)"'),
-        F.concat(F.lit('CALL calculator: "'), q, F.lit(' // 2"')),
-        F.lit("Done.\n"),
+        ["Order ", F.col("l_orderkey").cast("string"), " line ", F.col("l_linenumber").cast("string")],
+        ['CALL calculator: "', q, "*", p, '"'],
+        ['  CALL calculator: "1+1"'],
+        ['CALL Calculator:"', p, "/(", d, "-", d, ')"'],
+        *[[f'CALL scratchpad: "k{k}: ', q, '"'] for k in range(1, SCRATCH_CALLS + 1)],
+        ['CALL scratchpad: "', F.col("l_returnflag"), '"'],
+        ['CALL web-search: "x"'],
+        ['CALL calculator: "sqrt(', q, ') ** 2"'],
+        ['CALL calculator: "__import__(1)"'],
+        ['CALL calculator: "', q, ' // 2"'],
+        ["Done.\n"],
     ]
-    return n.select("l_orderkey", "l_linenumber", F.concat_ws("\n", *lines).alias("text"))
+    return n.select("l_orderkey", "l_linenumber", lines_text(lines).alias("text"))
 
 
 def _nl(*parts: str) -> str:
